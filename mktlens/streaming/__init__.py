@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+Every plan the library reproduces is a batch query (the "sliding window" of
+the event halo is a ROWS frame over months, see
+``mktlens.operators.windows.moving_average``).  The batch plans are written
+with the DataFrame API only, so a caller can feed them a streaming DataFrame
+inside ``foreachBatch`` if needed.
+"""
