@@ -60,3 +60,100 @@ SQL["retention_flags"] = with_bindings(["customer_orders"], [], f"""
            CASE WHEN date_diff('day', acquisition_date, DATE '{V.DEFAULT_CUTOFF}') > {V.RETAINED_AFTER_DAYS}
                 THEN 1 END AS retained_eligible_customer
     FROM customer_orders GROUP BY customer_id, acquisition_date""")
+
+
+# ---------------------------------------------------------------------------
+# Halo
+# ---------------------------------------------------------------------------
+from mktlens.plans import halo as H  # noqa: E402
+
+
+def _bucket_sql(col: str) -> str:
+    arms = []
+    for pats, label in H.TOWNS:
+        cond = " OR ".join(f"lower({col}) LIKE '{p}'" for p in pats)
+        arms.append(f"WHEN {cond} THEN '{label}'")
+    return "CASE " + " ".join(arms) + " ELSE NULL END"
+
+
+_EVENTS_LOOKUP = """
+    SELECT r.r_name || '_MARKET' AS event_name, make_date(1998, r.r_regionkey + 1, 1) AS event_start_date,
+           lower(n.n_name) AS town
+    FROM region r JOIN (SELECT n_regionkey, MIN(n_nationkey) AS n_nationkey FROM nation GROUP BY n_regionkey) f
+         ON r.r_regionkey = f.n_regionkey
+    JOIN nation n ON n.n_nationkey = f.n_nationkey"""
+_EVENT = f"SELECT event_name, event_start_date FROM events_lookup WHERE event_name = '{H.EVENT_NAME}'"
+_LO, _HI = H.MONTHS
+_HALO_ORDERS = f"""
+    SELECT o.*, {_bucket_sql('o.shipping_city')} AS town, e.event_name, e.event_start_date,
+           date_diff('month', e.event_start_date, o.order_date) AS months_to_popup_event
+    FROM customer_orders_geo o LEFT JOIN event e ON TRUE
+    WHERE {_bucket_sql('o.shipping_city')} IS NOT NULL AND lower(o.order_shipping_county) = '{H.COUNTY}'
+      AND o.item_quantity > 0
+      AND date_diff('month', e.event_start_date, o.order_date) BETWEEN {_LO} AND {_HI}"""
+_HALO_COMMERCIAL = """
+    SELECT event_name, town AS shipping_city, months_to_popup_event,
+           COUNT(DISTINCT customer_id) AS distinct_customers,
+           COUNT(DISTINCT CASE WHEN order_sequence = 1 THEN customer_id END) AS new_customers,
+           CAST(SUM(order_net_sales) AS DECIMAL(38,2)) AS total_sales,
+           CAST(SUM(CASE WHEN order_sequence = 1 THEN order_net_sales END) AS DECIMAL(38,2)) AS new_customer_sales,
+           COUNT(order_name) AS total_orders,
+           COUNT(CASE WHEN order_sequence = 1 THEN order_name END) AS new_customer_orders
+    FROM halo_orders GROUP BY 1, 2, 3"""
+_SESSION_DATA = f"""
+    SELECT s.*, {_bucket_sql('s.geonetwork_city')} AS browsing_city, e.event_name,
+           date_diff('month', e.event_start_date, s.visit_date) AS months_to_popup_event
+    FROM halo_sessions_source s LEFT JOIN event e ON TRUE
+    WHERE {_bucket_sql('s.geonetwork_city')} IS NOT NULL
+      AND date_diff('month', e.event_start_date, s.visit_date) BETWEEN {_LO} AND {_HI}"""
+_HALO_SESSIONS = f"""
+    SELECT event_name, browsing_city, months_to_popup_event,
+           COUNT(visit_key) AS total_sessions,
+           COUNT(DISTINCT COALESCE(CAST(customer_id AS VARCHAR), visitor_id)) AS total_visitors_estimate,
+           CAST(SUM(transactions) AS BIGINT) AS total_orders_ga,
+           CAST({half_up_div('SUM(transactions)', 0, 'COUNT(visit_key)', 3)} AS DECIMAL(38,3)) AS ga_cvr_approx
+    FROM session_data GROUP BY 1, 2, 3"""
+_HALO_CTES = [("events_lookup", _EVENTS_LOOKUP), ("event", _EVENT), ("halo_orders", _HALO_ORDERS),
+              ("halo_commercial", _HALO_COMMERCIAL), ("session_data", _SESSION_DATA),
+              ("halo_sessions", _HALO_SESSIONS)]
+
+
+def _halo_sql(literal_window: bool) -> str:
+    if literal_window:
+        w = "PARTITION BY event_name ORDER BY months_to_popup_event, shipping_city"
+    else:
+        w = "PARTITION BY event_name, shipping_city ORDER BY months_to_popup_event"
+    frame = f"({w} ROWS BETWEEN {H.FRAME_ROWS - 1} PRECEDING AND CURRENT ROW)"
+    merge = """
+        SELECT c.*, s.total_sessions, s.total_visitors_estimate, s.total_orders_ga, s.ga_cvr_approx
+        FROM halo_commercial c LEFT JOIN halo_sessions s
+          ON c.shipping_city = s.browsing_city AND c.months_to_popup_event = s.months_to_popup_event
+         AND c.event_name = s.event_name"""
+    final = f"""
+        SELECT h.*, round(avg(total_visitors_estimate) OVER {frame}) AS avg_visitors_l3m,
+               round(avg(new_customers) OVER {frame}) AS avg_new_customers_l3m,
+               CAST({half_up_div(f'SUM(total_sales) OVER {frame}', 2, f'COUNT(total_sales) OVER {frame}', 2)}
+                    AS DECIMAL(38,2)) AS avg_net_sales_l3m
+        FROM merged h ORDER BY shipping_city, months_to_popup_event"""
+    return with_bindings(["customer_orders_geo", "halo_sessions_source"], _HALO_CTES + [("merged", merge)], final)
+
+
+SQL["event_halo_effect"] = _halo_sql(False)
+SQL["event_halo_effect_literal_window"] = _halo_sql(True)
+SQL["halo_commercial"] = with_bindings(["customer_orders_geo", "halo_sessions_source"], _HALO_CTES,
+                                       "SELECT * FROM halo_commercial")
+SQL["halo_sessions"] = with_bindings(["customer_orders_geo", "halo_sessions_source"], _HALO_CTES,
+                                     "SELECT * FROM halo_sessions")
+SQL["months_to_event"] = with_bindings(["customer_orders"], [("events_lookup", _EVENTS_LOOKUP), ("event", _EVENT)], f"""
+    SELECT o.customer_id, o.order_name, o.order_date, e.event_name,
+           date_diff('month', e.event_start_date, o.order_date) AS months_to_popup_event
+    FROM customer_orders o LEFT JOIN event e ON TRUE
+    WHERE date_diff('month', e.event_start_date, o.order_date) BETWEEN {_LO} AND {_HI}""")
+SQL["town_bucket"] = with_bindings(["customer_orders_geo"], [], f"""
+    SELECT order_name, shipping_city, {_bucket_sql('shipping_city')} AS town_bucket
+    FROM customer_orders_geo WHERE lower(order_shipping_county) = '{H.COUNTY}'""")
+SQL["event_lookup"] = with_bindings([], [("events_lookup", _EVENTS_LOOKUP)], _EVENT)
+SQL["top_k"] = with_bindings(["halo_sessions_source"], [], """
+    SELECT * FROM halo_sessions_source
+    ORDER BY customer_id, visit_start_time, visit_key, visitor_id, visit_date, geonetwork_city, transactions
+    LIMIT 10000""")

@@ -11,6 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mktlens.plans import halo as H
 from mktlens.plans import value as V
 from mktlens.sources import bindings as B
 from mktlens.sources.tables import Tables
@@ -38,3 +39,57 @@ def _item_costs(t: Tables) -> DataFrame:
     return c.select("order_name", "customer_id", "cogs",
                     F.round("returns", 2).cast("decimal(38,2)").alias("returns"),
                     F.round("cost_of_goods_returns", 2).cast("decimal(38,2)").alias("cost_of_goods_returns"))
+
+
+# --- halo ------------------------------------------------------------------
+register("event_halo_effect")(H.event_halo_effect)
+
+
+@register("event_halo_effect_literal_window")
+def _halo_literal(t: Tables) -> DataFrame:
+    """Moving averages partitioned by event only (towns interleaved)."""
+    return H.event_halo_effect(t, literal_window=True)
+
+
+@register("halo_commercial")
+def _halo_commercial(t: Tables) -> DataFrame:
+    return H.halo_commercial(H.halo_orders(t))
+
+
+@register("halo_sessions")
+def _halo_sessions(t: Tables) -> DataFrame:
+    return H.halo_sessions(H.halo_session_rows(t))
+
+
+@register("months_to_event")
+def _months_to_event(t: Tables) -> DataFrame:
+    """Every order with its month offset to the event, offsets in [-12, 12]."""
+    o = B.customer_orders(t).select("customer_id", "order_name", "order_date")
+    return H.months_to_event(o, H.event_row(t), "order_date").drop("event_start_date")
+
+
+@register("town_bucket")
+def _town_bucket(t: Tables) -> DataFrame:
+    """First-match town bucket of every order guarded by the county."""
+    o = B.customer_orders(t, with_geo=True)
+    b = H.bucket_first_match("shipping_city", H.TOWNS)
+    return (o.where(F.lower("order_shipping_county") == H.COUNTY)
+             .select("order_name", "shipping_city", b.alias("town_bucket")))
+
+
+@register("event_lookup")
+def _event_lookup(t: Tables) -> DataFrame:
+    """The event table derived from regions, filtered to one event."""
+    return H.event_row(t)
+
+
+@register("top_k")
+def _top_k(t: Tables) -> DataFrame:
+    """The first 10 000 halo sessions by (customer, visit start, key):
+    a top-k report, the limit is the feature."""
+    from mktlens.operators.topk import top_k
+    s = B.halo_sessions_source(t)
+    order = [F.col(c).asc_nulls_last() for c in
+             ["customer_id", "visit_start_time", "visit_key", "visitor_id", "visit_date",
+              "geonetwork_city", "transactions"]]
+    return top_k(s, order, 10000)
