@@ -79,66 +79,88 @@ def _metachar(c: Column) -> Column:
     return c.contains("_") | c.contains("%")
 
 
+def _match(t: Column, n: Column, wildcards: bool) -> Column:
+    if wildcards:
+        return t.like(F.concat(F.lit("%"), n, F.lit("%")))
+    return t.contains(n)
+
+
+INLINE_NAMES = 512       # names embedded in the plan as a literal array
+PROBE_GRAMS = 4096       # distinct blocking grams probed per text with contains
+BROADCAST_NAMES = 200_000  # name rows broadcast to the gram join
+
+
 def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
                   how: str = "left", q: int = 4, wildcards: bool = False,
-                  left_id: str | None = None) -> DataFrame:
+                  left_id: str | None = None, inline_limit: int = INLINE_NAMES,
+                  probe_limit: int = PROBE_GRAMS, broadcast_limit: int = BROADCAST_NAMES) -> DataFrame:
     """``left join right on lower(left.text) like '%' || lower(right.name) || '%'``.
 
     Default (``wildcards=False``) treats the name literally (``contains``); the
     warehouse's LIKE would let ``_`` and ``%`` inside names act as wildcards,
     which ``wildcards=True`` reproduces (no escape character).
 
-    Plan: every name gets a blocking gram - its first ``min(len, q)``
-    characters (in wildcard mode the first characters of its longest literal
-    run).  Every text emits its distinct grams of each gram length in use
-    (at most ``q + 1`` lengths).  ``grams = grams`` is an equi join, so no
-    text is compared with a name that cannot occur in it; candidates are then
-    verified exactly.  Exact for every name, short and empty ones included.
+    Strategy by the measured size of the name side (a count, checked first):
+
+    1. at most ``inline_limit`` names: the names become a literal array in
+       the plan and each text keeps ``filter(names, n -> text contains n)``,
+       exploded.  Map-only: no shuffle of the texts at all.
+    2. otherwise names are blocked by a gram - their first ``min(len, q)``
+       characters (in wildcard mode taken from their longest literal run).
+       Texts list the blocking grams they contain - by probing each distinct
+       gram when there are at most ``probe_limit`` of them, else by emitting
+       the distinct grams of every position - and the equi join on the gram
+       (names broadcast when at most ``broadcast_limit`` rows) yields
+       candidates, verified exactly against the text.
+    Exact for every name, short and empty ones included.
     """
     if how not in ("left", "inner"):
         raise ValueError("wildcard_join supports how='left' or 'inner'")
-    spark = left.sparkSession
+    names_all = right.where(F.col(name).isNotNull())
+    n_names = names_all.count()
+    tl = "__tl"
+    if n_names <= inline_limit:
+        fields = right.schema.fields
+        rows = names_all.collect()
+        lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows]
+        arr = F.array(*lits) if lits else F.array().cast(
+            "array<struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in fields) + ">>")
+        lt = left.withColumn(tl, F.lower(F.col(text)))
+        hits = F.filter(arr, lambda r: _match(F.col(tl), F.lower(r[name]), wildcards))
+        gen = F.explode_outer if how == "left" else F.explode
+        out = lt.select("*", gen(hits).alias("__hit"))
+        return out.select(*[c for c in left.columns], *[F.col("__hit")[f.name].alias(f.name) for f in fields])
+
     rid = left_id or _RID
     lft = left if left_id else left.withColumn(_RID, F.monotonically_increasing_id())
-
     n = F.lower(F.col(name))
     if wildcards:
         runs = F.split(n, "[_%]")
-        longest = F.element_at(
-            F.array_sort(runs, lambda a, b: F.length(b) - F.length(a)), 1)
+        longest = F.element_at(F.array_sort(runs, lambda a, b: F.length(b) - F.length(a)), 1)
         seed = F.when(_metachar(n), longest).otherwise(n)
     else:
         seed = n
-    names = (right.where(F.col(name).isNotNull())
-             .withColumn("__nrid", F.monotonically_increasing_id())
-             .withColumn("__glen", F.least(F.length(seed), F.lit(q)))
-             .withColumn("__gram", F.substring(seed, 1, q)))
-    # the gram lengths in use: at most q + 1 small integers
-    lengths = sorted(r[0] for r in names.select("__glen").distinct().collect())
-    if not lengths:
-        lengths = [q]
-
-    t = F.lower(F.col(text))
-    per_len = []
-    for g in lengths:
-        if g == 0:
-            per_len.append(F.array(F.struct(F.lit(0).alias("glen"), F.lit("").alias("gram"))))
-        else:
-            grams = F.transform(F.sequence(F.lit(1), F.length(t) - g + 1),
-                                lambda i: F.struct(F.lit(g).alias("glen"), F.substring(t, i, g).alias("gram")))
-            per_len.append(F.when(F.length(t) >= g, grams).otherwise(F.array()))
-    text_grams = (lft.where(F.col(text).isNotNull())
-                  .select(rid, F.explode(F.array_distinct(F.concat(*per_len))).alias("__g"))
-                  .select(rid, F.col("__g.glen").alias("__glen"), F.col("__g.gram").alias("__gram")))
-    candidates = text_grams.join(names, ["__glen", "__gram"], "inner").drop("__glen", "__gram")
-
-    texts = lft.select(rid, F.lower(F.col(text)).alias("__t"))
-    nl = F.lower(F.col(name))
-    if wildcards:
-        ok = F.col("__t").like(F.concat(F.lit("%"), nl, F.lit("%")))
+    names = names_all.withColumn("__gram", F.substring(seed, 1, q))
+    grams = [r[0] for r in names.select("__gram").distinct().limit(probe_limit + 1).collect()]
+    texts = lft.where(F.col(text).isNotNull()).select(rid, F.lower(F.col(text)).alias(tl))
+    if len(grams) <= probe_limit:
+        present = F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.col(tl).contains(g))
+        text_grams = texts.select(rid, F.explode(present).alias("__gram"))
     else:
-        ok = F.col("__t").contains(nl)
-    verified = candidates.join(texts, rid, "inner").where(ok).drop("__t", "__nrid")
+        lengths = sorted({len(g) for g in grams} | {q})
+        per_len = []
+        for g in lengths:
+            if g == 0:
+                per_len.append(F.array(F.lit("")))
+            else:
+                arr = F.transform(F.sequence(F.lit(1), F.length(tl) - g + 1),
+                                  lambda i, g=g: F.substring(F.col(tl), i, g))
+                per_len.append(F.when(F.length(tl) >= g, arr).otherwise(F.array().cast("array<string>")))
+        text_grams = texts.select(rid, F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
+    side = F.broadcast(names) if n_names <= broadcast_limit else names
+    candidates = text_grams.join(side, "__gram", "inner").drop("__gram")
+    verified = (candidates.join(texts, rid, "inner")
+                .where(_match(F.col(tl), F.lower(F.col(name)), wildcards)).drop(tl))
     out = lft.join(verified, rid, how)
     return out.drop(_RID) if not left_id else out
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mktlens.plans import halo as H
+from mktlens.plans import spend as S
 from mktlens.plans import value as V
 from mktlens.sources import bindings as B
 from mktlens.sources.tables import Tables
@@ -93,3 +94,47 @@ def _top_k(t: Tables) -> DataFrame:
              ["customer_id", "visit_start_time", "visit_key", "visitor_id", "visit_date",
               "geonetwork_city", "transactions"]]
     return top_k(s, order, 10000)
+
+
+# --- spend -----------------------------------------------------------------
+@register("spend_attribution")
+def _spend(t: Tables) -> DataFrame:
+    return S.spend_attribution_plan(t)
+
+
+@register("spend_filter")
+def _spend_filter(t: Tables) -> DataFrame:
+    return S.spend_filter(B.purchase_orders(t))
+
+
+@register("infer_year_month")
+def _infer_year_month(t: Tables) -> DataFrame:
+    d = S.infer_year_month(S.spend_filter(B.purchase_orders(t)))
+    return d.select("purchaseorder_id", "payment_description", "date_created", "month_part", "year_part",
+                    "year_month_concat", "year_month_created", "year_month_inferred")
+
+
+@register("attribute_by_name")
+def _attribute_by_name(t: Tables) -> DataFrame:
+    return S.attribute_by_name(S.infer_year_month(S.spend_filter(B.purchase_orders(t))), B.influencers(t))
+
+
+@register("attribute_by_number")
+def _attribute_by_number(t: Tables) -> DataFrame:
+    by_name = S.attribute_by_name(S.infer_year_month(S.spend_filter(B.purchase_orders(t))), B.influencers(t))
+    return S.attribute_by_number(by_name.where(F.col("influencer_name").isNull()), B.influencers(t))
+
+
+@register("unique_finance_numbers")
+def _unique_finance_numbers(t: Tables) -> DataFrame:
+    return S.unique_finance_numbers(B.influencers(t))
+
+
+@register("wildcard_left_join")
+def _wildcard_left_join(t: Tables) -> DataFrame:
+    """Which benchmark passages occur, whole, inside which documents
+    (case folded); documents without any keep one row with NULL."""
+    from mktlens.operators.joins import wildcard_join
+    docs = t.documents.select("doc_id", "text")
+    bench = t.benchmark.select("item_id", F.col("text").alias("passage"))
+    return wildcard_join(docs, bench, "text", "passage", how="left").select("doc_id", "item_id")
