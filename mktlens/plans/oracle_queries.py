@@ -227,3 +227,49 @@ SQL["unique_finance_numbers"] = with_bindings(_SPEND_B, _SPEND_CTES, "SELECT * F
 SQL["wildcard_left_join"] = """
     SELECT d.doc_id, b.item_id FROM documents d
     LEFT JOIN benchmark b ON contains(lower(d.text), lower(b.text))"""
+
+
+# ---------------------------------------------------------------------------
+# Organic
+# ---------------------------------------------------------------------------
+from mktlens.plans import organic as O  # noqa: E402
+
+_M = f"regexp_extract_all(lower(caption), '{O.MENTION_PATTERN}')"
+_slots = ",\n".join(
+    f"CASE WHEN {_M}[{i}] NOT LIKE '{O.COMPANY_PREFIX}%' THEN regexp_replace({_M}[{i}], '@', '', 'g') END AS regex_string_{i}"
+    for i in range(1, O.MAX_MENTIONS + 1))
+_lookups = " ".join(f"LEFT JOIN social_handles s{i} ON s{i}.lookup_name = x.regex_string_{i}"
+                    for i in range(1, O.MAX_MENTIONS + 1))
+_lookup_cols = ", ".join(f"regex_string_{i}, s{i}.influencer_id AS influencer_id_{i}" for i in range(1, O.MAX_MENTIONS + 1))
+_unions = "\nUNION ALL\n".join(
+    f"SELECT content_id, provider_name, caption, published_at, influencer_id_{i} AS influencer_id "
+    f"FROM lookup_join WHERE influencer_id_{i} IS NOT NULL" for i in range(1, O.MAX_MENTIONS + 1))
+_ORGANIC_CTES = [
+    ("social_handles", """SELECT lower(s.social_handle) AS lookup_name, l.influencer_id
+                          FROM content_posted s LEFT JOIN influencer_database l USING (influencer_id2) GROUP BY 1, 2"""),
+    ("string_extracts", f"""SELECT content_id, provider_name, caption, published_at, {_slots}
+                            FROM organic_social_content
+                            WHERE "date" > DATE '{O.POSTED_AFTER}' AND contains(caption, '@') AND published_at IS NOT NULL
+                            GROUP BY 1, 2, 3, 4"""),
+    ("lookup_join", f"SELECT content_id, provider_name, caption, published_at, {_lookup_cols} FROM string_extracts x {_lookups}"),
+    ("union_ids", _unions),
+]
+_ORGANIC_B = ["organic_social_content", "content_posted", "influencer_database"]
+SQL["organic_post_attribution"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES, """
+    SELECT u.*, l.publisher_name, p.max_lifetime_engagement, p.max_lifetime_reach, p.max_lifetime_engagement_rate,
+           p.max_video_views_lifetime
+    FROM union_ids u
+    LEFT JOIN (SELECT publisher_name, influencer_id FROM influencer_database GROUP BY 1, 2) l USING (influencer_id)
+    LEFT JOIN (SELECT content_id, post_url, MAX(lifetime_engagement) AS max_lifetime_engagement,
+                      MAX(lifetime_reach) AS max_lifetime_reach, MAX(lifetime_engagement_rate) AS max_lifetime_engagement_rate,
+                      MAX(video_views_lifetime) AS max_video_views_lifetime
+               FROM organic_social_content WHERE content_id IN (SELECT content_id FROM union_ids GROUP BY 1)
+               GROUP BY 1, 2) p USING (content_id)""")
+SQL["handle_lookup"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES, "SELECT * FROM social_handles")
+SQL["extract_mentions"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES, "SELECT * FROM string_extracts")
+SQL["resolve_mentions"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES, "SELECT * FROM union_ids")
+SQL["multi_slot_lookup"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES,
+                                         "SELECT content_id, " + _lookup_cols.replace("s1.", "s1.") + " FROM string_extracts x " + _lookups)
+SQL["unpivot_slots"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES, "\nUNION ALL\n".join(
+    f"SELECT content_id, regex_string_{i} AS mention, {i} AS slot FROM string_extracts WHERE regex_string_{i} IS NOT NULL"
+    for i in range(1, O.MAX_MENTIONS + 1)))

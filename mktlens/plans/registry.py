@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mktlens.plans import halo as H
+from mktlens.plans import organic as O
 from mktlens.plans import spend as S
 from mktlens.plans import value as V
 from mktlens.sources import bindings as B
@@ -138,3 +139,38 @@ def _wildcard_left_join(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text")
     bench = t.benchmark.select("item_id", F.col("text").alias("passage"))
     return wildcard_join(docs, bench, "text", "passage", how="left").select("doc_id", "item_id")
+
+
+# --- organic ---------------------------------------------------------------
+register("organic_post_attribution")(O.organic_post_attribution)
+register("unpivot_slots")(O.unpivot_mention_slots)
+
+
+@register("handle_lookup")
+def _handle_lookup(t: Tables) -> DataFrame:
+    return O.handle_lookup(B.content_posted(t), B.influencers(t))
+
+
+@register("extract_mentions")
+def _extract_mentions(t: Tables) -> DataFrame:
+    return O.extract_mentions(B.organic_social_content(t))
+
+
+@register("resolve_mentions")
+def _resolve_mentions(t: Tables) -> DataFrame:
+    lookup = O.handle_lookup(B.content_posted(t), B.influencers(t))
+    return O.resolve_mentions(B.organic_social_content(t), lookup)
+
+
+@register("multi_slot_lookup")
+def _multi_slot_lookup(t: Tables) -> DataFrame:
+    """The seven per-slot lookups as one explode + one join, re-pivoted to
+    one influencer id column per slot."""
+    lookup = O.handle_lookup(B.content_posted(t), B.influencers(t))
+    e = O.extract_mentions(B.organic_social_content(t))
+    long = O.unpivot_slots(e, ["content_id"], O.SLOTS, "lookup_name", position="slot")
+    ids = long.join(lookup, "lookup_name", "inner")
+    wide = ids.groupBy("content_id").pivot("slot", list(range(1, O.MAX_MENTIONS + 1))).agg(F.max("influencer_id"))
+    out = e.select("content_id", *O.SLOTS).join(wide, "content_id", "left")
+    return out.select("content_id", *[c for i in range(1, O.MAX_MENTIONS + 1)
+                                      for c in (F.col(f"regex_string_{i}"), F.col(str(i)).alias(f"influencer_id_{i}"))])
