@@ -273,3 +273,53 @@ SQL["multi_slot_lookup"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES,
 SQL["unpivot_slots"] = with_bindings(_ORGANIC_B, _ORGANIC_CTES, "\nUNION ALL\n".join(
     f"SELECT content_id, regex_string_{i} AS mention, {i} AS slot FROM string_extracts WHERE regex_string_{i} IS NOT NULL"
     for i in range(1, O.MAX_MENTIONS + 1)))
+
+
+# ---------------------------------------------------------------------------
+# Paid
+# ---------------------------------------------------------------------------
+from mktlens.plans import paid as P  # noqa: E402
+
+_PAID_CTES = [
+    ("influencer_list", """
+        SELECT lower(influencer_name) AS name, influencer_id FROM influencer_database GROUP BY 1, 2
+        UNION ALL
+        SELECT lower(replace(influencer_name, ' ', '')) AS name, influencer_id FROM influencer_database GROUP BY 1, 2
+        UNION ALL
+        SELECT lower(s.social_handle) AS name, l.influencer_id
+        FROM content_posted s LEFT JOIN influencer_database l USING (influencer_id2) GROUP BY 1, 2"""),
+    ("psocial_campaign_names", f"""
+        SELECT lower(p.campaign) AS campaign, MAX(p."date") AS max_date, p.platform, p.account_name, p.campaign_id
+        FROM paid_social_campaigns p
+        WHERE p."date" BETWEEN DATE '{P.CAMPAIGNS_FROM}' AND DATE '{P.AS_OF}'
+        GROUP BY 1, 3, 4, 5"""),
+    ("lookup_joins", f"""
+        SELECT m.campaign, m.max_date, m.platform, m.campaign_id, l.influencer_id, i.influencer_name
+        FROM psocial_campaign_names m
+        JOIN (SELECT * FROM influencer_list WHERE length(name) > {P.MIN_NAME_LENGTH - 1} GROUP BY 1, 2) l
+          ON contains(lower(m.campaign), lower(l.name))
+        LEFT JOIN (SELECT influencer_name, influencer_id FROM influencer_database) i USING (influencer_id)
+        GROUP BY 1, 2, 3, 4, 5, 6"""),
+]
+_PAID_B = ["paid_social_campaigns", "content_posted", "influencer_database"]
+SQL["paid_ad_attribution"] = with_bindings(_PAID_B, _PAID_CTES, """
+    SELECT l.publisher_name, l.creator_number, m."date" AS cal_date,
+           COUNT(DISTINCT m.campaign) AS distinct_campaigns, COUNT(DISTINCT m.territory) AS distinct_territory,
+           COUNT(DISTINCT m.channel) AS distinct_paid_channels,
+           CAST(SUM(m.impressions) AS BIGINT) AS sum_impressions, CAST(SUM(m.spend) AS DECIMAL(38,2)) AS sum_spend,
+           CAST(SUM(m.clicks) AS BIGINT) AS sum_clicks,
+           CAST(round(SUM(m.ad_revenue)) AS DECIMAL(38,0)) AS sum_ad_revenue,
+           string_agg(m.campaign, '' ORDER BY m.campaign) AS agg_campaign
+    FROM paid_social_campaigns m
+    JOIN (SELECT DISTINCT lj.campaign, d.publisher_name, d.creator_number, lj.influencer_id
+          FROM lookup_joins lj LEFT JOIN influencer_database d USING (influencer_id)) l
+      ON l.campaign = lower(m.campaign)
+    GROUP BY 1, 2, 3
+    ORDER BY 1, 2, 3""")
+SQL["name_variants"] = with_bindings(_PAID_B, _PAID_CTES, "SELECT * FROM influencer_list")
+SQL["campaign_catalogue"] = with_bindings(_PAID_B, _PAID_CTES, "SELECT * FROM psocial_campaign_names")
+SQL["match_campaigns"] = with_bindings(_PAID_B, _PAID_CTES, "SELECT * FROM lookup_joins")
+SQL["wildcard_inner_join"] = with_bindings(_PAID_B, _PAID_CTES, f"""
+    SELECT t.campaign, l.name, l.influencer_id
+    FROM (SELECT DISTINCT lower(campaign) AS campaign FROM paid_social_campaigns) t
+    JOIN influencer_list l ON length(l.name) >= {P.MIN_NAME_LENGTH} AND contains(t.campaign, lower(l.name))""")

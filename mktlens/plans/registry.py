@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mktlens.plans import halo as H
 from mktlens.plans import organic as O
+from mktlens.plans import paid as P
 from mktlens.plans import spend as S
 from mktlens.plans import value as V
 from mktlens.sources import bindings as B
@@ -174,3 +175,34 @@ def _multi_slot_lookup(t: Tables) -> DataFrame:
     out = e.select("content_id", *O.SLOTS).join(wide, "content_id", "left")
     return out.select("content_id", *[c for i in range(1, O.MAX_MENTIONS + 1)
                                       for c in (F.col(f"regex_string_{i}"), F.col(str(i)).alias(f"influencer_id_{i}"))])
+
+
+# --- paid ------------------------------------------------------------------
+register("paid_ad_attribution")(P.paid_ad_attribution)
+
+
+@register("name_variants")
+def _name_variants(t: Tables) -> DataFrame:
+    return P.name_variants(B.influencers(t), B.content_posted(t))
+
+
+@register("campaign_catalogue")
+def _campaign_catalogue(t: Tables) -> DataFrame:
+    return P.campaign_catalogue(B.paid_social_campaigns(t))
+
+
+@register("match_campaigns")
+def _match_campaigns(t: Tables) -> DataFrame:
+    infl = B.influencers(t)
+    return P.match_campaigns(P.campaign_catalogue(B.paid_social_campaigns(t)),
+                             P.name_variants(infl, B.content_posted(t)), infl)
+
+
+@register("wildcard_inner_join")
+def _wildcard_inner_join(t: Tables) -> DataFrame:
+    """Distinct campaign titles x name variants of at least five characters
+    contained in them (inner)."""
+    from mktlens.operators.joins import wildcard_join
+    titles = B.paid_social_campaigns(t).select(F.lower("campaign").alias("campaign")).distinct()
+    names = P.name_variants(B.influencers(t), B.content_posted(t)).where(F.length("name") >= P.MIN_NAME_LENGTH)
+    return wildcard_join(titles, names, "campaign", "name", how="inner").select("campaign", "name", "influencer_id")
