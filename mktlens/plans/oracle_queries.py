@@ -323,3 +323,189 @@ SQL["wildcard_inner_join"] = with_bindings(_PAID_B, _PAID_CTES, f"""
     SELECT t.campaign, l.name, l.influencer_id
     FROM (SELECT DISTINCT lower(campaign) AS campaign FROM paid_social_campaigns) t
     JOIN influencer_list l ON length(l.name) >= {P.MIN_NAME_LENGTH} AND contains(t.campaign, lower(l.name))""")
+
+
+# ---------------------------------------------------------------------------
+# Journey
+# ---------------------------------------------------------------------------
+from mktlens.plans import journey as J  # noqa: E402
+
+_W = "OVER (PARTITION BY s.customer_id ORDER BY s.customer_id, s.order_sequence)"
+_LOCAL = "CASE WHEN s.order_date > s.order_date_nam THEN s.order_date_nam ELSE s.order_date END"
+_seqs = ", ".join(str(x) for x in J.DUPLICATE_SEQUENCES)
+_JOURNEY_CTES = [
+    ("customer_order_history", f"""
+        SELECT s.customer_id, s.order_sequence, s.order_date, s.order_date_nam, s.wix_order_stamp, s.wix_order_name,
+               s.wix_order_id, s.item_quantity, s.order_gross_total_gbp, s.shipping_country,
+               q.acquisition_date, c.region, c.global_group,
+               {_LOCAL} AS order_date_local,
+               CASE WHEN s.order_sequence > 1 THEN LAG(s.order_date, 1) {_W} END AS prior_order_date,
+               CASE WHEN s.order_sequence > 1 THEN LAG(s.wix_order_stamp, 1) {_W} END AS prior_order_date_timestamp,
+               CASE WHEN s.order_sequence > 1 THEN 'FY' || CAST(year(s.order_date)
+                    + CASE WHEN month(s.order_date) >= 4 THEN 1 ELSE 0 END AS VARCHAR) END AS repeat_order_fy,
+               date_diff('day', LAG({_LOCAL}, 1) {_W}, {_LOCAL}) AS days_btwn_orders
+        FROM journey_orders s
+        LEFT JOIN regional_index c ON upper(s.shipping_country) = c.shipping_country
+        LEFT JOIN (SELECT customer_id, MIN(order_date) AS acquisition_date FROM journey_orders GROUP BY 1) q
+               ON q.customer_id = s.customer_id
+        WHERE q.acquisition_date BETWEEN DATE '{J.ACQUIRED_FROM}' AND DATE '{J.AS_OF}'"""),
+    ("customer_order_dupes", f"""
+        SELECT customer_id, wix_order_name, COUNT(DISTINCT order_sequence) AS n FROM customer_order_history
+        WHERE order_sequence IN ({_seqs}) GROUP BY 1, 2 HAVING COUNT(DISTINCT order_sequence) > 1"""),
+    ("base_numbered", """
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY wix_order_stamp, order_sequence) AS order_sequence_new
+        FROM customer_order_history
+        WHERE wix_order_name NOT IN (SELECT wix_order_name FROM customer_order_dupes) AND wix_order_stamp IS NOT NULL"""),
+    ("base_table", "SELECT *, order_sequence - order_sequence_new AS diff_seq FROM base_numbered"),
+    ("returns_data", """
+        SELECT wix_order_id, SUM(quantity_returned) AS items_returned, MAX(left(refund_date, 10)) AS refund_date
+        FROM refunded_items WHERE wix_order_id IN (SELECT wix_order_name FROM base_table) GROUP BY 1"""),
+    ("customer_review", "SELECT customer_id, submitted_at, rating FROM customer_ratings GROUP BY 1, 2, 3"),
+    ("opt_in_flag", """
+        SELECT cm.customer_id, z.previous_opt_in, z.new_opt_in, z.updated_on AS change_date, COUNT(*) AS count
+        FROM opt_in_log z LEFT JOIN customer_details cm USING (email_address)
+        WHERE new_opt_in IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING COUNT(*) = 1"""),
+    ("account_created", """
+        SELECT c.customer_id, a.updated_at, CASE WHEN a.new_account_state = 'activated' THEN 'Y' ELSE 'N' END AS account_status
+        FROM account_status_log a LEFT JOIN customer_details c USING (email)
+        WHERE customer_id IN (SELECT customer_id FROM base_table) GROUP BY 1, 2, 3"""),
+    ("ecom_download_view", "SELECT customer_id, MIN(session_date) AS download_date FROM ecom_app_visits GROUP BY 1"),
+    ("train_download_view", "SELECT customer_id, MIN(session_date) AS download_date FROM train_app_visits GROUP BY 1"),
+    ("wix_dupes", """
+        SELECT customer_id, wix_order_name, COUNT(wix_order_name) AS n FROM sessions_master
+        WHERE wix_order_name IS NOT NULL GROUP BY 1, 2 HAVING COUNT(wix_order_name) > 1"""),
+    ("website_visit_data", "SELECT * FROM sessions_master WHERE customer_id NOT IN (SELECT customer_id FROM wix_dupes)"),
+    ("conversion_session_data", "SELECT * FROM website_visit_data WHERE wix_order_name IN (SELECT wix_order_name FROM base_table)"),
+    ("website_distinct_data", """
+        SELECT customer_id, visit_date AS first_visit_date, visit_start_time AS first_visit_timestamp
+        FROM website_visit_data WHERE web_visit_number = 1 GROUP BY 1, 2, 3"""),
+    ("wishlist_view", """
+        SELECT s.customer_id, s.wix_order_name, s.visit_start_time, w.dates, w.visitor_id, w.visitid,
+               COUNT(DISTINCT w.productsku) AS num_prod_added
+        FROM wishlist_logging w
+        LEFT JOIN sessions_master s ON s.visitor_id = w.visitor_id AND s.visit_id = w.visitid AND s.visit_date = w.dates
+        GROUP BY 1, 2, 3, 4, 5, 6"""),
+    ("added_to_cart", """
+        SELECT s.customer_id, s.visit_date, s.wix_order_name, pv.visit_key, pv.visit_start_time, COUNT(*) AS total_cart_adds
+        FROM product_interactions pv LEFT JOIN sessions_master s USING (visit_key, visit_start_time)
+        WHERE event_action = 'Added_To_Cart' AND customer_id IN (SELECT customer_id FROM base_table)
+        GROUP BY 1, 2, 3, 4, 5"""),
+    ("blog_visit_flag", f"""
+        SELECT customer_id, wix_order_name, visit_date, visit_start_time, COUNT(DISTINCT customer_id) AS blog_visit_flag
+        FROM sessions_master
+        WHERE array_to_string(all_subdomains, ' , ') LIKE '{J.BLOG_PATTERN}' AND customer_id IN (SELECT customer_id FROM base_table)
+        GROUP BY 1, 2, 3, 4"""),
+    ("b", """
+        SELECT bt.*, w2.first_visit_date, w2.first_visit_timestamp,
+               CASE WHEN bt.order_sequence_new = 1 AND w2.first_visit_timestamp <= bt.wix_order_stamp
+                    THEN w2.first_visit_timestamp ELSE bt.prior_order_date_timestamp END AS lo
+        FROM base_table bt LEFT JOIN website_distinct_data w2 ON bt.customer_id = w2.customer_id"""),
+]
+_JOURNEY_B = ["journey_orders", "regional_index", "refunded_items", "customer_ratings", "customer_details",
+              "opt_in_log", "account_status_log", "ecom_app_visits", "train_app_visits", "sessions_master",
+              "wishlist_logging", "product_interactions", "session_bounces"]
+# (alias, relation, time column) of the nine interval features
+_IV = [("bvf", "blog_visit_flag", "visit_start_time"), ("r", "customer_review", "submitted_at"),
+       ("ea", "ecom_download_view", "download_date"), ("ta", "train_download_view", "download_date"),
+       ("wv", "wishlist_view", "visit_start_time"), ("atc", "added_to_cart", "visit_start_time"),
+       ("bs", "session_bounces", "visit_start_time"), ("opt", "opt_in_flag", "change_date"),
+       ("ac", "account_created", "updated_at")]
+_EQUI_COLS = """b.customer_id, b.order_sequence_new, b.wix_order_stamp, b.wix_order_name, b.first_visit_date,
+       b.first_visit_timestamp, b.lo AS prior_order_or_first_visit_timestamp, r2.items_returned,
+       CASE WHEN r2.items_returned = b.item_quantity THEN 'FULL' WHEN r2.items_returned < b.item_quantity THEN 'PART'
+            ELSE NULL END AS full_or_part_return,
+       cm.customer_gender, w.channel_grouping AS conversion_channel"""
+_EQUI_JOINS = """
+    LEFT JOIN returns_data r2 ON b.wix_order_name = r2.wix_order_id
+    LEFT JOIN conversion_session_data w ON b.customer_id = w.customer_id AND w.wix_order_name = b.wix_order_name
+    LEFT JOIN customer_details cm ON b.customer_id = cm.customer_id"""
+_iv_joins = "\n".join(f"LEFT JOIN {rel} {a} ON {a}.customer_id = b.customer_id AND {a}.{tc} BETWEEN b.lo AND b.wix_order_stamp"
+                      for a, rel, tc in _IV)
+SQL["interactions_between_orders_literal"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, f"""
+    SELECT {_EQUI_COLS},
+           CASE WHEN bvf.visit_start_time BETWEEN b.lo AND b.wix_order_stamp THEN 'Y' ELSE 'N' END AS blog_visit_flag,
+           CAST(SUM(CASE WHEN r.submitted_at IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS total_reviews,
+           round(avg(r.rating), 1) AS avg_rating,
+           CASE WHEN ea.customer_id IS NOT NULL THEN 'Y' ELSE 'N' END AS ecom_app_download,
+           CASE WHEN ta.customer_id IS NOT NULL THEN 'Y' ELSE 'N' END AS train_app_download,
+           CASE WHEN wv.visit_start_time BETWEEN b.lo AND b.wix_order_stamp THEN 'Y' ELSE 'N' END AS wishlist_add,
+           COUNT(wv.num_prod_added) AS count_wishlist_add,
+           CAST(SUM(COALESCE(wv.num_prod_added, 0)) AS BIGINT) AS wishlist_num_prod_added,
+           CAST(COALESCE(SUM(atc.total_cart_adds), 0) AS BIGINT) AS total_add_to_carts,
+           CAST(COALESCE(SUM(bs.bounces), 0) AS BIGINT) AS total_bounced_sessions,
+           COUNT(CASE WHEN bs.customer_id IS NOT NULL AND bs.visit_start_time IS NOT NULL AND bs.bounces IS NOT NULL
+                      THEN 1 END) AS total_sessions,
+           total_bounced_sessions / NULLIF(total_sessions, 0) * 100 AS bounce_rate,
+           MAX(opt.change_date) AS max_date, MAX(opt.new_opt_in) AS latest_opt_status,
+           MAX(ac.updated_at) AS updated_at, MAX(COALESCE(ac.account_status, 'N')) AS account_status,
+           cm.mail_control
+    FROM b
+    LEFT JOIN (SELECT customer_id, web_visit_number, visit_date FROM website_visit_data g WHERE web_visit_number = 1) g1
+           ON g1.customer_id = b.customer_id
+    {_EQUI_JOINS}
+    {_iv_joins}
+    GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 15, 16, 17, 28""")
+
+
+def _per_feature(a: str, rel: str, tc: str, aggs: str) -> str:
+    return (f"SELECT b.customer_id, b.order_sequence_new, {aggs} FROM b JOIN {rel} {a} "
+            f"ON {a}.customer_id = b.customer_id AND {a}.{tc} BETWEEN b.lo AND b.wix_order_stamp GROUP BY 1, 2")
+
+
+_FEAT_AGGS = {
+    "bvf": "COUNT(*) AS n",
+    "r": "COUNT(*) AS n, round(avg(r.rating), 1) AS avg_rating",
+    "ea": "COUNT(*) AS n", "ta": "COUNT(*) AS n",
+    "wv": "COUNT(wv.num_prod_added) AS cnt, SUM(COALESCE(wv.num_prod_added, 0)) AS s",
+    "atc": "SUM(atc.total_cart_adds) AS s",
+    "bs": "SUM(bs.bounces) AS s, COUNT(CASE WHEN bs.customer_id IS NOT NULL AND bs.visit_start_time IS NOT NULL "
+          "AND bs.bounces IS NOT NULL THEN 1 END) AS n",
+    "opt": "MAX(opt.change_date) AS max_date, MAX(opt.new_opt_in) AS latest_opt_status",
+    "ac": "MAX(ac.updated_at) AS updated_at, MAX(COALESCE(ac.account_status, 'N')) AS account_status",
+}
+_feat_ctes = [(f"f_{a}", _per_feature(a, rel, tc, _FEAT_AGGS[a])) for a, rel, tc in _IV]
+_feat_joins = "\n".join(f"LEFT JOIN f_{a} ON f_{a}.customer_id = b.customer_id AND f_{a}.order_sequence_new = b.order_sequence_new"
+                        for a, _, _ in _IV)
+SQL["interactions_between_orders"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES + _feat_ctes, f"""
+    SELECT {_EQUI_COLS},
+           CASE WHEN f_bvf.n > 0 THEN 'Y' ELSE 'N' END AS blog_visit_flag,
+           CAST(COALESCE(f_r.n, 0) AS BIGINT) AS total_reviews, f_r.avg_rating,
+           CASE WHEN f_ea.n > 0 THEN 'Y' ELSE 'N' END AS ecom_app_download,
+           CASE WHEN f_ta.n > 0 THEN 'Y' ELSE 'N' END AS train_app_download,
+           CASE WHEN f_wv.cnt IS NOT NULL THEN 'Y' ELSE 'N' END AS wishlist_add,
+           CAST(COALESCE(f_wv.cnt, 0) AS BIGINT) AS count_wishlist_add,
+           CAST(COALESCE(f_wv.s, 0) AS BIGINT) AS wishlist_num_prod_added,
+           CAST(COALESCE(f_atc.s, 0) AS BIGINT) AS total_add_to_carts,
+           CAST(COALESCE(f_bs.s, 0) AS BIGINT) AS total_bounced_sessions,
+           CAST(COALESCE(f_bs.n, 0) AS BIGINT) AS total_sessions,
+           total_bounced_sessions / NULLIF(total_sessions, 0) * 100 AS bounce_rate,
+           f_opt.max_date, f_opt.latest_opt_status, f_ac.updated_at, COALESCE(f_ac.account_status, 'N') AS account_status,
+           cm.mail_control
+    FROM b
+    {_EQUI_JOINS}
+    {_feat_joins}""")
+SQL["order_history"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM customer_order_history")
+SQL["clean_order_sequence"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, """
+    SELECT customer_id, order_sequence, order_sequence_new, diff_seq, wix_order_name, wix_order_stamp FROM base_table""")
+SQL["clean_sessions"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * EXCLUDE (all_subdomains) FROM website_visit_data")
+SQL["conversion_session"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, """
+    SELECT customer_id, wix_order_name, visit_key, channel_grouping FROM conversion_session_data""")
+SQL["first_visit"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM website_distinct_data")
+SQL["lookback_start"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, """
+    SELECT customer_id, order_sequence_new, wix_order_stamp, lo AS prior_order_or_first_visit_timestamp FROM b""")
+SQL["order_returns"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM returns_data")
+SQL["opt_in_changes"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM opt_in_flag")
+SQL["account_status"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM account_created")
+SQL["app_download"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM ecom_download_view")
+SQL["wishlist_sessions"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM wishlist_view")
+SQL["cart_adds"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM added_to_cart")
+SQL["content_visits"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, "SELECT * FROM blog_visit_flag")
+SQL["review_features"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES + _feat_ctes, """
+    SELECT customer_id, order_sequence_new, n AS total_reviews, avg_rating FROM f_r""")
+SQL["bounce_rate"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES + _feat_ctes, """
+    SELECT customer_id, order_sequence_new, CAST(COALESCE(s, 0) AS BIGINT) AS total_bounced_sessions,
+           n AS total_sessions, COALESCE(s, 0) / NULLIF(n, 0) * 100 AS bounce_rate FROM f_bs""")
+SQL["interval_join"] = with_bindings(_JOURNEY_B, _JOURNEY_CTES, """
+    SELECT b.customer_id, b.order_sequence_new, bvf.visit_start_time
+    FROM b LEFT JOIN blog_visit_flag bvf
+      ON bvf.customer_id = b.customer_id AND bvf.visit_start_time BETWEEN b.lo AND b.wix_order_stamp""")

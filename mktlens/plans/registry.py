@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mktlens.plans import halo as H
+from mktlens.plans import journey as J
 from mktlens.plans import organic as O
 from mktlens.plans import paid as P
 from mktlens.plans import spend as S
@@ -206,3 +207,112 @@ def _wildcard_inner_join(t: Tables) -> DataFrame:
     titles = B.paid_social_campaigns(t).select(F.lower("campaign").alias("campaign")).distinct()
     names = P.name_variants(B.influencers(t), B.content_posted(t)).where(F.length("name") >= P.MIN_NAME_LENGTH)
     return wildcard_join(titles, names, "campaign", "name", how="inner").select("campaign", "name", "influencer_id")
+
+
+# --- journey ---------------------------------------------------------------
+register("interactions_between_orders")(J.interactions_between_orders)
+register("interactions_between_orders_literal")(J.interactions_between_orders_literal)
+
+
+@register("order_history")
+def _order_history(t: Tables) -> DataFrame:
+    return J.order_history(B.journey_orders(t), B.regional_index(t))
+
+
+@register("clean_order_sequence")
+def _clean_order_sequence(t: Tables) -> DataFrame:
+    return J.base_orders(t).select("customer_id", "order_sequence", "order_sequence_new", "diff_seq",
+                                   "wix_order_name", "wix_order_stamp")
+
+
+@register("clean_sessions")
+def _clean_sessions(t: Tables) -> DataFrame:
+    return J.clean_sessions(B.sessions_master(t)).drop("all_subdomains")
+
+
+@register("conversion_session")
+def _conversion_session(t: Tables) -> DataFrame:
+    v = J.conversion_sessions(J.clean_sessions(B.sessions_master(t)), J.base_orders(t))
+    return v.select("customer_id", "wix_order_name", "visit_key", "channel_grouping")
+
+
+@register("first_visit")
+def _first_visit(t: Tables) -> DataFrame:
+    return J.first_visit(J.clean_sessions(B.sessions_master(t)))
+
+
+@register("lookback_start")
+def _lookback_start(t: Tables) -> DataFrame:
+    b = J.lookback_start(J.base_orders(t), J.first_visit(J.clean_sessions(B.sessions_master(t))))
+    return b.select("customer_id", "order_sequence_new", "wix_order_stamp", "prior_order_or_first_visit_timestamp")
+
+
+@register("order_returns")
+def _order_returns(t: Tables) -> DataFrame:
+    return J.order_returns(B.refunded_items(t), J.base_orders(t))
+
+
+@register("opt_in_changes")
+def _opt_in_changes(t: Tables) -> DataFrame:
+    return J.opt_in_changes(B.opt_in_log(t), B.customer_details(t))
+
+
+@register("account_status")
+def _account_status(t: Tables) -> DataFrame:
+    return J.account_status(B.account_status_log(t), B.customer_details(t), J.base_orders(t))
+
+
+@register("app_download")
+def _app_download(t: Tables) -> DataFrame:
+    return J.app_download(B.app_visits(t, "ecom"))
+
+
+@register("wishlist_sessions")
+def _wishlist_sessions(t: Tables) -> DataFrame:
+    return J.wishlist_sessions(B.wishlist_logging(t), B.sessions_master(t))
+
+
+@register("cart_adds")
+def _cart_adds(t: Tables) -> DataFrame:
+    return J.cart_adds(B.product_interactions(t), B.sessions_master(t), J.base_orders(t))
+
+
+@register("content_visits")
+def _content_visits(t: Tables) -> DataFrame:
+    return J.content_visits(B.sessions_master(t), J.base_orders(t))
+
+
+def _journey_features(t: Tables) -> DataFrame:
+    _, _, _, feats = J._prepared(t, J.BUCKET_SECONDS)
+    return feats
+
+
+@register("review_features")
+def _review_features(t: Tables) -> DataFrame:
+    f = _journey_features(t).where(F.col("n_review") > 0)
+    return f.select(*J.ORDER_KEY, F.col("n_review").alias("total_reviews"),
+                    F.round(F.col("sum_rating") / F.col("cnt_rating"), 1).alias("avg_rating"))
+
+
+@register("bounce_rate")
+def _bounce_rate(t: Tables) -> DataFrame:
+    from mktlens.functions.scalars import ratio
+    f = _journey_features(t).where(F.col("n_bounce") > 0)
+    bounced = F.coalesce(F.col("sum_bounce"), F.lit(0.0)).cast("bigint")
+    return f.select(*J.ORDER_KEY, bounced.alias("total_bounced_sessions"),
+                    F.col("full_bounce").alias("total_sessions"),
+                    (ratio(bounced, F.col("full_bounce")) * 100).alias("bounce_rate"))
+
+
+@register("interval_join")
+def _interval_join(t: Tables) -> DataFrame:
+    """Orders' lookback windows left-joined with the content visits inside
+    them (time-bucketed interval join), one row per pair."""
+    from mktlens.operators.joins import interval_join
+    base = J.base_orders(t)
+    w = J.lookback_start(base, J.first_visit(J.clean_sessions(B.sessions_master(t))))
+    w = w.select("customer_id", "order_sequence_new", F.col("prior_order_or_first_visit_timestamp").alias("lo"),
+                 F.col("wix_order_stamp").alias("hi"))
+    blog = J.content_visits(B.sessions_master(t), base).select("customer_id", "visit_start_time")
+    return interval_join(w, blog, "customer_id", "lo", "hi", "visit_start_time", how="left",
+                         bucket_seconds=J.BUCKET_SECONDS).select("customer_id", "order_sequence_new", "visit_start_time")
