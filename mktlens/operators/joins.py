@@ -79,12 +79,23 @@ def _metachar(c: Column) -> Column:
     return c.contains("_") | c.contains("%")
 
 
+def _like_pattern(n: Column) -> Column:
+    """``'%' || n || '%'`` with backslashes doubled: the warehouse's LIKE has
+    no escape character, Spark's defaults to backslash."""
+    return F.concat(F.lit("%"), F.replace(n, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+
+
 def _match(t: Column, n: Column, wildcards: bool) -> Column:
     if wildcards:
-        return t.like(F.concat(F.lit("%"), n, F.lit("%")))
+        return F.like(t, _like_pattern(n))
     return t.contains(n)
 
 
+def _gram_at(text_col: str, g: int):
+    """``i -> substring(text, i, g)`` (a one-argument lambda for transform)."""
+    return lambda i: F.substring(F.col(text_col), i, g)
+
+
 INLINE_NAMES = 512       # names embedded in the plan as a literal array
 PROBE_GRAMS = 4096       # distinct blocking grams probed per text with contains
 BROADCAST_NAMES = 200_000  # name rows broadcast to the gram join
@@ -147,14 +158,14 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
         present = F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.col(tl).contains(g))
         text_grams = texts.select(rid, F.explode(present).alias("__gram"))
     else:
-        lengths = sorted({len(g) for g in grams} | {q})
+        # gram lengths in use: at most q + 1 small integers
+        lengths = sorted(r[0] for r in names.select(F.length("__gram")).distinct().collect())
         per_len = []
         for g in lengths:
             if g == 0:
                 per_len.append(F.array(F.lit("")))
             else:
-                arr = F.transform(F.sequence(F.lit(1), F.length(tl) - g + 1),
-                                  lambda i, g=g: F.substring(F.col(tl), i, g))
+                arr = F.transform(F.sequence(F.lit(1), F.length(tl) - g + 1), _gram_at(tl, g))
                 per_len.append(F.when(F.length(tl) >= g, arr).otherwise(F.array().cast("array<string>")))
         text_grams = texts.select(rid, F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
     side = F.broadcast(names) if n_names <= broadcast_limit else names
@@ -170,7 +181,7 @@ def wildcard_join_nested(left: DataFrame, right: DataFrame, text: str, name: str
     """The same join as a nested loop - the brute-force form used by tests
     to check ``wildcard_join``; not for large inputs."""
     t, n = F.lower(left[text]), F.lower(right[name])
-    cond = t.like(F.concat(F.lit("%"), n, F.lit("%"))) if wildcards else t.contains(n)
+    cond = _match(t, n, wildcards)
     return left.join(right, cond, how)
 
 
