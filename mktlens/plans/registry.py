@@ -316,3 +316,10 @@ def _interval_join(t: Tables) -> DataFrame:
     blog = J.content_visits(B.sessions_master(t), base).select("customer_id", "visit_start_time")
     return interval_join(w, blog, "customer_id", "lo", "hi", "visit_start_time", how="left",
                          bucket_seconds=J.BUCKET_SECONDS).select("customer_id", "order_sequence_new", "visit_start_time")
+
+
+# --- operator-level catalog ----------------------------------------------------
+from mktlens.plans.catalog import CATALOG  # noqa: E402
+
+for _key, _fn in CATALOG.items():
+    register(_key)(_fn)
