@@ -21,7 +21,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_RID = "__rid"
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -34,7 +33,8 @@ def _epoch_seconds(c: Column) -> Column:
 
 def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                   lo: str, hi: str, t: str, how: str = "left",
-                  bucket_seconds: int | None = None, left_id: str | None = None) -> DataFrame:
+                  bucket_seconds: int | None = None,
+                  left_id: str | Sequence[str] | None = None) -> DataFrame:
     """Join ``right`` rows whose ``t`` lies in ``[left.lo, left.hi]`` for the
     same ``keys``.  Key columns come out once (USING form).  NULL bounds match
     nothing, as ``between`` does.
@@ -44,6 +44,9 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     equi join then runs on ``keys + bucket``.  Every pair is produced once
     (a right row has one bucket).  Work is linear in
     ``sum(interval length) / bucket + rows`` instead of quadratic per key.
+    For a left join, ``left_id`` (columns unique in ``left``) lets the
+    matches be joined back by key; without it unmatched rows are found by a
+    null-safe anti join on all left columns.
     """
     keys = _keys(keys)
     if how not in ("left", "inner"):
@@ -60,19 +63,35 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     b = bucket_seconds
     lo_b = F.floor(_epoch_seconds(F.col(lo)) / b)
     hi_b = F.floor(_epoch_seconds(F.col(hi)) / b)
-    rid = left_id or _RID
-    lft = left if left_id else left.withColumn(_RID, F.monotonically_increasing_id())
-    spans = lft.select(*keys, rid, lo, hi).withColumn(
+    right_cols = [c for c in right.columns if c not in keys]
+    if how == "left" and left_id:
+        ids = [left_id] if isinstance(left_id, str) else list(left_id)
+        carried = list(dict.fromkeys([*keys, *ids, lo, hi]))
+    else:
+        carried = left.columns
+    spans = left.select(*carried).withColumn(
         "__b", F.explode(F.when(lo_b <= hi_b, F.sequence(lo_b, hi_b))))
     rgt = right.withColumn("__b", F.floor(_epoch_seconds(F.col(t)) / b))
-    right_cols = [c for c in right.columns if c not in keys]
-    matches = (spans.join(rgt, keys + ["__b"], "inner")
-               .where(in_range)
-               .select(rid, *right_cols))
-    out = lft.join(matches, rid, how)
-    if not left_id:
-        out = out.drop(_RID)
-    return out.select(*keys, *[c for c in left.columns if c not in keys], *right_cols)
+    # a right row has one bucket, so every (left, right) pair meets once
+    matches = spans.join(rgt, keys + ["__b"], "inner").where(in_range).drop("__b")
+    cols = [*keys, *[c for c in left.columns if c not in keys], *right_cols]
+    if how == "inner":
+        return matches.select(*cols)
+    if left_id:
+        # left join back on the caller's unique key: no generated ids, so a
+        # recomputed task attaches matches to the same rows
+        side = matches.select(*[F.col(c).alias(f"__i_{c}") for c in ids], *right_cols)
+        cond = [F.col(c).eqNullSafe(F.col(f"__i_{c}")) for c in ids]
+        return left.join(side, cond, "left").drop(*[f"__i_{c}" for c in ids]).select(*cols)
+    # no key: matched rows, plus left rows none of whose copies matched
+    # (identical rows share their matches, so a null-safe anti join on all
+    # left columns is exact under bag semantics)
+    matched = matches.select(*[F.col(c).alias(f"__m_{c}") for c in left.columns]).distinct()
+    cond = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in left.columns]
+    unmatched = left.join(matched, cond, "left_anti")
+    for c in right_cols:
+        unmatched = unmatched.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
+    return matches.select(*cols).unionByName(unmatched.select(*cols))
 
 
 def _metachar(c: Column) -> Column:
@@ -103,7 +122,7 @@ BROADCAST_NAMES = 200_000  # name rows broadcast to the gram join
 
 def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
                   how: str = "left", q: int = 4, wildcards: bool = False,
-                  left_id: str | None = None, inline_limit: int = INLINE_NAMES,
+                  inline_limit: int = INLINE_NAMES,
                   probe_limit: int = PROBE_GRAMS, broadcast_limit: int = BROADCAST_NAMES) -> DataFrame:
     """``left join right on lower(left.text) like '%' || lower(right.name) || '%'``.
 
@@ -142,8 +161,6 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
         out = lt.select("*", gen(hits).alias("__hit"))
         return out.select(*[c for c in left.columns], *[F.col("__hit")[f.name].alias(f.name) for f in fields])
 
-    rid = left_id or _RID
-    lft = left if left_id else left.withColumn(_RID, F.monotonically_increasing_id())
     n = F.lower(F.col(name))
     if wildcards:
         runs = F.split(n, "[_%]")
@@ -153,10 +170,14 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
         seed = n
     names = names_all.withColumn("__gram", F.substring(seed, 1, q))
     grams = [r[0] for r in names.select("__gram").distinct().limit(probe_limit + 1).collect()]
-    texts = lft.where(F.col(text).isNotNull()).select(rid, F.lower(F.col(text)).alias(tl))
+    # Work on the distinct texts, keyed by the text itself (and a 64-bit hash
+    # of it for the gram rows): no generated row ids, so recomputation is
+    # consistent, and repeated texts are matched once.
+    texts = (left.select(F.col(text).alias("__txt")).where(F.col("__txt").isNotNull()).distinct()
+             .withColumn("__h", F.xxhash64("__txt")).withColumn(tl, F.lower(F.col("__txt"))))
     if len(grams) <= probe_limit:
         present = F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.col(tl).contains(g))
-        text_grams = texts.select(rid, F.explode(present).alias("__gram"))
+        text_grams = texts.select("__h", F.explode(present).alias("__gram"))
     else:
         # gram lengths in use: at most q + 1 small integers
         lengths = sorted(r[0] for r in names.select(F.length("__gram")).distinct().collect())
@@ -167,13 +188,14 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
             else:
                 arr = F.transform(F.sequence(F.lit(1), F.length(tl) - g + 1), _gram_at(tl, g))
                 per_len.append(F.when(F.length(tl) >= g, arr).otherwise(F.array().cast("array<string>")))
-        text_grams = texts.select(rid, F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
+        text_grams = texts.select("__h", F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
     side = F.broadcast(names) if n_names <= broadcast_limit else names
-    candidates = text_grams.join(side, "__gram", "inner").drop("__gram")
-    verified = (candidates.join(texts, rid, "inner")
-                .where(_match(F.col(tl), F.lower(F.col(name)), wildcards)).drop(tl))
-    out = lft.join(verified, rid, how)
-    return out.drop(_RID) if not left_id else out
+    candidates = text_grams.distinct().join(side, "__gram", "inner").drop("__gram")
+    verified = (candidates.join(texts, "__h", "inner")
+                .where(_match(F.col(tl), F.lower(F.col(name)), wildcards))
+                .drop("__h", tl))
+    out = left.join(verified, F.col(text) == F.col("__txt"), how).drop("__txt")
+    return out
 
 
 def wildcard_join_nested(left: DataFrame, right: DataFrame, text: str, name: str,

@@ -28,3 +28,88 @@ def lag_when(value: str, cond: Column, partition: Sequence[str],
     """``case when cond then lag(value) over w end``."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return F.when(cond, F.lag(F.col(value), 1).over(w))
+
+
+# ---------------------------------------------------------------------------
+# Sequence operators that survive a hot key.
+#
+# A window partitioned by customer sends all of one customer's rows to one
+# task; if one customer holds a third of the data, that task sorts a third of
+# the data.  The operators below give the same results without a per-key
+# partition:
+#
+# * ``row_number_by``: number rows within (key, ordered bucket) and add the
+#   count of the key's rows in earlier buckets (one row per key and bucket).
+# * ``lag_by_sequence``: the previous row by sequence number is an equi join
+#   on (key, seq - 1), unique keys on both sides.
+# * ``min_by_key``: an aggregate (partial aggregation map-side) joined back;
+#   AQE's skew join splits the hot key's rows on the large side.
+# ---------------------------------------------------------------------------
+SKEW_SAFE = True   # lag / min variants; row_number_by is skew safe when given a bucket
+
+
+def _join_back(df: DataFrame, side: DataFrame, keys: Sequence[str], side_keys: Sequence[str],
+               how: str, extra_cond=None) -> DataFrame:
+    """Join ``side`` (whose columns all have unique ``__`` names) to ``df``
+    on null-safe key equality, by column name only (no self-join ambiguity)."""
+    cond = [F.col(k).eqNullSafe(F.col(sk)) for k, sk in zip(keys, side_keys)]
+    if extra_cond is not None:
+        cond.append(extra_cond)
+    j = df.join(side, cond, how)
+    return j.drop(*side_keys)
+
+
+def row_number_by(df: DataFrame, partition: Sequence[str], order: Sequence[str], out: str,
+                  bucket: Column | None = None) -> DataFrame:
+    """Add ``out = row_number() over (partition by .. order by ..)``.  Order
+    columns are ascending (NULLs first, Spark's default) and end with a
+    unique tie-breaker.
+
+    ``bucket`` splits a key's rows into ordered slices: it must be a function
+    of the row that never decreases along ``order`` (e.g. the day or hour of
+    the leading timestamp; NULL sorts first as it does in ``order``).  Rows
+    are numbered within (key, bucket) and shifted by the number of the key's
+    rows in earlier buckets (a small table: one row per key and bucket), so a
+    key with a third of all rows is spread over its buckets.  Everything is a
+    pure function of the rows, so a recomputed task gives the same numbers.
+    Without ``bucket`` this is the plain window (one key, one task)."""
+    if bucket is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    b = df.withColumn("__b", bucket)
+    local = b.withColumn("__lrn", F.row_number().over(Window.partitionBy(*partition, "__b").orderBy(*order)))
+    before = Window.partitionBy(*partition).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    side_keys = [f"__k_{c}" for c in partition]
+    offsets = (b.groupBy(*partition, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+               .select(*[F.col(c).alias(k) for c, k in zip(partition, side_keys)],
+                       F.col("__b").alias("__k_b"),
+                       F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off")))
+    j = _join_back(local, offsets, partition, side_keys, "inner", F.col("__b").eqNullSafe(F.col("__k_b")))
+    return j.select(*df.columns, (F.col("__off") + F.col("__lrn")).cast("int").alias(out))
+
+
+def lag_by_sequence(df: DataFrame, partition: Sequence[str], seq: str, cols: dict[str, str],
+                    skew_safe: bool | None = None) -> DataFrame:
+    """Add ``alias = lag(col) over (partition by .. order by seq)`` for each
+    ``alias: col`` of ``cols``; ``seq`` must be unique within a partition."""
+    if not (SKEW_SAFE if skew_safe is None else skew_safe):
+        w = Window.partitionBy(*partition).orderBy(seq)
+        for alias, c in cols.items():
+            df = df.withColumn(alias, F.lag(c).over(w))
+        return df
+    side_keys = [f"__k_{c}" for c in partition]
+    prev = df.select(*[F.col(c).alias(k) for c, k in zip(partition, side_keys)],
+                     (F.col(seq) + 1).alias("__k_seq"),
+                     *[F.col(c).alias(alias) for alias, c in cols.items()])
+    j = _join_back(df, prev, partition, side_keys, "left", F.col(seq) == F.col("__k_seq"))
+    return j.drop("__k_seq")
+
+
+def min_by_key(df: DataFrame, key: Sequence[str], col: str, out: str,
+               skew_safe: bool | None = None) -> DataFrame:
+    """Add ``out = min(col) over (partition by key)``."""
+    if not (SKEW_SAFE if skew_safe is None else skew_safe):
+        return df.withColumn(out, F.min(col).over(Window.partitionBy(*key)))
+    side_keys = [f"__k_{c}" for c in key]
+    m = df.groupBy(*key).agg(F.min(col).alias(out)) \
+          .select(*[F.col(c).alias(k) for c, k in zip(key, side_keys)], out)
+    return _join_back(df, m, key, side_keys, "left")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from mktlens.functions.scalars import date_lit, earlier_of, fiscal_year, left_chars, ratio
 from mktlens.operators.aggregates import duplicate_keys
 from mktlens.operators.joins import interval_join, null_aware_anti_join
+from mktlens.operators.windows import lag_by_sequence, min_by_key, row_number_by
 from mktlens.sources import bindings as B
 from mktlens.sources.tables import Tables
 
@@ -44,20 +45,24 @@ def order_history(orders: DataFrame, regions: DataFrame, acquired_from: str = AC
                   as_of: str | None = AS_OF) -> DataFrame:
     """Orders with region, fiscal year, acquisition date, local date, prior
     order date and stamp (repeat orders only) and days between orders; only
-    customers acquired in ``[acquired_from, as_of]``."""
-    w_cust = Window.partitionBy("customer_id")
-    w_seq = w_cust.orderBy("order_sequence")
+    customers acquired in ``[acquired_from, as_of]``.  The stored
+    ``order_sequence`` must be unique per customer."""
     repeat = F.col("order_sequence") > 1
     end = F.current_date() if as_of is None else date_lit(as_of)
     s = orders.join(regions, F.upper(orders["shipping_country"]) == regions["shipping_country"], "left") \
               .drop(regions["shipping_country"])
-    s = (s.withColumn("acquisition_date", F.min("order_date").over(w_cust))
-          .withColumn("order_date_local", earlier_of("order_date", "order_date_nam"))
-          .withColumn("prior_order_date", F.when(repeat, F.lag("order_date").over(w_seq)))
-          .withColumn("prior_order_date_timestamp", F.when(repeat, F.lag("wix_order_stamp").over(w_seq)))
+    s = min_by_key(s, ["customer_id"], "order_date", "acquisition_date")
+    s = s.withColumn("order_date_local", earlier_of("order_date", "order_date_nam"))
+    # previous order by the stored sequence (unique per customer): an equi
+    # join on (customer, sequence - 1) instead of a per-customer window
+    s = lag_by_sequence(s, ["customer_id"], "order_sequence",
+                        {"__prev_date": "order_date", "__prev_stamp": "wix_order_stamp",
+                         "__prev_local": "order_date_local"})
+    s = (s.withColumn("prior_order_date", F.when(repeat, F.col("__prev_date")))
+          .withColumn("prior_order_date_timestamp", F.when(repeat, F.col("__prev_stamp")))
           .withColumn("repeat_order_fy", F.when(repeat, fiscal_year("order_date")))
-          .withColumn("days_btwn_orders",
-                      F.datediff(F.col("order_date_local"), F.lag("order_date_local").over(w_seq))))
+          .withColumn("days_btwn_orders", F.datediff(F.col("order_date_local"), F.col("__prev_local")))
+          .drop("__prev_date", "__prev_stamp", "__prev_local"))
     return s.where(F.col("acquisition_date").between(date_lit(acquired_from), end))
 
 
@@ -68,8 +73,8 @@ def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES) -> D
     dupes = duplicate_keys(history.where(F.col("order_sequence").isin(*sequences)),
                            ["customer_id", "wix_order_name"], "order_sequence", distinct=True)
     kept = null_aware_anti_join(history, dupes, "wix_order_name").where(F.col("wix_order_stamp").isNotNull())
-    w = Window.partitionBy("customer_id").orderBy("wix_order_stamp", "order_sequence")
-    kept = kept.withColumn("order_sequence_new", F.row_number().over(w))
+    kept = row_number_by(kept, ["customer_id"], ["wix_order_stamp", "order_sequence"], "order_sequence_new",
+                         bucket=F.date_trunc("hour", "wix_order_stamp"))
     return kept.withColumn("diff_seq", F.col("order_sequence") - F.col("order_sequence_new"))
 
 
@@ -196,8 +201,7 @@ def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds: i
     w = windows.select(*ORDER_KEY, F.col("prior_order_or_first_visit_timestamp").alias("lo"),
                        F.col("wix_order_stamp").alias("hi"))
     m = interval_join(w, events, "customer_id", "lo", "hi", "t", how="inner",
-                      bucket_seconds=bucket_seconds,
-                      left_id=None)
+                      bucket_seconds=bucket_seconds)
     k = F.col("kind")
 
     def n_of(kind):
@@ -276,7 +280,7 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
 def _prepared(t: Tables, bucket_seconds: int | None):
     base = base_orders(t)
     visits = clean_sessions(B.sessions_master(t))
-    fv = first_visit(visits)
+    fv = first_visit(clean_sessions(B.sessions_master(t, numbered=True)))
     windows = lookback_start(base, fv)
     feats = _per_order_features(windows, feature_events(t, base), bucket_seconds)
     return base, visits, windows, feats
@@ -295,7 +299,8 @@ def interactions_between_orders_literal(t: Tables, bucket_seconds: int | None =
     Sums and counts of a feature are scaled by the equi-join rows of the
     group and by the match counts of the other eight features."""
     base, visits, windows, feats = _prepared(t, bucket_seconds)
-    g1 = visits.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
+    numbered = clean_sessions(B.sessions_master(t, numbered=True))
+    g1 = numbered.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
     rows = _equi_features(t, windows, visits).join(g1, "customer_id", "left")
     keys = ["customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
             "first_visit_timestamp", "prior_order_or_first_visit_timestamp", "items_returned",

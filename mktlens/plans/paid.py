@@ -59,7 +59,18 @@ def paid_attribution(ads: DataFrame, matches: DataFrame, influencers: DataFrame)
               .join(influencers.select("influencer_id", "publisher_name", "creator_number"), "influencer_id", "left")
               .select(F.col("campaign").alias("__campaign_l"), "publisher_name", "creator_number"))
     joined = ads.join(lookup, F.lower(F.col("campaign")) == F.col("__campaign_l"), "inner")
-    return (joined.groupBy("publisher_name", "creator_number", F.col("date").alias("cal_date"))
+    keys = ["publisher_name", "creator_number", F.col("date").alias("cal_date")]
+    # Level 1: one row per (group, campaign, territory, channel) - a plain
+    # hash aggregate with map-side combine that collapses the ad rows before
+    # the distinct counts and the string aggregation see them.
+    combos = (joined.groupBy(*keys, "campaign", "territory", "channel")
+              .agg(F.sum("impressions").alias("impressions"), F.sum("spend").alias("spend"),
+                   F.sum("clicks").alias("clicks"), F.sum("ad_revenue").alias("ad_revenue"),
+                   F.count(F.lit(1)).alias("n_rows")))
+    # Level 2: per group; each campaign is repeated once per ad row it had,
+    # so the concatenation keeps listagg's duplicates.
+    repeated = F.flatten(F.collect_list(F.array_repeat(F.col("campaign"), F.col("n_rows").cast("int"))))
+    return (combos.groupBy("publisher_name", "creator_number", "cal_date")
             .agg(F.count_distinct("campaign").alias("distinct_campaigns"),
                  F.count_distinct("territory").alias("distinct_territory"),
                  F.count_distinct("channel").alias("distinct_paid_channels"),
@@ -67,7 +78,7 @@ def paid_attribution(ads: DataFrame, matches: DataFrame, influencers: DataFrame)
                  F.sum("spend").cast("decimal(38,2)").alias("sum_spend"),
                  F.sum("clicks").alias("sum_clicks"),
                  F.round(F.sum("ad_revenue")).cast("decimal(38,0)").alias("sum_ad_revenue"),
-                 ordered_listagg("campaign").alias("agg_campaign")))
+                 F.array_join(F.sort_array(repeated), "").alias("agg_campaign")))
 
 
 def ordered_listagg(c: str, sep: str = "") -> F.Column:

@@ -227,7 +227,7 @@ def _clean_order_sequence(t: Tables) -> DataFrame:
 
 @register("clean_sessions")
 def _clean_sessions(t: Tables) -> DataFrame:
-    return J.clean_sessions(B.sessions_master(t)).drop("all_subdomains")
+    return J.clean_sessions(B.sessions_master(t, numbered=True)).drop("all_subdomains")
 
 
 @register("conversion_session")
@@ -238,12 +238,12 @@ def _conversion_session(t: Tables) -> DataFrame:
 
 @register("first_visit")
 def _first_visit(t: Tables) -> DataFrame:
-    return J.first_visit(J.clean_sessions(B.sessions_master(t)))
+    return J.first_visit(J.clean_sessions(B.sessions_master(t, numbered=True)))
 
 
 @register("lookback_start")
 def _lookback_start(t: Tables) -> DataFrame:
-    b = J.lookback_start(J.base_orders(t), J.first_visit(J.clean_sessions(B.sessions_master(t))))
+    b = J.lookback_start(J.base_orders(t), J.first_visit(J.clean_sessions(B.sessions_master(t, numbered=True))))
     return b.select("customer_id", "order_sequence_new", "wix_order_stamp", "prior_order_or_first_visit_timestamp")
 
 
@@ -310,12 +310,12 @@ def _interval_join(t: Tables) -> DataFrame:
     them (time-bucketed interval join), one row per pair."""
     from mktlens.operators.joins import interval_join
     base = J.base_orders(t)
-    w = J.lookback_start(base, J.first_visit(J.clean_sessions(B.sessions_master(t))))
+    w = J.lookback_start(base, J.first_visit(J.clean_sessions(B.sessions_master(t, numbered=True))))
     w = w.select("customer_id", "order_sequence_new", F.col("prior_order_or_first_visit_timestamp").alias("lo"),
                  F.col("wix_order_stamp").alias("hi"))
     blog = J.content_visits(B.sessions_master(t), base).select("customer_id", "visit_start_time")
     return interval_join(w, blog, "customer_id", "lo", "hi", "visit_start_time", how="left",
-                         bucket_seconds=J.BUCKET_SECONDS).select("customer_id", "order_sequence_new", "visit_start_time")
+                         bucket_seconds=J.BUCKET_SECONDS, left_id=J.ORDER_KEY).select("customer_id", "order_sequence_new", "visit_start_time")
 
 
 # --- operator-level catalog ----------------------------------------------------

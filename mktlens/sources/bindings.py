@@ -14,10 +14,11 @@ on the order rows arrive in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mktlens.functions.scalars import money
+from mktlens.operators.windows import min_by_key, row_number_by
 from mktlens.sources.tables import Tables
 
 # ---------------------------------------------------------------------------
@@ -97,8 +98,8 @@ ITEM_COST_COLS = ("cogs", "returns", "cost_of_goods_returns")
 def customer_orders(t: Tables, with_geo: bool = False, with_item_costs: bool = False) -> DataFrame:
     """Orders with acquisition date and stored sequence per customer.
 
-    ``acquisition_date`` and ``order_sequence`` share one window partition
-    (the customer), so they cost one exchange.  ``with_geo`` adds the
+    ``acquisition_date`` (an aggregate joined back) and ``order_sequence``
+    (range-partitioned numbering) do not gather a customer in one task.  ``with_geo`` adds the
     customer's nation (town) and region (county); ``with_item_costs`` keeps
     the per-order item costs computed by the same lineitem aggregation."""
     o = t.orders
@@ -108,10 +109,9 @@ def customer_orders(t: Tables, with_geo: bool = False, with_item_costs: bool = F
                      F.to_date("o_orderdate").alias("order_date"),
                      money(F.col("o_totalprice")).alias("order_gross_sales"))
             .join(items, "order_name", "left"))
-    w = Window.partitionBy("customer_id")
-    base = (base.withColumn("acquisition_date", F.min("order_date").over(w))
-                .withColumn("order_sequence",
-                            F.row_number().over(w.orderBy("order_date", "order_name"))))
+    base = min_by_key(base, ["customer_id"], "order_date", "acquisition_date")
+    base = row_number_by(base, ["customer_id"], ["order_date", "order_name"], "order_sequence",
+                         bucket=F.col("order_date"))
     if with_geo:
         geo = (t.customer.select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
                .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -279,10 +279,10 @@ def journey_orders(t: Tables) -> DataFrame:
     geo = (t.customer.select("c_custkey", "c_nationkey")
            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
            .select("c_custkey", F.lower("n_name").alias("shipping_country")))
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ev = row_number_by(ev, ["user_id"], ["ts", "event_id"], "order_sequence", bucket=F.date_trunc("hour", "ts"))
     return (ev.join(geo, F.col("user_id") == F.col("c_custkey"), "left")
             .select(F.col("user_id").alias("customer_id"),
-                    F.row_number().over(w).alias("order_sequence"),
+                    "order_sequence",
                     F.to_date("ts").alias("order_date"),
                     F.to_date(F.col("ts") - F.expr("INTERVAL 8 HOURS")).alias("order_date_nam"),
                     F.col("ts").alias("wix_order_stamp"),
@@ -345,10 +345,16 @@ def app_visits(t: Tables, app: str) -> DataFrame:
     return ev.select(F.col("user_id").alias("customer_id"), F.to_date("ts").alias("session_date"))
 
 
-def sessions_master(t: Tables) -> DataFrame:
-    """Every event is a web session hit; purchases carry their order name."""
+def sessions_master(t: Tables, numbered: bool = False) -> DataFrame:
+    """Every event is a web session hit; purchases carry their order name.
+    ``web_visit_number`` (the customer's visit sequence) is computed only
+    when asked: it is the one column that needs a per-customer ordering."""
     ev = _events(t)
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    if numbered:
+        ev = row_number_by(ev, ["user_id"], ["ts", "event_id"], "web_visit_number",
+                           bucket=F.date_trunc("hour", "ts"))
+    else:
+        ev = ev.withColumn("web_visit_number", F.lit(None).cast("int"))
     return ev.select(
         F.col("event_id").cast("string").alias("visit_key"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("visitor_id"),
@@ -356,7 +362,7 @@ def sessions_master(t: Tables) -> DataFrame:
         F.col("user_id").alias("customer_id"),
         F.to_date("ts").alias("visit_date"),
         F.col("ts").alias("visit_start_time"),
-        F.row_number().over(w).alias("web_visit_number"),
+        "web_visit_number",
         F.when(F.col("event_type") == "purchase", F.col("event_id")).alias("wix_order_name"),
         _pick(CHANNELS, F.col("k") % len(CHANNELS)).alias("channel_grouping"),
         F.when(F.col("k") % 4 == 0, F.array(F.lit("www"), F.lit("central")))
