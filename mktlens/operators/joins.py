@@ -110,6 +110,23 @@ def _match(t: Column, n: Column, wildcards: bool) -> Column:
     return t.contains(n)
 
 
+TOKEN_SEPARATOR = "[^\\p{L}\\p{N}]+"
+
+
+def _required_token(n: Column, wildcards: bool) -> Column:
+    """The longest interior token of a (lower-cased) name: a word with a
+    separator on both sides inside the name.  Wherever the name occurs in a
+    text, that word is a whole token of the text split the same way, so a
+    text lacking it cannot contain the name.  NULL when the name has no
+    interior token, or (in wildcard mode) contains ``_``/``%``, which could
+    stand for letters."""
+    parts = F.split(n, TOKEN_SEPARATOR, -1)
+    inner = F.when(F.size(parts) >= 3, F.slice(parts, 2, F.size(parts) - 2)).otherwise(F.array().cast("array<string>"))
+    longest = F.element_at(F.array_sort(inner, lambda a, b: F.length(b) - F.length(a)), 1)
+    tok = F.when(F.size(inner) > 0, longest)
+    return F.when(_metachar(n), F.lit(None)).otherwise(tok) if wildcards else tok
+
+
 def _gram_at(text_col: str, g: int):
     """``i -> substring(text, i, g)`` (a one-argument lambda for transform)."""
     return lambda i: F.substring(F.col(text_col), i, g)
@@ -151,15 +168,26 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
     tl = "__tl"
     if n_names <= inline_limit:
         fields = right.schema.fields
-        rows = names_all.collect()
-        lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows]
-        arr = F.array(*lits) if lits else F.array().cast(
-            "array<struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in fields) + ">>")
+        req = _required_token(F.lower(F.col(name)), wildcards)
+        rows = names_all.select(*[F.col(f.name) for f in fields], req.alias("__req")).collect()
+        lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields],
+                         F.lit(r["__req"]).cast("string").alias("__req")) for r in rows]
+        if not lits:
+            empty = left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+            return empty if how == "left" else empty.where(F.lit(False))
         lt = left.withColumn(tl, F.lower(F.col(text)))
-        hits = F.filter(arr, lambda r: _match(F.col(tl), F.lower(r[name]), wildcards))
+        reqs = sorted({r["__req"] for r in rows if r["__req"]})
+        if reqs:
+            # tokens the text must contain for a name with an interior token
+            tokens = F.array_distinct(F.split(F.col(tl), TOKEN_SEPARATOR, -1))
+            lt = lt.withColumn("__present", F.array_intersect(tokens, F.array(*[F.lit(x) for x in reqs])))
+            gate = lambda r: r["__req"].isNull() | F.array_contains(F.col("__present"), r["__req"])
+        else:
+            gate = lambda r: F.lit(True)
+        hits = F.filter(F.array(*lits), lambda r: gate(r) & _match(F.col(tl), F.lower(r[name]), wildcards))
         gen = F.explode_outer if how == "left" else F.explode
         out = lt.select("*", gen(hits).alias("__hit"))
-        return out.select(*[c for c in left.columns], *[F.col("__hit")[f.name].alias(f.name) for f in fields])
+        return out.select(*left.columns, *[F.col("__hit")[f.name].alias(f.name) for f in fields])
 
     n = F.lower(F.col(name))
     if wildcards:

@@ -26,6 +26,7 @@ from mktlens.operators.aggregates import duplicate_keys
 from mktlens.operators.joins import interval_join, null_aware_anti_join
 from mktlens.operators.windows import lag_by_sequence, min_by_key, row_number_by
 from mktlens.sources import bindings as B
+from mktlens.sources.sinks import checkpoint_table
 from mktlens.sources.tables import Tables
 
 ACQUIRED_FROM = "2024-01-02"   # bound data: cohort of customers acquired from this day
@@ -278,7 +279,10 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
 
 
 def _prepared(t: Tables, bucket_seconds: int | None):
-    base = base_orders(t)
+    # the cleaned orders feed six branches (windows, returns, conversion
+    # sessions and three "customer in base" filters): written once to the
+    # shared checkpoint folder instead of being recomputed per branch
+    base = checkpoint_table(base_orders(t), "journey_base_orders")
     visits = clean_sessions(B.sessions_master(t))
     fv = first_visit(clean_sessions(B.sessions_master(t, numbered=True)))
     windows = lookback_start(base, fv)

@@ -89,7 +89,20 @@ def ordered_listagg(c: str, sep: str = "") -> F.Column:
     return F.array_join(F.sort_array(F.collect_list(F.col(c))), sep)
 
 
+def matched_titles(catalogue: DataFrame, variants: DataFrame, min_len: int = MIN_NAME_LENGTH,
+                   wildcards: bool = False) -> DataFrame:
+    """Distinct (campaign, influencer_id) of ``match_campaigns``: a match
+    depends only on the title text, so the wildcard join runs once per
+    distinct title instead of once per (title, platform, account, id) row."""
+    names = variants.where(F.length("name") >= min_len).distinct()
+    titles = catalogue.select("campaign").distinct()
+    m = wildcard_join(titles, names, "campaign", "name", how="inner", wildcards=wildcards)
+    return m.select("campaign", "influencer_id").distinct()
+
+
 def paid_ad_attribution(t: Tables) -> DataFrame:
     infl, ads = B.influencers(t), B.paid_social_campaigns(t)
-    matches = match_campaigns(campaign_catalogue(ads), name_variants(infl, B.content_posted(t)), infl)
-    return paid_attribution(ads, matches, infl).orderBy("publisher_name", "creator_number", "cal_date")
+    matches = matched_titles(campaign_catalogue(ads), name_variants(infl, B.content_posted(t)))
+    # the original orders a CREATE TABLE AS; a table has no row order, so
+    # no sort is spent on it (callers sort when they display)
+    return paid_attribution(ads, matches, infl)

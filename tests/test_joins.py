@@ -45,8 +45,8 @@ def test_constant_row_join_keeps_left_on_empty(spark):
 def _random_frames(spark, seed):
     rnd = random.Random(seed)
     alphabet = "ab_ c%"
-    texts = [("".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))),) for _ in range(60)] + [(None,)]
-    names = [(i, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 5)))) for i in range(40)] + [(99, None)]
+    texts = [("".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))),) for _ in range(80)] + [(None,)]
+    names = [(i, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9)))) for i in range(40)] + [(99, None)]
     return (spark.createDataFrame(texts, "text string"),
             spark.createDataFrame(names, "nid int, name string"))
 
