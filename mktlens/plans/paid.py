@@ -70,10 +70,13 @@ def paid_attribution(ads: DataFrame, matches: DataFrame, influencers: DataFrame)
     # Level 2: per group; each campaign is repeated once per ad row it had,
     # so the concatenation keeps listagg's duplicates.
     repeated = F.flatten(F.collect_list(F.array_repeat(F.col("campaign"), F.col("n_rows").cast("int"))))
+    # Level-1 rows are distinct per (campaign, territory, channel), so the
+    # distinct counts are set sizes gathered in the same single pass as the
+    # string aggregation (no Expand of the rows per distinct column).
     return (combos.groupBy("publisher_name", "creator_number", "cal_date")
-            .agg(F.count_distinct("campaign").alias("distinct_campaigns"),
-                 F.count_distinct("territory").alias("distinct_territory"),
-                 F.count_distinct("channel").alias("distinct_paid_channels"),
+            .agg(F.size(F.collect_set("campaign")).cast("bigint").alias("distinct_campaigns"),
+                 F.size(F.collect_set("territory")).cast("bigint").alias("distinct_territory"),
+                 F.size(F.collect_set("channel")).cast("bigint").alias("distinct_paid_channels"),
                  F.sum("impressions").alias("sum_impressions"),
                  F.sum("spend").cast("decimal(38,2)").alias("sum_spend"),
                  F.sum("clicks").alias("sum_clicks"),
