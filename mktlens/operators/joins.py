@@ -27,8 +27,19 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _epoch_seconds(c: Column) -> Column:
-    return F.unix_seconds(c.cast("timestamp"))
+def _epoch_seconds(df: DataFrame, name: str) -> Column:
+    """Seconds since 1970-01-01 as a monotone function of the column's own
+    values: instants via ``unix_seconds``; wall-clock timestamps and dates
+    from their fields, so no session time zone (and no daylight-saving gap)
+    can reorder them."""
+    kind = df.schema[name].dataType.simpleString()
+    c = F.col(name)
+    if kind == "timestamp":
+        return F.unix_seconds(c)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+    if kind == "date":
+        return days
+    return days + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
@@ -61,8 +72,8 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                              *[F.col(f"__r.{c}") for c in right.columns if c not in keys])
 
     b = bucket_seconds
-    lo_b = F.floor(_epoch_seconds(F.col(lo)) / b)
-    hi_b = F.floor(_epoch_seconds(F.col(hi)) / b)
+    lo_b = F.floor(_epoch_seconds(left, lo) / b)
+    hi_b = F.floor(_epoch_seconds(left, hi) / b)
     right_cols = [c for c in right.columns if c not in keys]
     if how == "left" and left_id:
         ids = [left_id] if isinstance(left_id, str) else list(left_id)
@@ -71,7 +82,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
         carried = left.columns
     spans = left.select(*carried).withColumn(
         "__b", F.explode(F.when(lo_b <= hi_b, F.sequence(lo_b, hi_b))))
-    rgt = right.withColumn("__b", F.floor(_epoch_seconds(F.col(t)) / b))
+    rgt = right.withColumn("__b", F.floor(_epoch_seconds(right, t) / b))
     # a right row has one bucket, so every (left, right) pair meets once
     matches = spans.join(rgt, keys + ["__b"], "inner").where(in_range).drop("__b")
     cols = [*keys, *[c for c in left.columns if c not in keys], *right_cols]

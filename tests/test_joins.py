@@ -74,3 +74,19 @@ def test_no_cartesian_or_python_in_plans(spark):
     texts, names = _random_frames(spark, 7)
     plan = wildcard_join(texts, names, "text", "name", inline_limit=0)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_interval_buckets_ignore_daylight_saving(spark):
+    """Wall-clock timestamps in a spring-forward gap must still meet their
+    windows whatever the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        left = spark.createDataFrame([(1, T(2024, 3, 10, 2, 30), T(2024, 3, 10, 3, 10))],
+                                     "k int, lo timestamp_ntz, hi timestamp_ntz")
+        right = spark.createDataFrame([(1, T(2024, 3, 10, 3, 0))], "k int, t timestamp_ntz")
+        for bucket in (600, 3600):
+            out = interval_join(left, right, "k", "lo", "hi", "t", how="inner", bucket_seconds=bucket)
+            assert out.count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
