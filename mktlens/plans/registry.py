@@ -309,7 +309,8 @@ def _interval_join(t: Tables) -> DataFrame:
     """Orders' lookback windows left-joined with the content visits inside
     them (time-bucketed interval join), one row per pair."""
     from mktlens.operators.joins import interval_join
-    base = J.base_orders(t)
+    from mktlens.sources.sinks import checkpoint_table
+    base = checkpoint_table(J.base_orders(t), "journey_base_orders")
     w = J.lookback_start(base, J.first_visit(J.clean_sessions(B.sessions_master(t, numbered=True))))
     w = w.select("customer_id", "order_sequence_new", F.col("prior_order_or_first_visit_timestamp").alias("lo"),
                  F.col("wix_order_stamp").alias("hi"))
