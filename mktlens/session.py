@@ -22,6 +22,25 @@ PLAN_CONF = {
 }
 
 
+# Suggested settings for the 100 TB / 1000-executor target (applied by the
+# cluster's launcher, not by library code).  Shuffles start wide and AQE
+# coalesces them to ~256 MB per task; scans split at 256 MB; a partition more
+# than 5x the median and above 512 MB is split by the skew-join rule; joins
+# broadcast only sides AQE has measured below 64 MB.
+CLUSTER_CONF = {
+    **PLAN_CONF,
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "mktlens") -> SparkSession:
     builder = (
