@@ -256,7 +256,7 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
 
     bounced = F.coalesce(F.col("sum_bounce") * mult("bounce"), F.lit(0.0)).cast("bigint")
     sessions = (F.coalesce(F.col("full_bounce"), F.lit(0)) * mult("bounce")).cast("bigint")
-    avg_rating = F.round(F.col("sum_rating") / F.col("cnt_rating"), 1)
+    avg_rating = F.round(ratio(F.col("sum_rating"), F.col("cnt_rating")), 1)
     return rows.select(
         "customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
         "first_visit_timestamp", "prior_order_or_first_visit_timestamp", "items_returned",

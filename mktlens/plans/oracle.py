@@ -24,7 +24,7 @@ MONEY = "DECIMAL(18,2)"
 LINE_NET = "CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))), 2) AS DECIMAL(18,2))"
 LINE_COGS = f"CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST({COGS_RATIO} AS DECIMAL(2,1)), 2) AS DECIMAL(18,2))"
 HANDLE = "upper(substr({n}, 1, 1)) || substr(replace({n}, ' ', '_'), 2)"
-EVK = "CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER)"
+EVK = "TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER)"
 
 
 def half_up_div(num: str, num_scale: int, den: str, scale: int) -> str:

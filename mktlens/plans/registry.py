@@ -291,7 +291,7 @@ def _journey_features(t: Tables) -> DataFrame:
 def _review_features(t: Tables) -> DataFrame:
     f = _journey_features(t).where(F.col("n_review") > 0)
     return f.select(*J.ORDER_KEY, F.col("n_review").alias("total_reviews"),
-                    F.round(F.col("sum_rating") / F.col("cnt_rating"), 1).alias("avg_rating"))
+                    F.round(F.try_divide(F.col("sum_rating"), F.col("cnt_rating")), 1).alias("avg_rating"))
 
 
 @register("bounce_rate")

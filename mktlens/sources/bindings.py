@@ -150,7 +150,7 @@ def influencers(t: Tables) -> DataFrame:
     p = t.part
     full = p.groupBy(F.col("p_name").alias("influencer_name")).agg(
         (F.min("p_partkey") * 2).alias("influencer_id"))
-    noun = p.groupBy(F.element_at(F.split("p_name", " "), 2).alias("influencer_name")).agg(
+    noun = p.groupBy(F.get(F.split("p_name", " "), 1).alias("influencer_name")).agg(
         (F.min("p_partkey") * 2 + 1).alias("influencer_id"))
     db = full.unionByName(noun)
     return db.select(
@@ -266,7 +266,7 @@ def paid_social_campaigns(t: Tables) -> DataFrame:
 # Journey (J): everything from the web event log
 # ---------------------------------------------------------------------------
 def _events(t: Tables) -> DataFrame:
-    return t.events.withColumn("k", F.regexp_extract("props", r"(\d+)", 1).cast("int"))
+    return t.events.withColumn("k", F.regexp_extract("props", r"(\d+)", 1).try_cast("int"))
 
 
 def _email(user) -> F.Column:
