@@ -123,10 +123,16 @@ def opt_in_changes(log: DataFrame, customers: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")).where(F.col("count") == 1))
 
 
-def account_status(log: DataFrame, customers: DataFrame, base: DataFrame) -> DataFrame:
+def _in_base(df: DataFrame, base: DataFrame | None) -> DataFrame:
+    """``customer_id in (select customer_id from base_table)``; ``None``
+    skips the filter where a later join on the customer makes it redundant."""
+    return df if base is None else df.join(base.select("customer_id").distinct(), "customer_id", "left_semi")
+
+
+def account_status(log: DataFrame, customers: DataFrame, base: DataFrame | None) -> DataFrame:
     flag = F.when(F.col("new_account_state") == "activated", "Y").otherwise("N")
     j = log.join(customers.select("email", "customer_id"), "email", "left")
-    j = j.join(base.select("customer_id").distinct(), "customer_id", "left_semi")
+    j = _in_base(j, base)
     return j.select("customer_id", "updated_at", flag.alias("account_status")).distinct()
 
 
@@ -142,18 +148,16 @@ def wishlist_sessions(log: DataFrame, sessions: DataFrame) -> DataFrame:
             .agg(F.count_distinct("productsku").alias("num_prod_added")))
 
 
-def cart_adds(interactions: DataFrame, sessions: DataFrame, base: DataFrame) -> DataFrame:
+def cart_adds(interactions: DataFrame, sessions: DataFrame, base: DataFrame | None) -> DataFrame:
     j = interactions.join(sessions.select("visit_key", "visit_start_time", "customer_id", "visit_date",
                                           "wix_order_name"), ["visit_key", "visit_start_time"], "left")
-    j = j.where(F.col("event_action") == "Added_To_Cart") \
-         .join(base.select("customer_id").distinct(), "customer_id", "left_semi")
+    j = _in_base(j.where(F.col("event_action") == "Added_To_Cart"), base)
     return (j.groupBy("customer_id", "visit_date", "wix_order_name", "visit_key", "visit_start_time")
             .agg(F.count(F.lit(1)).alias("total_cart_adds")))
 
 
-def content_visits(sessions: DataFrame, base: DataFrame, pattern: str = BLOG_PATTERN) -> DataFrame:
-    s = sessions.where(F.array_join("all_subdomains", " , ").like(pattern)) \
-                .join(base.select("customer_id").distinct(), "customer_id", "left_semi")
+def content_visits(sessions: DataFrame, base: DataFrame | None, pattern: str = BLOG_PATTERN) -> DataFrame:
+    s = _in_base(sessions.where(F.array_join("all_subdomains", " , ").like(pattern)), base)
     return (s.groupBy("customer_id", "wix_order_name", "visit_date", "visit_start_time")
             .agg(F.count_distinct("customer_id").alias("blog_visit_flag")))
 
@@ -168,9 +172,12 @@ def lookback_start(base: DataFrame, first_visits: DataFrame) -> DataFrame:
     return b.withColumn("prior_order_or_first_visit_timestamp", start)
 
 
-def feature_events(t: Tables, base: DataFrame) -> DataFrame:
+def feature_events(t: Tables, base: DataFrame | None) -> DataFrame:
     """All interval features as ``(customer_id, t, kind, num, txt, full)``:
-    ``full`` marks rows whose own columns are all non-NULL (``count(t.*)``)."""
+    ``full`` marks rows whose own columns are all non-NULL (``count(t.*)``).
+    With ``base=None`` the "customer is in the base orders" filters of three
+    sources are skipped: a feature row only counts when it meets one of its
+    customer's order windows, so they cannot change the result."""
     sessions = B.sessions_master(t)
     cust = B.customer_details(t)
 
@@ -283,10 +290,9 @@ def _prepared(t: Tables, bucket_seconds: int | None):
     # sessions and three "customer in base" filters): written once to the
     # shared checkpoint folder instead of being recomputed per branch
     base = checkpoint_table(base_orders(t), "journey_base_orders")
-    visits = clean_sessions(B.sessions_master(t))
-    fv = first_visit(clean_sessions(B.sessions_master(t, numbered=True)))
-    windows = lookback_start(base, fv)
-    feats = _per_order_features(windows, feature_events(t, base), bucket_seconds)
+    visits = clean_sessions(B.sessions_master(t, numbered=True))
+    windows = lookback_start(base, first_visit(visits))
+    feats = _per_order_features(windows, feature_events(t, None), bucket_seconds)
     return base, visits, windows, feats
 
 
@@ -303,8 +309,7 @@ def interactions_between_orders_literal(t: Tables, bucket_seconds: int | None =
     Sums and counts of a feature are scaled by the equi-join rows of the
     group and by the match counts of the other eight features."""
     base, visits, windows, feats = _prepared(t, bucket_seconds)
-    numbered = clean_sessions(B.sessions_master(t, numbered=True))
-    g1 = numbered.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
+    g1 = visits.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
     rows = _equi_features(t, windows, visits).join(g1, "customer_id", "left")
     keys = ["customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
             "first_visit_timestamp", "prior_order_or_first_visit_timestamp", "items_returned",
