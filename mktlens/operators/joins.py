@@ -138,13 +138,8 @@ def _required_token(n: Column, wildcards: bool) -> Column:
     return F.when(_metachar(n), F.lit(None)).otherwise(tok) if wildcards else tok
 
 
-def _gram_at(text_col: str, g: int):
-    """``i -> substring(text, i, g)`` (a one-argument lambda for transform)."""
-    return lambda i: F.substring(F.col(text_col), i, g)
-
-
 INLINE_NAMES = 512       # names embedded in the plan as a literal array
-PROBE_GRAMS = 4096       # distinct blocking grams probed per text with contains
+PROBE_GRAMS = 64         # distinct blocking grams probed per text with contains
 BROADCAST_NAMES = 200_000  # name rows broadcast to the gram join
 
 
@@ -225,8 +220,9 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
             if g == 0:
                 per_len.append(F.array(F.lit("")))
             else:
-                arr = F.transform(F.sequence(F.lit(1), F.length(tl) - g + 1), _gram_at(tl, g))
-                per_len.append(F.when(F.length(tl) >= g, arr).otherwise(F.array().cast("array<string>")))
+                # every overlapping g-gram in one regex pass (a zero-width
+                # lookahead capturing g characters), no per-position lambda
+                per_len.append(F.regexp_extract_all(F.col(tl), F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)))
         text_grams = texts.select("__h", F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
     side = F.broadcast(names) if n_names <= broadcast_limit else names
     candidates = text_grams.distinct().join(side, "__gram", "inner").drop("__gram")
