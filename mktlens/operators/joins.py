@@ -158,13 +158,16 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
     1. at most ``inline_limit`` names: the names become a literal array in
        the plan and each text keeps ``filter(names, n -> text contains n)``,
        exploded.  Map-only: no shuffle of the texts at all.
-    2. otherwise names are blocked by a gram - their first ``min(len, q)``
-       characters (in wildcard mode taken from their longest literal run).
-       Texts list the blocking grams they contain - by probing each distinct
-       gram when there are at most ``probe_limit`` of them, else by emitting
-       the distinct grams of every position - and the equi join on the gram
-       (names broadcast when at most ``broadcast_limit`` rows) yields
-       candidates, verified exactly against the text.
+    2. otherwise names are blocked: a name with an interior word (a word
+       with a separator on both sides inside the name) by that word, which
+       any text containing the name has as a whole word; other names by a
+       gram - their first ``min(len, q)`` characters (in wildcard mode taken
+       from their longest literal run).  Texts emit their distinct words, and
+       the blocking grams they contain - by probing each distinct gram when
+       there are at most ``probe_limit`` of them, else all overlapping grams
+       from one regex pass.  Equi joins on word and gram (names broadcast
+       when at most ``broadcast_limit`` rows) yield candidates, verified
+       exactly against the text.
     Exact for every name, short and empty ones included.
     """
     if how not in ("left", "inner"):
@@ -202,35 +205,47 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
         seed = F.when(_metachar(n), longest).otherwise(n)
     else:
         seed = n
-    names = names_all.withColumn("__gram", F.substring(seed, 1, q))
-    grams = [r[0] for r in names.select("__gram").distinct().limit(probe_limit + 1).collect()]
+    names = (names_all.withColumn("__req", _required_token(n, wildcards))
+             .withColumn("__gram", F.when(F.col("__req").isNull(), F.substring(seed, 1, q))))
+    sizes = names.agg(F.count_if(F.col("__req").isNotNull()).alias("tok"),
+                      F.count_if(F.col("__req").isNull()).alias("gram")).first()
     # Work on the distinct texts, keyed by the text itself (and a 64-bit hash
-    # of it for the gram rows): no generated row ids, so recomputation is
+    # of it for the exploded rows): no generated row ids, so recomputation is
     # consistent, and repeated texts are matched once.
     texts = (left.select(F.col(text).alias("__txt")).where(F.col("__txt").isNotNull()).distinct()
              .withColumn("__h", F.xxhash64("__txt")).withColumn(tl, F.lower(F.col("__txt"))))
-    if len(grams) <= probe_limit:
-        present = F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.col(tl).contains(g))
-        text_grams = texts.select("__h", F.explode(present).alias("__gram"))
-    else:
-        # gram lengths in use: at most q + 1 small integers
-        lengths = sorted(r[0] for r in names.select(F.length("__gram")).distinct().collect())
-        per_len = []
-        for g in lengths:
-            if g == 0:
-                per_len.append(F.array(F.lit("")))
-            else:
-                # every overlapping g-gram in one regex pass (a zero-width
-                # lookahead capturing g characters), no per-position lambda
-                per_len.append(F.regexp_extract_all(F.col(tl), F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)))
-        text_grams = texts.select("__h", F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
-    side = F.broadcast(names) if n_names <= broadcast_limit else names
-    candidates = text_grams.distinct().join(side, "__gram", "inner").drop("__gram")
-    verified = (candidates.join(texts, "__h", "inner")
+    candidates = []
+    if sizes["tok"]:
+        # names with an interior word: block on it; texts emit their distinct words
+        tok_names = names.where(F.col("__req").isNotNull()).drop("__gram")
+        side = F.broadcast(tok_names) if sizes["tok"] <= broadcast_limit else tok_names
+        words = texts.select("__h", F.explode(F.array_distinct(F.split(F.col(tl), TOKEN_SEPARATOR, -1))).alias("__req"))
+        candidates.append(words.join(side, "__req", "inner").drop("__req"))
+    if sizes["gram"]:
+        gram_names = names.where(F.col("__req").isNull()).drop("__req")
+        grams = [r[0] for r in gram_names.select("__gram").distinct().limit(probe_limit + 1).collect()]
+        if len(grams) <= probe_limit:
+            present = F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.col(tl).contains(g))
+            text_grams = texts.select("__h", F.explode(present).alias("__gram"))
+        else:
+            # gram lengths in use: at most q + 1 small integers
+            lengths = sorted(r[0] for r in gram_names.select(F.length("__gram")).distinct().collect())
+            per_len = []
+            for g in lengths:
+                if g == 0:
+                    per_len.append(F.array(F.lit("")))
+                else:
+                    # every overlapping g-gram in one regex pass (a zero-width
+                    # lookahead capturing g characters), no per-position lambda
+                    per_len.append(F.regexp_extract_all(F.col(tl), F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)))
+            text_grams = texts.select("__h", F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
+        side = F.broadcast(gram_names) if sizes["gram"] <= broadcast_limit else gram_names
+        candidates.append(text_grams.join(side, "__gram", "inner").drop("__gram"))
+    cand = candidates[0] if len(candidates) == 1 else candidates[0].unionByName(candidates[1])
+    verified = (cand.join(texts, "__h", "inner")
                 .where(_match(F.col(tl), F.lower(F.col(name)), wildcards))
                 .drop("__h", tl))
-    out = left.join(verified, F.col(text) == F.col("__txt"), how).drop("__txt")
-    return out
+    return left.join(verified, F.col(text) == F.col("__txt"), how).drop("__txt")
 
 
 def wildcard_join_nested(left: DataFrame, right: DataFrame, text: str, name: str,
