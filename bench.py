@@ -46,7 +46,11 @@ def main() -> None:
     for key in HEADLINE:
         runs = sorted(run(spark, key, sf_dir) for _ in range(repeats))
         times[key] = round(runs[len(runs) // 2], 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "headline_plans_total_median", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeats": repeats}))
 
