@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mktlens.functions.predicates import all_of, any_of, bucket_first_match, like_ci, not_like_prefix
+from mktlens.functions.predicates import all_of, any_of, like_ci, not_like_prefix
 from mktlens.functions.scalars import (date_lit, days_between, earlier_of, left_chars, money, month_boundaries,
                                        ratio, regexp_delete, regexp_nth, strip_spaces)
 from mktlens.operators.aggregates import count_nonnull_rows, duplicate_keys

@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from mktlens.operators.joins import (constant_row_join, interval_join, null_aware_anti_join, wildcard_join,
                                      wildcard_join_nested)

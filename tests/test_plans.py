@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal as Dec
 
-from pyspark.sql import functions as F
 
 from mktlens.operators.windows import moving_average
 from mktlens.plans import organic as O
