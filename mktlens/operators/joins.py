@@ -44,8 +44,8 @@ def _epoch_seconds(df: DataFrame, name: str) -> Column:
 
 def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                   lo: str, hi: str, t: str, how: str = "left",
-                  bucket_seconds: int | None = None,
-                  left_id: str | Sequence[str] | None = None) -> DataFrame:
+                  bucket_seconds: int | Sequence[int] | None = None,
+                  left_id: str | Sequence[str] | None = None, max_span: int = 32) -> DataFrame:
     """Join ``right`` rows whose ``t`` lies in ``[left.lo, left.hi]`` for the
     same ``keys``.  Key columns come out once (USING form).  NULL bounds match
     nothing, as ``between`` does.
@@ -55,6 +55,10 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     equi join then runs on ``keys + bucket``.  Every pair is produced once
     (a right row has one bucket).  Work is linear in
     ``sum(interval length) / bucket + rows`` instead of quadratic per key.
+    ``bucket_seconds`` may list several widths (finest first): each left row
+    then uses the finest width at which it spans fewer than ``max_span``
+    buckets, so long intervals cost ``length / coarse width`` rows, and each
+    right row is keyed once per width.
     For a left join, ``left_id`` (columns unique in ``left``) lets the
     matches be joined back by key; without it unmatched rows are found by a
     null-safe anti join on all left columns.
@@ -71,20 +75,35 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                              *[F.col(f"__l.{c}") for c in left.columns if c not in keys],
                              *[F.col(f"__r.{c}") for c in right.columns if c not in keys])
 
-    b = bucket_seconds
-    lo_b = F.floor(_epoch_seconds(left, lo) / b)
-    hi_b = F.floor(_epoch_seconds(left, hi) / b)
+    levels = [bucket_seconds] if isinstance(bucket_seconds, int) else sorted(bucket_seconds)
+    lo_s, hi_s = _epoch_seconds(left, lo), _epoch_seconds(left, hi)
+    # each interval uses the finest width at which it spans at most
+    # ``max_span`` buckets (else the coarsest): short windows stay precise,
+    # a window of years does not explode into thousands of rows
+    level = F.lit(len(levels) - 1)
+    for i in reversed(range(len(levels) - 1)):
+        w = levels[i]
+        level = F.when(F.floor(hi_s / w) - F.floor(lo_s / w) < max_span, F.lit(i)).otherwise(level)
+    width = F.element_at(F.array(*[F.lit(w) for w in levels]), level + 1)
+    lo_b = F.floor(lo_s / width)
+    hi_b = F.floor(hi_s / width)
     right_cols = [c for c in right.columns if c not in keys]
     if how == "left" and left_id:
         ids = [left_id] if isinstance(left_id, str) else list(left_id)
         carried = list(dict.fromkeys([*keys, *ids, lo, hi]))
     else:
         carried = left.columns
-    spans = left.select(*carried).withColumn(
-        "__b", F.explode(F.when(lo_b <= hi_b, F.sequence(lo_b, hi_b))))
-    rgt = right.withColumn("__b", F.floor(_epoch_seconds(right, t) / b))
-    # a right row has one bucket, so every (left, right) pair meets once
-    matches = spans.join(rgt, keys + ["__b"], "inner").where(in_range).drop("__b")
+    spans = (left.select(*carried, level.alias("__lvl"), lo_b.alias("__lo_b"), hi_b.alias("__hi_b"))
+             .withColumn("__b", F.explode(F.when(F.col("__lo_b") <= F.col("__hi_b"),
+                                                 F.sequence(F.col("__lo_b"), F.col("__hi_b")))))
+             .drop("__lo_b", "__hi_b"))
+    t_s = _epoch_seconds(right, t)
+    rgt = right.withColumn("__lb", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__lvl"), F.floor(t_s / w).alias("__b")) for i, w in enumerate(levels)])))
+    rgt = rgt.select("*", "__lb.__lvl", "__lb.__b").drop("__lb")
+    # a right row has one bucket per level and a left row uses one level, so
+    # every (left, right) pair meets exactly once
+    matches = spans.join(rgt, keys + ["__lvl", "__b"], "inner").where(in_range).drop("__lvl", "__b")
     cols = [*keys, *[c for c in left.columns if c not in keys], *right_cols]
     if how == "inner":
         return matches.select(*cols)

@@ -33,7 +33,7 @@ ACQUIRED_FROM = "2024-01-02"   # bound data: cohort of customers acquired from t
 AS_OF = "2024-12-31"           # stands for current_date() of the original
 DUPLICATE_SEQUENCES = (1, 2)   # order names are checked for repeats among these sequences
 BLOG_PATTERN = "%central%"
-BUCKET_SECONDS = 86_400        # time bucket of the interval join
+BUCKET_SECONDS = (86_400, 32 * 86_400)   # interval-join bucket widths: a day, and 32 days for long windows
 ORDER_KEY = ["customer_id", "order_sequence_new"]
 
 KINDS = ["blog", "review", "ecom", "train", "wish", "cart", "bounce", "opt", "acct"]
@@ -204,7 +204,7 @@ def feature_events(t: Tables, base: DataFrame | None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where(F.col("customer_id").isNotNull())
 
 
-def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds: int | None) -> DataFrame:
+def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds) -> DataFrame:
     """One interval join and one aggregation for all nine features."""
     w = windows.select(*ORDER_KEY, F.col("prior_order_or_first_visit_timestamp").alias("lo"),
                        F.col("wix_order_stamp").alias("hi"))
@@ -285,7 +285,7 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
         "mail_control")
 
 
-def _prepared(t: Tables, bucket_seconds: int | None):
+def _prepared(t: Tables, bucket_seconds):
     # the cleaned orders feed six branches (windows, returns, conversion
     # sessions and three "customer in base" filters): written once to the
     # shared checkpoint folder instead of being recomputed per branch
@@ -296,14 +296,14 @@ def _prepared(t: Tables, bucket_seconds: int | None):
     return base, visits, windows, feats
 
 
-def interactions_between_orders(t: Tables, bucket_seconds: int | None = BUCKET_SECONDS) -> DataFrame:
+def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS) -> DataFrame:
     """Default form: every feature aggregated per order, joined 1:1."""
     base, visits, windows, feats = _prepared(t, bucket_seconds)
     rows = _equi_features(t, windows, visits).join(feats, ORDER_KEY, "left")
     return _assemble(rows, lambda kind: F.lit(1))
 
 
-def interactions_between_orders_literal(t: Tables, bucket_seconds: int | None = BUCKET_SECONDS) -> DataFrame:
+def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS) -> DataFrame:
     """The written form: first-visit rows joined again per customer, nine
     one-to-many left joins multiplying one another, then grouped by 16 keys.
     Sums and counts of a feature are scaled by the equi-join rows of the

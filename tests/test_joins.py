@@ -10,7 +10,7 @@ from tests.conftest import rows
 T = dt.datetime
 
 
-@pytest.mark.parametrize("bucket", [None, 3600, 86400])
+@pytest.mark.parametrize("bucket", [None, 3600, 86400, (3600, 86400), (600, 3600, 86400)])
 def test_interval_join_bounds(spark, bucket):
     left = spark.createDataFrame([
         (1, 1, T(2024, 1, 1), T(2024, 1, 3)),
@@ -89,3 +89,20 @@ def test_interval_buckets_ignore_daylight_saving(spark):
             assert out.count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_multilevel_buckets_equal_plain(spark):
+    """Windows from minutes to years, several bucket widths: same pairs as
+    the plain range join."""
+    rnd = random.Random(11)
+    base = T(2020, 1, 1)
+    left = [(rnd.randint(0, 3), i, base + dt.timedelta(minutes=rnd.randint(0, 10 ** 6)))
+            for i in range(200)]
+    left = [(k, i, lo, lo + dt.timedelta(minutes=rnd.choice([5, 600, 10 ** 4, 10 ** 6]))) for k, i, lo in left]
+    right = [(rnd.randint(0, 3), base + dt.timedelta(minutes=rnd.randint(0, 2 * 10 ** 6)), j) for j in range(2000)]
+    lf = spark.createDataFrame(left, "k int, i int, lo timestamp_ntz, hi timestamp_ntz")
+    rf = spark.createDataFrame(right, "k int, t timestamp_ntz, j int")
+    plain = interval_join(lf, rf, "k", "lo", "hi", "t", how="inner")
+    for widths in [(3600,), (3600, 86400, 86400 * 32)]:
+        fast = interval_join(lf, rf, "k", "lo", "hi", "t", how="inner", bucket_seconds=widths, max_span=8)
+        assert rows(fast, "i", "j") == rows(plain, "i", "j")
