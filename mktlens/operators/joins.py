@@ -292,16 +292,19 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame, left_key: str,
                        F.count_if(F.col("__k").isNull()).alias("__n_null"))
     distinct_keys = keys.where(F.col("__k").isNotNull()).distinct()
     kept = left.join(distinct_keys, left[left_key] == distinct_keys["__k"], "left_anti")
-    kept = constant_row_join(kept, summary)
+    kept = constant_row_join(kept, summary, proven=True)   # a global aggregate: one row
     return (kept.where((F.col("__n") == 0) |
                        ((F.col("__n_null") == 0) & F.col(left_key).isNotNull()))
             .drop("__n", "__n_null"))
 
 
-def constant_row_join(left: DataFrame, one_row: DataFrame) -> DataFrame:
+def constant_row_join(left: DataFrame, one_row: DataFrame, proven: bool = False) -> DataFrame:
     """Left join without condition to a side of at most one row (a filtered
     lookup or a global aggregate).  Left rows are kept when that side is
-    empty.  The side is broadcast: its size is one row by construction."""
+    empty.  The side is broadcast, so its size is checked first (a two-row
+    probe) unless the caller has ``proven`` it, as for a global aggregate."""
+    if not proven and one_row.limit(2).count() > 1:
+        raise ValueError("constant_row_join: the lookup side has more than one row")
     return left.join(F.broadcast(one_row), F.lit(True), "left")
 
 

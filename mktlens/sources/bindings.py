@@ -183,7 +183,7 @@ def purchase_orders(t: Tables) -> DataFrame:
     month = F.date_format(d, "MMMM")
     year = F.year(d).cast("string")
     part = t.part.select("p_partkey", "p_name")
-    x = (o.join(F.broadcast(n_parts), F.lit(True))          # one row
+    x = (o.join(F.broadcast(n_parts), F.lit(True))          # a global count: one row
          .join(part, (F.col("o_orderkey") % F.col("n_parts")) == F.col("p_partkey"), "left")
          .join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"), "left"))
     k3 = F.col("o_orderkey") % 3

@@ -39,6 +39,9 @@ def test_constant_row_join_keeps_left_on_empty(spark):
     left = spark.createDataFrame([(1,), (2,)], "x int")
     empty = spark.createDataFrame([], "e string")
     assert rows(constant_row_join(left, empty)) == [(1, None), (2, None)]
+    two = spark.createDataFrame([("a",), ("b",)], "e string")
+    with pytest.raises(ValueError):
+        constant_row_join(left, two)
 
 
 def _random_frames(spark, seed):
