@@ -64,10 +64,13 @@ def resolve_mentions(posts: DataFrame, lookup: DataFrame, n: int = MAX_MENTIONS,
 
 
 def organic_attribution(union_ids: DataFrame, posts: DataFrame, influencers: DataFrame) -> DataFrame:
+    """Mentions joined to publishers and to each post's best metrics (per
+    post and URL).  The original restricts the metrics to mentioned posts
+    with an ``in`` subquery first; the left join on the post id gives the
+    same rows, and skipping the filter saves a second pass of the mention
+    extraction over every caption (Spark would compute ``union_ids`` twice)."""
     publishers = influencers.select("publisher_name", "influencer_id").distinct()
-    wanted = union_ids.select("content_id").distinct()
-    best = (posts.join(wanted, "content_id", "left_semi")
-            .groupBy("content_id", "post_url")
+    best = (posts.groupBy("content_id", "post_url")
             .agg(F.max("lifetime_engagement").alias("max_lifetime_engagement"),
                  F.max("lifetime_reach").alias("max_lifetime_reach"),
                  F.max("lifetime_engagement_rate").alias("max_lifetime_engagement_rate"),
