@@ -49,11 +49,14 @@ def _horizon_aggs(label: str, days: int) -> list:
     ]
 
 
-def customer_value(orders: DataFrame, customers: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
+def customer_value(orders: DataFrame, customers: DataFrame, cutoff: str = DEFAULT_CUTOFF,
+                   horizons=HORIZONS) -> DataFrame:
     """``orders`` carries customer_id, order_name, order_date,
     acquisition_date, order_gross_sales, order_net_sales, item_quantity and
-    the item costs of the order; ``customers`` customer_id, infilled_gender."""
-    aggs = [a for label, days in HORIZONS for a in _horizon_aggs(label, days)]
+    the item costs of the order; ``customers`` customer_id, infilled_gender.
+    ``horizons`` lists (label, days): orders fewer than ``days`` days after
+    the first count towards ``label``."""
+    aggs = [a for label, days in horizons for a in _horizon_aggs(label, days)]
     late = days_between("acquisition_date", "order_date") > RETAINED_AFTER_DAYS
     aggs.append(F.when(F.sum(F.when(late, F.lit(1))).isNotNull(), F.lit(1)).alias("retained_customer"))
     joined = orders.join(customers, "customer_id", "left")
