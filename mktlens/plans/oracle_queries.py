@@ -696,3 +696,14 @@ SQL.update({
         SELECT wix_order_name, CASE WHEN order_date > order_date_nam THEN order_date_nam ELSE order_date END AS order_date_local
         FROM journey_orders"""),
 })
+
+
+# the paid plan with the original's LIKE semantics ('_' and '%' in names are wildcards)
+_PAID_CTES_LIKE = [(n, b.replace("ON contains(lower(m.campaign), lower(l.name))",
+                                 "ON lower(m.campaign) LIKE '%' || lower(l.name) || '%'"))
+                   for n, b in _PAID_CTES]
+assert _PAID_CTES_LIKE != _PAID_CTES
+SQL["paid_ad_attribution_wildcards"] = SQL["paid_ad_attribution"].replace(
+    with_bindings(_PAID_B, _PAID_CTES, ""), with_bindings(_PAID_B, _PAID_CTES_LIKE, ""))
+assert SQL["paid_ad_attribution_wildcards"] != SQL["paid_ad_attribution"]
+SQL["match_campaigns_wildcards"] = with_bindings(_PAID_B, _PAID_CTES_LIKE, "SELECT * FROM lookup_joins")

@@ -103,9 +103,12 @@ def matched_titles(catalogue: DataFrame, variants: DataFrame, min_len: int = MIN
     return m.select("campaign", "influencer_id").distinct()
 
 
-def paid_ad_attribution(t: Tables) -> DataFrame:
+def paid_ad_attribution(t: Tables, wildcards: bool = False) -> DataFrame:
+    """``wildcards=True`` keeps the original's LIKE: a '_' in a handle
+    matches any character of a title."""
     infl, ads = B.influencers(t), B.paid_social_campaigns(t)
-    matches = matched_titles(campaign_catalogue(ads), name_variants(infl, B.content_posted(t)))
+    matches = matched_titles(campaign_catalogue(ads), name_variants(infl, B.content_posted(t)),
+                             wildcards=wildcards)
     # the original orders a CREATE TABLE AS; a table has no row order, so
     # no sort is spent on it (callers sort when they display)
     return paid_attribution(ads, matches, infl)

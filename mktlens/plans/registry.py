@@ -182,6 +182,19 @@ def _multi_slot_lookup(t: Tables) -> DataFrame:
 register("paid_ad_attribution")(P.paid_ad_attribution)
 
 
+@register("paid_ad_attribution_wildcards")
+def _paid_wildcards(t: Tables) -> DataFrame:
+    """As written: LIKE patterns, so '_' in handles matches any character."""
+    return P.paid_ad_attribution(t, wildcards=True)
+
+
+@register("match_campaigns_wildcards")
+def _match_campaigns_wildcards(t: Tables) -> DataFrame:
+    infl = B.influencers(t)
+    return P.match_campaigns(P.campaign_catalogue(B.paid_social_campaigns(t)),
+                             P.name_variants(infl, B.content_posted(t)), infl, wildcards=True)
+
+
 @register("name_variants")
 def _name_variants(t: Tables) -> DataFrame:
     return P.name_variants(B.influencers(t), B.content_posted(t))
