@@ -3,8 +3,10 @@ customer did between the previous order (or the first visit) and this one.
 
 Plan shape (Spark-first):
 
-* order history: one window partition per customer gives acquisition date,
-  lags and gap days in a single exchange;
+* order history without per-customer windows: the acquisition date is an
+  aggregate joined back, the previous order an equi self-join on (customer,
+  sequence - 1), the re-sequencing a bucketed row number - a customer with a
+  third of all orders is never one task;
 * feature sources are reduced to ``(customer_id, t, kind, num, txt)`` rows
   and unioned, so the nine "t between lookback start and order stamp" joins
   become ONE time-bucketed interval join and ONE aggregation keyed by order;
