@@ -192,12 +192,13 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
     if how not in ("left", "inner"):
         raise ValueError("wildcard_join supports how='left' or 'inner'")
     names_all = right.where(F.col(name).isNotNull())
-    n_names = names_all.count()
     tl = "__tl"
-    if n_names <= inline_limit:
-        fields = right.schema.fields
-        req = _required_token(F.lower(F.col(name)), wildcards)
-        rows = names_all.select(*[F.col(f.name) for f in fields], req.alias("__req")).collect()
+    fields = right.schema.fields
+    req = _required_token(F.lower(F.col(name)), wildcards)
+    # one bounded read decides the tier and fetches the names when few
+    rows = (names_all.select(*[F.col(f.name) for f in fields], req.alias("__req"))
+            .limit(inline_limit + 1).collect())
+    if len(rows) <= inline_limit:
         lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields],
                          F.lit(r["__req"]).cast("string").alias("__req")) for r in rows]
         if not lits:
