@@ -72,14 +72,14 @@ def customer_database(t: Tables) -> DataFrame:
 
 def customer_value_metrics(t: Tables, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
     """Item costs joined per order (customer and order), one lineitem pass."""
-    orders = B.customer_orders(t, with_item_costs=True)
+    orders = B.customer_orders(t, with_item_costs=True, with_sequence=False)
     return customer_value(orders, customer_database(t), cutoff)
 
 
 def customer_value_metrics_literal(t: Tables, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
     """As written: item costs grouped per order but joined per customer, so
     each order row meets every order's costs of its customer."""
-    orders = B.customer_orders(t)
+    orders = B.customer_orders(t, with_sequence=False)
     costs = item_costs(B.items_sold(t)).drop("order_name")
     return customer_value(orders.join(costs, "customer_id", "left"), customer_database(t), cutoff)
 
@@ -87,7 +87,7 @@ def customer_value_metrics_literal(t: Tables, cutoff: str = DEFAULT_CUTOFF) -> D
 def retention_flags(t: Tables, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
     """Retained (an order more than 365 days after the first) and eligible
     (first order more than 365 days before the cut-off) per customer."""
-    o = B.customer_orders(t)
+    o = B.customer_orders(t, with_sequence=False)
     late = days_between("acquisition_date", "order_date") > RETAINED_AFTER_DAYS
     out = o.groupBy("customer_id", "acquisition_date").agg(
         F.when(F.sum(F.when(late, F.lit(1))).isNotNull(), F.lit(1)).cast("int").alias("retained_customer"))
