@@ -1,13 +1,15 @@
 """Joins the attribution plans need beyond plain equi joins.
 
 * ``interval_join``        - equi key plus ``t between lo and hi`` (left or
-  inner).  Optionally time-bucketed so a customer with a huge history is
-  split over many (key, bucket) join keys instead of one hash bucket that
-  pairs every order with every feature.
+  inner).  Optionally time-bucketed (several widths) so a customer with a
+  huge history is split over many (key, level, bucket) join keys instead of
+  one hash bucket that pairs every order with every feature.
 * ``wildcard_join``        - ``lower(text) like '%' || lower(name) || '%'``
-  without a nested loop: names are blocked by a leading q-gram, texts emit
-  their distinct q-grams, the equi join on the gram yields candidates that
-  are verified with ``contains`` (or LIKE when wildcards are wanted).
+  without a nested loop: few names are inlined and checked per text behind
+  an interior-word gate; many names are blocked by an interior word or a
+  leading q-gram, texts emit their distinct words and grams, and the equi
+  join yields candidates verified with ``contains`` (or LIKE when wildcards
+  are wanted).
 * ``null_aware_anti_join`` - ``x not in (select y ...)`` with SQL's NULL rules,
   built from a hash anti join plus a one-row summary of the subquery.
 * ``constant_row_join``    - left join without a condition to a one-row side.
@@ -22,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
