@@ -41,6 +41,16 @@ CLUSTER_CONF = {
 }
 
 
+def _driver_memory(cap_gb: int = 16) -> str:
+    """Heap for the local-mode JVM: 60 % of physical memory, at most ``cap_gb``."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(1, min(cap_gb, int(total * 0.6 / 2 ** 30)))
+    except (ValueError, OSError, AttributeError):
+        gb = 4
+    return f"{gb}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "mktlens") -> SparkSession:
     builder = (
@@ -48,7 +58,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("MKTLENS_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("MKTLENS_DRIVER_MEMORY", _driver_memory()))
     )
     for k, v in PLAN_CONF.items():
         builder = builder.config(k, v)
