@@ -90,10 +90,12 @@ def base_orders(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 def clean_sessions(sessions: DataFrame) -> DataFrame:
     """Sessions of customers none of whose orders is attributed to several
-    sessions (``customer_id not in (...)``)."""
+    sessions (``customer_id not in (...)``).  A NULL customer is left out of
+    the list (decision D12): with SQL's rules it would empty the result;
+    NULL customers themselves still drop out, as ``not in`` does."""
     dupes = duplicate_keys(sessions.where(F.col("wix_order_name").isNotNull()),
                            ["customer_id", "wix_order_name"], "wix_order_name", op=">", threshold=1)
-    return null_aware_anti_join(sessions, dupes, "customer_id")
+    return null_aware_anti_join(sessions, dupes.where(F.col("customer_id").isNotNull()), "customer_id")
 
 
 def conversion_sessions(visits: DataFrame, base: DataFrame) -> DataFrame:

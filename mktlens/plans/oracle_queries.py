@@ -374,7 +374,8 @@ _JOURNEY_CTES = [
     ("wix_dupes", """
         SELECT customer_id, wix_order_name, COUNT(wix_order_name) AS n FROM sessions_master
         WHERE wix_order_name IS NOT NULL GROUP BY 1, 2 HAVING COUNT(wix_order_name) > 1"""),
-    ("website_visit_data", "SELECT * FROM sessions_master WHERE customer_id NOT IN (SELECT customer_id FROM wix_dupes)"),
+    ("website_visit_data", """SELECT * FROM sessions_master
+                              WHERE customer_id NOT IN (SELECT customer_id FROM wix_dupes WHERE customer_id IS NOT NULL)"""),
     ("conversion_session_data", "SELECT * FROM website_visit_data WHERE wix_order_name IN (SELECT wix_order_name FROM base_table)"),
     ("website_distinct_data", """
         SELECT customer_id, visit_date AS first_visit_date, visit_start_time AS first_visit_timestamp

@@ -105,3 +105,11 @@ def test_duplicate_order_names(spark):
     ], "customer_id int, order_sequence int, wix_order_name string, wix_order_stamp timestamp_ntz")
     out = rows(clean_order_sequence(h), "customer_id", "wix_order_name", "order_sequence_new")
     assert out == [(1, "B", 1), (2, "C", 1), (2, "D", 2), (2, "D", 3)]
+
+
+def test_clean_sessions_null_customer_does_not_empty(spark):
+    """D12: a NULL customer with a repeated order name must not empty the result."""
+    from mktlens.plans.journey import clean_sessions
+    s = spark.createDataFrame([(None, 7), (None, 7), (1, 8), (2, 9), (2, 9)],
+                              "customer_id int, wix_order_name int")
+    assert rows(clean_sessions(s), "customer_id") == [(1,)]
