@@ -130,8 +130,10 @@ def event_halo(commercial: DataFrame, sessions: DataFrame, literal_window: bool
         moving_average("total_sales", part, order, rows, 2).cast("decimal(38,2)").alias("avg_net_sales_l3m"))
 
 
-def event_halo_effect(t: Tables, literal_window: bool = False) -> DataFrame:
+def event_halo_effect(t: Tables, literal_window: bool = False, k: int | None = None) -> DataFrame:
+    """``k`` keeps the original's cap on session rows (its ``top 10000``,
+    first by customer and visit start); off by default."""
     ev = checked_event(t)       # one lookup, checked once, for both sides
     commercial = halo_commercial(halo_orders(t, event=ev))
-    sessions = halo_sessions(halo_session_rows(t, event=ev))
+    sessions = halo_sessions(halo_session_rows(t, k=k, event=ev))
     return event_halo(commercial, sessions, literal_window).orderBy("shipping_city", "months_to_popup_event")

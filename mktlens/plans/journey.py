@@ -81,8 +81,8 @@ def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES) -> D
     return kept.withColumn("diff_seq", F.col("order_sequence") - F.col("order_sequence_new"))
 
 
-def base_orders(t: Tables) -> DataFrame:
-    return clean_order_sequence(order_history(B.journey_orders(t), B.regional_index(t)))
+def base_orders(t: Tables, acquired_from: str = ACQUIRED_FROM, as_of: str | None = AS_OF) -> DataFrame:
+    return clean_order_sequence(order_history(B.journey_orders(t), B.regional_index(t), acquired_from, as_of))
 
 
 # ---------------------------------------------------------------------------
@@ -289,30 +289,34 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
         "mail_control")
 
 
-def _prepared(t: Tables, bucket_seconds):
+def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = AS_OF):
     # the cleaned orders feed six branches (windows, returns, conversion
     # sessions and three "customer in base" filters): written once to the
     # shared checkpoint folder instead of being recomputed per branch
-    base = checkpoint_table(base_orders(t), "journey_base_orders")
+    base = checkpoint_table(base_orders(t, acquired_from, as_of), "journey_base_orders")
     visits = clean_sessions(B.sessions_master(t, numbered=True))
     windows = lookback_start(base, first_visit(visits))
     feats = _per_order_features(windows, feature_events(t, None), bucket_seconds)
     return base, visits, windows, feats
 
 
-def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS) -> DataFrame:
-    """Default form: every feature aggregated per order, joined 1:1."""
-    base, visits, windows, feats = _prepared(t, bucket_seconds)
+def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS, acquired_from: str = ACQUIRED_FROM,
+                                as_of: str | None = AS_OF) -> DataFrame:
+    """Default form: every feature aggregated per order, joined 1:1.  The
+    cohort is the customers acquired in ``[acquired_from, as_of]``
+    (``as_of=None`` means today)."""
+    base, visits, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
     rows = _equi_features(t, windows, visits).join(feats, ORDER_KEY, "left")
     return _assemble(rows, lambda kind: F.lit(1))
 
 
-def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS) -> DataFrame:
+def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS,
+                                        acquired_from: str = ACQUIRED_FROM, as_of: str | None = AS_OF) -> DataFrame:
     """The written form: first-visit rows joined again per customer, nine
     one-to-many left joins multiplying one another, then grouped by 16 keys.
     Sums and counts of a feature are scaled by the equi-join rows of the
     group and by the match counts of the other eight features."""
-    base, visits, windows, feats = _prepared(t, bucket_seconds)
+    base, visits, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
     g1 = visits.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
     rows = _equi_features(t, windows, visits).join(g1, "customer_id", "left")
     keys = ["customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
