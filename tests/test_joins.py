@@ -109,3 +109,24 @@ def test_multilevel_buckets_equal_plain(spark):
     for widths in [(3600,), (3600, 86400, 86400 * 32)]:
         fast = interval_join(lf, rf, "k", "lo", "hi", "t", how="inner", bucket_seconds=widths, max_span=8)
         assert rows(fast, "i", "j") == rows(plain, "i", "j")
+
+
+@pytest.mark.parametrize("tier", ["inline", "probe", "explode"])
+def test_wildcard_join_unicode_equals_nested_loop(spark, tier):
+    """Words of several scripts, combining marks and punctuation: the word
+    gate and the word/gram blocking stay exact."""
+    rnd = random.Random(tier)
+    alphabet = ["a", "é", "é", "ß", "Ж", "ж", "中", "文", "1", " ", "-", ".", "_", "İ", "\U0001F600"]
+    def word(n):
+        return "".join(rnd.choice(alphabet) for _ in range(n))
+    texts = [(word(rnd.randint(0, 40)),) for _ in range(80)]
+    names = [(i, word(rnd.randint(1, 10))) for i in range(50)]
+    # names copied out of texts, so that matches exist
+    names += [(100 + i, t[0][a:a + rnd.randint(1, 12)]) for i, t in enumerate(texts[:30])
+              for a in [rnd.randint(0, max(0, len(t[0]) - 1))]]
+    tf = spark.createDataFrame(texts, "text string")
+    nf = spark.createDataFrame(names, "nid int, name string")
+    limits = {"inline": {}, "probe": {"inline_limit": 0}, "explode": {"inline_limit": 0, "probe_limit": 0}}[tier]
+    fast = wildcard_join(tf, nf, "text", "name", how="left", q=3, **limits)
+    slow = wildcard_join_nested(tf, nf, "text", "name", how="left")
+    assert rows(fast, "text", "nid") == rows(slow, "text", "nid")
