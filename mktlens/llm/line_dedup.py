@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import WHITE, lower_ascii
+from mktlens.llm.common import WHITE, checkpointed, lower_ascii
 
 # Each frequent line's verdict is repeated for this many slices of its documents.
 SLICES = 32
@@ -54,7 +54,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     """One row per document that loses lines: doc_id, version, n_lines,
     n_dropped and ``keep``, the runs (start, length) of lines it keeps."""
     streamed = (
-        line_hashes(docs, min_chars)
+        checkpointed(line_hashes(docs, min_chars))
         .repartitionByRange("h1", "h2", "doc_id")
         .sortWithinPartitions("h1", "h2", "doc_id", "pos")
     )
