@@ -10,7 +10,7 @@ conditional hypergeometric draws; the leaves then hold the quota of each
 orders its documents locally by a hash.
 
 Cost: one thin row per document (no text) is shuffled by (source, hash
-bucket), so a source that holds a third of all rows is spread over 65,536
+bucket), so a source that holds a third of all rows is spread over 4,096
 buckets; cumulative sums run within a bucket and over bucket totals.  The tree
 handles one array of quotas per node, one entry per source.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from mktlens.llm.common import WORD, checkpointed
 
-BUCKET_BITS = 16
+BUCKET_BITS = 12
 
 
 def word_count(text: Column) -> Column:
