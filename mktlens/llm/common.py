@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +31,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     gets a scratch folder.  Spark's cleaner removes the files when the frame
     is no longer referenced and the cluster enables that.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not spark.sparkContext.master.startswith("local["):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
-            folder = tempfile.mkdtemp(prefix="mktlens-llm-")
-        spark.sparkContext.setCheckpointDir(folder)
+    folder = _shared_folder(df.sparkSession)
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a scratch folder only for a local session that names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
+        folder = tempfile.mkdtemp(prefix="mktlens-llm-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # the session is still up
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: a
+    compressed checkpoint, for frames that several jobs read.  Removed when
+    the driver program ends."""
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/mktlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mktlens.llm import line_dedup, mixing, packing
+from mktlens.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,13 @@ def _over(name: str, op: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op3_packing": _over("documents", packing.op3_packing),
+    "op4_jaccard_join": _over("documents", jaccard_join.op4_jaccard_join),
+    "op5_quality_rules": _over("documents", quality_rules.op5_quality_rules),
     "op7_mixing": _over("documents", mixing.op7_mixing),
     "op8_line_dedup": _over("documents", line_dedup.op8_line_dedup),
 }
 
 SQL: dict[str, str] = {
+    "op5_quality_rules": quality_rules.OP5_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
 }
