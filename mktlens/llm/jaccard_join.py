@@ -42,8 +42,8 @@ from mktlens.llm.common import checkpointed, stored
 from mktlens.llm.components import components
 from mktlens.llm.wordhash import U, Words, mix, multipliers, segment_sums, slices, words_of
 
-MAX_MATCH = 4
-VERIFY_COST = 4.0
+MAX_MATCH = 12
+VERIFY_COST = 8.0
 SKETCH_SLICES = 16
 
 
@@ -153,53 +153,55 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
     """(token, node, n, ell) of the prefix shingles that two nodes or more share."""
     shared = docs.sparkSession.sparkContext.broadcast(rank_class)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sorted_postings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct postings of a batch by token, and which is a token's first."""
+        parts = []
+        for _, data, bounds in slices(batch.column("text")):
+            row, h = shingles(words_of(data, bounds, fold=True), k)
+            size, node = _nodes(row, h, len(bounds) - 1)
+            row, h, ell = _prefixes(row, h, size, shared.value, bits, percent)
+            p = np.zeros(len(h), POSTING)
+            p["token"], p["node"], p["n"], p["ell"] = h, node[row], size[row], ell[row]
+            parts.append(p)
+        p = np.concatenate(parts) if parts else np.zeros(0, POSTING)
+        p = p[np.lexsort((p["node"], p["token"]))]
+        new = np.ones(len(p), bool)
+        new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["node"][1:] != p["node"][:-1])
+        p = p[new]
+        head = np.ones(len(p), bool)
+        head[1:] = p["token"][1:] != p["token"][:-1]
+        return p, head
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One posting per token and batch, packed by bucket, with a bit that
+        says whether the batch has more of the token."""
         for batch in batches:
-            parts = []
-            for _, data, bounds in slices(batch.column("text")):
-                row, h = shingles(words_of(data, bounds, fold=True), k)
-                size, node = _nodes(row, h, len(bounds) - 1)
-                row, h, ell = _prefixes(row, h, size, shared.value, bits, percent)
-                p = np.zeros(len(h), POSTING)
-                p["token"], p["node"], p["n"], p["ell"] = h, node[row], size[row], ell[row]
-                parts.append(p)
-            p = np.concatenate(parts) if parts else np.zeros(0, POSTING)
-            p = p[np.lexsort((p["node"], p["token"]))]
-            new = np.ones(len(p), bool)
-            new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["node"][1:] != p["node"][:-1])
-            p = p[new]
-            head = np.ones(len(p), bool)
-            head[1:] = p["token"][1:] != p["token"][:-1]
-            # later postings of a token need no other batch to be known as shared
-            yield from rows(p[~head])
-            p = p[head]
-            again = np.zeros(len(p), bool)
-            again[:-1] = ~head[np.nonzero(head)[0][1:] - 1] if len(p) > 1 else []
-            if len(p):
-                again[-1] = not head[-1]
+            p, head = sorted_postings(batch)
+            at = np.nonzero(head)[0]
+            more = np.diff(np.append(at, len(p))) > 1
+            p = p[at]
             bucket = (p["token"] % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            cuts = np.nonzero(np.diff(bucket[order]))[0] + 1
-            groups = np.split(order, cuts) if len(order) else []
+            groups = np.split(order, np.nonzero(np.diff(bucket[order]))[0] + 1) if len(order) else []
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(bucket[g[0]]) for g in groups], pa.int32()), pa.array([p[g].tobytes() for g in groups], pa.binary()),
-                 pa.array([np.packbits(again[g]).tobytes() for g in groups], pa.binary()), *[pa.nulls(len(groups), t) for t in TYPES]],
-                names=["bucket", "blob", "again", *POSTING.names])
-
-    TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+                 pa.array([np.packbits(more[g]).tobytes() for g in groups], pa.binary())], names=["bucket", "blob", "more"])
 
-    def rows(p: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(p), 50_000):
-            q = p[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(q), pa.int32()), pa.nulls(len(q), pa.binary()), pa.nulls(len(q), pa.binary()),
-                 *[pa.array(np.ascontiguousarray(c)) for c in (q["token"].astype(np.int64), q["node"], q["n"], q["ell"].astype(np.int32))]],
-                names=["bucket", "blob", "again", *POSTING.names])
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rest: known to be shared without a look at other batches."""
+        for batch in batches:
+            p, head = sorted_postings(batch)
+            p = p[~head]
+            for at in range(0, len(p), 50_000):
+                q = p[at:at + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ascontiguousarray(c)) for c in (q["token"].astype(np.int64), q["node"], q["n"], q["ell"].astype(np.int32))],
+                    names=POSTING.names)
 
     def meet(key, frame: pd.DataFrame) -> pd.DataFrame:
         p = np.concatenate([np.frombuffer(b, POSTING) for b in frame["blob"]])
         again = np.concatenate([np.unpackbits(np.frombuffer(a, np.uint8), count=len(b) // POSTING.itemsize)
-                                for a, b in zip(frame["again"], frame["blob"], strict=True)]).astype(bool)
+                                for a, b in zip(frame["more"], frame["blob"], strict=True)]).astype(bool)
         order = np.lexsort((p["node"], p["token"]))
         p, again = p[order], again[order]
         _, start, back = np.unique(p["token"], return_index=True, return_inverse=True)
@@ -209,9 +211,8 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
         return pd.DataFrame({"token": p["token"].astype(np.int64), "node": p["node"], "n": p["n"], "ell": p["ell"].astype(np.int32)})
 
     cols = "token long, node long, n int, ell int"
-    emitted = stored(docs.mapInArrow(emit, f"bucket int, blob binary, again binary, {cols}"))
-    met = emitted.where(F.col("bucket").isNotNull()).groupBy("bucket").applyInPandas(meet, cols)
-    return stored(met.union(emitted.where(F.col("bucket").isNull()).select("token", "node", "n", "ell")))
+    met = docs.mapInArrow(heads, "bucket int, blob binary, more binary").groupBy("bucket").applyInPandas(meet, cols)
+    return stored(met.union(docs.mapInArrow(others, cols)))
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, thin: DataFrame) -> DataFrame:
@@ -276,9 +277,11 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, bits: int =
     links, label = None, None
     for seed in (1, 2):
         hubs = posted.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), F.col("node").alias("hub"), F.col("n").alias("hub_n"))).alias("x"))
-        star = posted.join(hubs.select("token", "x.hub", "x.hub_n"), "token").where(
-            (F.col("hub") != F.col("node")) & near("hub_")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+            F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), F.col("node").alias("hub"), F.col("n").alias("hub_n"),
+                           F.col("ell").alias("hub_ell"))).alias("x"))
+        star = posted.join(hubs.select("token", "x.hub", "x.hub_n", "x.hub_ell"), "token").where(
+            (F.col("hub") != F.col("node")) & near("hub_")).groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(
+            F.count(F.lit(1)).alias("shared"), F.first(F.least("ell", "hub_ell")).alias("ell")).where("shared >= ell").select("a", "b")
         if label is not None:
             star = _between(star, label)
         found = checkpointed(verify(star, texts, k, percent))
