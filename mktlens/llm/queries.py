@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mktlens.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
+from mktlens.llm import jaccard_join, line_dedup, mixing, packing, quality_rules, substring_dedup
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": _over("documents", packing.op3_packing),
     "op4_jaccard_join": _over("documents", jaccard_join.op4_jaccard_join),
     "op5_quality_rules": _over("documents", quality_rules.op5_quality_rules),
+    "op6_substring_dedup": _over("documents", substring_dedup.op6_substring_dedup),
     "op7_mixing": _over("documents", mixing.op7_mixing),
     "op8_line_dedup": _over("documents", line_dedup.op8_line_dedup),
 }
