@@ -8,11 +8,14 @@ lengths of its shingles' posting lists: a longer prefix reads more postings,
 but asks for more shared shingles before a pair is verified.  A pair becomes a
 candidate only with as many shared prefix shingles as the smaller of its two l.
 
+Before verification the count must also reach what the pair's sizes ask for,
+given how many shingles each document has beyond its prefix.
+
 Exact at every size: the frequency estimate (a hashed count table of bounded
 size over all shingles of all documents) only sets the order, never the result.
 
 Scale:
-* Equal shingle sets are one node.  Postings travel packed, 21 bytes each; a
+* Equal shingle sets are one node.  Postings travel packed, 23 bytes each; a
   shingle that occurs twice within one batch leaves it only once, so the list
   of a very frequent shingle is bounded by the number of batches, not documents.
 * Large groups of near copies aren't compared pairwise.  Two rounds compare the
@@ -87,12 +90,14 @@ def features(docs: DataFrame, k: int, bits: int) -> DataFrame:
             for first, data, bounds in slices(batch.column("text")):
                 row, h = shingles(words_of(data, bounds, fold=True), k)
                 size, node = _nodes(row, h, len(bounds) - 1)
-                counts += np.bincount((h >> U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+                at, times = np.unique(h >> U(64 - bits), return_counts=True)
+                counts[at] += times.astype(np.uint32)
                 m = len(size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, m), pa.array(node), pa.array(size), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                     names=["doc_id", "node", "n", "slice", "counts"])
-        parts = [x.tobytes() for x in np.split(counts, SKETCH_SLICES)] if counts.any() else []
+        c = zstandard.ZstdCompressor(level=1)
+        parts = [c.compress(x.tobytes()) for x in np.split(counts, SKETCH_SLICES)] if counts.any() else []
         m = len(parts)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())],
@@ -108,10 +113,9 @@ def frequency_table(feature_rows: DataFrame, bits: int) -> np.ndarray:
     def add(key, rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << bits) // SKETCH_SLICES, np.uint64)
         for x in rows["counts"]:
-            total += np.frombuffer(x, np.uint32)
+            total += np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint32)
         return pd.DataFrame({"slice": [key[0]], "counts": [total.astype(np.float32).tobytes()]})
 
-    # partial sums over few rows first, so that no task reads one row of every task
     partial = feature_rows.where(F.col("slice").isNotNull()).select("slice", "counts")
     summed = partial.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()
     table = np.zeros(1 << bits, np.float32)
@@ -124,7 +128,8 @@ def frequency_table(feature_rows: DataFrame, bits: int) -> np.ndarray:
 
 
 def _prefixes(row, h, size, rank_class, bits, percent):
-    """(row, hash, l of the row) of the shingles in each row's adaptive prefix."""
+    """Shingles in each row's adaptive prefix as (row, hash), and per row its l
+    and how frequent its shingles are on average (in 1/256 classes)."""
     cls = rank_class[(h >> U(64 - bits)).astype(np.int64)]
     order = np.lexsort((h, cls, row))
     row, h, cls = row[order], h[order], cls[order]
@@ -143,10 +148,11 @@ def _prefixes(row, h, size, rank_class, bits, percent):
             better = cost < best
             ell[better], best = m, np.where(better, cost, best)
     own = rank < (size - need + ell)[row]
-    return row[own], h[own], ell
+    usual = np.bincount(row, weights=cls, minlength=len(size)) * 256 // np.maximum(size, 1)
+    return row[own], h[own], ell, usual.astype(np.uint16)
 
 
-POSTING = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4"), ("ell", "u1")])
+POSTING = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4"), ("ell", "u1"), ("usual", "<u2")])
 
 
 def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent: int, buckets: int) -> DataFrame:
@@ -159,9 +165,9 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
         for _, data, bounds in slices(batch.column("text")):
             row, h = shingles(words_of(data, bounds, fold=True), k)
             size, node = _nodes(row, h, len(bounds) - 1)
-            row, h, ell = _prefixes(row, h, size, shared.value, bits, percent)
+            row, h, ell, usual = _prefixes(row, h, size, shared.value, bits, percent)
             p = np.zeros(len(h), POSTING)
-            p["token"], p["node"], p["n"], p["ell"] = h, node[row], size[row], ell[row]
+            p["token"], p["node"], p["n"], p["ell"], p["usual"] = h, node[row], size[row], ell[row], usual[row]
             parts.append(p)
         p = np.concatenate(parts) if parts else np.zeros(0, POSTING)
         p = p[np.lexsort((p["node"], p["token"]))]
@@ -195,7 +201,7 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
             for at in range(0, len(p), 50_000):
                 q = p[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ascontiguousarray(c)) for c in (q["token"].astype(np.int64), q["node"], q["n"], q["ell"].astype(np.int32))],
+                    [pa.array(np.ascontiguousarray(c)) for c in (q["token"].astype(np.int64), q["node"], q["n"], q["ell"].astype(np.int32), q["usual"].astype(np.int32))],
                     names=POSTING.names)
 
     def meet(key, frame: pd.DataFrame) -> pd.DataFrame:
@@ -208,9 +214,10 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
         low, high = p["node"][start], np.maximum.reduceat(p["node"], start)
         keep = ((low != high) | (np.bitwise_or.reduceat(again, start)))[back]
         p = p[keep]
-        return pd.DataFrame({"token": p["token"].astype(np.int64), "node": p["node"], "n": p["n"], "ell": p["ell"].astype(np.int32)})
+        return pd.DataFrame({"token": p["token"].astype(np.int64), "node": p["node"], "n": p["n"], "ell": p["ell"].astype(np.int32),
+                             "usual": p["usual"].astype(np.int32)})
 
-    cols = "token long, node long, n int, ell int"
+    cols = "token long, node long, n int, ell int, usual int"
     met = docs.mapInArrow(heads, "bucket int, blob binary, more binary").groupBy("bucket").applyInPandas(meet, cols)
     return stored(met.union(docs.mapInArrow(others, cols)))
 
@@ -261,11 +268,22 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, bits: int = 20,
+def _may_link(percent: int, a: tuple[str, str], b: tuple[str, str]):
+    """Whether a pair with ``shared`` prefix shingles can reach the similarity:
+    beyond the prefix that ends first, a document has only ceil(t*n) - l more."""
+    n_a, n_b = F.col(a[0]), F.col(b[0])
+    beyond = [F.ceil(F.col(n) * percent / F.lit(100)) - F.col(ell) for n, ell in (a, b)]
+    return (F.col("shared") >= F.least(a[1], b[1])) & (
+        (100 + percent) * (F.col("shared") + F.greatest(*beyond)) >= percent * (n_a + n_b))
+
+
+def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per_doc: int = 32, max_bits: int = 26,
                     docs_per_bucket: int = 4096) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the
-    smallest doc_id reachable by links)."""
+    smallest doc_id reachable by links).  The frequency table has
+    ``counters_per_doc`` entries per document, 2**max_bits (64 MB) at most."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    bits = min(max_bits, max(16, (d.count() * counters_per_doc).bit_length()))
     feature_rows = stored(features(d, k, bits))
     thin = feature_rows.where(F.col("slice").isNull()).select("doc_id", "node", "n")
     known = thin.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -275,10 +293,11 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, bits: int =
 
     near = lambda p: (F.col(f"{p}n") * percent <= F.col("n") * 100) & (F.col("n") * percent <= F.col(f"{p}n") * 100)
     links, label = None, None
-    for seed in (1, 2):
+    # first the document whose shingles are the most frequent (of near copies, the
+    # one least changed), then one by hash
+    for order in (F.col("usual"), F.xxhash64("node")):
         hubs = posted.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), F.col("node").alias("hub"), F.col("n").alias("hub_n"),
-                           F.col("ell").alias("hub_ell"))).alias("x"))
+            F.max(F.struct(order.alias("o"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("ell").alias("hub_ell"))).alias("x"))
         star = posted.join(hubs.select("token", "x.hub", "x.hub_n", "x.hub_ell"), "token").where(
             (F.col("hub") != F.col("node")) & near("hub_")).groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(
             F.count(F.lit(1)).alias("shared"), F.first(F.least("ell", "hub_ell")).alias("ell")).where("shared >= ell").select("a", "b")
@@ -295,8 +314,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, bits: int =
     cross = (
         rest.join(other, "token").where((F.col("comp") < F.col("o_comp")) & near("o_"))
         .groupBy(F.col("node").alias("a"), F.col("o_node").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("ell", "o_ell")).alias("ell"))
-        .where(F.col("shared") >= F.col("ell")).select("a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in ("n", "ell", "o_n", "o_ell")])
+        .where(_may_link(percent, ("n", "ell"), ("o_n", "o_ell"))).select("a", "b")
     )
     label = components(links.union(checkpointed(verify(cross, texts, k, percent))))
 
