@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mktlens.llm import html_extract, jaccard_join, line_dedup, mixing, packing, quality_rules, substring_dedup, warc
+from mktlens.llm import embedding_dedup, html_extract, jaccard_join, langid, line_dedup, mixing, packing, quality_rules, substring_dedup, warc
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,13 @@ def _over(name: str, op: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": _over("pages", html_extract.op1_html_extraction),
     "op3_packing": _over("documents", packing.op3_packing),
+    "op2_language_id": _over("documents", langid.op2_language_id),
     "op4_jaccard_join": _over("documents", jaccard_join.op4_jaccard_join),
     "op5_quality_rules": _over("documents", quality_rules.op5_quality_rules),
     "op6_substring_dedup": _over("documents", substring_dedup.op6_substring_dedup),
     "op7_mixing": _over("documents", mixing.op7_mixing),
     "op8_line_dedup": _over("documents", line_dedup.op8_line_dedup),
+    "op9_embedding_dedup": _over("embeddings", embedding_dedup.op9_embedding_dedup),
     "op10_warc_derivatives": _over("pages", warc.op10_warc_derivatives),
 }
 
