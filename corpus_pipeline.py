@@ -10,7 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktlens.llm import line_dedup, mixing, packing
+from mktlens.llm import jaccard_join, langid, line_dedup, mixing, packing
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; the classifier learns from docs' own labels."""
+    return langid.keep_known(docs, langid.fit(docs))
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +24,11 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: its smallest doc_id."""
+    return jaccard_join.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
@@ -28,7 +38,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("language_id", known_language),
     ("line_dedup", drop_common_lines),
+    ("jaccard_join", one_of_each_class),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
