@@ -277,7 +277,7 @@ def _may_link(percent: int, a: tuple[str, str], b: tuple[str, str]):
         (100 + percent) * (F.col("shared") + F.greatest(*beyond)) >= percent * (n_a + n_b))
 
 
-def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per_doc: int = 32, max_bits: int = 26,
+def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per_doc: int = 8, max_bits: int = 26,
                     docs_per_bucket: int = 4096) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the
     smallest doc_id reachable by links).  The frequency table has
@@ -309,10 +309,15 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per
     # whatever still lies in two classes: all of it, by the multi-match rule
     posted_in = posted.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     open_tokens = posted_in.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    rest = stored(posted_in.join(open_tokens, "token"))
-    other = rest.select("token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ell", "comp")])
+    beyond = F.ceil(F.col("n") * percent / F.lit(100)) - F.col("ell")
+    rest = stored(posted_in.join(open_tokens, "token").select("token", "node", "n", "ell", "comp", beyond.alias("beyond")))
+    # a pair shares no more than either end has left in open lists
+    left = rest.groupBy("node").agg(F.count(F.lit(1)).alias("left"))
+    rest = rest.join(left, "node")
+    other = rest.select("token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ell", "comp", "beyond", "left")])
+    enough = (100 + percent) * (F.least("left", "o_left") + F.greatest("beyond", "o_beyond")) >= percent * (F.col("n") + F.col("o_n"))
     cross = (
-        rest.join(other, "token").where((F.col("comp") < F.col("o_comp")) & near("o_"))
+        rest.join(other, "token").where((F.col("comp") < F.col("o_comp")) & near("o_") & enough)
         .groupBy(F.col("node").alias("a"), F.col("o_node").alias("b"))
         .agg(F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in ("n", "ell", "o_n", "o_ell")])
         .where(_may_link(percent, ("n", "ell"), ("o_n", "o_ell"))).select("a", "b")
