@@ -12,7 +12,7 @@
   are wanted).
 * ``null_aware_anti_join`` - ``x not in (select y ...)`` with SQL's NULL rules,
   built from a hash anti join plus a one-row summary of the subquery.
-* ``constant_row_join``    - left join without a condition to a one-row side.
+* ``constant_row_join``    - left join without a condition to a small lookup.
 * ``unmatched_rows``       - rows of a left join whose right side is NULL.
 """
 
@@ -160,13 +160,12 @@ def _required_token(n: Column, wildcards: bool) -> Column:
 
 INLINE_NAMES = 512       # names embedded in the plan as a literal array
 PROBE_GRAMS = 64         # distinct blocking grams probed per text with contains
-BROADCAST_NAMES = 200_000  # name rows broadcast to the gram join
 
 
 def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
                   how: str = "left", q: int = 4, wildcards: bool = False,
                   inline_limit: int = INLINE_NAMES,
-                  probe_limit: int = PROBE_GRAMS, broadcast_limit: int = BROADCAST_NAMES) -> DataFrame:
+                  probe_limit: int = PROBE_GRAMS) -> DataFrame:
     """``left join right on lower(left.text) like '%' || lower(right.name) || '%'``.
 
     Default (``wildcards=False``) treats the name literally (``contains``); the
@@ -185,9 +184,9 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
        from their longest literal run).  Texts emit their distinct words, and
        the blocking grams they contain - by probing each distinct gram when
        there are at most ``probe_limit`` of them, else all overlapping grams
-       from one regex pass.  Equi joins on word and gram (names broadcast
-       when at most ``broadcast_limit`` rows) yield candidates, verified
-       exactly against the text.
+       from one regex pass.  Equi joins on word and gram (AQE picks
+       the join from measured bytes) yield candidates, verified exactly
+       against the text.
     Exact for every name, short and empty ones included.
     """
     if how not in ("left", "inner"):
@@ -230,42 +229,46 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
              .withColumn("__gram", F.when(F.col("__req").isNull(), F.substring(seed, 1, q))))
     sizes = names.agg(F.count_if(F.col("__req").isNotNull()).alias("tok"),
                       F.count_if(F.col("__req").isNull()).alias("gram")).first()
-    # Work on the distinct texts, keyed by the text itself (and a 64-bit hash
-    # of it for the exploded rows): no generated row ids, so recomputation is
-    # consistent, and repeated texts are matched once.
-    texts = (left.select(F.col(text).alias("__txt")).where(F.col("__txt").isNotNull()).distinct()
-             .withColumn("__h", F.xxhash64("__txt")).withColumn(tl, F.lower(F.col("__txt"))))
+    # Work on the distinct texts, grouped by a 64-bit hash that the exploded
+    # rows carry: no generated row ids, so recomputation is consistent, and
+    # repeated texts are matched once.  Texts that share a hash share one row
+    # (and one set of words and grams), so a candidate exists once per hash
+    # and each of its texts is verified on its own.
+    texts = (left.select(F.col(text).alias("__txt")).where(F.col("__txt").isNotNull())
+             .groupBy(F.xxhash64("__txt").alias("__h")).agg(F.collect_set("__txt").alias("__txts")))
+
+    def emit(per_text, out: str) -> DataFrame:
+        """(hash, distinct values of ``per_text(lower-cased text)``)."""
+        values = F.flatten(F.transform("__txts", lambda x: per_text(F.lower(x))))
+        return texts.select("__h", F.explode(F.array_distinct(values)).alias(out))
+
     candidates = []
     if sizes["tok"]:
         # names with an interior word: block on it; texts emit their distinct words
         tok_names = names.where(F.col("__req").isNotNull()).drop("__gram")
-        side = F.broadcast(tok_names) if sizes["tok"] <= broadcast_limit else tok_names
-        words = texts.select("__h", F.explode(F.array_distinct(F.split(F.col(tl), TOKEN_SEPARATOR, -1))).alias("__req"))
-        candidates.append(words.join(side, "__req", "inner").drop("__req"))
+        words = emit(lambda x: F.split(x, TOKEN_SEPARATOR, -1), "__req")
+        candidates.append(words.join(tok_names, "__req", "inner").drop("__req"))
     if sizes["gram"]:
         gram_names = names.where(F.col("__req").isNull()).drop("__req")
         grams = [r[0] for r in gram_names.select("__gram").distinct().limit(probe_limit + 1).collect()]
         if len(grams) <= probe_limit:
-            present = F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.col(tl).contains(g))
-            text_grams = texts.select("__h", F.explode(present).alias("__gram"))
+            text_grams = emit(lambda x: F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: x.contains(g)), "__gram")
         else:
             # gram lengths in use: at most q + 1 small integers
             lengths = sorted(r[0] for r in gram_names.select(F.length("__gram")).distinct().collect())
-            per_len = []
-            for g in lengths:
-                if g == 0:
-                    per_len.append(F.array(F.lit("")))
-                else:
-                    # every overlapping g-gram in one regex pass (a zero-width
-                    # lookahead capturing g characters), no per-position lambda
-                    per_len.append(F.regexp_extract_all(F.col(tl), F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)))
-            text_grams = texts.select("__h", F.explode(F.array_distinct(F.concat(*per_len))).alias("__gram"))
-        side = F.broadcast(gram_names) if sizes["gram"] <= broadcast_limit else gram_names
-        candidates.append(text_grams.join(side, "__gram", "inner").drop("__gram"))
+
+            def overlapping(x: Column, g: int) -> Column:
+                # every overlapping g-gram in one regex pass (a zero-width
+                # lookahead capturing g characters), no per-position lambda
+                return F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)) if g else F.array(F.lit(""))
+
+            text_grams = emit(lambda x: F.concat(*[overlapping(x, g) for g in lengths]), "__gram")
+        candidates.append(text_grams.join(gram_names, "__gram", "inner").drop("__gram"))
     cand = candidates[0] if len(candidates) == 1 else candidates[0].unionByName(candidates[1])
     verified = (cand.join(texts, "__h", "inner")
-                .where(_match(F.col(tl), F.lower(F.col(name)), wildcards))
-                .drop("__h", tl))
+                .withColumn("__txt", F.explode("__txts"))
+                .where(_match(F.lower(F.col("__txt")), F.lower(F.col(name)), wildcards))
+                .drop("__h", "__txts"))
     return left.join(verified, F.col(text) == F.col("__txt"), how).drop("__txt")
 
 
@@ -294,20 +297,17 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame, left_key: str,
                        F.count_if(F.col("__k").isNull()).alias("__n_null"))
     distinct_keys = keys.where(F.col("__k").isNotNull()).distinct()
     kept = left.join(distinct_keys, left[left_key] == distinct_keys["__k"], "left_anti")
-    kept = constant_row_join(kept, summary, proven=True)   # a global aggregate: one row
+    kept = constant_row_join(kept, summary)   # a global aggregate: one row
     return (kept.where((F.col("__n") == 0) |
                        ((F.col("__n_null") == 0) & F.col(left_key).isNotNull()))
             .drop("__n", "__n_null"))
 
 
-def constant_row_join(left: DataFrame, one_row: DataFrame, proven: bool = False) -> DataFrame:
-    """Left join without condition to a side of at most one row (a filtered
-    lookup or a global aggregate).  Left rows are kept when that side is
-    empty.  The side is broadcast, so its size is checked first (a two-row
-    probe) unless the caller has ``proven`` it, as for a global aggregate."""
-    if not proven and one_row.limit(2).count() > 1:
-        raise ValueError("constant_row_join: the lookup side has more than one row")
-    return left.join(F.broadcast(one_row), F.lit(True), "left")
+def constant_row_join(left: DataFrame, rows: DataFrame) -> DataFrame:
+    """Left join without condition to a lookup, as a rule one row (a filtered
+    lookup or a global aggregate).  Left rows are kept when it is empty, and
+    come once per row when it has several."""
+    return left.join(rows, F.lit(True), "left")
 
 
 def unmatched_rows(joined: DataFrame, right_marker: str) -> DataFrame:

@@ -49,22 +49,14 @@ def event_row(t: Tables, event_name: str = EVENT_NAME) -> DataFrame:
 
 
 def months_to_event(df: DataFrame, event: DataFrame, date_col: str,
-                    lo: int = MONTHS[0], hi: int = MONTHS[1], proven: bool = False) -> DataFrame:
-    """Attach the event (left join to a one-row side) and keep rows whose
+                    lo: int = MONTHS[0], hi: int = MONTHS[1]) -> DataFrame:
+    """Attach the event (left join; an event of several rows counts once per row) and keep rows whose
     month offset to the event start lies in ``[lo, hi]``."""
-    out = constant_row_join(df, event, proven=proven)
+    out = constant_row_join(df, event)
     out = out.withColumn("months_to_popup_event", month_boundaries("event_start_date", date_col))
     return out.where(F.col("months_to_popup_event").between(lo, hi))
 
 
-def checked_event(t: Tables, event_name: str = EVENT_NAME) -> DataFrame:
-    """The event row, checked once to hold at most one row."""
-    ev = event_row(t, event_name)
-    if ev.limit(2).count() > 1:
-        raise ValueError(f"event {event_name!r} is not unique")
-    return ev
-
-
 def halo_orders(t: Tables, towns=TOWNS, county: str = COUNTY, event_name: str = EVENT_NAME,
                 event: DataFrame | None = None) -> DataFrame:
     o = B.customer_orders(t, with_geo=True)
@@ -72,8 +64,8 @@ def halo_orders(t: Tables, towns=TOWNS, county: str = COUNTY, event_name: str =
           .where(F.col("shipping_city").isNotNull()
                  & (F.lower("order_shipping_county") == county)
                  & (F.col("item_quantity") > 0)))
-    ev = event if event is not None else checked_event(t, event_name)
-    return months_to_event(o, ev, "order_date", proven=True)
+    ev = event if event is not None else event_row(t, event_name)
+    return months_to_event(o, ev, "order_date")
 
 
 def halo_commercial(orders: DataFrame) -> DataFrame:
@@ -92,8 +84,8 @@ def halo_session_rows(t: Tables, towns=TOWNS, event_name: str = EVENT_NAME,
     s = B.halo_sessions_source(t)
     s = (s.withColumn("browsing_city", bucket_first_match("geonetwork_city", towns))
           .where(F.col("browsing_city").isNotNull()))
-    ev = event if event is not None else checked_event(t, event_name)
-    s = months_to_event(s, ev, "visit_date", proven=True)
+    ev = event if event is not None else event_row(t, event_name)
+    s = months_to_event(s, ev, "visit_date")
     if k is not None:   # the reference's row cap, off by default
         s = top_k(s, [F.col(c).asc_nulls_last() for c in ["customer_id", "visit_start_time", "visit_key"]], k)
     return s
@@ -133,7 +125,7 @@ def event_halo(commercial: DataFrame, sessions: DataFrame, literal_window: bool
 def event_halo_effect(t: Tables, literal_window: bool = False, k: int | None = None) -> DataFrame:
     """``k`` keeps the original's cap on session rows (its ``top 10000``,
     first by customer and visit start); off by default."""
-    ev = checked_event(t)       # one lookup, checked once, for both sides
+    ev = event_row(t)       # one lookup for both sides
     commercial = halo_commercial(halo_orders(t, event=ev))
     sessions = halo_sessions(halo_session_rows(t, k=k, event=ev))
     return event_halo(commercial, sessions, literal_window).orderBy("shipping_city", "months_to_popup_event")

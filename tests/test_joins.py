@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from mktlens.operators.joins import (constant_row_join, interval_join, null_aware_anti_join, wildcard_join,
                                      wildcard_join_nested)
@@ -40,8 +41,16 @@ def test_constant_row_join_keeps_left_on_empty(spark):
     empty = spark.createDataFrame([], "e string")
     assert rows(constant_row_join(left, empty)) == [(1, None), (2, None)]
     two = spark.createDataFrame([("a",), ("b",)], "e string")
-    with pytest.raises(ValueError):
-        constant_row_join(left, two)
+    assert rows(constant_row_join(left, two)) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("probe", [64, 0])
+def test_wildcard_join_exact_when_text_hashes_collide(spark, monkeypatch, probe):
+    texts = spark.createDataFrame([("red widget one",), ("a red widget",), ("blue",), ("blue",)], "t string")
+    names = spark.createDataFrame([("red widget",), ("red widget",), ("blue",), ("a red w",)], "n string")
+    expected = rows(wildcard_join_nested(texts, names, "t", "n"))
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("bigint"))
+    assert rows(wildcard_join(texts, names, "t", "n", inline_limit=0, probe_limit=probe)) == expected
 
 
 def _random_frames(spark, seed):
