@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# Groups that each keep their own best k rows, level by level.
+FAN_IN = (4096, 64)
 
 
 def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
-    """First ``k`` rows by ``order``.  ``orderBy().limit()`` plans as
-    TakeOrderedAndProject: each task keeps only its own best ``k`` rows, so
-    at most ``k * tasks`` rows move.  Callers end ``order`` with a unique key
-    so ties cannot change the result."""
-    return df.orderBy(*order).limit(k)
+    """First ``k`` rows by ``order``, merged in levels: rows are spread by
+    their hash over ``FAN_IN`` groups whose best ``k`` survive, so no task
+    receives ``k`` rows from every scan task (Spark cuts each window to ``k``
+    rows per group before the shuffle too).  Callers end ``order`` with a
+    unique key so ties cannot change the result."""
+    kept = df
+    for groups in FAN_IN:
+        group = F.pmod(F.xxhash64(*df.columns), F.lit(groups))
+        kept = (kept.withColumn("__g", group)
+                .withColumn("__rank", F.row_number().over(Window.partitionBy("__g").orderBy(*order)))
+                .where(F.col("__rank") <= k).drop("__g", "__rank"))
+    return kept.orderBy(*order).limit(k)
