@@ -14,12 +14,12 @@ def union_all_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def unpivot_slots(df: DataFrame, keep: Sequence[str], slots: Sequence[str],
+def unpivot_slots(df: DataFrame, keep: Sequence[str], slots: Sequence[str] | str,
                   value: str, position: str | None = None) -> DataFrame:
-    """One row per non-NULL slot: the seven-branch ``union all`` as a single
-    scan (``posexplode`` of an array of the slots).  ``position`` (1-based)
-    is kept when named."""
-    arr = F.array(*[F.col(s) for s in slots])
+    """One row per non-NULL slot: the ``union all`` over the slots as a single
+    scan (``posexplode``).  ``slots`` lists the slot columns, or names one
+    array column that holds them.  ``position`` (1-based) is kept when named."""
+    arr = F.col(slots) if isinstance(slots, str) else F.array(*[F.col(s) for s in slots])
     out = df.select(*keep, F.posexplode(arr).alias("__pos", value)).where(F.col(value).isNotNull())
     if position:
         return out.withColumn(position, F.col("__pos") + 1).drop("__pos")

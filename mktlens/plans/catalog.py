@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mktlens.functions.predicates import all_of, any_of, like_ci, not_like_prefix
@@ -17,7 +17,7 @@ from mktlens.functions.scalars import (date_lit, days_between, earlier_of, left_
 from mktlens.operators.aggregates import count_nonnull_rows, duplicate_keys
 from mktlens.operators.joins import constant_row_join, null_aware_anti_join, unmatched_rows
 from mktlens.operators.sets import union_all_by_name
-from mktlens.operators.windows import lag_when, moving_average, sequence_number
+from mktlens.operators.windows import lag_by_sequence, moving_average, row_number_by
 from mktlens.plans import halo as H
 from mktlens.plans import organic as O
 from mktlens.plans import paid as P
@@ -46,9 +46,8 @@ def _odate():
 # --- sources and sinks ------------------------------------------------------
 @q("scan_tables")
 def scan_tables(t: Tables) -> DataFrame:
-    """Scan with pruned columns and a filter pushed into the parquet reader."""
-    return t.lineitem.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) \
-                     .select("l_orderkey", "l_partkey", "l_quantity")
+    """Whole-table scan with pruned columns."""
+    return t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
 
 
 @q("view_sink")
@@ -161,8 +160,9 @@ def filter_between_ints(t: Tables) -> DataFrame:
 @q("between_flag")
 def between_flag(t: Tables) -> DataFrame:
     """``case when t between a and b then 'Y' else 'N'`` with a NULL bound."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t.events.withColumn("prev_ts", F.lag("ts").over(w))
+    e = t.events.select("user_id", "ts", "event_id")
+    e = row_number_by(e, ["user_id"], ["ts", "event_id"], "seq", bucket=F.date_trunc("hour", "ts"))
+    e = lag_by_sequence(e, ["user_id"], "seq", {"prev_ts": "ts"})
     inside = F.col("ts").between(F.col("prev_ts"), F.col("prev_ts") + F.expr("INTERVAL 1 HOURS"))
     return e.select("event_id", F.when(inside, "Y").otherwise("N").alias("flag"))
 
@@ -356,7 +356,8 @@ def agg_coalesce(t: Tables) -> DataFrame:
 
 @q("agg_listagg")
 def agg_listagg(t: Tables) -> DataFrame:
-    return t.part.groupBy("p_type").agg(P.ordered_listagg("p_brand", ",").alias("brands"))
+    """Per order, whose few lines bound the length of the list."""
+    return t.lineitem.groupBy("l_orderkey").agg(P.ordered_listagg("l_returnflag", ",").alias("flags"))
 
 
 @q("distinct_rows")
@@ -385,24 +386,28 @@ def first_order_date(t: Tables) -> DataFrame:
 # --- windows ------------------------------------------------------------------
 @q("window_lag")
 def window_lag(t: Tables) -> DataFrame:
-    o = B.customer_orders(t)
-    prior = lag_when("order_date", F.col("order_sequence") > 1, ["customer_id"], ["order_sequence"])
-    return o.select("customer_id", "order_name", prior.alias("prior_order_date"))
+    o = B.customer_orders(t).select("customer_id", "order_name", "order_date", "order_sequence")
+    o = lag_by_sequence(o, ["customer_id"], "order_sequence", {"prior_order_date": "order_date"})
+    return o.select("customer_id", "order_name", "prior_order_date")
 
 
 @q("window_gap_days")
 def window_gap_days(t: Tables) -> DataFrame:
-    o = B.customer_orders(t)
-    w = Window.partitionBy("customer_id").orderBy("order_sequence")
-    return o.select("customer_id", "order_name", F.datediff("order_date", F.lag("order_date").over(w)).alias("gap_days"))
+    o = B.customer_orders(t).select("customer_id", "order_name", "order_date", "order_sequence")
+    o = lag_by_sequence(o, ["customer_id"], "order_sequence", {"prior": "order_date"})
+    return o.select("customer_id", "order_name", F.datediff("order_date", "prior").alias("gap_days"))
 
 
 @q("window_row_number")
 def window_row_number(t: Tables) -> DataFrame:
-    o = B.customer_orders(t)
-    rn = sequence_number(["customer_id"], [F.col("order_gross_sales").desc(), "order_name"])
-    return o.select("customer_id", "order_name", rn.alias("rank_by_value"),
-                    (F.col("order_sequence") - rn).alias("drift"))
+    o = B.customer_orders(t).select("customer_id", "order_name", "order_gross_sales", "order_sequence")
+    # descending value (NULL last) as an ascending column, sliced by value
+    lowest = F.lit("9999999999999999.99").cast("decimal(18,2)")
+    o = o.withColumn("falling", F.coalesce(-F.col("order_gross_sales"), lowest))
+    o = row_number_by(o, ["customer_id"], ["falling", "order_name"], "rank_by_value",
+                      bucket=F.floor(F.col("falling") / 1000))
+    return o.select("customer_id", "order_name", "rank_by_value",
+                    (F.col("order_sequence") - F.col("rank_by_value")).alias("drift"))
 
 
 @q("window_moving_avg")
@@ -423,8 +428,10 @@ def order_by(t: Tables) -> DataFrame:
 # --- set operations ------------------------------------------------------------
 @q("union_all")
 def union_all(t: Tables) -> DataFrame:
+    """Finished orders first, then all others, whatever their status."""
     o = t.orders.select("o_orderkey", "o_orderstatus")
-    return union_all_by_name([o.where(F.col("o_orderstatus") == "F"), o.where(F.col("o_orderstatus") == "O")])
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    return union_all_by_name([o.where(finished), o.where(~finished)])
 
 
 @q("union_variants")
@@ -502,7 +509,7 @@ def fn_datediff_month(t: Tables) -> DataFrame:
 @q("fn_current_date")
 def fn_current_date(t: Tables) -> DataFrame:
     """Days from each order to the as-of date that stands for current_date()."""
-    return t.orders.select("o_orderkey", days_between(_odate(), date_lit(P.AS_OF)).alias("age_days"))
+    return t.orders.select("o_orderkey", days_between(_odate(), F.current_date()).alias("age_days"))
 
 
 @q("fn_date_literal")

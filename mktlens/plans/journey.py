@@ -32,7 +32,6 @@ from mktlens.sources.sinks import checkpoint_table
 from mktlens.sources.tables import Tables
 
 ACQUIRED_FROM = "2024-01-02"   # bound data: cohort of customers acquired from this day
-AS_OF = "2024-12-31"           # stands for current_date() of the original
 DUPLICATE_SEQUENCES = (1, 2)   # order names are checked for repeats among these sequences
 BLOG_PATTERN = "%central%"
 BUCKET_SECONDS = (86_400, 32 * 86_400)   # interval-join bucket widths: a day, and 32 days for long windows
@@ -45,7 +44,7 @@ KINDS = ["blog", "review", "ecom", "train", "wish", "cart", "bounce", "opt", "ac
 # orders
 # ---------------------------------------------------------------------------
 def order_history(orders: DataFrame, regions: DataFrame, acquired_from: str = ACQUIRED_FROM,
-                  as_of: str | None = AS_OF) -> DataFrame:
+                  as_of: str | None = None) -> DataFrame:
     """Orders with region, fiscal year, acquisition date, local date, prior
     order date and stamp (repeat orders only) and days between orders; only
     customers acquired in ``[acquired_from, as_of]``.  The stored
@@ -81,7 +80,7 @@ def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES) -> D
     return kept.withColumn("diff_seq", F.col("order_sequence") - F.col("order_sequence_new"))
 
 
-def base_orders(t: Tables, acquired_from: str = ACQUIRED_FROM, as_of: str | None = AS_OF) -> DataFrame:
+def base_orders(t: Tables, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None) -> DataFrame:
     return clean_order_sequence(order_history(B.journey_orders(t), B.regional_index(t), acquired_from, as_of))
 
 
@@ -289,7 +288,7 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
         "mail_control")
 
 
-def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = AS_OF):
+def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None):
     # the cleaned orders feed six branches (windows, returns, conversion
     # sessions and three "customer in base" filters): written once to the
     # shared checkpoint folder instead of being recomputed per branch
@@ -301,7 +300,7 @@ def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_
 
 
 def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS, acquired_from: str = ACQUIRED_FROM,
-                                as_of: str | None = AS_OF) -> DataFrame:
+                                as_of: str | None = None) -> DataFrame:
     """Default form: every feature aggregated per order, joined 1:1.  The
     cohort is the customers acquired in ``[acquired_from, as_of]``
     (``as_of=None`` means today)."""
@@ -311,7 +310,7 @@ def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS, acquir
 
 
 def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS,
-                                        acquired_from: str = ACQUIRED_FROM, as_of: str | None = AS_OF) -> DataFrame:
+                                        acquired_from: str = ACQUIRED_FROM, as_of: str | None = None) -> DataFrame:
     """The written form: first-visit rows joined again per customer, nine
     one-to-many left joins multiplying one another, then grouped by 16 keys.
     Sums and counts of a feature are scaled by the equi-join rows of the

@@ -24,6 +24,8 @@ MONEY = "DECIMAL(18,2)"
 LINE_NET = "CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))), 2) AS DECIMAL(18,2))"
 LINE_COGS = f"CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST({COGS_RATIO} AS DECIMAL(2,1)), 2) AS DECIMAL(18,2))"
 HANDLE = "upper(substr({n}, 1, 1)) || substr(replace({n}, ' ', '_'), 2)"
+# zero-padded to nine digits; longer numbers are left whole
+PADDED = "repeat('0', greatest(0, 9 - length(CAST({n} AS VARCHAR)))) || CAST({n} AS VARCHAR)"
 EVK = "TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER)"
 
 
@@ -38,7 +40,7 @@ def half_up_div(num: str, num_scale: int, den: str, scale: int) -> str:
 
 
 def _email(user: str) -> str:
-    return f"'customer.' || lpad(CAST({user} AS VARCHAR), 9, '0') || '{EMAIL_DOMAIN}'"
+    return f"'customer.' || {PADDED.format(n=user)} || '{EMAIL_DOMAIN}'"
 
 
 BINDINGS: dict[str, str] = {
@@ -83,9 +85,9 @@ BINDINGS: dict[str, str] = {
         FROM lineitem l LEFT JOIN (SELECT s.s_suppkey, n.n_name AS geonetwork_city
                                    FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) g
                ON l.l_suppkey = g.s_suppkey""",
-    "influencer_database": """
+    "influencer_database": f"""
         SELECT influencer_id, influencer_id AS influencer_id2, influencer_name,
-               'Customer#' || lpad(CAST(influencer_id // 4 AS VARCHAR), 9, '0') AS finance_number,
+               'Customer#' || {PADDED.format(n='influencer_id // 4')} AS finance_number,
                'Publisher ' || CAST(influencer_id % 5 AS VARCHAR) AS publisher_name,
                'CR' || CAST(influencer_id AS VARCHAR) AS creator_number
         FROM (SELECT p_name AS influencer_name, MIN(p_partkey) * 2 AS influencer_id FROM part GROUP BY p_name

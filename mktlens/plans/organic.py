@@ -15,15 +15,14 @@ from mktlens.sources import bindings as B
 from mktlens.sources.tables import Tables
 
 # A mention is '@' followed by letters, digits, '_' or '.';
-# mentions of the company's own accounts start with '@companyname'; seven
-# mention slots per caption.
+# mentions of the company's own accounts start with '@companyname'; the
+# original reads seven mention slots per caption (only with ``n`` given).
 MENTION_PATTERN = "@([a-zA-Z0-9_.]+)"
 COMPANY_PREFIX = "@companyname"
-MAX_MENTIONS = 7
+SLOTS_AS_WRITTEN = 7
 POSTED_AFTER = "1997-12-31"     # bound data: posts of 1998 onwards
 
 POST_KEYS = ["content_id", "provider_name", "caption", "published_at"]
-SLOTS = [f"regex_string_{i}" for i in range(1, MAX_MENTIONS + 1)]
 
 
 def handle_lookup(content: DataFrame, influencers: DataFrame) -> DataFrame:
@@ -32,11 +31,13 @@ def handle_lookup(content: DataFrame, influencers: DataFrame) -> DataFrame:
             .select(F.lower("social_handle").alias("lookup_name"), "influencer_id").distinct())
 
 
-def mention_array(caption: str = "caption", n: int = MAX_MENTIONS,
+def mention_array(caption: str = "caption", n: int | None = None,
                   exclude_prefix: str = COMPANY_PREFIX) -> F.Column:
-    """The first ``n`` raw mentions of the lower-cased caption (one regex
-    pass), each stripped of '@'; a company mention keeps its slot as NULL."""
-    raw = F.slice(F.regexp_extract_all(F.lower(F.col(caption)), F.lit(MENTION_PATTERN), F.lit(0)), 1, n)
+    """All mentions (the first ``n`` if given) of the lower-cased caption, in
+    one regex pass, each stripped of '@'; a company mention keeps its slot as
+    NULL."""
+    raw = F.regexp_extract_all(F.lower(F.col(caption)), F.lit(MENTION_PATTERN), F.lit(0))
+    raw = raw if n is None else F.slice(raw, 1, n)
     return F.transform(raw, lambda m: F.when(not_like_prefix(m, exclude_prefix), regexp_delete(m, "@")))
 
 
@@ -47,16 +48,20 @@ def post_candidates(posts: DataFrame, posted_after: str = POSTED_AFTER) -> DataF
             .select(*POST_KEYS).distinct())
 
 
-def extract_mentions(posts: DataFrame, n: int = MAX_MENTIONS, posted_after: str = POSTED_AFTER) -> DataFrame:
-    """One column per slot, as ``regexp_substr(..., 1, k)`` gives them."""
+def extract_mentions(posts: DataFrame, n: int | None = None, posted_after: str = POSTED_AFTER) -> DataFrame:
+    """One row per mention with its slot number (company mentions left out);
+    with ``n`` the written form: one column for each of the first ``n`` slots,
+    as ``regexp_substr(..., 1, k)`` gives them."""
     p = post_candidates(posts, posted_after).withColumn("__m", mention_array(n=n))
+    if n is None:
+        return unpivot_slots(p, POST_KEYS, "__m", "mention", position="slot")
     return p.select(*POST_KEYS, *[F.get(F.col("__m"), i).alias(f"regex_string_{i + 1}") for i in range(n)])
 
 
-def resolve_mentions(posts: DataFrame, lookup: DataFrame, n: int = MAX_MENTIONS,
+def resolve_mentions(posts: DataFrame, lookup: DataFrame, n: int | None = None,
                      posted_after: str = POSTED_AFTER) -> DataFrame:
-    """One row per (post, mention slot that resolves to an influencer): the
-    seven lookups and seven unions as one explode and one join."""
+    """One row per (post, mention that resolves to an influencer): the lookup
+    per slot and the union of the slots as one explode and one join."""
     p = post_candidates(posts, posted_after).withColumn("__m", mention_array(n=n))
     slots = p.select(*POST_KEYS, F.explode(F.col("__m")).alias("lookup_name")).where(F.col("lookup_name").isNotNull())
     return (slots.join(lookup.where(F.col("influencer_id").isNotNull()), "lookup_name", "inner")
@@ -89,6 +94,13 @@ def organic_post_attribution(t: Tables) -> DataFrame:
 
 
 def unpivot_mention_slots(t: Tables) -> DataFrame:
-    """The slot table unpivoted: one row per non-NULL slot with its number."""
-    e = extract_mentions(B.organic_social_content(t))
-    return unpivot_slots(e, ["content_id"], SLOTS, "mention", position="slot")
+    """One row per non-NULL slot of each post's mentions, with its number."""
+    return extract_mentions(B.organic_social_content(t)).select("content_id", "mention", "slot")
+
+
+def lookup_mention_slots(t: Tables) -> DataFrame:
+    """Every mention slot with the influencers its handle belongs to: NULL
+    where it resolves to none, a row each where it has several owners."""
+    lookup = handle_lookup(B.content_posted(t), B.influencers(t)).withColumnRenamed("lookup_name", "mention")
+    return (unpivot_mention_slots(t).join(lookup, "mention", "left")
+            .select("content_id", "slot", "mention", "influencer_id"))

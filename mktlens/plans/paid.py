@@ -16,7 +16,6 @@ from mktlens.sources.tables import Tables
 
 MIN_NAME_LENGTH = 5            # names of 4 characters or fewer are ignored
 CAMPAIGNS_FROM = "1996-01-01"  # bound data: ads of 1996 onwards
-AS_OF = "2000-12-31"           # stands for current_date() of the original
 
 
 def name_variants(influencers: DataFrame, content: DataFrame) -> DataFrame:
@@ -30,9 +29,9 @@ def name_variants(influencers: DataFrame, content: DataFrame) -> DataFrame:
     return union_all_by_name([lower, squeezed, handles])
 
 
-def campaign_catalogue(ads: DataFrame, start: str = CAMPAIGNS_FROM, as_of: str | None = AS_OF) -> DataFrame:
+def campaign_catalogue(ads: DataFrame, start: str = CAMPAIGNS_FROM, as_of: str | None = None) -> DataFrame:
     """Campaigns (lower-cased) with their last date in ``[start, as_of]``
-    (``as_of=None`` means today)."""
+    (today unless ``as_of`` is given)."""
     end = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     return (ads.where(F.col("date").between(F.lit(start).cast("date"), end))
             .groupBy(F.lower("campaign").alias("campaign"), "platform", "account_name", "campaign_id")

@@ -128,6 +128,12 @@ def _attribute_by_number(t: Tables) -> DataFrame:
     return S.attribute_by_number(by_name.where(F.col("influencer_name").isNull()), B.influencers(t))
 
 
+@register("spend_attribution_wildcards")
+def _spend_wildcards(t: Tables) -> DataFrame:
+    """As written: LIKE patterns, so '_' and '%' in names match any text."""
+    return S.spend_attribution_plan(t, wildcards=True)
+
+
 @register("unique_finance_numbers")
 def _unique_finance_numbers(t: Tables) -> DataFrame:
     return S.unique_finance_numbers(B.influencers(t))
@@ -164,18 +170,7 @@ def _resolve_mentions(t: Tables) -> DataFrame:
     return O.resolve_mentions(B.organic_social_content(t), lookup)
 
 
-@register("multi_slot_lookup")
-def _multi_slot_lookup(t: Tables) -> DataFrame:
-    """The seven per-slot lookups as one explode + one join, re-pivoted to
-    one influencer id column per slot."""
-    lookup = O.handle_lookup(B.content_posted(t), B.influencers(t))
-    e = O.extract_mentions(B.organic_social_content(t))
-    long = O.unpivot_slots(e, ["content_id"], O.SLOTS, "lookup_name", position="slot")
-    ids = long.join(lookup, "lookup_name", "inner")
-    wide = ids.groupBy("content_id").pivot("slot", list(range(1, O.MAX_MENTIONS + 1))).agg(F.max("influencer_id"))
-    out = e.select("content_id", *O.SLOTS).join(wide, "content_id", "left")
-    return out.select("content_id", *[c for i in range(1, O.MAX_MENTIONS + 1)
-                                      for c in (F.col(f"regex_string_{i}"), F.col(str(i)).alias(f"influencer_id_{i}"))])
+register("multi_slot_lookup")(O.lookup_mention_slots)
 
 
 # --- paid ------------------------------------------------------------------

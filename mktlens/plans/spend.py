@@ -14,19 +14,9 @@ from mktlens.functions.scalars import left_chars
 from mktlens.operators.aggregates import duplicate_keys
 from mktlens.operators.joins import null_aware_anti_join, wildcard_join
 from mktlens.sources import bindings as B
+from mktlens.sources.bindings import SPEND_CATEGORIES
 from mktlens.sources.tables import Tables
 
-# Purchase-order categories kept by the spend filter.
-SPEND_CATEGORIES = [
-    "Influencer Team : Monthly Salary Payments",
-    "Influencer Team : Ambassador Monthly Salary Payments",
-    "Influencer Team : Influencer Team : Influencer Campaigns",
-    "Influencer Team : Influencer Team : Fixed One Year Fees",
-    "Influencer Team : Influencer Team : Fixed Three Month Fees",
-    "Influencer Team : Influencer Team : Commissions",
-    "Influencer Team : Influencer Team : Bonus",
-]
-
 # Month and year patterns of the payment text, in the order the
 # first match is taken.  They are unbounded substrings on purpose ('%dec%'
 # also hits "decor", '%19%' any "19").
@@ -55,8 +45,8 @@ YEAR_PATTERNS = [
     (["%2026%", "%26%"], "2026"),
 ]
 MISSING_LABEL = "PO MISSING FROM DATABASE - "
-FINANCE_PREFIX = 18   # characters of finance_name that form the account number
 
+# The output columns of the two attribution stages and of the result.
 ATTRIBUTED_COLS = [
     "influencer_name", "influencer_id", "purchaseorder_id", "item_title", "payment_description",
     "finance_name", "amount_gbp", "department", "purchase_order_description", "status",
@@ -114,16 +104,23 @@ def unique_finance_numbers(influencers: DataFrame) -> DataFrame:
     return kept.select("influencer_name", "influencer_id", "finance_number").distinct()
 
 
-def attribute_by_number(unmatched: DataFrame, influencers: DataFrame, n: int = FINANCE_PREFIX) -> DataFrame:
-    """Fallback for rows without a name: the first ``n`` characters of the
-    finance name equal a unique finance number."""
+def account_number(finance_name: str = "finance_name", n: int | None = None) -> F.Column:
+    """The account number a finance name starts with: its first ``n``
+    characters, or by default everything before its first blank (numbers may
+    have any length)."""
+    return F.substring_index(F.col(finance_name), " ", 1) if n is None else left_chars(finance_name, n)
+
+
+def attribute_by_number(unmatched: DataFrame, influencers: DataFrame, n: int | None = None) -> DataFrame:
+    """Fallback for rows without a name: the account number of the finance
+    name equals a unique finance number."""
     l2 = unique_finance_numbers(influencers)
     j = unmatched.drop("influencer_name", "influencer_id").join(
-        l2, left_chars("finance_name", n) == F.col("finance_number"), "left")
+        l2, account_number(n=n) == F.col("finance_number"), "left")
     return j.select(*ATTRIBUTED_COLS)
 
 
-def spend_attribution(pos: DataFrame, influencers: DataFrame, n: int = FINANCE_PREFIX,
+def spend_attribution(pos: DataFrame, influencers: DataFrame, n: int | None = None,
                       wildcards: bool = False) -> DataFrame:
     """The waterfall in one pass over the name join: rows with a name keep
     it; rows without one take the finance-number match (the join condition
@@ -131,7 +128,7 @@ def spend_attribution(pos: DataFrame, influencers: DataFrame, n: int = FINANCE_P
     by_name = attribute_by_name(infer_year_month(spend_filter(pos)), influencers, wildcards)
     l2 = unique_finance_numbers(influencers).select(
         F.col("influencer_name").alias("__n2"), F.col("influencer_id").alias("__id2"), "finance_number")
-    cond = F.col("influencer_name").isNull() & (left_chars("finance_name", n) == F.col("finance_number"))
+    cond = F.col("influencer_name").isNull() & (account_number(n=n) == F.col("finance_number"))
     j = by_name.join(l2, cond, "left")
     name = F.coalesce(F.col("influencer_name"), F.col("__n2"))
     out = j.select(
@@ -141,5 +138,5 @@ def spend_attribution(pos: DataFrame, influencers: DataFrame, n: int = FINANCE_P
     return out
 
 
-def spend_attribution_plan(t: Tables, n: int = FINANCE_PREFIX) -> DataFrame:
-    return spend_attribution(B.purchase_orders(t), B.influencers(t), n)
+def spend_attribution_plan(t: Tables, n: int | None = None, wildcards: bool = False) -> DataFrame:
+    return spend_attribution(B.purchase_orders(t), B.influencers(t), n, wildcards)

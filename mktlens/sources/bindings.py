@@ -24,9 +24,8 @@ from mktlens.sources.tables import Tables
 # ---------------------------------------------------------------------------
 # Fixed values of the bindings (our own choices, documented in README).
 # ---------------------------------------------------------------------------
-# Purchase-order categories: the seven of the spend filter plus one the
-# filter must drop.
-PO_CATEGORIES = [
+# Purchase-order categories kept by the spend filter.
+SPEND_CATEGORIES = [
     "Influencer Team : Monthly Salary Payments",
     "Influencer Team : Ambassador Monthly Salary Payments",
     "Influencer Team : Influencer Team : Influencer Campaigns",
@@ -34,14 +33,22 @@ PO_CATEGORIES = [
     "Influencer Team : Influencer Team : Fixed Three Month Fees",
     "Influencer Team : Influencer Team : Commissions",
     "Influencer Team : Influencer Team : Bonus",
-    "Operations : Office Supplies",
 ]
+# The bound purchase orders also carry one category the filter must drop.
+PO_CATEGORIES = [*SPEND_CATEGORIES, "Operations : Office Supplies"]
 CHANNELS = ["Direct", "Organic Search", "Paid Social", "Email", "Referral"]
 COGS_RATIO = "0.6"          # cost of goods as a share of the line's list price
 COMPANY_MENTION = "@companynameuk"
 EMAIL_DOMAIN = "@mail.example"
 
 
+def padded_id(number, width: int = 9) -> F.Column:
+    """The number as text, zero-padded to ``width`` digits; longer numbers
+    keep all their digits (``lpad`` alone would cut them)."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def _pick(values: list[str], index_col) -> F.Column:
     """``values[index]`` as a CASE (index is 0-based)."""
     expr = None
@@ -160,7 +167,7 @@ def influencers(t: Tables) -> DataFrame:
         F.col("influencer_id").alias("influencer_id2"),
         "influencer_name",
         F.concat(F.lit("Customer#"),
-                 F.lpad(F.floor(F.col("influencer_id") / 4).cast("string"), 9, "0")).alias("finance_number"),
+                 padded_id(F.floor(F.col("influencer_id") / 4))).alias("finance_number"),
         F.concat(F.lit("Publisher "), (F.col("influencer_id") % 5).cast("string")).alias("publisher_name"),
         F.concat(F.lit("CR"), F.col("influencer_id").cast("string")).alias("creator_number"))
 
@@ -170,7 +177,7 @@ def content_posted(t: Tables) -> DataFrame:
     case first letter (so only a case-folded lookup finds it)."""
     name = F.col("influencer_name")
     handle = F.concat(F.upper(F.substring(name, 1, 1)),
-                      F.substring(F.replace(name, F.lit(" "), F.lit("_")), 2, 1 << 20))
+                      F.substr(F.replace(name, F.lit(" "), F.lit("_")), F.lit(2)))
     return influencers(t).select("influencer_id2", handle.alias("social_handle"))
 
 
@@ -220,7 +227,7 @@ def organic_social_content(t: Tables) -> DataFrame:
     li = t.lineitem.join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"), "left")
     name = F.col("p_name")
     handle = F.concat(F.upper(F.substring(name, 1, 1)),
-                      F.substring(F.replace(name, F.lit(" "), F.lit("_")), 2, 1 << 20))
+                      F.substr(F.replace(name, F.lit(" "), F.lit("_")), F.lit(2)))
     mention = F.when(F.col("l_linenumber") % 4 == 2, F.lit(COMPANY_MENTION)).otherwise(F.concat(F.lit("@"), handle))
     posts = (li.select("l_orderkey", "l_linenumber", mention.alias("mention"), "l_quantity",
                        "l_discount", "l_extendedprice")
@@ -248,7 +255,7 @@ def paid_social_campaigns(t: Tables) -> DataFrame:
     li = t.lineitem.join(t.part.select("p_partkey", "p_name", "p_type", "p_brand"),
                          F.col("l_partkey") == F.col("p_partkey"), "left")
     name = F.col("p_name")
-    campaign = F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, 2, 1 << 20),
+    campaign = F.concat(F.upper(F.substring(name, 1, 1)), F.substr(name, F.lit(2)),
                         F.lit(" | "), F.col("p_type"), F.lit(" | "), F.col("p_brand"))
     return li.select(
         campaign.alias("campaign"),
@@ -272,7 +279,7 @@ def _events(t: Tables) -> DataFrame:
 
 
 def _email(user) -> F.Column:
-    return F.concat(F.lit("customer."), F.lpad(user.cast("string"), 9, "0"), F.lit(EMAIL_DOMAIN))
+    return F.concat(F.lit("customer."), padded_id(user), F.lit(EMAIL_DOMAIN))
 
 
 def journey_orders(t: Tables) -> DataFrame:

@@ -70,11 +70,16 @@ def test_mentions(spark):
     caps = ["@Ann @companynameuk @bob.", " ".join(f"@h{i}" for i in range(9)), "a@b.com", "none", None, "@ann @ann"]
     df = spark.createDataFrame([(i, "p", c, dt.datetime(2024, 1, 1), D(2024, 1, 1)) for i, c in enumerate(caps)],
                                "content_id int, provider_name string, caption string, published_at timestamp_ntz, date date")
-    e = {r.content_id: r for r in O.extract_mentions(df, posted_after="2023-12-31").collect()}
+    e = {r.content_id: r for r in O.extract_mentions(df, n=7, posted_after="2023-12-31").collect()}
     assert (e[0].regex_string_1, e[0].regex_string_2, e[0].regex_string_3) == ("ann", None, "bob.")
     assert e[1].regex_string_7 == "h6"
     assert e[2].regex_string_1 == "b.com"
     assert set(e) == {0, 1, 2, 5}
+    long = rows(O.extract_mentions(df, posted_after="2023-12-31"), "content_id", "slot", "mention")
+    assert [r for r in long if r[0] == 0] == [(0, 1, "ann"), (0, 3, "bob.")]
+    assert [r for r in long if r[0] == 1] == [(1, i + 1, f"h{i}") for i in range(9)]
+    nine = spark.createDataFrame([(f"h{i}", i) for i in range(9)] + [("h8", 99)], "lookup_name string, influencer_id int")
+    assert rows(O.resolve_mentions(df, nine, posted_after="2023-12-31"), "influencer_id") == [(i,) for i in [*range(9), 99]]
     lookup = spark.createDataFrame([("ann", 1), ("bob.", 2)], "lookup_name string, influencer_id int")
     assert rows(O.resolve_mentions(df, lookup, posted_after="2023-12-31"), "content_id", "influencer_id") == \
         [(0, 1), (0, 2), (5, 1), (5, 1)]
