@@ -10,7 +10,6 @@ Sub-packages:
   marketing relations from the driver's tables.
 * ``plans``      - the six analytical plans (journey, value, halo, spend,
   organic, paid), each a chain of small DataFrame functions.
-* ``streaming``  - intentionally empty: every plan is batch.
 """
 
 __version__ = "0.1.0"
