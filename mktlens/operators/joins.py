@@ -5,11 +5,11 @@
   huge history is split over many (key, level, bucket) join keys instead of
   one hash bucket that pairs every order with every feature.
 * ``wildcard_join``        - ``lower(text) like '%' || lower(name) || '%'``
-  without a nested loop: few names are inlined and checked per text behind
-  an interior-word gate; many names are blocked by an interior word or a
-  leading q-gram, texts emit their distinct words and grams, and the equi
-  join yields candidates verified with ``contains`` (or LIKE when wildcards
-  are wanted).
+  without a nested loop: every name is blocked by one key that any text
+  containing it has (an interior word, the start of its last or the end of
+  its first word, or a gram; the one fewest names share), texts emit the kinds of keys in use,
+  and the equi join yields candidates verified with ``contains`` (or LIKE
+  when wildcards are wanted).
 * ``null_aware_anti_join`` - ``x not in (select y ...)`` with SQL's NULL rules,
   built from a hash anti join plus a one-row summary of the subquery.
 * ``constant_row_join``    - left join without a condition to a small lookup.
@@ -43,6 +43,13 @@ def _epoch_seconds(df: DataFrame, name: str) -> Column:
     return days + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
 
 
+# Bucket widths in seconds, each 32 times the one before.  A window takes the
+# finest width at which it spans fewer than 32 buckets, so it is never much
+# shorter than its buckets: windows of one key that do not overlap meet, per
+# width, about three candidates per right row, however many rows fall in one day.
+LINEAR_WIDTHS = tuple(32 ** i for i in range(6))
+
+
 def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                   lo: str, hi: str, t: str, how: str = "left",
                   bucket_seconds: int | Sequence[int] | None = None,
@@ -76,35 +83,13 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                              *[F.col(f"__l.{c}") for c in left.columns if c not in keys],
                              *[F.col(f"__r.{c}") for c in right.columns if c not in keys])
 
-    levels = [bucket_seconds] if isinstance(bucket_seconds, int) else sorted(bucket_seconds)
-    lo_s, hi_s = _epoch_seconds(left, lo), _epoch_seconds(left, hi)
-    # each interval uses the finest width at which it spans at most
-    # ``max_span`` buckets (else the coarsest): short windows stay precise,
-    # a window of years does not explode into thousands of rows
-    level = F.lit(len(levels) - 1)
-    for i in reversed(range(len(levels) - 1)):
-        w = levels[i]
-        level = F.when(F.floor(hi_s / w) - F.floor(lo_s / w) < max_span, F.lit(i)).otherwise(level)
-    width = F.element_at(F.array(*[F.lit(w) for w in levels]), level + 1)
-    lo_b = F.floor(lo_s / width)
-    hi_b = F.floor(hi_s / width)
     right_cols = [c for c in right.columns if c not in keys]
     if how == "left" and left_id:
         ids = [left_id] if isinstance(left_id, str) else list(left_id)
         carried = list(dict.fromkeys([*keys, *ids, lo, hi]))
     else:
         carried = left.columns
-    spans = (left.select(*carried, level.alias("__lvl"), lo_b.alias("__lo_b"), hi_b.alias("__hi_b"))
-             .withColumn("__b", F.explode(F.when(F.col("__lo_b") <= F.col("__hi_b"),
-                                                 F.sequence(F.col("__lo_b"), F.col("__hi_b")))))
-             .drop("__lo_b", "__hi_b"))
-    t_s = _epoch_seconds(right, t)
-    rgt = right.withColumn("__lb", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("__lvl"), F.floor(t_s / w).alias("__b")) for i, w in enumerate(levels)])))
-    rgt = rgt.select("*", "__lb.__lvl", "__lb.__b").drop("__lb")
-    # a right row has one bucket per level and a left row uses one level, so
-    # every (left, right) pair meets exactly once
-    matches = spans.join(rgt, keys + ["__lvl", "__b"], "inner").where(in_range).drop("__lvl", "__b")
+    matches = bucketed_pairs(left, right, keys, lo, hi, t, bucket_seconds, max_span, carried).where(in_range)
     cols = [*keys, *[c for c in left.columns if c not in keys], *right_cols]
     if how == "inner":
         return matches.select(*cols)
@@ -125,6 +110,35 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     return matches.select(*cols).unionByName(unmatched.select(*cols))
 
 
+def bucketed_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], lo: str, hi: str, t: str,
+                   bucket_seconds: int | Sequence[int], max_span: int, carried: Sequence[str]) -> DataFrame:
+    """Candidates of ``interval_join`` (before the range check): the pairs
+    that share a key and a time bucket; every true pair is one of them, once."""
+    levels = [bucket_seconds] if isinstance(bucket_seconds, int) else sorted(bucket_seconds)
+    lo_s, hi_s = _epoch_seconds(left, lo), _epoch_seconds(left, hi)
+    # each interval uses the finest width at which it spans at most
+    # ``max_span`` buckets (else the coarsest): short windows stay precise,
+    # a window of years does not explode into thousands of rows
+    level = F.lit(len(levels) - 1)
+    for i in reversed(range(len(levels) - 1)):
+        w = levels[i]
+        level = F.when(F.floor(hi_s / w) - F.floor(lo_s / w) < max_span, F.lit(i)).otherwise(level)
+    width = F.element_at(F.array(*[F.lit(w) for w in levels]), level + 1)
+    lo_b = F.floor(lo_s / width)
+    hi_b = F.floor(hi_s / width)
+    spans = (left.select(*carried, level.alias("__lvl"), lo_b.alias("__lo_b"), hi_b.alias("__hi_b"))
+             .withColumn("__b", F.explode(F.when(F.col("__lo_b") <= F.col("__hi_b"),
+                                                 F.sequence(F.col("__lo_b"), F.col("__hi_b")))))
+             .drop("__lo_b", "__hi_b"))
+    t_s = _epoch_seconds(right, t)
+    rgt = right.withColumn("__lb", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__lvl"), F.floor(t_s / w).alias("__b")) for i, w in enumerate(levels)])))
+    rgt = rgt.select("*", "__lb.__lvl", "__lb.__b").drop("__lb")
+    # a right row has one bucket per level and a left row uses one level, so
+    # every (left, right) pair meets exactly once
+    return spans.join(rgt, [*keys, "__lvl", "__b"], "inner").drop("__lvl", "__b")
+
+
 def _metachar(c: Column) -> Column:
     return c.contains("_") | c.contains("%")
 
@@ -135,6 +149,9 @@ def _like_pattern(n: Column) -> Column:
     return F.concat(F.lit("%"), F.replace(n, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
 
 
+TOKEN_SEPARATOR = "[^\\p{L}\\p{N}]+"
+
+
 def _match(t: Column, n: Column, wildcards: bool) -> Column:
     if wildcards:
         return F.like(t, _like_pattern(n))
@@ -144,132 +161,110 @@ def _match(t: Column, n: Column, wildcards: bool) -> Column:
 TOKEN_SEPARATOR = "[^\\p{L}\\p{N}]+"
 
 
-def _required_token(n: Column, wildcards: bool) -> Column:
-    """The longest interior token of a (lower-cased) name: a word with a
-    separator on both sides inside the name.  Wherever the name occurs in a
-    text, that word is a whole token of the text split the same way, so a
-    text lacking it cannot contain the name.  NULL when the name has no
-    interior token, or (in wildcard mode) contains ``_``/``%``, which could
-    stand for letters."""
+ENDS = (8, 4, 2, 1)   # characters of a word's start or end that block a name: the most it has
+
+
+def _block_keys(n: Column, q: int, wildcards: bool) -> Column:
+    """Keys of a (lower-cased) name, each of which every text containing the
+    name has:
+
+    * ``w`` + an interior word: one with a separator on both sides inside the
+      name is a whole word of the text;
+    * ``p`` + the start of the last word, when a separator precedes it: a word
+      of the text starts so;
+    * ``s`` + the end of the first word, when a separator follows it;
+    * for names without any of these, ``g`` + a gram of ``q`` characters (or
+      the whole name if shorter).
+
+    Names with wildcards use the grams of their longest literal run."""
     parts = F.split(n, TOKEN_SEPARATOR, -1)
-    inner = F.when(F.size(parts) >= 3, F.slice(parts, 2, F.size(parts) - 2)).otherwise(F.array().cast("array<string>"))
-    longest = F.element_at(F.array_sort(inner, lambda a, b: F.length(b) - F.length(a)), 1)
-    tok = F.when(F.size(inner) > 0, longest)
-    return F.when(_metachar(n), F.lit(None)).otherwise(tok) if wildcards else tok
+    several = F.size(parts) >= 2
+    first, last = F.element_at(parts, 1), F.element_at(parts, -1)
+    seed, plain = n, F.lit(True)
+    if wildcards:
+        runs = F.array_sort(F.split(n, "[_%]"), lambda a, b: F.length(b) - F.length(a))
+        seed, plain = F.when(_metachar(n), F.element_at(runs, 1)).otherwise(n), ~_metachar(n)
+    none = F.array().cast("array<string>")
+    words = F.concat(
+        F.when(F.size(parts) >= 3, _marked("w", F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))))).otherwise(none),
+        F.when(several & (last != ""), _marked("p", F.array(_end_of(last, 1)))).otherwise(none),
+        F.when(several & (first != ""), _marked("s", F.array(_end_of(first, -1)))).otherwise(none))
+    grams = F.when(F.length(seed) > q, _grams(seed, q)).otherwise(F.array(seed))
+    return F.when(plain & (F.size(words) > 0), words).otherwise(_marked("g", grams))
+
+
+def _end_of(word: Column, side: int) -> Column:
+    """The longest start (``side`` 1) or end (-1) of a word with a length of ENDS."""
+    out = F.lit("")
+    for k in reversed(ENDS):
+        out = F.when(F.length(word) >= k, F.substring(word, 1 if side > 0 else -k, k)).otherwise(out)
+    return out
+
 
+def _marked(kind: str, values: Column) -> Column:
+    return F.transform(values, lambda v: F.concat(F.lit(kind), v))
 
-INLINE_NAMES = 512       # names embedded in the plan as a literal array
-PROBE_GRAMS = 64         # distinct blocking grams probed per text with contains
+
+def _ends(words: Column, kind: str, k: int) -> Column:
+    return F.transform(words, lambda w: F.concat(F.lit(kind), F.substring(w, 1 if kind == "p" else -k, k)))
+
+
+def _grams(x: Column, k: int) -> Column:
+    """Every overlapping k-gram in one regex pass (a zero-width lookahead
+    capturing k characters), no per-position lambda."""
+    return F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) if k else F.array(F.lit(""))
+
+
+def _text_keys(x: Column, used: Column, q: int) -> Column:
+    """The distinct keys of a (lower-cased) text, of the kinds and lengths in ``used``."""
+    words = F.split(x, TOKEN_SEPARATOR, -1)
+    kinds = [("w", _marked("w", words))]
+    kinds += [(f"{kind}{k}", _ends(words, kind, k)) for kind in "ps" for k in ENDS]
+    kinds += [(f"g{k}", _marked("g", _grams(x, k))) for k in range(q + 1)]
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(*[F.when(F.array_contains(used, kind), keys).otherwise(none) for kind, keys in kinds]))
 
 
 def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
-                  how: str = "left", q: int = 4, wildcards: bool = False,
-                  inline_limit: int = INLINE_NAMES,
-                  probe_limit: int = PROBE_GRAMS) -> DataFrame:
+                  how: str = "left", q: int = 4, wildcards: bool = False) -> DataFrame:
     """``left join right on lower(left.text) like '%' || lower(right.name) || '%'``.
 
     Default (``wildcards=False``) treats the name literally (``contains``); the
     warehouse's LIKE would let ``_`` and ``%`` inside names act as wildcards,
     which ``wildcards=True`` reproduces (no escape character).
 
-    Strategy by the measured size of the name side (a count, checked first):
-
-    1. at most ``inline_limit`` names: the names become a literal array in
-       the plan and each text keeps ``filter(names, n -> text contains n)``,
-       exploded.  Map-only: no shuffle of the texts at all.
-    2. otherwise names are blocked: a name with an interior word (a word
-       with a separator on both sides inside the name) by that word, which
-       any text containing the name has as a whole word; other names by a
-       gram - their first ``min(len, q)`` characters (in wildcard mode taken
-       from their longest literal run).  Texts emit their distinct words, and
-       the blocking grams they contain - by probing each distinct gram when
-       there are at most ``probe_limit`` of them, else all overlapping grams
-       from one regex pass.  Equi joins on word and gram (AQE picks
-       the join from measured bytes) yield candidates, verified exactly
-       against the text.
+    One lazy plan at every size.  Each distinct name is blocked by the key
+    (``_block_keys``) that the fewest names share, so a text's key meets few
+    names however frequent it is among texts.  Texts emit only the kinds and
+    lengths of keys in use, a one-row summary of the names with at most
+    2 + 2 * len(ENDS) + q entries.  The equi join on the key (AQE picks the join
+    from measured bytes) yields candidates, verified exactly against the text.
     Exact for every name, short and empty ones included.
     """
     if how not in ("left", "inner"):
         raise ValueError("wildcard_join supports how='left' or 'inner'")
-    names_all = right.where(F.col(name).isNotNull())
-    tl = "__tl"
-    fields = right.schema.fields
-    req = _required_token(F.lower(F.col(name)), wildcards)
-    # one bounded read decides the tier and fetches the names when few
-    rows = (names_all.select(*[F.col(f.name) for f in fields], req.alias("__req"))
-            .limit(inline_limit + 1).collect())
-    if len(rows) <= inline_limit:
-        lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields],
-                         F.lit(r["__req"]).cast("string").alias("__req")) for r in rows]
-        if not lits:
-            empty = left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-            return empty if how == "left" else empty.where(F.lit(False))
-        lt = left.withColumn(tl, F.lower(F.col(text)))
-        reqs = sorted({r["__req"] for r in rows if r["__req"]})
-        if reqs:
-            # tokens the text must contain for a name with an interior token
-            tokens = F.array_distinct(F.split(F.col(tl), TOKEN_SEPARATOR, -1))
-            lt = lt.withColumn("__present", F.array_intersect(tokens, F.array(*[F.lit(x) for x in reqs])))
-            gate = lambda r: r["__req"].isNull() | F.array_contains(F.col("__present"), r["__req"])
-        else:
-            gate = lambda r: F.lit(True)
-        hits = F.filter(F.array(*lits), lambda r: gate(r) & _match(F.col(tl), F.lower(r[name]), wildcards))
-        gen = F.explode_outer if how == "left" else F.explode
-        out = lt.select("*", gen(hits).alias("__hit"))
-        return out.select(*left.columns, *[F.col("__hit")[f.name].alias(f.name) for f in fields])
-
-    n = F.lower(F.col(name))
-    if wildcards:
-        runs = F.split(n, "[_%]")
-        longest = F.element_at(F.array_sort(runs, lambda a, b: F.length(b) - F.length(a)), 1)
-        seed = F.when(_metachar(n), longest).otherwise(n)
-    else:
-        seed = n
-    names = (names_all.withColumn("__req", _required_token(n, wildcards))
-             .withColumn("__gram", F.when(F.col("__req").isNull(), F.substring(seed, 1, q))))
-    sizes = names.agg(F.count_if(F.col("__req").isNotNull()).alias("tok"),
-                      F.count_if(F.col("__req").isNull()).alias("gram")).first()
-    # Work on the distinct texts, grouped by a 64-bit hash that the exploded
-    # rows carry: no generated row ids, so recomputation is consistent, and
-    # repeated texts are matched once.  Texts that share a hash share one row
-    # (and one set of words and grams), so a candidate exists once per hash
-    # and each of its texts is verified on its own.
+    rows = right.where(F.col(name).isNotNull()).withColumn("__n", F.lower(F.col(name)))
+    keys = rows.select("__n").distinct().select("__n", F.explode(F.array_distinct(_block_keys(F.col("__n"), q, wildcards))).alias("__key"))
+    shared = keys.groupBy("__key").agg(F.count(F.lit(1)).alias("__sharing"))
+    blocked = (keys.join(shared, "__key").groupBy("__n")
+               .agg(F.min(F.struct("__sharing", (-F.length("__key")).alias("__l"), "__key")).alias("__best"))
+               .select("__n", "__best.__key"))
+    kind = F.substring("__key", 1, 1)
+    used = blocked.agg(F.collect_set(F.when(kind == "w", kind).otherwise(F.concat(kind, (F.length("__key") - 1).cast("string")))).alias("__used"))
+    # Distinct texts, grouped by a 64-bit hash that the exploded rows carry: no
+    # generated row ids, so recomputation is consistent, and repeated texts are
+    # matched once.  Texts that share a hash share one row (and one set of
+    # keys), so a candidate exists once per hash and each of its texts is
+    # verified on its own.
     texts = (left.select(F.col(text).alias("__txt")).where(F.col("__txt").isNotNull())
              .groupBy(F.xxhash64("__txt").alias("__h")).agg(F.collect_set("__txt").alias("__txts")))
-
-    def emit(per_text, out: str) -> DataFrame:
-        """(hash, distinct values of ``per_text(lower-cased text)``)."""
-        values = F.flatten(F.transform("__txts", lambda x: per_text(F.lower(x))))
-        return texts.select("__h", F.explode(F.array_distinct(values)).alias(out))
-
-    candidates = []
-    if sizes["tok"]:
-        # names with an interior word: block on it; texts emit their distinct words
-        tok_names = names.where(F.col("__req").isNotNull()).drop("__gram")
-        words = emit(lambda x: F.split(x, TOKEN_SEPARATOR, -1), "__req")
-        candidates.append(words.join(tok_names, "__req", "inner").drop("__req"))
-    if sizes["gram"]:
-        gram_names = names.where(F.col("__req").isNull()).drop("__req")
-        grams = [r[0] for r in gram_names.select("__gram").distinct().limit(probe_limit + 1).collect()]
-        if len(grams) <= probe_limit:
-            text_grams = emit(lambda x: F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: x.contains(g)), "__gram")
-        else:
-            # gram lengths in use: at most q + 1 small integers
-            lengths = sorted(r[0] for r in gram_names.select(F.length("__gram")).distinct().collect())
-
-            def overlapping(x: Column, g: int) -> Column:
-                # every overlapping g-gram in one regex pass (a zero-width
-                # lookahead capturing g characters), no per-position lambda
-                return F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)) if g else F.array(F.lit(""))
-
-            text_grams = emit(lambda x: F.concat(*[overlapping(x, g) for g in lengths]), "__gram")
-        candidates.append(text_grams.join(gram_names, "__gram", "inner").drop("__gram"))
-    cand = candidates[0] if len(candidates) == 1 else candidates[0].unionByName(candidates[1])
-    verified = (cand.join(texts, "__h", "inner")
-                .withColumn("__txt", F.explode("__txts"))
-                .where(_match(F.lower(F.col("__txt")), F.lower(F.col(name)), wildcards))
-                .drop("__h", "__txts"))
-    return left.join(verified, F.col(text) == F.col("__txt"), how).drop("__txt")
+    emitted = constant_row_join(texts, used).select("__h", F.explode(F.array_distinct(F.flatten(
+        F.transform("__txts", lambda x: _text_keys(F.lower(x), F.col("__used"), q))))).alias("__key"))
+    found = (emitted.join(blocked, "__key").select("__h", "__n").join(texts, "__h")
+             .select("__n", F.explode("__txts").alias("__txt"))
+             .where(_match(F.lower(F.col("__txt")), F.col("__n"), wildcards)))
+    hits = found.join(rows, "__n").drop("__n")
+    return left.join(hits, F.col(text) == F.col("__txt"), how).drop("__txt")
 
 
 def wildcard_join_nested(left: DataFrame, right: DataFrame, text: str, name: str,

@@ -40,12 +40,11 @@ def lag_when(value: str, cond: Column, partition: Sequence[str],
 #
 # * ``row_number_by``: number rows within (key, ordered bucket) and add the
 #   count of the key's rows in earlier buckets (one row per key and bucket).
-# * ``lag_by_sequence``: the previous row by sequence number is an equi join
-#   on (key, seq - 1), unique keys on both sides.
-# * ``min_by_key``: an aggregate (partial aggregation map-side) joined back;
-#   AQE's skew join splits the hot key's rows on the large side.
+# * ``lag_by_sequence``: a window over (key, slice of the sequence); the last
+#   row of a slice is sent to the next one as well.
+# * ``min_by_key``: an aggregate (partial aggregation map-side) joined back.
 # ---------------------------------------------------------------------------
-SKEW_SAFE = True   # lag / min variants; row_number_by is skew safe when given a bucket
+SLICE = 1024   # consecutive sequence numbers of a key that meet in one window
 
 
 def _join_back(df: DataFrame, side: DataFrame, keys: Sequence[str], side_keys: Sequence[str],
@@ -87,29 +86,26 @@ def row_number_by(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     return j.select(*df.columns, (F.col("__off") + F.col("__lrn")).cast("int").alias(out))
 
 
-def lag_by_sequence(df: DataFrame, partition: Sequence[str], seq: str, cols: dict[str, str],
-                    skew_safe: bool | None = None) -> DataFrame:
+def lag_by_sequence(df: DataFrame, partition: Sequence[str], seq: str, cols: dict[str, str]) -> DataFrame:
     """Add ``alias = lag(col) over (partition by .. order by seq)`` for each
-    ``alias: col`` of ``cols``; ``seq`` must be unique within a partition."""
-    if not (SKEW_SAFE if skew_safe is None else skew_safe):
-        w = Window.partitionBy(*partition).orderBy(seq)
-        for alias, c in cols.items():
-            df = df.withColumn(alias, F.lag(c).over(w))
-        return df
-    side_keys = [f"__k_{c}" for c in partition]
-    prev = df.select(*[F.col(c).alias(k) for c, k in zip(partition, side_keys)],
-                     (F.col(seq) + 1).alias("__k_seq"),
-                     *[F.col(c).alias(alias) for alias, c in cols.items()])
-    j = _join_back(df, prev, partition, side_keys, "left", F.col(seq) == F.col("__k_seq"))
-    return j.drop("__k_seq")
-
-
-def min_by_key(df: DataFrame, key: Sequence[str], col: str, out: str,
-               skew_safe: bool | None = None) -> DataFrame:
-    """Add ``out = min(col) over (partition by key)``."""
-    if not (SKEW_SAFE if skew_safe is None else skew_safe):
-        return df.withColumn(out, F.min(col).over(Window.partitionBy(*key)))
-    side_keys = [f"__k_{c}" for c in key]
-    m = df.groupBy(*key).agg(F.min(col).alias(out)) \
-          .select(*[F.col(c).alias(k) for c, k in zip(key, side_keys)], out)
-    return _join_back(df, m, key, side_keys, "left")
+    ``alias: col`` of ``cols``; ``seq`` numbers a partition's rows without
+    gaps.  A window sees SLICE consecutive rows of a key and the row before
+    them, so a hot key is spread and nothing is joined."""
+    own, last = F.floor(F.col(seq) / SLICE), F.col(seq) % SLICE == SLICE - 1
+    once = F.array(F.struct(own.alias("slice"), F.lit(False).alias("copy")))
+    twice = F.array(F.struct(own.alias("slice"), F.lit(False).alias("copy")),
+                    F.struct((own + 1).alias("slice"), F.lit(True).alias("copy")))
+    sent = df.withColumn("__s", F.explode(F.when(last, twice).otherwise(once)))
+    sent = sent.select(*df.columns, F.col("__s.slice").alias("__slice"), F.col("__s.copy").alias("__copy"))
+    w = Window.partitionBy(*partition, "__slice").orderBy(seq)
+    follows = F.lag(seq).over(w) == F.col(seq) - 1
+    out = sent.select("*", *[F.when(follows, F.lag(c).over(w)).alias(alias) for alias, c in cols.items()])
+    return out.where(~F.col("__copy")).drop("__slice", "__copy")
+
+
+def min_by_key(df: DataFrame, key: Sequence[str], col: str, out: str) -> DataFrame:
+    """Add ``out = min(col)`` of the rows with the same ``key``, as ``left join
+    (select key, min(col) .. group by key) using (key)`` does: a row with a
+    NULL key gets NULL.  Plain equality, so that a later aggregation by the
+    key can use the join's partitioning."""
+    return df.join(df.groupBy(*key).agg(F.min(col).alias(out)), list(key), "left").select(*df.columns, out)

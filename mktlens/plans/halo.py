@@ -59,11 +59,12 @@ def months_to_event(df: DataFrame, event: DataFrame, date_col: str,
 
 def halo_orders(t: Tables, towns=TOWNS, county: str = COUNTY, event_name: str = EVENT_NAME,
                 event: DataFrame | None = None) -> DataFrame:
-    o = B.customer_orders(t, with_geo=True)
-    o = (o.withColumn("shipping_city", bucket_first_match("shipping_city", towns))
-          .where(F.col("shipping_city").isNotNull()
-                 & (F.lower("order_shipping_county") == county)
-                 & (F.col("item_quantity") > 0)))
+    # town and county belong to the customer: the few customers are chosen
+    # first and only their orders and lines are numbered and summed
+    near = (B.customer_geo(t).where(F.lower("order_shipping_county") == county)
+            .withColumn("shipping_city", bucket_first_match("shipping_city", towns))
+            .where(F.col("shipping_city").isNotNull()))
+    o = B.customer_orders(t, only=near, with_acquisition=False).where(F.col("item_quantity") > 0)
     ev = event if event is not None else event_row(t, event_name)
     return months_to_event(o, ev, "order_date")
 

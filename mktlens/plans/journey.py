@@ -4,9 +4,11 @@ customer did between the previous order (or the first visit) and this one.
 Plan shape (Spark-first):
 
 * order history without per-customer windows: the acquisition date is an
-  aggregate joined back, the previous order an equi self-join on (customer,
-  sequence - 1), the re-sequencing a bucketed row number - a customer with a
+  aggregate joined back, the previous order a window over slices of the
+  sequence, the re-sequencing a bucketed row number - a customer with a
   third of all orders is never one task;
+* the cleaned orders are used once: refunds and conversions are joined to
+  them by key, which keeps only their own, instead of being filtered by them;
 * feature sources are reduced to ``(customer_id, t, kind, num, txt)`` rows
   and unioned, so the nine "t between lookback start and order stamp" joins
   become ONE time-bucketed interval join and ONE aggregation keyed by order;
@@ -23,18 +25,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mktlens.functions.scalars import date_lit, earlier_of, fiscal_year, left_chars, ratio
+from mktlens.functions.scalars import date_lit, earlier_of, left_chars, ratio
 from mktlens.operators.aggregates import duplicate_keys
-from mktlens.operators.joins import interval_join, null_aware_anti_join
+from mktlens.operators.joins import LINEAR_WIDTHS, interval_join, null_aware_anti_join
 from mktlens.operators.windows import lag_by_sequence, min_by_key, row_number_by
 from mktlens.sources import bindings as B
-from mktlens.sources.sinks import checkpoint_table
 from mktlens.sources.tables import Tables
 
 ACQUIRED_FROM = "2024-01-02"   # bound data: cohort of customers acquired from this day
 DUPLICATE_SEQUENCES = (1, 2)   # order names are checked for repeats among these sequences
 BLOG_PATTERN = "%central%"
-BUCKET_SECONDS = (86_400, 32 * 86_400)   # interval-join bucket widths: a day, and 32 days for long windows
+BUCKET_SECONDS = LINEAR_WIDTHS
 ORDER_KEY = ["customer_id", "order_sequence_new"]
 
 KINDS = ["blog", "review", "ecom", "train", "wish", "cart", "bounce", "opt", "acct"]
@@ -43,28 +44,29 @@ KINDS = ["blog", "review", "ecom", "train", "wish", "cart", "bounce", "opt", "ac
 # ---------------------------------------------------------------------------
 # orders
 # ---------------------------------------------------------------------------
-def order_history(orders: DataFrame, regions: DataFrame, acquired_from: str = ACQUIRED_FROM,
+def order_history(orders: DataFrame, regions: DataFrame, fiscal: DataFrame, acquired_from: str = ACQUIRED_FROM,
                   as_of: str | None = None) -> DataFrame:
-    """Orders with region, fiscal year, acquisition date, local date, prior
-    order date and stamp (repeat orders only) and days between orders; only
-    customers acquired in ``[acquired_from, as_of]``.  The stored
-    ``order_sequence`` must be unique per customer."""
+    """Orders with region, fiscal year (of the calendar ``fiscal``: cal_date,
+    fiscal_year), acquisition date, local date, prior order date and stamp
+    (repeat orders only) and days between orders; only customers acquired in
+    ``[acquired_from, as_of]``.  The stored ``order_sequence`` numbers a
+    customer's orders without gaps."""
     repeat = F.col("order_sequence") > 1
     end = F.current_date() if as_of is None else date_lit(as_of)
     s = orders.join(regions, F.upper(orders["shipping_country"]) == regions["shipping_country"], "left") \
               .drop(regions["shipping_country"])
     s = min_by_key(s, ["customer_id"], "order_date", "acquisition_date")
     s = s.withColumn("order_date_local", earlier_of("order_date", "order_date_nam"))
-    # previous order by the stored sequence (unique per customer): an equi
-    # join on (customer, sequence - 1) instead of a per-customer window
     s = lag_by_sequence(s, ["customer_id"], "order_sequence",
                         {"__prev_date": "order_date", "__prev_stamp": "wix_order_stamp",
                          "__prev_local": "order_date_local"})
     s = (s.withColumn("prior_order_date", F.when(repeat, F.col("__prev_date")))
           .withColumn("prior_order_date_timestamp", F.when(repeat, F.col("__prev_stamp")))
-          .withColumn("repeat_order_fy", F.when(repeat, fiscal_year("order_date")))
           .withColumn("days_btwn_orders", F.datediff(F.col("order_date_local"), F.col("__prev_local")))
           .drop("__prev_date", "__prev_stamp", "__prev_local"))
+    years = fiscal.select(F.col("cal_date").alias("order_date"), "fiscal_year")
+    s = (s.join(years, "order_date", "left").withColumn("repeat_order_fy", F.when(repeat, F.col("fiscal_year")))
+          .drop("fiscal_year"))
     return s.where(F.col("acquisition_date").between(date_lit(acquired_from), end))
 
 
@@ -81,7 +83,8 @@ def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES) -> D
 
 
 def base_orders(t: Tables, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None) -> DataFrame:
-    return clean_order_sequence(order_history(B.journey_orders(t), B.regional_index(t), acquired_from, as_of))
+    return clean_order_sequence(
+        order_history(B.journey_orders(t), B.regional_index(t), B.fiscal_dates(t), acquired_from, as_of))
 
 
 # ---------------------------------------------------------------------------
@@ -97,8 +100,10 @@ def clean_sessions(sessions: DataFrame) -> DataFrame:
     return null_aware_anti_join(sessions, dupes.where(F.col("customer_id").isNotNull()), "customer_id")
 
 
-def conversion_sessions(visits: DataFrame, base: DataFrame) -> DataFrame:
-    return visits.join(base.select("wix_order_name").distinct(), "wix_order_name", "left_semi")
+def conversion_sessions(visits: DataFrame, base: DataFrame | None) -> DataFrame:
+    """Sessions of the base orders; ``None`` where a later join on the order
+    name makes the filter redundant."""
+    return visits.where(F.col("wix_order_name").isNotNull()) if base is None else visits.join(base.select("wix_order_name").distinct(), "wix_order_name", "left_semi")
 
 
 def first_visit(visits: DataFrame) -> DataFrame:
@@ -107,9 +112,12 @@ def first_visit(visits: DataFrame) -> DataFrame:
                     F.col("visit_start_time").alias("first_visit_timestamp")).distinct())
 
 
-def order_returns(refunds: DataFrame, base: DataFrame) -> DataFrame:
-    names = base.select(F.col("wix_order_name").alias("wix_order_id")).distinct()
-    return (refunds.join(names, "wix_order_id", "left_semi").groupBy("wix_order_id")
+def order_returns(refunds: DataFrame, base: DataFrame | None) -> DataFrame:
+    """Refunds of the base orders; ``None`` as in ``conversion_sessions``."""
+    if base is not None:
+        names = base.select(F.col("wix_order_name").alias("wix_order_id")).distinct()
+        refunds = refunds.join(names, "wix_order_id", "left_semi")
+    return (refunds.groupBy("wix_order_id")
             .agg(F.sum("quantity_returned").alias("items_returned"),
                  F.max(left_chars("refund_date", 10)).alias("refund_date")))
 
@@ -233,13 +241,13 @@ def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds) -
         F.max(F.when(k == "acct", F.coalesce(F.col("txt"), F.lit("N")))).alias("account_status"))
 
 
-def _equi_features(t: Tables, base: DataFrame, visits: DataFrame) -> DataFrame:
-    conv = conversion_sessions(visits, base).select(
+def _equi_features(t: Tables, windows: DataFrame, visits: DataFrame) -> DataFrame:
+    conv = conversion_sessions(visits, None).select(
         "customer_id", "wix_order_name", F.col("channel_grouping").alias("conversion_channel"))
-    returns = order_returns(B.refunded_items(t), base).select(
+    returns = order_returns(B.refunded_items(t), None).select(
         F.col("wix_order_id").alias("wix_order_name"), "items_returned")
     cust = B.customer_details(t).select("customer_id", "customer_gender", "mail_control")
-    b = (base.join(returns, "wix_order_name", "left")
+    b = (windows.join(returns, "wix_order_name", "left")
              .join(conv, ["customer_id", "wix_order_name"], "left")
              .join(cust, "customer_id", "left"))
     full_or_part = (F.when(F.col("items_returned") == F.col("item_quantity"), "FULL")
@@ -247,14 +255,6 @@ def _equi_features(t: Tables, base: DataFrame, visits: DataFrame) -> DataFrame:
     return b.withColumn("full_or_part_return", full_or_part)
 
 
-OUTPUT = ["customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
-          "first_visit_timestamp", "prior_order_or_first_visit_timestamp", "items_returned",
-          "full_or_part_return", "customer_gender", "conversion_channel", "blog_visit_flag", "total_reviews",
-          "avg_rating", "ecom_app_download", "train_app_download", "wishlist_add", "count_wishlist_add",
-          "wishlist_num_prod_added", "total_add_to_carts", "total_bounced_sessions", "total_sessions",
-          "bounce_rate", "max_date", "latest_opt_status", "updated_at", "account_status", "mail_control"]
-
-
 def _assemble(rows: DataFrame, mult) -> DataFrame:
     """Final columns from equi-joined rows and per-order feature aggregates;
     ``mult(kind)`` is the factor a kind's sums and counts are repeated by."""
@@ -289,14 +289,12 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
 
 
 def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None):
-    # the cleaned orders feed six branches (windows, returns, conversion
-    # sessions and three "customer in base" filters): written once to the
-    # shared checkpoint folder instead of being recomputed per branch
-    base = checkpoint_table(base_orders(t, acquired_from, as_of), "journey_base_orders")
-    visits = clean_sessions(B.sessions_master(t, numbered=True))
-    windows = lookback_start(base, first_visit(visits))
+    """(sessions, first sessions, order windows, per-order features)."""
+    visits = clean_sessions(B.sessions_master(t))
+    firsts = clean_sessions(B.first_sessions(t))
+    windows = lookback_start(base_orders(t, acquired_from, as_of), first_visit(firsts))
     feats = _per_order_features(windows, feature_events(t, None), bucket_seconds)
-    return base, visits, windows, feats
+    return visits, firsts, windows, feats
 
 
 def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS, acquired_from: str = ACQUIRED_FROM,
@@ -304,7 +302,7 @@ def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS, acquir
     """Default form: every feature aggregated per order, joined 1:1.  The
     cohort is the customers acquired in ``[acquired_from, as_of]``
     (``as_of=None`` means today)."""
-    base, visits, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
+    visits, _, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
     rows = _equi_features(t, windows, visits).join(feats, ORDER_KEY, "left")
     return _assemble(rows, lambda kind: F.lit(1))
 
@@ -315,8 +313,8 @@ def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS
     one-to-many left joins multiplying one another, then grouped by 16 keys.
     Sums and counts of a feature are scaled by the equi-join rows of the
     group and by the match counts of the other eight features."""
-    base, visits, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
-    g1 = visits.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
+    visits, firsts, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
+    g1 = firsts.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
     rows = _equi_features(t, windows, visits).join(g1, "customer_id", "left")
     keys = ["customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
             "first_visit_timestamp", "prior_order_or_first_visit_timestamp", "items_returned",

@@ -12,7 +12,23 @@ boundaries, ``sum(int)`` is HUGEINT (cast to BIGINT).
 
 from __future__ import annotations
 
-from mktlens.sources.bindings import CHANNELS, COGS_RATIO, COMPANY_MENTION, EMAIL_DOMAIN, PO_CATEGORIES
+# Fixed values of the bound data, stated here on their own (none is imported
+# from the bindings, so the two sides check each other).
+PO_CATEGORIES = [
+    "Influencer Team : Monthly Salary Payments",
+    "Influencer Team : Ambassador Monthly Salary Payments",
+    "Influencer Team : Influencer Team : Influencer Campaigns",
+    "Influencer Team : Influencer Team : Fixed One Year Fees",
+    "Influencer Team : Influencer Team : Fixed Three Month Fees",
+    "Influencer Team : Influencer Team : Commissions",
+    "Influencer Team : Influencer Team : Bonus",
+    "Operations : Office Supplies",
+]
+CHANNELS = ["Direct", "Organic Search", "Paid Social", "Email", "Referral"]
+COGS_RATIO = "0.6"
+NET_RATIO = "0.8"
+COMPANY_MENTION = "@companynameuk"
+EMAIL_DOMAIN = "@mail.example"
 
 
 def _case_pick(values, index_sql: str) -> str:
@@ -150,7 +166,11 @@ BINDINGS: dict[str, str] = {
         FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
     # --- journey: everything from the event log --------------------------
     "ev": f"""SELECT *, {EVK} AS k FROM events""",
-    "journey_orders": """
+    "fiscal_dates": """
+        SELECT CAST(d AS DATE) AS cal_date, 'FY' || CAST(year(d + INTERVAL 9 MONTH) AS VARCHAR) AS fiscal_year
+        FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+              FROM (SELECT CAST(MIN(ts) AS DATE) AS lo, CAST(MAX(ts) AS DATE) AS hi FROM events))""",
+    "journey_orders": f"""
         SELECT e.user_id AS customer_id,
                ROW_NUMBER() OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id) AS order_sequence,
                CAST(e.ts AS DATE) AS order_date,
@@ -158,6 +178,10 @@ BINDINGS: dict[str, str] = {
                e.ts AS wix_order_stamp, e.event_id AS wix_order_name, e.event_id AS wix_order_id,
                e.k % 4 + 1 AS item_quantity,
                CAST(e.value AS DECIMAL(18,2)) AS order_gross_total_gbp,
+               e.k % 3 AS order_flag_id,
+               CASE WHEN e.k % 3 = 0 AND e.k % 5 >= e.k % 4 THEN 'Y' ELSE 'N' END AS fully_returned,
+               CAST(round(CAST(e.value AS DECIMAL(18,2)) * CAST({NET_RATIO} AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS order_net_sales_gbp,
+               CASE WHEN e.k % 2 = 0 THEN 'web' ELSE 'app' END AS order_store,
                g.shipping_country
         FROM ev e LEFT JOIN (SELECT c.c_custkey, lower(n.n_name) AS shipping_country
                              FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) g

@@ -66,21 +66,20 @@ def paid_attribution(ads: DataFrame, matches: DataFrame, influencers: DataFrame)
               .agg(F.sum("impressions").alias("impressions"), F.sum("spend").alias("spend"),
                    F.sum("clicks").alias("clicks"), F.sum("ad_revenue").alias("ad_revenue"),
                    F.count(F.lit(1)).alias("n_rows")))
-    # Level 2: per group; each campaign is repeated once per ad row it had,
-    # so the concatenation keeps listagg's duplicates.
-    repeated = F.flatten(F.collect_list(F.array_repeat(F.col("campaign"), F.col("n_rows").cast("int"))))
-    # Level-1 rows are distinct per (campaign, territory, channel), so the
-    # distinct counts are set sizes gathered in the same single pass as the
-    # string aggregation (no Expand of the rows per distinct column).
+    # Level 2: per group.  A group buffers one (campaign, rows) pair per level-1
+    # row; each campaign is then written once per ad row it had, so the
+    # concatenation keeps listagg's duplicates without expanding them first.
+    pairs = F.sort_array(F.collect_list(F.struct("campaign", "n_rows")))
+    listed = F.transform(pairs, lambda p: F.repeat(p["campaign"], p["n_rows"].cast("int")))
     return (combos.groupBy("publisher_name", "creator_number", "cal_date")
-            .agg(F.size(F.collect_set("campaign")).cast("bigint").alias("distinct_campaigns"),
-                 F.size(F.collect_set("territory")).cast("bigint").alias("distinct_territory"),
-                 F.size(F.collect_set("channel")).cast("bigint").alias("distinct_paid_channels"),
+            .agg(F.count_distinct("campaign").alias("distinct_campaigns"),
+                 F.count_distinct("territory").alias("distinct_territory"),
+                 F.count_distinct("channel").alias("distinct_paid_channels"),
                  F.sum("impressions").alias("sum_impressions"),
                  F.sum("spend").cast("decimal(38,2)").alias("sum_spend"),
                  F.sum("clicks").alias("sum_clicks"),
                  F.round(F.sum("ad_revenue")).cast("decimal(38,0)").alias("sum_ad_revenue"),
-                 F.array_join(F.sort_array(repeated), "").alias("agg_campaign")))
+                 F.array_join(listed, "").alias("agg_campaign")))
 
 
 def ordered_listagg(c: str, sep: str = "") -> F.Column:

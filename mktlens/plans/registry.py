@@ -149,6 +149,16 @@ def _wildcard_left_join(t: Tables) -> DataFrame:
     return wildcard_join(docs, bench, "text", "passage", how="left").select("doc_id", "item_id")
 
 
+@register("wildcard_join_many_names")
+def _wildcard_many(t: Tables) -> DataFrame:
+    """Names from a high-cardinality column: which customers' accounts (their
+    names, without the prefix) occur in the purchase orders' finance names."""
+    from mktlens.operators.joins import wildcard_join
+    pos = B.purchase_orders(t).select("purchaseorder_id", "finance_name")
+    accounts = t.customer.select("c_custkey", F.concat(F.substring("c_name", 10, 9), F.lit(" ltd")).alias("account"))
+    return wildcard_join(pos, accounts, "finance_name", "account", how="inner").select("purchaseorder_id", "c_custkey")
+
+
 # --- organic ---------------------------------------------------------------
 register("organic_post_attribution")(O.organic_post_attribution)
 register("unpivot_slots")(O.unpivot_mention_slots)
@@ -222,9 +232,16 @@ register("interactions_between_orders")(J.interactions_between_orders)
 register("interactions_between_orders_literal")(J.interactions_between_orders_literal)
 
 
+@register("interactions_view")
+def _interactions_view(t: Tables) -> DataFrame:
+    """The journey plan as a view, read back by name."""
+    from mktlens.sources.sinks import view_sink
+    return view_sink(J.interactions_between_orders(t), "mktlens_interactions_between_orders")
+
+
 @register("order_history")
 def _order_history(t: Tables) -> DataFrame:
-    return J.order_history(B.journey_orders(t), B.regional_index(t))
+    return J.order_history(B.journey_orders(t), B.regional_index(t), B.fiscal_dates(t))
 
 
 @register("clean_order_sequence")
@@ -317,12 +334,10 @@ def _interval_join(t: Tables) -> DataFrame:
     """Orders' lookback windows left-joined with the content visits inside
     them (time-bucketed interval join), one row per pair."""
     from mktlens.operators.joins import interval_join
-    from mktlens.sources.sinks import checkpoint_table
-    base = checkpoint_table(J.base_orders(t), "journey_base_orders")
-    w = J.lookback_start(base, J.first_visit(J.clean_sessions(B.sessions_master(t, numbered=True))))
+    w = J.lookback_start(J.base_orders(t), J.first_visit(J.clean_sessions(B.first_sessions(t))))
     w = w.select("customer_id", "order_sequence_new", F.col("prior_order_or_first_visit_timestamp").alias("lo"),
                  F.col("wix_order_stamp").alias("hi"))
-    blog = J.content_visits(B.sessions_master(t), base).select("customer_id", "visit_start_time")
+    blog = J.content_visits(B.sessions_master(t), None).select("customer_id", "visit_start_time")
     return interval_join(w, blog, "customer_id", "lo", "hi", "visit_start_time", how="left",
                          bucket_seconds=J.BUCKET_SECONDS, left_id=J.ORDER_KEY).select("customer_id", "order_sequence_new", "visit_start_time")
 

@@ -123,13 +123,16 @@ def attribute_by_number(unmatched: DataFrame, influencers: DataFrame, n: int | N
 def spend_attribution(pos: DataFrame, influencers: DataFrame, n: int | None = None,
                       wildcards: bool = False) -> DataFrame:
     """The waterfall in one pass over the name join: rows with a name keep
-    it; rows without one take the finance-number match (the join condition
-    only lets unmatched rows in), which is the union of the two stages."""
+    it; rows without one take the finance-number match, which is the union of
+    the two stages.  Rows with a name get a join key of their own that no
+    finance number has: an agency's orders are not gathered for nothing."""
     by_name = attribute_by_name(infer_year_month(spend_filter(pos)), influencers, wildcards)
     l2 = unique_finance_numbers(influencers).select(
         F.col("influencer_name").alias("__n2"), F.col("influencer_id").alias("__id2"), "finance_number")
-    cond = F.col("influencer_name").isNull() & (account_number(n=n) == F.col("finance_number"))
-    j = by_name.join(l2, cond, "left")
+    unnamed = F.col("influencer_name").isNull()
+    key = F.when(unnamed, account_number(n=n)).otherwise(F.concat(F.lit("named: "), F.col("purchaseorder_id").cast("string")))
+    j = by_name.withColumn("__key", key)
+    j = j.join(l2, unnamed & (F.col("__key") == F.col("finance_number")), "left")
     name = F.coalesce(F.col("influencer_name"), F.col("__n2"))
     out = j.select(
         F.coalesce(name, F.concat(F.lit(MISSING_LABEL), F.col("finance_name"))).alias("influencer_name"),

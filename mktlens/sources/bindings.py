@@ -22,7 +22,7 @@ from mktlens.operators.windows import min_by_key, row_number_by
 from mktlens.sources.tables import Tables
 
 # ---------------------------------------------------------------------------
-# Fixed values of the bindings (our own choices, documented in README).
+# Fixed values of the bindings: ours, but for the spend categories.
 # ---------------------------------------------------------------------------
 # Purchase-order categories kept by the spend filter.
 SPEND_CATEGORIES = [
@@ -38,6 +38,8 @@ SPEND_CATEGORIES = [
 PO_CATEGORIES = [*SPEND_CATEGORIES, "Operations : Office Supplies"]
 CHANNELS = ["Direct", "Organic Search", "Paid Social", "Email", "Referral"]
 COGS_RATIO = "0.6"          # cost of goods as a share of the line's list price
+NET_RATIO = "0.8"           # net sales of a web order as a share of its gross total
+FISCAL_START_MONTH = 4
 COMPANY_MENTION = "@companynameuk"
 EMAIL_DOMAIN = "@mail.example"
 
@@ -66,11 +68,14 @@ def line_net(t: Tables) -> F.Column:
 # ---------------------------------------------------------------------------
 # Value (V) and halo (H): orders and their items
 # ---------------------------------------------------------------------------
-def order_items(t: Tables) -> DataFrame:
+def order_items(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """One row per order from its lines: quantity, net sales and the item
     costs of the value plan (cost of goods, returned value, returned cost).
-    One scan of lineitem, one aggregation keyed by order."""
+    One scan of lineitem, one aggregation keyed by order.  With ``orders``
+    (order_name) only their lines are read into the aggregation."""
     li = t.lineitem
+    if orders is not None:
+        li = li.join(orders.select(F.col("order_name").alias("l_orderkey")), "l_orderkey", "left_semi")
     qty = F.col("l_quantity").cast("int")
     net = line_net(t)
     cogs = F.round(money(F.col("l_extendedprice")) * F.lit(COGS_RATIO).cast("decimal(2,1)"), 2).cast("decimal(18,2)")
@@ -102,33 +107,37 @@ def items_sold(t: Tables) -> DataFrame:
 ITEM_COST_COLS = ("cogs", "returns", "cost_of_goods_returns")
 
 
-def customer_orders(t: Tables, with_geo: bool = False, with_item_costs: bool = False,
-                    with_sequence: bool = True) -> DataFrame:
+def customer_geo(t: Tables) -> DataFrame:
+    """Town (nation) and county (region) of each customer."""
+    return (t.customer.select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
+            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("customer_id", F.col("n_name").alias("shipping_city"), F.col("r_name").alias("order_shipping_county")))
+
+
+def customer_orders(t: Tables, with_geo: bool = False, with_item_costs: bool = False, with_sequence: bool = True,
+                    with_acquisition: bool = True, only: DataFrame | None = None) -> DataFrame:
     """Orders with acquisition date and stored sequence per customer.
 
     ``acquisition_date`` (an aggregate joined back) and ``order_sequence``
-    (range-partitioned numbering) do not gather a customer in one task.  ``with_geo`` adds the
-    customer's nation (town) and region (county); ``with_item_costs`` keeps
-    the per-order item costs computed by the same lineitem aggregation."""
-    o = t.orders
+    (bucketed numbering) do not gather a customer in one task.  ``with_geo``
+    adds the customer's town and county; ``with_item_costs`` keeps the
+    per-order item costs computed by the same lineitem aggregation.  ``only``
+    (customer_id and columns to keep) limits orders and lines to its
+    customers before anything is numbered or summed."""
+    o = t.orders.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("order_name"),
+                        F.to_date("o_orderdate").alias("order_date"), money(F.col("o_totalprice")).alias("order_gross_sales"))
+    if only is not None:
+        o = o.join(only, "customer_id")
     extra = ITEM_COST_COLS if with_item_costs else ()
-    items = order_items(t).select("order_name", "item_quantity", "order_net_sales", *extra)
-    base = (o.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("order_name"),
-                     F.to_date("o_orderdate").alias("order_date"),
-                     money(F.col("o_totalprice")).alias("order_gross_sales"))
-            .join(items, "order_name", "left"))
-    base = min_by_key(base, ["customer_id"], "order_date", "acquisition_date")
+    items = order_items(t, None if only is None else o).select("order_name", "item_quantity", "order_net_sales", *extra)
+    base = o.join(items, "order_name", "left")
+    if with_acquisition:
+        base = min_by_key(base, ["customer_id"], "order_date", "acquisition_date")
     if with_sequence:   # an inner join Catalyst cannot prune: only when asked
         base = row_number_by(base, ["customer_id"], ["order_date", "order_name"], "order_sequence",
                              bucket=F.col("order_date"))
-    if with_geo:
-        geo = (t.customer.select(F.col("c_custkey").alias("customer_id"), "c_nationkey")
-               .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-               .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-               .select("customer_id", F.col("n_name").alias("shipping_city"),
-                       F.col("r_name").alias("order_shipping_county")))
-        base = base.join(geo, "customer_id", "left")
-    return base
+    return base.join(customer_geo(t), "customer_id", "left") if with_geo else base
 
 
 def halo_sessions_source(t: Tables) -> DataFrame:
@@ -299,9 +308,24 @@ def journey_orders(t: Tables) -> DataFrame:
                     F.col("event_id").alias("wix_order_id"),
                     (F.col("k") % 4 + 1).alias("item_quantity"),
                     money(F.col("value")).alias("order_gross_total_gbp"),
+                    (F.col("k") % 3).alias("order_flag_id"),
+                    F.when((F.col("k") % 3 == 0) & (F.col("k") % 5 >= F.col("k") % 4), "Y").otherwise("N")
+                     .alias("fully_returned"),
+                    F.round(money(F.col("value")) * F.lit(NET_RATIO).cast("decimal(2,1)"), 2).cast("decimal(18,2)")
+                     .alias("order_net_sales_gbp"),
+                    F.when(F.col("k") % 2 == 0, "web").otherwise("app").alias("order_store"),
                     "shipping_country"))
 
 
+def fiscal_dates(t: Tables) -> DataFrame:
+    """The fiscal calendar: one row per day of the event log, the fiscal year
+    named after the calendar year it ends in."""
+    span = t.events.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi"))
+    day = span.select(F.explode(F.sequence("lo", "hi")).alias("cal_date"))
+    year = F.year("cal_date") + F.when(F.month("cal_date") >= FISCAL_START_MONTH, 1).otherwise(0)
+    return day.select("cal_date", F.concat(F.lit("FY"), year.cast("string")).alias("fiscal_year"))
+
+
 def regional_index(t: Tables) -> DataFrame:
     return (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.upper("n_name").alias("shipping_country"), F.col("r_name").alias("region"),
@@ -354,16 +378,7 @@ def app_visits(t: Tables, app: str) -> DataFrame:
     return ev.select(F.col("user_id").alias("customer_id"), F.to_date("ts").alias("session_date"))
 
 
-def sessions_master(t: Tables, numbered: bool = False) -> DataFrame:
-    """Every event is a web session hit; purchases carry their order name.
-    ``web_visit_number`` (the customer's visit sequence) is computed only
-    when asked: it is the one column that needs a per-customer ordering."""
-    ev = _events(t)
-    if numbered:
-        ev = row_number_by(ev, ["user_id"], ["ts", "event_id"], "web_visit_number",
-                           bucket=F.date_trunc("hour", "ts"))
-    else:
-        ev = ev.withColumn("web_visit_number", F.lit(None).cast("int"))
+def _sessions(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id").cast("string").alias("visit_key"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("visitor_id"),
@@ -380,6 +395,25 @@ def sessions_master(t: Tables, numbered: bool = False) -> DataFrame:
         F.col("event_type"))
 
 
+def sessions_master(t: Tables, numbered: bool = False) -> DataFrame:
+    """Every event is a web session hit; purchases carry their order name.
+    ``web_visit_number`` (the customer's visit sequence) is computed only
+    when asked: it is the one column that needs a per-customer ordering."""
+    ev = _events(t)
+    if numbered:
+        return _sessions(row_number_by(ev, ["user_id"], ["ts", "event_id"], "web_visit_number",
+                                       bucket=F.date_trunc("hour", "ts")))
+    return _sessions(ev.withColumn("web_visit_number", F.lit(None).cast("int")))
+
+
+def first_sessions(t: Tables) -> DataFrame:
+    """The sessions of ``sessions_master`` whose ``web_visit_number`` is 1: one
+    aggregation per customer, nothing is numbered."""
+    row = F.struct("ts", "event_id", "event_type", "k")
+    first = _events(t).groupBy("user_id").agg(F.min(row).alias("f"))
+    return _sessions(first.select("user_id", "f.*", F.lit(1).alias("web_visit_number")))
+
+
 def wishlist_logging(t: Tables) -> DataFrame:
     ev = _events(t).where(F.col("event_type") == "signup")
     return ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("visitor_id"),

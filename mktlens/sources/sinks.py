@@ -24,19 +24,3 @@ def ctas_sink(df: DataFrame, path: str, partition_by: list[str] | None = None,
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing to the shared checkpoint folder of the session
-    (``spark.checkpoint.dir``) and reading back.  Survives executor loss,
-    unlike a local checkpoint.  A scratch folder is set only when the session
-    names none (local tests)."""
-    import uuid
-
-    from mktlens.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

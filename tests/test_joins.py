@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mktlens.operators.joins import (constant_row_join, interval_join, null_aware_anti_join, wildcard_join,
+from mktlens.operators.joins import (LINEAR_WIDTHS, bucketed_pairs, constant_row_join, interval_join, null_aware_anti_join, wildcard_join,
                                      wildcard_join_nested)
 from tests.conftest import rows
 
@@ -44,13 +44,12 @@ def test_constant_row_join_keeps_left_on_empty(spark):
     assert rows(constant_row_join(left, two)) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("probe", [64, 0])
-def test_wildcard_join_exact_when_text_hashes_collide(spark, monkeypatch, probe):
+def test_wildcard_join_exact_when_text_hashes_collide(spark, monkeypatch):
     texts = spark.createDataFrame([("red widget one",), ("a red widget",), ("blue",), ("blue",)], "t string")
     names = spark.createDataFrame([("red widget",), ("red widget",), ("blue",), ("a red w",)], "n string")
     expected = rows(wildcard_join_nested(texts, names, "t", "n"))
     monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("bigint"))
-    assert rows(wildcard_join(texts, names, "t", "n", inline_limit=0, probe_limit=probe)) == expected
+    assert rows(wildcard_join(texts, names, "t", "n")) == expected
 
 
 def _random_frames(spark, seed):
@@ -64,12 +63,10 @@ def _random_frames(spark, seed):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("wildcards", [False, True])
-@pytest.mark.parametrize("tier", ["inline", "probe", "explode"])
-def test_wildcard_join_equals_nested_loop(spark, how, wildcards, tier):
-    texts, names = _random_frames(spark, hash((how, wildcards, tier)) % 1000)
-    limits = {"inline": {}, "probe": {"inline_limit": 0},
-              "explode": {"inline_limit": 0, "probe_limit": 0}}[tier]
-    fast = wildcard_join(texts, names, "text", "name", how=how, q=3, wildcards=wildcards, **limits)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_wildcard_join_equals_nested_loop(spark, how, wildcards, seed):
+    texts, names = _random_frames(spark, seed)
+    fast = wildcard_join(texts, names, "text", "name", how=how, q=3, wildcards=wildcards)
     slow = wildcard_join_nested(texts, names, "text", "name", how=how, wildcards=wildcards)
     assert rows(fast, "text", "nid") == rows(slow, "text", "nid")
 
@@ -83,7 +80,7 @@ def test_wildcard_metacharacters(spark):
 
 def test_no_cartesian_or_python_in_plans(spark):
     texts, names = _random_frames(spark, 7)
-    plan = wildcard_join(texts, names, "text", "name", inline_limit=0)._jdf.queryExecution().executedPlan().toString()
+    plan = wildcard_join(texts, names, "text", "name")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -120,11 +117,11 @@ def test_multilevel_buckets_equal_plain(spark):
         assert rows(fast, "i", "j") == rows(plain, "i", "j")
 
 
-@pytest.mark.parametrize("tier", ["inline", "probe", "explode"])
-def test_wildcard_join_unicode_equals_nested_loop(spark, tier):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_wildcard_join_unicode_equals_nested_loop(spark, seed):
     """Words of several scripts, combining marks and punctuation: the word
     gate and the word/gram blocking stay exact."""
-    rnd = random.Random(tier)
+    rnd = random.Random(seed)
     alphabet = ["a", "é", "é", "ß", "Ж", "ж", "中", "文", "1", " ", "-", ".", "_", "İ", "\U0001F600"]
     def word(n):
         return "".join(rnd.choice(alphabet) for _ in range(n))
@@ -135,7 +132,26 @@ def test_wildcard_join_unicode_equals_nested_loop(spark, tier):
               for a in [rnd.randint(0, max(0, len(t[0]) - 1))]]
     tf = spark.createDataFrame(texts, "text string")
     nf = spark.createDataFrame(names, "nid int, name string")
-    limits = {"inline": {}, "probe": {"inline_limit": 0}, "explode": {"inline_limit": 0, "probe_limit": 0}}[tier]
-    fast = wildcard_join(tf, nf, "text", "name", how="left", q=3, **limits)
+    fast = wildcard_join(tf, nf, "text", "name", how="left", q=3)
     slow = wildcard_join_nested(tf, nf, "text", "name", how="left")
     assert rows(fast, "text", "nid") == rows(slow, "text", "nid")
+
+
+def test_hot_key_in_one_day_meets_linear_candidates(spark):
+    """A third of all rows belongs to one customer and falls into one day of
+    touching windows: candidates grow with the rows, not with their square."""
+    def candidates(n):
+        step = dt.timedelta(seconds=86_000 // n)
+        day = T(2024, 1, 1)
+        left = [(0, i, day + i * step, day + (i + 1) * step) for i in range(n)]
+        left += [(1 + i, i, day, day + dt.timedelta(days=40)) for i in range(2 * n)]
+        right = [(0, day + i * step + dt.timedelta(seconds=3)) for i in range(n)]
+        right += [(1 + i, day + dt.timedelta(hours=i % 2000)) for i in range(2 * n)]
+        lf = spark.createDataFrame(left, "k int, i int, lo timestamp_ntz, hi timestamp_ntz")
+        rf = spark.createDataFrame(right, "k int, t timestamp_ntz")
+        pairs = bucketed_pairs(lf, rf, ["k"], "lo", "hi", "t", LINEAR_WIDTHS, 32, lf.columns).count()
+        joined = interval_join(lf, rf, "k", "lo", "hi", "t", how="inner", bucket_seconds=LINEAR_WIDTHS)
+        assert joined.where("k = 0").count() == n
+        return pairs
+    small, large = candidates(200), candidates(1600)
+    assert small <= 12 * 200 and large <= 12 * 1600

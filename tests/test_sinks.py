@@ -1,10 +1,10 @@
-"""Sinks: view, create-table-as (fails when the target exists), checkpoint table."""
+"""Sinks: view, create-table-as (fails when the target exists)."""
 
 import tempfile
 
 import pytest
 
-from mktlens.sources.sinks import checkpoint_table, ctas_sink, view_sink
+from mktlens.sources.sinks import ctas_sink, view_sink
 from tests.conftest import rows
 
 
@@ -21,10 +21,3 @@ def test_ctas_sink_fails_when_target_exists(spark):
     assert rows(ctas_sink(df, path)) == [(1,)]
     with pytest.raises(Exception):
         ctas_sink(df, path)
-
-
-def test_checkpoint_table_reads_back(spark):
-    df = spark.range(100).selectExpr("id", "id % 7 as m")
-    back = checkpoint_table(df, "test")
-    assert back.count() == 100 and rows(back.groupBy("m").count().where("m = 0"), "count") == [(15,)]
-    assert "FileScan parquet" in back._jdf.queryExecution().executedPlan().toString()
