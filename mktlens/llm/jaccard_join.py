@@ -21,7 +21,8 @@ Scale:
 * Large groups of near copies aren't compared pairwise.  Two rounds compare the
   members of each posting list with one hub and merge what links; afterwards
   only pairs that still lie in different classes are formed and verified, which
-  loses no link between classes.
+  loses no link between classes.  A pair is formed at the first token it shares,
+  as good as once, and only if enough open tokens lie ahead of both ends there.
 * Texts are shuffled once, compressed, to keep those of nodes with a candidate.
 
 Defined cases: a NULL or wordless text has an empty set and links with nothing;
@@ -38,7 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mktlens.llm.common import checkpointed, stored
@@ -48,6 +49,7 @@ from mktlens.llm.wordhash import U, Words, mix, multipliers, segment_sums, slice
 MAX_MATCH = 12
 VERIFY_COST = 8.0
 SKETCH_SLICES = 16
+LOOK_BACK = 4   # tokens a posting carries to tell that a pair has met before; never decides a result
 
 
 def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -308,18 +310,32 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per
         label = components(links)
     # whatever still lies in two classes: all of it, by the multi-match rule
     posted_in = posted.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_tokens = posted_in.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    open_tokens = posted_in.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("token", "size")
     beyond = F.ceil(F.col("n") * percent / F.lit(100)) - F.col("ell")
-    rest = stored(posted_in.join(open_tokens, "token").select("token", "node", "n", "ell", "comp", beyond.alias("beyond")))
-    # a pair shares no more than either end has left in open lists
-    left = rest.groupBy("node").agg(F.count(F.lit(1)).alias("left"))
-    rest = rest.join(left, "node")
-    other = rest.select("token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ell", "comp", "beyond", "left")])
-    enough = (100 + percent) * (F.least("left", "o_left") + F.greatest("beyond", "o_beyond")) >= percent * (F.col("n") + F.col("o_n"))
+    # a node's open tokens (at most one document's prefix) from the shortest list
+    # to the longest; ``ahead`` counts those from here on, ``before`` holds the last few
+    of_node = Window.partitionBy("node")
+    in_order = of_node.orderBy("size", "token")
+    rest = stored(posted_in.join(open_tokens, "token").select(
+        "token", "node", "n", "ell", "comp", beyond.alias("beyond"),
+        (F.count(F.lit(1)).over(of_node) - F.row_number().over(in_order) + 1).alias("ahead"),
+        F.collect_list("token").over(in_order.rowsBetween(-LOOK_BACK, -1)).alias("before")))
+    other = rest.select("token", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "ell", "comp", "beyond", "ahead", "before")])
+    # at the first token that a pair shares, neither end shares one before it, and
+    # the pair shares no more than either end still has ahead
+    ahead = F.least("ahead", "o_ahead")
+    enough = (ahead >= F.least("ell", "o_ell")) & (
+        (100 + percent) * (ahead + F.greatest("beyond", "o_beyond")) >= percent * (F.col("n") + F.col("o_n")))
+    pairs = (
+        rest.join(other, "token").where((F.col("comp") < F.col("o_comp")) & near("o_") & enough & ~F.arrays_overlap("before", "o_before"))
+        .groupBy(F.col("node").alias("a"), F.col("o_node").alias("b")).agg(*[F.first(c).alias(c) for c in ("n", "ell", "o_n", "o_ell")])
+    )
+    tokens = rest.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    shared = F.size(F.array_intersect("tokens", "o_tokens"))
     cross = (
-        rest.join(other, "token").where((F.col("comp") < F.col("o_comp")) & near("o_") & enough)
-        .groupBy(F.col("node").alias("a"), F.col("o_node").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in ("n", "ell", "o_n", "o_ell")])
+        pairs.join(tokens.withColumnRenamed("node", "a"), "a")
+        .join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("o_tokens")), "b").withColumn("shared", shared)
         .where(_may_link(percent, ("n", "ell"), ("o_n", "o_ell"))).select("a", "b")
     )
     label = components(links.union(checkpointed(verify(cross, texts, k, percent))))
