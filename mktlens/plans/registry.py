@@ -151,11 +151,11 @@ def _wildcard_left_join(t: Tables) -> DataFrame:
 
 @register("wildcard_join_many_names")
 def _wildcard_many(t: Tables) -> DataFrame:
-    """Names from a high-cardinality column: which customers' accounts (their
-    names, without the prefix) occur in the purchase orders' finance names."""
+    """Names from a high-cardinality column: which customers' accounts occur
+    in the purchase orders' finance names."""
     from mktlens.operators.joins import wildcard_join
     pos = B.purchase_orders(t).select("purchaseorder_id", "finance_name")
-    accounts = t.customer.select("c_custkey", F.concat(F.substring("c_name", 10, 9), F.lit(" ltd")).alias("account"))
+    accounts = t.customer.select("c_custkey", F.concat("c_name", F.lit(" LTD")).alias("account"))
     return wildcard_join(pos, accounts, "finance_name", "account", how="inner").select("purchaseorder_id", "c_custkey")
 
 
