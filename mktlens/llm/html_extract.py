@@ -4,7 +4,9 @@ Method: paragraphs pass points for their length and commas to their ancestors,
 each container's points are discounted by the share of its text that is link
 text, and the best container is kept together with siblings that look like
 more of the article.  Elements that can't be article text (menus, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts) are cut first.
+footers, sidebars, notices, adverts, forms, comments, scripts) are cut first,
+at any size; a form or an element with such a name stays if it holds the article
+or the only paragraphs.
 
 A page is one row and is handled alone, so pages spread evenly and nothing is
 shuffled.
@@ -29,7 +31,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style title textarea noscript iframe template".split())
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
             "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
-CUT = set("head nav footer aside form button select option input label textarea dialog menu svg canvas object embed audio video map math".split())
+CUT = set("head nav footer aside button select option input label textarea dialog menu svg canvas object embed audio video map math".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 # Words that name something other than the article in a class or id.
@@ -128,20 +130,6 @@ def _measure(node: Node, depth: int = 0) -> tuple[int, int]:
     return node.size, node.links
 
 
-def _is_aside(node: Node, total: int) -> bool:
-    if node.tag in CUT or node.tag in RAW:
-        return True
-    if node.tag in ("html", "body", "article", "main", "#root"):
-        return bool(node.tag == "article" and node.raw and _named_aside(node))
-    holds = any(n.tag in ("article", "main") for n in node.walk())
-    if node.tag == "header":
-        inside = node.parent
-        while inside and inside.tag not in ("article", "main"):
-            inside = inside.parent
-        return inside is None and not holds
-    return bool(node.raw) and not holds and 2 * node.size < total and _named_aside(node)
-
-
 def _named_aside(node: Node) -> bool:
     a = node.attributes()
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES:
@@ -151,13 +139,74 @@ def _named_aside(node: Node) -> bool:
     return any(p.lower() in ASIDE_WORDS for p in NAME_PART.findall(f"{a.get('class', '')} {a.get('id', '')}"))
 
 
+def _scored(node: Node) -> bool:
+    own_text = node.tag == "div" and not any(isinstance(c, Node) and c.tag in BLOCK for c in node.children)
+    return (node.tag in ("p", "pre", "td", "blockquote") or own_text) and node.size >= 25
+
+
 def _prune(root: Node) -> None:
-    total = root.size
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not _is_aside(c, total)]
-        stack += [c for c in node.children if isinstance(c, Node)]
+    """Cuts the elements that can't be article text."""
+    order = [*root.walk()]
+    holds = {n for n in order if n.tag in ("article", "main")}
+    for n in reversed(order):
+        if n in holds and n.parent:
+            holds.add(n.parent)
+    inside: set[Node] = set()
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.tag in ("article", "main") or node.parent in inside:
+            inside.add(node)
+        node.children = [c for c in node.children if isinstance(c, str) or c.tag not in CUT and c.tag not in RAW
+                         and not (c.tag == "header" and node not in inside and c not in holds)]
+        todo += [c for c in node.children if isinstance(c, Node)]
+    _measure(root)
+    _prune_named(root)
+
+
+def _prune_named(root: Node) -> None:
+    """Cuts forms and named elements of any size, unless one holds the article
+    or, if nothing marks one, is a wrapper: half of the text in a form, or with
+    all titles.  If this leaves neither article text nor a paragraph to score,
+    the paragraphs with the fewest cut elements around them stay."""
+    order = [*root.walk()]
+    named = {n for n in order if n.tag == "form" or n.raw and n.tag not in ("html", "body", "main", "#root", "header") and _named_aside(n)}
+    if not named:
+        return
+    nested: set[Node] = set()
+    for n in order:
+        if n.parent and (n.parent.tag == "article" or n.parent in nested):
+            nested.add(n)
+    # an article that its name or, as HTML has it, an outer article makes a comment is not the article
+    holds = {n for n in order if (n.tag == "main" or n.tag == "article" and n not in named) and n not in nested}
+    marked = bool(holds)
+    titles = dict.fromkeys(order, 0)
+    for n in reversed(order):
+        titles[n] += n.tag == "h1"
+        if n.parent:
+            titles[n.parent] += titles[n]
+            if n in holds:
+                holds.add(n.parent)
+    wraps = lambda n: not marked and 2 * n.size >= root.size and (n.tag == "form" or titles[n] == titles[root] > 0)
+    cut = {n for n in named if n not in holds and not wraps(n)}
+    around, plain, written, fewest = {root: 0}, {}, False, None
+    for n in order[1:]:
+        around[n] = around[n.parent] + (n in cut)
+        # text of an article that is neither heading nor link
+        plain[n] = (n.tag in ("article", "main") or plain.get(n.parent, False)) and n.tag not in HEADINGS and n.tag != "a"
+        written = written or plain[n] and not around[n] and any(isinstance(c, str) and c.strip() for c in n.children)
+        if _scored(n) and (fewest is None or around[n] < fewest):
+            fewest = around[n]
+    if fewest and not written:
+        saved: set[Node] = set()
+        for n in order:
+            up = n if _scored(n) and around[n] == fewest else None
+            while up and up not in saved:
+                saved.add(up)
+                up = up.parent
+        cut -= saved
+    for n in order:
+        n.children = [c for c in n.children if isinstance(c, str) or c not in cut]
 
 
 def _density(node: Node) -> float:
@@ -170,8 +219,7 @@ def _text(node: Node) -> str:
 
 def best_container(root: Node) -> tuple[Node | None, float]:
     for n in root.walk():
-        own_text = n.tag == "div" and not any(isinstance(c, Node) and c.tag in BLOCK for c in n.children)
-        if (n.tag in ("p", "pre", "td", "blockquote") or own_text) and n.size >= 25:
+        if _scored(n):
             points = 1 + _text(n).count(",") + min(n.size // 100, 3)
             up, level = n.parent, 1
             while up and up.tag != "#root" and level <= 4:

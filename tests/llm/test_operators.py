@@ -181,6 +181,23 @@ def test_html(spark):
     assert {r.page_id: r.n_chars for r in html_extract.op1_html_extraction(pages).collect()} == {1: 0, 2: 0, 3: 0, 4: len(html_extract.main_text(page))}
 
 
+def test_html_named_elements_of_any_size():
+    long = "<p>Nobody, I think, will agree with any of this, whatever they say.</p>" * 9
+    article = "<article><h1>Title</h1><p>Short text.</p></article>"
+    own = "Title\n\nShort text."
+    for name in ("div id=comments", "div class=ad", "section class='cookie-notice'", "div class=sidebar", "div hidden", "div style='display:none'"):
+        tag = name.split()[0]
+        assert html_extract.main_text(f"<body>{article}<{name}>{long}</{tag}></body>") == own
+        assert html_extract.main_text(f"<body><{name}>{long}</{tag}>{article}</body>") == own
+        assert html_extract.main_text(f"<body><article><p>Short text.</p><{name}><article>{long}</article></{tag}></article></body>") == "Short text."
+        # the article, or the only paragraphs, stay in an element of such a name
+        assert html_extract.main_text(f"<body><{name}>{article}</{tag}></body>") == own
+        assert html_extract.main_text(f"<body><{name}><div>{long}</div><div class=comments>{long}{long}</div></{tag}></body>").count("Nobody") == 9
+    assert html_extract.main_text(f"<body><form action=/><div id=ads>{long}</div>{article}<label>Mail</label></form></body>") == own
+    assert html_extract.main_text(f"<body><form><div>{long}</div></form><p>A line of more than 25 characters.</p></body>").count("Nobody") == 9
+    assert html_extract.main_text(f"<body>{article}<form>{long}</form></body>") == own
+
+
 def test_warc_round_trip(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, "<p>a\r\n\r\nb</p>"), (3, "v", "é" * 1000)], "page_id long, url string, html string")
     r = warc.responses(pages)
