@@ -53,7 +53,7 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("children", "links", "parent", "raw", "score", "size", "tag")
+    __slots__ = ("children", "commas", "links", "parent", "raw", "score", "size", "tag")
 
     def __init__(self, tag: str, raw: str, parent: Node | None):
         self.tag, self.raw, self.parent, self.children, self.score = tag, raw, parent, [], 0.0
@@ -62,44 +62,50 @@ class Node:
         return {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(self.raw)}
 
     def walk(self):
-        yield self
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.walk()
+        todo = [self]
+        while todo:
+            node = todo.pop()
+            yield node
+            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
 def parse(page: str) -> Node:
-    root = top = Node("#root", "", None)
+    root = Node("#root", "", None)
+    # the open elements, and the depths of those of each tag; no tag searches the path
+    path, depths = [root], {}
+    last = lambda name: depths[name][-1] if depths.get(name) else 0
+
+    def close(depth: int) -> None:
+        while len(path) > depth:
+            tag = path.pop().tag
+            for name in (tag, "#block") if tag in BLOCK else (tag,):
+                depths[name].pop()
+
     at = 0
     for_raw = page.lower()
     position = 0
     while m := TOKEN.search(page, position):
         if m.start() > at:
-            top.children.append(entities.unescape(page[at:m.start()]))
+            path[-1].children.append(entities.unescape(page[at:m.start()]))
         at = position = m.end()
         closing, tag, raw = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             continue
         tag = tag.lower()
         if closing:
-            node = top
-            while node.parent and node.tag != tag and not (tag not in BLOCK and node.tag in BLOCK):
-                node = node.parent
-            if node.parent and node.tag == tag:
-                top = node.parent
+            at_depth = last(tag)
+            if at_depth and (tag in BLOCK or at_depth > last("#block")):
+                close(at_depth)
             continue
         if tag in CLOSES_P:
-            node = top
-            while node.parent and node.tag != "p" and node.tag not in BLOCK and node.tag not in ("td", "th"):
-                node = node.parent
-            if node.tag == "p":
-                top = node.parent
+            at_depth = last("p")
+            if at_depth and at_depth == max(last("#block"), last("td"), last("th")):
+                close(at_depth)
         if tag in CLOSED_BY:
-            node = top
-            while node.parent and node.tag not in CLOSED_BY[tag] and node.tag not in SCOPES:
-                node = node.parent
-            if node.tag in CLOSED_BY[tag] and node.parent:
-                top = node.parent
+            at_depth = max(map(last, CLOSED_BY[tag]))
+            if at_depth > max(map(last, SCOPES)):
+                close(at_depth)
+        top = path[-1]
         node = Node(tag, raw, top)
         top.children.append(node)
         if tag in RAW:
@@ -109,17 +115,20 @@ def parse(page: str) -> Node:
                 stop = page.find(">", end)
                 at = position = len(page) if stop < 0 else stop + 1
         elif tag not in VOID and not raw.endswith("/"):
-            top = node
+            for name in (tag, "#block") if tag in BLOCK else (tag,):
+                depths.setdefault(name, []).append(len(path))
+            path.append(node)
     if at < len(page):
-        top.children.append(entities.unescape(page[at:]))
+        path[-1].children.append(entities.unescape(page[at:]))
     return root
 
 
 def _measure(node: Node, depth: int = 0) -> tuple[int, int]:
-    """Sets the text and link text lengths of every element."""
+    """Sets the text and link text lengths, and the commas, of every element."""
     order = [*node.walk()]
     for n in order:
         n.size = sum(len(" ".join(c.split())) for c in n.children if isinstance(c, str))
+        n.commas = sum(c.count(",") for c in n.children if isinstance(c, str))
         n.links = 0
     for n in reversed(order):
         if n.tag == "a":
@@ -127,6 +136,7 @@ def _measure(node: Node, depth: int = 0) -> tuple[int, int]:
         if n.parent:
             n.parent.size += n.size
             n.parent.links += n.links
+            n.parent.commas += n.commas
     return node.size, node.links
 
 
@@ -214,13 +224,22 @@ def _density(node: Node) -> float:
 
 
 def _text(node: Node) -> str:
-    return " ".join("".join(c if isinstance(c, str) else f" {_text(c)} " for c in node.children).split())
+    out: list[str] = []
+    todo: list = [*reversed(node.children)]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            out.append(" ")
+            todo += [" ", *reversed(x.children)]
+    return " ".join("".join(out).split())
 
 
 def best_container(root: Node) -> tuple[Node | None, float]:
     for n in root.walk():
         if _scored(n):
-            points = 1 + _text(n).count(",") + min(n.size // 100, 3)
+            points = 1 + n.commas + min(n.size // 100, 3)
             up, level = n.parent, 1
             while up and up.tag != "#root" and level <= 4:
                 up.score += points / (1, 1, 2, 6, 9)[level]

@@ -198,6 +198,18 @@ def test_html_named_elements_of_any_size():
     assert html_extract.main_text(f"<body>{article}<form>{long}</form></body>") == own
 
 
+def test_html_deep_pages(spark):
+    n = 100_000
+    deep = [f"<{tag}>x, " * n for tag in ("font", "span", "b", "div", "blockquote", "ul><li")]
+    deep += ["<b>" * n + "</i>" * n, "<center>" * n + "<li></li>" * n + "end", "<span>" * n + "<hr>" * n + "end"]
+    texts = [" ".join(html_extract.main_text(p).split()) for p in deep]
+    assert all(t.count("x,") == n for t in texts[:3]) and all("x," in t for t in texts[3:6]) and [bool(t) for t in texts[6:]] == [False, True, True]
+    assert all(html_extract.plain_text(p).count("x,") == n for p in deep[:6])
+    pages = spark.createDataFrame([(1, "u", deep[0]), (2, "u", "<p>short")], "page_id long, url string, html string")
+    assert {r.page_id: r.n_chars > 0 for r in html_extract.op1_html_extraction(pages).collect()} == {1: True, 2: True}
+    assert warc.derive(warc.responses(pages)).count() == 4
+
+
 def test_warc_round_trip(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, "<p>a\r\n\r\nb</p>"), (3, "v", "é" * 1000)], "page_id long, url string, html string")
     r = warc.responses(pages)
