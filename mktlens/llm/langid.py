@@ -6,15 +6,18 @@ of the intersection over the geometric mean of the sizes.  A Nyström map on a
 few hundred landmark texts and one-versus-rest kernel ridge regression give one
 weight per landmark and language, so a batch is scored by two matrix products.
 
-Fitting uses a bounded sample: at most ``per_language`` texts of each of the
-``max_languages`` most frequent labels, chosen by a hash of the doc_id.  Only
-their bit sets (``dims`` / 8 bytes each) reach the driver.  Prediction covers
-every whole text, is a map over the rows, and shuffles nothing.
+Fitting learns every label that occurs.  It uses a sample bounded per label:
+about ``per_language`` texts, fewer (``LEAST`` at least) with more than
+``full_languages`` labels, chosen by a hash of the doc_id, and always the first
+text by that hash.  Every label has a landmark; landmarks and sample grow with
+the number of labels.  Only bit sets (``dims`` / 8 bytes each) reach the driver.
+Prediction covers every whole text, is a map over the rows, and shuffles nothing.
 
 Defined cases: a NULL text, or one without a letter, is ``und`` with score 0,
 and so is every text if there is nothing to learn from; rows with a NULL
-doc_id are predicted but never learnt from, and not held out; ties go to the
-first label by code point; extra columns pass through ``with_language``.
+doc_id are predicted but never learnt from, and not held out; rows repeated
+with a doc_id and label are one text of the sample; ties go to the first label
+by code point; extra columns pass through ``with_language``.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ LETTER = re.compile(r"[^\W\d_]")
 GRAMS = 3
 UNKNOWN = "und"
 SHARPNESS = 4.0
+# Sampled texts of a label, however many labels there are.
+LEAST = 16
 
 
 def held_out(doc_id: Column) -> Column:
@@ -58,40 +63,54 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return (x.astype(np.float32) @ landmarks.T) / sizes
 
 
-def fit(docs: DataFrame, dims: int = 16384, per_language: int = 400, max_languages: int = 64, n_landmarks: int = 256,
+def _kernel_of_bits(bits: np.ndarray, landmarks: np.ndarray, dims: int, rows: int = 512) -> np.ndarray:
+    """The kernel of packed presence rows, a slice of them unpacked at a time."""
+    return np.concatenate([kernel(np.unpackbits(bits[i:i + rows], axis=1, count=dims), landmarks) for i in range(0, len(bits), rows)])
+
+
+def fit(docs: DataFrame, dims: int = 16384, per_language: int = 400, full_languages: int = 64, n_landmarks: int = 256,
         ridge: float = 1e-2, seed: int = 3) -> dict:
     """The model: landmark bits, weights per landmark and label, labels."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11).cast("double") / F.lit(float(1 << 53))
     known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
-    model = {"labels": sorted(counts), "dims": dims}
+    known = known.select("doc_id", "lang", place.alias("place"), "text")
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).collect()
+    model = {"labels": sorted(r["lang"] for r in counts), "dims": dims}
     if not counts:
         return model
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11).cast("double") / F.lit(float(1 << 53))
-    part = F.lit(0.0)
-    for lang, n in counts.items():
-        part = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(part)
+    per_label = min(per_language, max(LEAST, per_language * full_languages // len(counts)))
+    parts = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, per_label / r["n"]), r["first"]) for r in counts],
+                                              "lang string, part double, first double")
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "place": b["place"],
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "place": b["place"], "first": b["first"],
                                 "bits": [np.packbits(presence(t, dims)).tobytes() for t in b["text"]]})
 
+    # the limit only guards the driver; the first text of each label is never beyond it
     sample = (
-        known.withColumn("place", place).where(F.col("place") < part)
-        .select("doc_id", "lang", "place", "text").mapInPandas(bits, "doc_id long, lang string, place double, bits binary")
-        .orderBy("place", "doc_id").limit(2 * per_language * max_languages).toPandas()
+        known.join(F.broadcast(parts), "lang").where((F.col("place") < F.col("part")) | (F.col("place") == F.col("first")))
+        .select("doc_id", "lang", "place", (F.col("place") == F.col("first")).alias("first"), "text")
+        .mapInPandas(bits, "doc_id long, lang string, place double, first boolean, bits binary")
+        .groupBy("lang", "doc_id", "place", "first").agg(F.min("bits").alias("bits"))
+        .orderBy(F.desc("first"), "place", "doc_id").limit((2 * per_label + 1) * len(counts)).toPandas()
+        .sort_values(["place", "doc_id", "lang"], ignore_index=True)
     )
-    if sample.empty:
-        return {"labels": [], "dims": dims}
-    x = np.stack([np.unpackbits(np.frombuffer(b, np.uint8), count=dims) for b in sample["bits"]]).astype(np.float32)
-    each = -(-n_landmarks // len(counts))
-    landmarks = x[np.sort(np.concatenate([np.nonzero((sample["lang"] == lang).to_numpy())[0][:each] for lang in model["labels"]]))]
+    lang = pd.Index(model["labels"]).get_indexer(sample["lang"])
+    x = np.stack([np.frombuffer(b, np.uint8) for b in sample["bits"]])
+    each = max(-(-n_landmarks // len(counts)), min(-(-n_landmarks // full_languages), 4 * n_landmarks // len(counts)), 1)
+    order = np.argsort(lang, kind="stable")
+    rank = np.arange(len(lang)) - np.searchsorted(lang[order], lang[order])
+    landmarks = np.unpackbits(x[np.sort(order[rank < each])], axis=1, count=dims).astype(np.float32)
     value, vector = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
     inverse_root = vector / np.sqrt(np.maximum(value, 1e-4))
-    z = np.hstack([kernel(x, landmarks) @ inverse_root, np.ones((len(x), 1))])
-    y = np.where(sample["lang"].to_numpy()[:, None] == np.array(model["labels"])[None, :], 1.0, -1.0)
-    weight = (1 / sample["lang"].map(sample["lang"].value_counts())).to_numpy()[:, None] * len(x) / len(counts)
-    b = np.linalg.solve(z.T @ (weight * z) + ridge * len(x) * np.diag([1.0] * (z.shape[1] - 1) + [1e-6]), z.T @ (weight * y))
+    z = np.hstack([_kernel_of_bits(x, landmarks, dims) @ inverse_root, np.ones((len(x), 1))])
+    size = np.bincount(lang, minlength=len(counts))
+    weighted = (len(x) / len(counts) / size[lang])[:, None] * z
+    # targets are 1 for a text's own label and -1 for the others
+    own = np.add.reduceat(weighted[order], np.searchsorted(lang[order], np.arange(len(counts))), axis=0).T
+    target = 2 * own - weighted.sum(0)[:, None]
+    b = np.linalg.solve(z.T @ weighted + ridge * len(x) * np.diag([1.0] * (z.shape[1] - 1) + [1e-6]), target)
     model |= {"landmarks": np.packbits(landmarks.astype(bool), axis=1), "weights": (inverse_root @ b[:-1]).astype(np.float32), "bias": b[-1].astype(np.float32)}
     return model
 

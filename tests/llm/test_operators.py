@@ -151,6 +151,19 @@ def test_language_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == own[r.doc_id] for r in held]) > 0.95
 
 
+def test_language_learns_every_label(spark):
+    # 300 labels, letters of their own; one label in most rows, the rest in 9 each
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(300):
+        letters = [chr(0x4E00 + 20 * k + j) for j in range(20)]
+        rows += [(f"l{k}", " ".join("".join(rng.choice(letters, 4)) for _ in range(15))) for _ in range(3000 if k == 0 else 9)]
+    d = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    out = {r.doc_id: r.lang_pred for r in langid.op2_language_id(d).collect()}
+    assert set(out.values()) == {lang for lang, _ in rows}
+    assert np.mean([out[i] == lang for i, (lang, _) in enumerate(rows) if lang != "l0"]) > 0.95
+
+
 def test_language_unknown(docs):
     out = {r.doc_id: r for r in langid.op2_language_id(docs).collect()}
     assert all(out[i].lang_pred == "und" and out[i].score == 0 for i in (1, 2, 4))
