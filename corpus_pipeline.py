@@ -14,7 +14,9 @@ from mktlens.llm import jaccard_join, langid, line_dedup, mixing, packing
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the classifier learns from docs' own labels."""
+    """Documents with a known language.  The classifier learns from docs' own labels and
+    fills in ``lang`` where it is NULL; rejected are documents without a letter in their
+    text (NULL and empty ones too), and all if no label can be learnt."""
     return langid.keep_known(docs, langid.fit(docs))
 
 

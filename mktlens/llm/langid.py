@@ -144,8 +144,11 @@ def with_language(docs: DataFrame, model: dict, batch_rows: int = 128) -> DataFr
 
 
 def keep_known(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` without the rows whose language can't be told."""
-    return with_language(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows whose language can't be told: those without a
+    letter in the text, or all if there is nothing to learn from.  The predicted
+    label is written into ``lang`` where that is NULL; other labels stay."""
+    known = with_language(docs, model).where(F.col("lang_pred") != UNKNOWN)
+    return known.select(*[F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_language_id(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -101,6 +102,18 @@ def test_filtering_stages_equal_brute_force(staged):
     assert single == {i: lines[i] for i in smallest_of_each_class(lines)}
 
 
+def test_missing_languages_are_predicted(spark, staged):
+    start, known = ({r.doc_id: r for r in t.collect()} for t in staged[0][:2])
+    assert all(r.lang == (start[i].lang or r.lang) and r.lang for i, r in known.items())
+    assert start[900_004].lang is None and known[900_004].lang in {r.lang for r in start.values()}
+    # labels taken away come back
+    own = {i: r.lang for i, r in start.items() if r.lang and r.text and len(r.text) > 200}
+    gone = [i for i in sorted(own) if i % 5 == 0]
+    docs = staged[0][0].withColumn("lang", F.when(~F.col("doc_id").isin(gone), F.col("lang")))
+    found = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, staged[1]).collect()}
+    assert len(gone) > 5 and np.mean([found[i] == own[i] for i in gone]) > 0.9
+
+
 def test_mixture_meets_the_targets(staged):
     before, after = staged[0][3].collect(), staged[0][4].collect()
     size = lambda r: len(WORD.findall(r.text or ""))
