@@ -79,22 +79,19 @@ def fit(docs: DataFrame, dims: int = 16384, per_language: int = 400, full_langua
     if not counts:
         return model
     per_label = min(per_language, max(LEAST, per_language * full_languages // len(counts)))
-    parts = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, per_label / r["n"]), r["first"]) for r in counts],
-                                              "lang string, part double, first double")
+    # places are multiples of 2^-53: below the next one is the first text of a label, if nothing else
+    below = F.map_from_arrays(F.array(*[F.lit(r["lang"]) for r in counts]),
+                              F.array(*[F.lit(max(min(1.0, per_label / r["n"]), r["first"] + 2.0**-53)) for r in counts]))
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "place": b["place"], "first": b["first"],
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "place": b["place"],
                                 "bits": [np.packbits(presence(t, dims)).tobytes() for t in b["text"]]})
 
-    # the limit only guards the driver; the first text of each label is never beyond it
     sample = (
-        known.join(F.broadcast(parts), "lang").where((F.col("place") < F.col("part")) | (F.col("place") == F.col("first")))
-        .select("doc_id", "lang", "place", (F.col("place") == F.col("first")).alias("first"), "text")
-        .mapInPandas(bits, "doc_id long, lang string, place double, first boolean, bits binary")
-        .groupBy("lang", "doc_id", "place", "first").agg(F.min("bits").alias("bits"))
-        .orderBy(F.desc("first"), "place", "doc_id").limit((2 * per_label + 1) * len(counts)).toPandas()
-        .sort_values(["place", "doc_id", "lang"], ignore_index=True)
+        known.where(F.col("place") < F.element_at(below, F.col("lang")))
+        .select("doc_id", "lang", "place", "text").mapInPandas(bits, "doc_id long, lang string, place double, bits binary").toPandas()
+        .sort_values(["place", "doc_id", "lang", "bits"]).drop_duplicates(["doc_id", "lang"], ignore_index=True)
     )
     lang = pd.Index(model["labels"]).get_indexer(sample["lang"])
     x = np.stack([np.frombuffer(b, np.uint8) for b in sample["bits"]])
