@@ -1,10 +1,10 @@
 """Line deduplication across documents (native DataFrame functions only).
 
-Method: hashes of lines are range-partitioned on (hash, document) with a
-secondary sort by document and position, so that even a line held by a third
-of all documents is spread over many ranges; each range counts distinct
-documents in its sorted stream, and small partial results are merged per hash.
-The result is one compressed keep bitmap per document that loses lines (the
+Method: hashes of lines are range-partitioned on (hash, document), so that even
+a line held by a third of all documents is spread over many ranges.  The
+distinct documents and the last holder of each hash then come from a hash
+aggregate, with partial results per range, and not from a stream over the
+sorted ranges; nothing depends on the order within a range.  The result is one compressed keep bitmap per document that loses lines (the
 runs of lines it keeps), not text.
 
 Defined cases: a NULL text is one empty line; a NULL doc_id never counts and
