@@ -135,7 +135,8 @@ def with_language(docs: DataFrame, model: dict, batch_rows: int = 128) -> DataFr
                 pred[own], score[own] = labels[p.argmax(1)], p.max(1)
             yield pd.DataFrame({"lang_pred": pred, "score": score})
 
-    apply = F.pandas_udf(predict, RESULT, F.PandasUDFType.SCALAR_ITER)
+    # marked so that a filter on its result doesn't make Spark evaluate it twice
+    apply = F.pandas_udf(predict, RESULT, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
     out = docs.withColumn("_language", apply("text"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_language.lang_pred", "_language.score")
 

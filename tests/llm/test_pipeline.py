@@ -112,6 +112,8 @@ def test_missing_languages_are_predicted(spark, staged):
     docs = staged[0][0].withColumn("lang", F.when(~F.col("doc_id").isin(gone), F.col("lang")))
     found = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, staged[1]).collect()}
     assert len(gone) > 5 and np.mean([found[i] == own[i] for i in gone]) > 0.9
+    plan = corpus_pipeline.known_language(spark, docs, staged[1])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
 
 
 def test_mixture_meets_the_targets(staged):
