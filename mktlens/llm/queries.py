@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mktlens.llm import embedding_dedup, html_extract, jaccard_join, langid, line_dedup, mixing, packing, quality_rules, substring_dedup, warc
+from mktlens.llm import (
+    embedding_dedup,
+    html_extract,
+    jaccard_join,
+    langid,
+    line_dedup,
+    merkle,
+    mixing,
+    packing,
+    quality_rules,
+    substring_dedup,
+    vector_codes,
+    warc,
+)
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +40,13 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": _over("documents", line_dedup.op8_line_dedup),
     "op9_embedding_dedup": _over("embeddings", embedding_dedup.op9_embedding_dedup),
     "op10_warc_derivatives": _over("pages", warc.op10_warc_derivatives),
+    "op11_merkle_manifest": _over("documents", merkle.op11_merkle_manifest),
+    "op13_vector_codes": _over("embeddings", vector_codes.op13_vector_codes),
 }
 
 SQL: dict[str, str] = {
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op11_merkle_manifest": merkle.OP11_SQL,
+    "op13_vector_codes": vector_codes.OP13_SQL,
 }
