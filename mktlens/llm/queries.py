@@ -12,6 +12,7 @@ from mktlens.llm import (
     jaccard_join,
     langid,
     line_dedup,
+    lm_scoring,
     merkle,
     mixing,
     packing,
@@ -41,6 +42,7 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_dedup": _over("embeddings", embedding_dedup.op9_embedding_dedup),
     "op10_warc_derivatives": _over("pages", warc.op10_warc_derivatives),
     "op11_merkle_manifest": _over("documents", merkle.op11_merkle_manifest),
+    "op12_lm_scoring": _over("documents", lm_scoring.op12_lm_scoring),
     "op13_vector_codes": _over("embeddings", vector_codes.op13_vector_codes),
 }
 
