@@ -9,7 +9,7 @@ n-gram plus the weights of the contexts passed on the way down to it, so that a
 is a sum of whole numbers and doesn't depend on the order of summation.
 
 Scale: texts are cut into blocks, stored once as word numbers (a block's own) with its sorted
-word hashes.  Words get dense ids by hash ranges and their counts go back to the blocks.  Each
+word hashes.  Words get dense ids by hash ranges, and their counts go back to the blocks.  Each
 block sends its distinct trigrams, with the training count, to a trie by the word before the
 token; the trie is built there, queried for all that was sent, and the codes go back to the
 block in the same order.  The words before a token that have more than a trie's share of all
@@ -71,7 +71,7 @@ BLOCKS = "block long, doc_ids binary, named binary, learn binary, lengths binary
 
 
 def blocks(docs: DataFrame, block_bytes: int = 8_000_000) -> DataFrame:
-    """A row per block of whole texts: documents, tokens of each, sorted word hashes, word numbers (from 1)."""
+    """A row per block of whole texts: documents, tokens of each, word hashes by frequency, word numbers (from 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -89,7 +89,12 @@ def blocks(docs: DataFrame, block_bytes: int = 8_000_000) -> DataFrame:
                 inner = np.ones(len(hashes), bool)
                 inner[ends] = False
                 hashes[inner] = w.hash
-                vocabulary, number = np.unique(hashes, return_inverse=True)
+                distinct, number, times = np.unique(hashes, return_inverse=True, return_counts=True)
+                # frequent words have small numbers, which take less room
+                often = np.argsort(-times, kind="stable")
+                vocabulary, place = distinct[often], np.empty(len(often), np.int64)
+                place[often] = np.arange(len(often))
+                number = place[number]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block]),
                     *[pa.array([squeeze(x)]) for x in (doc_ids[row:row + n], named[row:row + n].astype(np.uint8), learn[row:row + n].astype(np.uint8),
@@ -168,49 +173,62 @@ class Deal:
         return out
 
 
+def frequency(times: np.ndarray) -> np.ndarray:
+    """The number of binary digits of each count."""
+    return np.frexp(times.astype(np.float64))[1].astype(np.int64)
+
+
 # --- words: dense ids and counts ----------------------------------------------
 def word_counts(stored_blocks: DataFrame, bits: int) -> DataFrame:
     """Per (block, range): how often each of the block's words in that hash range is in training texts, and its rank among
-    the range's words; and for block -1 the range's totals."""
+    the range's words of like frequency; and for block -1 the range's totals."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for _, row in frame.iterrows():
                 b = Block.of(row)
                 times = np.bincount(b.words[b.per_token(b.learn)].astype(np.int64) - 1, minlength=len(b.vocabulary))
-                part = (b.vocabulary >> U(64 - bits)).astype(np.int64)
+                order = np.argsort(b.vocabulary)
+                hashes, times = b.vocabulary[order], times[order]
+                part = (hashes >> U(64 - bits)).astype(np.int64)
                 edge = np.append(runs(part), len(part))
                 yield pd.DataFrame({"part": part[edge[:-1]], "block": row["block"],
-                                    "hashes": [squeeze(b.vocabulary[i:j]) for i, j in zip(edge, edge[1:], strict=False)],
+                                    "hashes": [squeeze(np.diff(hashes[i:j], prepend=U(0))) for i, j in zip(edge, edge[1:], strict=False)],
                                     "times": [squeeze(times[i:j]) for i, j in zip(edge, edge[1:], strict=False)]})
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        hashes = [loosen(h, U) for h in frame["hashes"]]
+        hashes = [np.cumsum(loosen(h, U)) for h in frame["hashes"]]
         distinct, back = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, back, np.concatenate([loosen(t, np.int64) for t in frame["times"]]))
         cuts = np.cumsum([len(h) for h in hashes])[:-1]
         part = int(frame["part"].iloc[0])
-        most = np.argsort(-total, kind="stable")[:256]
-        told = pd.DataFrame({"block": [-1], "part": [part], "times": [squeeze(total[most])], "ranks": [squeeze(distinct[most])],
-                             "distinct": [len(distinct)], "known": [int((total > 0).sum())], "tokens": [int(total.sum())]})
+        most = np.argsort(-total, kind="stable")
+        kind = frequency(total)[most]
+        sizes = np.bincount(kind, minlength=64)
+        # the rank of each word among those of its frequency
+        rank = np.empty(len(most), np.int64)
+        rank[most] = np.arange(len(most)) - (np.cumsum(sizes[::-1])[::-1] - sizes)[kind]
+        told = pd.DataFrame({"block": [-1], "part": [part], "times": [squeeze(total[most[:256]])], "ranks": [squeeze(distinct[most[:256]])],
+                             "sizes": [sizes], "tokens": [int(total.sum())]})
         own = pd.DataFrame({"block": frame["block"].to_numpy(), "part": part, "times": [squeeze(total[x]) for x in np.split(back, cuts)],
-                            "ranks": [squeeze(x.astype(np.int64)) for x in np.split(back, cuts)], "distinct": 0, "known": 0, "tokens": 0})
+                            "ranks": [squeeze(rank[x]) for x in np.split(back, cuts)], "sizes": None, "tokens": 0})
         return pd.concat([own, told], ignore_index=True)
 
     sent = stored_blocks.select("block", "learn", "lengths", "vocabulary", "words").mapInPandas(
         send, "part long, block long, hashes binary, times binary")
     return sent.groupBy("part").applyInPandas(
-        count, "block long, part long, times binary, ranks binary, distinct long, known long, tokens long")
+        count, "block long, part long, times binary, ranks binary, sizes array<long>, tokens long")
 
 
 @dataclass
 class Corpus:
-    """What the driver knows: training tokens, known words, ids below each hash range, and the deal of the tries."""
+    """What the driver knows: training tokens, known words, the deal of the tries, and the ids below those of each
+    (hash range, frequency): frequent words have small ids."""
 
     tokens: int
     known: int
-    below: dict[int, int]
+    below: dict[int, np.ndarray]
     deal: Deal
 
     def base(self, times: np.ndarray) -> np.ndarray:
@@ -329,12 +347,16 @@ GRAM_KINDS = (np.int64, np.int64, np.int64, np.uint16, np.int64)
 DOCUMENTS, GRAMS, SUCCESSORS = range(3)
 
 
-def _words_known(frame: pd.DataFrame, corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
+def _words_known(b: Block, frame: pd.DataFrame, corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
     """(training count, id) of a block's words, from the answers of all hash ranges."""
     frame = frame.sort_values("part")
-    times = np.concatenate([loosen(t, np.int64) for t in frame["times"]])
-    ids = np.concatenate([loosen(r, np.int64) + corpus.below[int(p)] + 1 for r, p in zip(frame["ranks"], frame["part"], strict=True)])
-    return times, ids
+    told = [loosen(t, np.int64) for t in frame["times"]]
+    ids = np.concatenate([loosen(r, np.int64) + corpus.below[int(p)][frequency(t)] + 1
+                          for r, p, t in zip(frame["ranks"], frame["part"], told, strict=True)])
+    order = np.argsort(b.vocabulary)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    return np.concatenate(told)[back], ids[back]
 
 
 def send_grams(stored_blocks: DataFrame, counts: DataFrame, corpus: Corpus) -> DataFrame:
@@ -342,7 +364,7 @@ def send_grams(stored_blocks: DataFrame, counts: DataFrame, corpus: Corpus) -> D
 
     def send(key, block: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         row, b = block.iloc[0], Block.of(block.iloc[0])
-        times, ids = _words_known(known, corpus)
+        times, ids = _words_known(b, known, corpus)
         base, number = corpus.base(times), b.words.astype(np.int64) - 1
         doc = np.repeat(np.arange(len(b.lengths)), b.lengths)
         per_doc = lambda x: np.bincount(doc, weights=x[number], minlength=len(b.lengths))
@@ -354,13 +376,13 @@ def send_grams(stored_blocks: DataFrame, counts: DataFrame, corpus: Corpus) -> D
         gid, unigram = np.append(0, ids), np.append(np.uint16(0), code_of(base))
         one, two, w, learnt, trie = gid[one][order], gid[two][order], w[order], learnt[order], trie[order]
         edge = np.append(runs(trie), len(trie))
-        packed = [_pack(np.diff(one[i:j], prepend=0), two[i:j], gid[w[i:j]], unigram[w[i:j]], learnt[i:j])
+        packed = [_pack(one[i:j], two[i:j], gid[w[i:j]], unigram[w[i:j]], learnt[i:j])
                   for i, j in zip(edge, edge[1:], strict=False)]
         return pd.DataFrame({"trie": [-1 - key[0], *trie[edge[:-1]]], "block": key[0], "kind": [DOCUMENTS] + [GRAMS] * len(packed),
                              "grams": [told, *[p for p, _ in packed]], "sizes": [sizes, *[s for _, s in packed]]})
 
     own = counts.where(F.col("block") >= 0).select("block", "part", "times", "ranks")
-    return stored_blocks.drop("doc_ids", "named").groupBy("block").cogroup(own.groupBy("block")).applyInPandas(send, SENT)
+    return stored_blocks.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(send, SENT)
 
 
 def hot_successors(stored_blocks: DataFrame, counts: DataFrame, corpus: Corpus, slices_of_words: int = 64) -> DataFrame:
@@ -369,7 +391,7 @@ def hot_successors(stored_blocks: DataFrame, counts: DataFrame, corpus: Corpus,
 
     def partial(key, block: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         b = Block.of(block.iloc[0])
-        times, ids = _words_known(known, corpus)
+        times, ids = _words_known(b, known, corpus)
         names, unigram = b.names(), np.append(np.uint16(0), code_of(corpus.base(times)))
         one, _, w, back = b.grams()
         learnt = np.bincount(back, weights=b.per_token(b.learn), minlength=len(one)).astype(np.int64)
@@ -400,7 +422,7 @@ def hot_successors(stored_blocks: DataFrame, counts: DataFrame, corpus: Corpus,
         return pd.DataFrame({"trie": np.arange(first, first + n), "block": -1, "kind": SUCCESSORS, "grams": [blob] * n, "sizes": [sizes] * n})
 
     own = counts.where(F.col("block") >= 0).select("block", "part", "times", "ranks")
-    found = stored_blocks.drop("doc_ids", "named").groupBy("block").cogroup(own.groupBy("block")).applyInPandas(
+    found = stored_blocks.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(
         partial, "word long, slot int, grams binary, sizes array<int>")
     return found.groupBy("word", "slot").applyInPandas(merge, SENT)
 
@@ -411,8 +433,6 @@ def _gathered(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, list[n
     empty = [np.zeros(0, kind) for kind in GRAM_KINDS]
     sent = [p for p, kind in zip(parts, frame["kind"], strict=True) if kind == GRAMS]
     hot = [p for p, kind in zip(parts, frame["kind"], strict=True) if kind == SUCCESSORS]
-    for p in sent:
-        p[0] = np.cumsum(p[0])
     one, two, w, unigram, times = (np.concatenate(x) for x in zip(empty, *sent, strict=True))
     words, number = np.unique(one, return_inverse=True)
     bits = max(1, int(max(two.max(initial=0), w.max(initial=0))).bit_length())
@@ -464,11 +484,15 @@ def _steps(b: Block, deal: Deal, answers: pd.DataFrame) -> np.ndarray:
 def corpus_of(stored_blocks: DataFrame, grams_per_trie: int, words_per_range: int) -> tuple[DataFrame, Corpus]:
     """(counts and ids of the blocks' words, totals of the corpus)."""
     size = stored_blocks.agg(F.sum("n_words"), F.sum("n_tokens")).first()
-    bits = max(1, -(-(size[0] or 0) // words_per_range).bit_length())
+    bits = max(1, ((size[0] or 0) // words_per_range).bit_length())
     counts = stored(word_counts(stored_blocks, bits))
-    told = counts.where(F.col("block") == -1).select("part", "times", "ranks", "distinct", "known", "tokens").orderBy("part").toPandas()
+    told = counts.where(F.col("block") == -1).select("part", "times", "ranks", "sizes", "tokens").orderBy("part").toPandas()
     tokens, tries = int(told["tokens"].sum()), max(1, -(-(size[1] or 0) // grams_per_trie))
-    below = dict(zip(told["part"].astype(int), (told["distinct"].cumsum() - told["distinct"]).astype(int), strict=True))
+    sizes = np.stack([np.asarray(x) for x in told["sizes"]]) if len(told) else np.zeros((0, 64), np.int64)
+    # ids count from the most frequent words of the first range on
+    in_order = sizes[:, ::-1].T.ravel()
+    start = (np.cumsum(in_order) - in_order).reshape(64, -1).T[:, ::-1]
+    below = {int(p): s for p, s in zip(told["part"], start, strict=True)}
     often: dict[int, int] = {}
     for _, r in told.iterrows():
         often |= {int(h): int(n) for h, n in zip(loosen(r["ranks"], U), loosen(r["times"], np.int64), strict=True) if n * tries > tokens}
@@ -477,7 +501,7 @@ def corpus_of(stored_blocks: DataFrame, grams_per_trie: int, words_per_range: in
     hot = sorted(often) if tries > 1 else []
     share = np.array([1 + often[h] * tries // tokens for h in hot], np.int64)
     deal = Deal(tries, np.array(hot, U), tries + np.cumsum(share) - share, share)
-    return counts, Corpus(tokens, int(told["known"].sum()), below, deal)
+    return counts, Corpus(tokens, int(sizes[:, 1:].sum()), below, deal)
 
 
 def _sent(docs: DataFrame, block_bytes: int, grams_per_trie: int, words_per_range: int) -> tuple[DataFrame, Corpus, DataFrame]:
