@@ -463,7 +463,7 @@ def answer(frame: pd.DataFrame) -> pd.DataFrame:
         return frame[["block", "trie", "grams", "sizes"]].rename(columns={"grams": "codes"})
     own = frame[frame["kind"] == GRAMS]
     if not len(own):
-        return pd.DataFrame({"block": [], "trie": [], "codes": [], "sizes": []})
+        return pd.DataFrame(columns=["block", "trie", "codes", "sizes"], dtype=object)
     grams, back, hot = _gathered(frame)
     codes = Trie(read(_trie_of(grams, hot))).codes(*grams[:4])[back].astype(np.uint32)
     count = [len(loosen(g[:s[0]], np.int64)) for g, s in zip(own["grams"], own["sizes"], strict=True)]
@@ -517,7 +517,7 @@ def tries(docs: DataFrame, block_bytes: int = 8_000_000, grams_per_trie: int = 1
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         if not (frame["kind"] == GRAMS).any():
-            return pd.DataFrame({"trie": [], "data": []})
+            return pd.DataFrame(columns=["trie", "data"], dtype=object)
         grams, _, hot = _gathered(frame)
         return pd.DataFrame({"trie": frame["trie"].iloc[:1], "data": [_trie_of(grams, hot)]})
 

@@ -262,7 +262,7 @@ high_path AS (SELECT key, list(step ORDER BY level) AS path FROM over_steps GROU
 shown AS (
   SELECT r.doc_id, r.leaf, s.digest AS subroot, (SELECT digest FROM high WHERE n = 1) AS root,
          list_concat(coalesce(l.path, []), coalesce(h.path, [])) AS path,
-         CASE WHEN r.crc % 7 = 0 THEN coalesce(r.raised, r.leaf) ELSE r.leaf END AS shown_leaf
+         CASE WHEN r.doc_id IS NOT NULL AND r.crc % 7 = 0 THEN coalesce(r.raised, r.leaf) ELSE r.leaf END AS shown_leaf
   FROM ranked r JOIN subroots s USING (key) LEFT JOIN low_path l ON l.key = r.key AND l.place = r.place
   LEFT JOIN high_path h ON h.key = r.key
 ), checked AS (
