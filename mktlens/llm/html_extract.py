@@ -29,6 +29,7 @@ from pyspark.sql.types import StringType
 # HTML element groups.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea noscript iframe template".split())
+RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
             "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
 CUT = set("head nav footer aside button select option input label textarea dialog menu svg canvas object embed audio video map math".split())
@@ -81,9 +82,7 @@ def parse(page: str) -> Node:
             for name in (tag, "#block") if tag in BLOCK else (tag,):
                 depths[name].pop()
 
-    at = 0
-    for_raw = page.lower()
-    position = 0
+    at = position = 0
     while m := TOKEN.search(page, position):
         if m.start() > at:
             path[-1].children.append(entities.unescape(page[at:m.start()]))
@@ -109,11 +108,10 @@ def parse(page: str) -> Node:
         node = Node(tag, raw, top)
         top.children.append(node)
         if tag in RAW:
-            end = for_raw.find(f"</{tag}", at)
-            at = position = len(page) if end < 0 else end
-            if end >= 0:
-                stop = page.find(">", end)
-                at = position = len(page) if stop < 0 else stop + 1
+            # searched in the page itself: its lower case may be longer
+            end = RAW_END[tag].search(page, at)
+            stop = page.find(">", end.start()) if end else -1
+            at = position = len(page) if stop < 0 else stop + 1
         elif tag not in VOID and not raw.endswith("/"):
             for name in (tag, "#block") if tag in BLOCK else (tag,):
                 depths.setdefault(name, []).append(len(path))

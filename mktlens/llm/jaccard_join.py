@@ -96,16 +96,17 @@ def features(docs: DataFrame, k: int, bits: int) -> DataFrame:
                 counts[at] += times.astype(np.uint32)
                 m = len(size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, m), pa.array(node), pa.array(size), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
-                    names=["doc_id", "node", "n", "slice", "counts"])
+                    [batch.column("doc_id").slice(first, m), batch.column("version").slice(first, m), pa.array(node), pa.array(size),
+                     pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                    names=["doc_id", "version", "node", "n", "slice", "counts"])
         c = zstandard.ZstdCompressor(level=1)
         parts = [c.compress(x.tobytes()) for x in np.split(counts, SKETCH_SLICES)] if counts.any() else []
         m = len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())],
-            names=["doc_id", "node", "n", "slice", "counts"])
+            [*[pa.nulls(m, pa.int64())] * 4, pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())],
+            names=["doc_id", "version", "node", "n", "slice", "counts"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, slice int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, version long, node long, n long, slice int, counts binary")
 
 
 def frequency_table(feature_rows: DataFrame, bits: int) -> np.ndarray:
@@ -225,8 +226,9 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, thin: DataFrame) -> DataFrame:
-    """(node, packed text) for the given nodes, from the smallest doc_id of each."""
-    ids = thin.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    """(node, packed text) for the given nodes, from the smallest doc_id of each
+    and, of its texts, one that has this set."""
+    ids = thin.join(nodes, "node").groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("x")).select("node", "x.doc_id", "x.version")
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
@@ -234,11 +236,17 @@ def texts_of(docs: DataFrame, nodes: DataFrame, thin: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 b = batch.slice(at, 500)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array([c.compress(str(t).encode()) for t in b.column("text")], pa.binary())],
-                    names=["doc_id", "packed"])
+                    [b.column("doc_id"), b.column("version"), pa.array([c.compress(str(t).encode()) for t in b.column("text")], pa.binary())],
+                    names=["doc_id", "version", "packed"])
 
-    packed = docs.where(F.col("text").isNotNull()).mapInArrow(squeeze, "doc_id long, packed binary")
-    return packed.join(ids, "doc_id").dropDuplicates(["node"]).select("node", "packed")
+    packed = docs.where(F.col("text").isNotNull()).mapInArrow(squeeze, "doc_id long, version long, packed binary")
+    return packed.join(ids, ["doc_id", "version"]).dropDuplicates(["node"]).select("node", "packed")
+
+
+def same_document(thin: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of rows that share a doc_id."""
+    several = thin.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most")
+    return thin.join(several, "doc_id").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -284,17 +292,17 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the
     smallest doc_id reachable by links).  The frequency table has
     ``counters_per_doc`` entries per document, 2**max_bits (64 MB) at most."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text").alias("text"))
     bits = min(max_bits, max(16, (d.count() * counters_per_doc).bit_length()))
     feature_rows = stored(features(d, k, bits))
-    thin = feature_rows.where(F.col("slice").isNull()).select("doc_id", "node", "n")
+    thin = feature_rows.where(F.col("slice").isNull()).select("doc_id", "version", "node", "n")
     known = thin.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     buckets = max(16, -(-thin.count() // docs_per_bucket))
     posted = postings(d.where(F.col("doc_id").isNotNull()), frequency_table(feature_rows, bits), k, bits, percent, buckets)
     texts = stored(texts_of(d, posted.select("node").distinct(), known))
 
     near = lambda p: (F.col(f"{p}n") * percent <= F.col("n") * 100) & (F.col("n") * percent <= F.col(f"{p}n") * 100)
-    links, label = None, None
+    links, label = checkpointed(same_document(known)), None
     # first the document whose shingles are the most frequent (of near copies, the
     # one least changed), then one by hash
     for order in (F.col("usual"), F.xxhash64("node")):
@@ -306,7 +314,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, counters_per
         if label is not None:
             star = _between(star, label)
         found = checkpointed(verify(star, texts, k, percent))
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         label = components(links)
     # whatever still lies in two classes: all of it, by the multi-match rule
     posted_in = posted.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -359,9 +367,8 @@ def _between(pairs: DataFrame, label: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, **kwargs) -> DataFrame:
     """``docs`` with one document of each class: the row(s) whose doc_id is its
     class id.  Rows with a NULL doc_id are kept."""
-    own = jaccard_classes(docs, **kwargs).where(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(own, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = jaccard_classes(docs, **kwargs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_jaccard_join(docs: DataFrame) -> DataFrame:

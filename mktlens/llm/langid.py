@@ -22,18 +22,18 @@ by code point; extra columns pass through ``with_language``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from mktlens.llm.wordhash import U
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 GRAMS = 3
 UNKNOWN = "und"
 SHARPNESS = 4.0
@@ -142,9 +142,11 @@ def with_language(docs: DataFrame, model: dict, batch_rows: int = 128) -> DataFr
 
 
 def keep_known(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` without the rows whose language can't be told: those without a
-    letter in the text, or all if there is nothing to learn from.  The predicted
-    label is written into ``lang`` where that is NULL; other labels stay."""
+    """``docs`` without the rows whose text is NULL or has no letter.  The predicted
+    label is written into ``lang`` where that is NULL; other labels stay, and so
+    do all where there is nothing to learn from."""
+    if not model["labels"]:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     known = with_language(docs, model).where(F.col("lang_pred") != UNKNOWN)
     return known.select(*[F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 

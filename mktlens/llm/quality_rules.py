@@ -2,10 +2,10 @@
 
 Method: lines are normalised (white space stripped at both ends, A-Z
 lower-cased) and hashed; the distinct documents of each (host, line) are
-counted; lines held by more documents than the host's limit are removed, and a
+counted; lines held by more than ``limit`` documents of a host are removed, and a
 document that this leaves with too few of its words is rejected.  The host is
-the ``source`` column.  A host's limit is ``share`` of its documents, ``floor``
-at least, so that it means the same at every size.
+the ``source`` column.  The limit is a number of documents, the same for a host
+of any size.
 
 Scale: one pass over the text gives a document's base counts and, per distinct
 line, a hash and its words; lines are counted with map-side partial
@@ -110,21 +110,17 @@ def measure(docs: DataFrame) -> DataFrame:
                        F.xxhash64("doc_id", "source", "text").alias("row"), F.col("text").alias("text")).mapInArrow(run, COUNTS)
 
 
-def judge(docs: DataFrame, share: float = 0.02, floor: int = 20, min_left: float = 0.5,
+def judge(docs: DataFrame, limit: int = 20, min_left: float = 0.5,
           min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """Base counts, n_removed_words (in lines above the host's limit),
+    """Base counts, n_removed_words (in lines above the limit),
     base_failed and kept, a row per input row."""
     counts = checkpointed(measure(docs))
     host = F.coalesce(F.concat(F.lit("1"), F.col("host")), F.lit("0"))
     lines = counts.where(F.col("doc_id").isNotNull()).select(
         host.alias("key"), "doc_id", "row", F.explode("lines").alias("l")).select("key", "doc_id", "row", "l.line", "l.words")
-    hosts = counts.where(F.col("doc_id").isNotNull()).groupBy(host.alias("key")).agg(
-        F.count_distinct("doc_id").alias("docs"))
-    limits = hosts.select("key", F.greatest(F.lit(float(floor)), F.col("docs") * F.lit(share)).alias("limit"))
     frequent = (
         lines.groupBy("key", "line").agg(F.count_distinct("doc_id").alias("holders"))
-        .where(F.col("holders") > floor)
-        .join(limits, "key").where(F.col("holders") > F.col("limit"))
+        .where(F.col("holders") > limit)
         .select("key", "line", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
     )
     removed = (
@@ -166,11 +162,8 @@ keyed AS (
          translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
   FROM own
-), hosts AS (
-  SELECT coalesce('1' || source, '0') AS host, count(DISTINCT doc_id) AS docs FROM d GROUP BY 1
 ), common AS (
-  SELECT host, k FROM (SELECT host, k, count(DISTINCT doc_id) AS c FROM keyed GROUP BY 1, 2) JOIN hosts USING (host)
-  WHERE c > greatest(20, docs * 0.02::DOUBLE)
+  SELECT host, k FROM keyed GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > 20
 ), removed AS (
   SELECT doc_id, sum(n) AS n FROM keyed JOIN common USING (host, k) GROUP BY doc_id
 ), base AS (
