@@ -5,11 +5,9 @@
   huge history is split over many (key, level, bucket) join keys instead of
   one hash bucket that pairs every order with every feature.
 * ``wildcard_join``        - ``lower(text) like '%' || lower(name) || '%'``
-  without a nested loop: few names are inlined and checked per text behind
-  an interior-word gate; many names are blocked by an interior word or a
-  leading q-gram, texts emit their distinct words and grams, and the equi
-  join yields candidates verified with ``contains`` (or LIKE when wildcards
-  are wanted).
+  without a nested loop: each name is looked up by that of its interior words
+  or grams which fewest texts hold, and the candidates are checked with
+  ``contains`` (or LIKE when wildcards are wanted).
 * ``null_aware_anti_join`` - ``x not in (select y ...)`` with SQL's NULL rules,
   built from a hash anti join plus a one-row summary of the subquery.
 * ``constant_row_join``    - left join without a condition to a small lookup.
@@ -150,6 +148,8 @@ def _like_pattern(n: Column) -> Column:
 
 
 TOKEN_SEPARATOR = "[^\\p{L}\\p{N}]+"
+# A key of very many texts is spread over this many slices of them (a power of two).
+KEY_SLICES = 16
 
 
 def _match(t: Column, n: Column, wildcards: bool) -> Column:
@@ -158,144 +158,106 @@ def _match(t: Column, n: Column, wildcards: bool) -> Column:
     return t.contains(n)
 
 
-TOKEN_SEPARATOR = "[^\\p{L}\\p{N}]+"
-
-
-def _required_token(n: Column, wildcards: bool) -> Column:
-    """The longest interior token of a (lower-cased) name: a word with a
-    separator on both sides inside the name.  Wherever the name occurs in a
-    text, that word is a whole token of the text split the same way, so a
-    text lacking it cannot contain the name.  NULL when the name has no
-    interior token, or (in wildcard mode) contains ``_``/``%``, which could
-    stand for letters."""
+def _interior_words(n: Column, wildcards: bool) -> Column:
+    """The words of a (lower-cased) name that have a separator on both sides
+    inside it.  Wherever the name occurs in a text, each of them is a whole
+    word of the text split the same way.  None when the name has no such word
+    or (in wildcard mode) contains ``_``/``%``, which could stand for letters."""
+    none = F.array().cast("array<string>")
     parts = F.split(n, TOKEN_SEPARATOR, -1)
-    inner = F.when(F.size(parts) >= 3, F.slice(parts, 2, F.size(parts) - 2)).otherwise(F.array().cast("array<string>"))
-    longest = F.element_at(F.array_sort(inner, lambda a, b: F.length(b) - F.length(a)), 1)
-    tok = F.when(F.size(inner) > 0, longest)
-    return F.when(_metachar(n), F.lit(None)).otherwise(tok) if wildcards else tok
+    inner = F.when(F.size(parts) >= 3, F.slice(parts, 2, F.size(parts) - 2)).otherwise(none)
+    return F.when(_metachar(n), none).otherwise(inner) if wildcards else inner
 
 
-INLINE_NAMES = 512       # names embedded in the plan as a literal array
-PROBE_GRAMS = 64         # distinct blocking grams probed per text with contains
+def _overlapping(x: Column, g: int) -> Column:
+    """Every g-gram of a text in one regex pass (a zero-width lookahead that
+    captures g characters), no lambda per position."""
+    return F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)) if g else F.array(F.lit(""))
 
 
-def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str,
-                  how: str = "left", q: int = 4, wildcards: bool = False,
-                  inline_limit: int = INLINE_NAMES,
-                  probe_limit: int = PROBE_GRAMS) -> DataFrame:
+def name_keys(right: DataFrame, name: str, q: int, wildcards: bool) -> tuple[DataFrame, DataFrame]:
+    """(keys, needs) of the distinct lower-cased names.
+
+    ``keys`` (n, key, n_keys): what every text with the name must hold - the
+    name's interior words or, of a name without any, the overlapping grams of
+    ``q`` characters (of fewer if it is shorter; in wildcard mode those of its
+    longest literal run).  ``needs``, one row: whether texts have to tell their
+    words, and the lengths of the grams they have to tell."""
+    n, seed = F.col("__n"), F.col("__n")
+    if wildcards:
+        longest = F.element_at(F.array_sort(F.split(n, "[_%]"), lambda a, b: F.length(b) - F.length(a)), 1)
+        seed = F.when(_metachar(n), longest).otherwise(n)
+    names = (right.where(F.col(name).isNotNull()).select(F.lower(F.col(name)).alias("__n")).distinct()
+             .select("__n", _interior_words(n, wildcards).alias("__words"), seed.alias("__seed"))
+             .withColumn("__g", F.least(F.length("__seed"), F.lit(q))))
+    grams = F.transform(F.sequence(F.lit(1), F.length("__seed") - F.col("__g") + 1),
+                        lambda i: F.substr(F.col("__seed"), i, F.col("__g")))
+    worded = F.size("__words") > 0
+    keys = F.array_distinct(F.transform(F.when(worded, F.col("__words")).otherwise(grams), lambda k: F.xxhash64(k)))
+    needs = names.agg(F.coalesce(F.bool_or(worded), F.lit(False)).alias("__want_words"),
+                      F.collect_set(F.when(~worded, F.col("__g"))).alias("__want_grams"))
+    keyed = names.select("__n", keys.alias("__keys"))
+    return keyed.select("__n", F.explode("__keys").alias("__key"), F.size("__keys").alias("__n_keys")), needs
+
+
+def text_keys(texts: DataFrame, text: str, needs: DataFrame, wanted: DataFrame, q: int) -> DataFrame:
+    """Distinct (h, key): the words and grams of each text (h is the hash of
+    the lower-cased text) that are keys of some name."""
+    none = F.array().cast("array<string>")
+    lt = F.lower(F.col(text))
+    told = constant_row_join(texts.where(F.col(text).isNotNull()).select(lt.alias("__t")), needs)
+    words = F.when(F.col("__want_words"), F.split("__t", TOKEN_SEPARATOR, -1)).otherwise(none)
+    grams = [F.when(F.array_contains("__want_grams", F.lit(g)), _overlapping(F.col("__t"), g)).otherwise(none) for g in range(q + 1)]
+    held = told.select(F.xxhash64("__t").alias("__h"), F.explode(F.array_distinct(F.concat(words, *grams))).alias("__k"))
+    held = held.select("__h", F.xxhash64("__k").alias("__key"))
+    return held.join(wanted.select("__key").distinct(), "__key", "left_semi").distinct()
+
+
+def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str, how: str = "left",
+                  q: int = 4, wildcards: bool = False, texts_repeat: bool = False) -> DataFrame:
     """``left join right on lower(left.text) like '%' || lower(right.name) || '%'``.
 
     Default (``wildcards=False``) treats the name literally (``contains``); the
     warehouse's LIKE would let ``_`` and ``%`` inside names act as wildcards,
     which ``wildcards=True`` reproduces (no escape character).
 
-    Strategy by the measured size of the name side (a count, checked first):
-
-    1. at most ``inline_limit`` names: the names become a literal array in
-       the plan and each text keeps ``filter(names, n -> text contains n)``,
-       exploded.  Map-only: no shuffle of the texts at all.
-    2. otherwise names are blocked: a name with an interior word (a word
-       with a separator on both sides inside the name) by that word, which
-       any text containing the name has as a whole word; other names by a
-       gram - their first ``min(len, q)`` characters (in wildcard mode taken
-       from their longest literal run).  Texts emit their distinct words, and
-       the blocking grams they contain - by probing each distinct gram when
-       there are at most ``probe_limit`` of them, else all overlapping grams
-       from one regex pass.  Equi joins on word and gram (AQE picks
-       the join from measured bytes) yield candidates, verified exactly
-       against the text.
-    Exact for every name, short and empty ones included.
+    One lazy plan for any number of names, without a nested loop and without a
+    read by the driver.  Texts tell which of the names' words and grams they
+    hold (``text_keys``); the number of texts that hold each is counted; a name
+    is looked up by its key that fewest texts hold, and not at all if one of
+    its keys is in no text.  Texts that hold the key are candidates; the pair
+    itself is checked where the candidates meet the rows of ``left``, so hashes
+    need not be unique for an exact result.  A frequent key is spread over
+    ``KEY_SLICES`` slices of its texts.  Rows of ``left`` are moved once at
+    most, and not at all when the candidates are few enough to be broadcast;
+    keys are distinct per text, so repeated texts share their candidates.
+
+    ``texts_repeat`` matches the distinct texts and joins the rows back: worth
+    it for short texts that many rows share.  Exact for every name, short and
+    empty ones included; a NULL text or name matches nothing.
     """
     if how not in ("left", "inner"):
         raise ValueError("wildcard_join supports how='left' or 'inner'")
-    names_all = right.where(F.col(name).isNotNull())
-    tl = "__tl"
-    fields = right.schema.fields
-    req = _required_token(F.lower(F.col(name)), wildcards)
-    # one bounded read decides the tier and fetches the names when few
-    rows = (names_all.select(*[F.col(f.name) for f in fields], req.alias("__req"))
-            .limit(inline_limit + 1).collect())
-    if len(rows) <= inline_limit:
-        lits = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields],
-                         F.lit(r["__req"]).cast("string").alias("__req")) for r in rows]
-        if not lits:
-            empty = left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-            return empty if how == "left" else empty.where(F.lit(False))
-        lt = left.withColumn(tl, F.lower(F.col(text)))
-        reqs = sorted({r["__req"] for r in rows if r["__req"]})
-        if reqs:
-            # tokens the text must contain for a name with an interior token
-            tokens = F.array_distinct(F.split(F.col(tl), TOKEN_SEPARATOR, -1))
-            lt = lt.withColumn("__present", F.array_intersect(tokens, F.array(*[F.lit(x) for x in reqs])))
-            gate = lambda r: r["__req"].isNull() | F.array_contains(F.col("__present"), r["__req"])
-        else:
-            gate = lambda r: F.lit(True)
-        hits = F.filter(F.array(*lits), lambda r: gate(r) & _match(F.col(tl), F.lower(r[name]), wildcards))
-        gen = F.explode_outer if how == "left" else F.explode
-        out = lt.select("*", gen(hits).alias("__hit"))
-        return out.select(*left.columns, *[F.col("__hit")[f.name].alias(f.name) for f in fields])
-
-    n = F.lower(F.col(name))
-    if wildcards:
-        runs = F.split(n, "[_%]")
-        longest = F.element_at(F.array_sort(runs, lambda a, b: F.length(b) - F.length(a)), 1)
-        seed = F.when(_metachar(n), longest).otherwise(n)
-    else:
-        seed = n
-    names = (names_all.withColumn("__req", _required_token(n, wildcards))
-             .withColumn("__gram", F.when(F.col("__req").isNull(), F.substring(seed, 1, q))))
-    sizes = names.agg(F.count_if(F.col("__req").isNotNull()).alias("tok"),
-                      F.count_if(F.col("__req").isNull()).alias("gram")).first()
-    # Work on the distinct texts, grouped by a 64-bit hash that the exploded
-    # rows carry: no generated row ids, so recomputation is consistent, and
-    # repeated texts are matched once.  Texts that share a hash share one row
-    # (and one set of words and grams), so a candidate exists once per hash
-    # and each of its texts is verified on its own.
-    texts = (left.select(F.col(text).alias("__txt")).where(F.col("__txt").isNotNull())
-             .groupBy(F.xxhash64("__txt").alias("__h")).agg(F.collect_set("__txt").alias("__txts")))
-
-    def emit(per_text, out: str) -> DataFrame:
-        """(hash, distinct values of ``per_text(lower-cased text)``)."""
-        values = F.flatten(F.transform("__txts", lambda x: per_text(F.lower(x))))
-        return texts.select("__h", F.explode(F.array_distinct(values)).alias(out))
-
-    candidates = []
-    if sizes["tok"]:
-        # names with an interior word: block on it; texts emit their distinct words
-        tok_names = names.where(F.col("__req").isNotNull()).drop("__gram")
-        words = emit(lambda x: F.split(x, TOKEN_SEPARATOR, -1), "__req")
-        candidates.append(words.join(tok_names, "__req", "inner").drop("__req"))
-    if sizes["gram"]:
-        gram_names = names.where(F.col("__req").isNull()).drop("__req")
-        grams = [r[0] for r in gram_names.select("__gram").distinct().limit(probe_limit + 1).collect()]
-        if len(grams) <= probe_limit:
-            text_grams = emit(lambda x: F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: x.contains(g)), "__gram")
-        else:
-            # gram lengths in use: at most q + 1 small integers
-            lengths = sorted(r[0] for r in gram_names.select(F.length("__gram")).distinct().collect())
-
-            def overlapping(x: Column, g: int) -> Column:
-                # every overlapping g-gram in one regex pass (a zero-width
-                # lookahead capturing g characters), no per-position lambda
-                return F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{g}}}))"), F.lit(1)) if g else F.array(F.lit(""))
-
-            text_grams = emit(lambda x: F.concat(*[overlapping(x, g) for g in lengths]), "__gram")
-        candidates.append(text_grams.join(gram_names, "__gram", "inner").drop("__gram"))
-    cand = candidates[0] if len(candidates) == 1 else candidates[0].unionByName(candidates[1])
-    verified = (cand.join(texts, "__h", "inner")
-                .withColumn("__txt", F.explode("__txts"))
-                .where(_match(F.lower(F.col("__txt")), F.lower(F.col(name)), wildcards))
-                .drop("__h", "__txts"))
-    return left.join(verified, F.col(text) == F.col("__txt"), how).drop("__txt")
-
-
-def wildcard_join_nested(left: DataFrame, right: DataFrame, text: str, name: str,
-                         how: str = "left", wildcards: bool = False) -> DataFrame:
-    """The same join as a nested loop - the brute-force form used by tests
-    to check ``wildcard_join``; not for large inputs."""
-    t, n = F.lower(left[text]), F.lower(right[name])
-    cond = _match(t, n, wildcards)
-    return left.join(right, cond, how)
+    if texts_repeat:
+        own = left.select(F.col(text).alias("__text")).where(F.col("__text").isNotNull()).distinct()
+        found = wildcard_join(own, right, "__text", name, "inner", q, wildcards)
+        return left.join(found, F.col(text) == F.col("__text"), how).drop("__text")
+    keyed, needs = name_keys(right, name, q, wildcards)
+    held = text_keys(left, text, needs, keyed, q)
+    rarity = held.groupBy("__key").agg(F.count(F.lit(1)).alias("__texts"))
+    rarest = (keyed.join(rarity, "__key").groupBy("__n")
+              .agg(F.count(F.lit(1)).alias("__found"), F.first("__n_keys").alias("__n_keys"),
+                   F.min(F.struct("__texts", "__key")).alias("__best"))
+              .where(F.col("__found") == F.col("__n_keys"))
+              .select("__n", F.col("__best.__key").alias("__key"),
+                      F.explode(F.sequence(F.lit(0), F.lit(KEY_SLICES - 1)).cast("array<bigint>")).alias("__slice")))
+    # never NULL, so that both uses of the texts' keys plan one exchange
+    candidates = held.withColumn("__slice", F.col("__h").bitwiseAND(F.lit(KEY_SLICES - 1))).join(rarest, ["__key", "__slice"]).select("__h", "__n")
+    named = right.withColumn("__name", F.lower(F.col(name)))
+    found = candidates.join(named, F.col("__n") == F.col("__name")).drop("__n").withColumnRenamed("__h", "__of")
+    own = left.withColumn("__h", F.xxhash64(F.lower(F.col(text))))
+    pairs = own.join(found, (F.col("__h") == F.col("__of")) & _match(F.lower(F.col(text)), F.col("__name"), wildcards), how)
+    return pairs.drop("__h", "__of", "__name")
 
 
 def null_aware_anti_join(left: DataFrame, right: DataFrame, left_key: str,

@@ -92,7 +92,7 @@ def attribute_by_name(pos: DataFrame, influencers: DataFrame, wildcards: bool =
     """Left wildcard join of the payment text with every influencer name
     (1 text : n names)."""
     j = wildcard_join(pos, name_lookup(influencers), "payment_description", "influencer_name",
-                      how="left", wildcards=wildcards)
+                      how="left", wildcards=wildcards, texts_repeat=True)
     return j.select(*ATTRIBUTED_COLS)
 
 

@@ -4,9 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mktlens.operators.joins import (LINEAR_WIDTHS, bucketed_pairs, constant_row_join, interval_join, null_aware_anti_join, wildcard_join,
-                                     wildcard_join_nested)
-from tests.conftest import rows
+from mktlens.operators.joins import LINEAR_WIDTHS, bucketed_pairs, constant_row_join, interval_join, name_keys, null_aware_anti_join, text_keys, wildcard_join
+from tests.conftest import rows, wildcard_join_nested
 
 T = dt.datetime
 
@@ -44,13 +43,13 @@ def test_constant_row_join_keeps_left_on_empty(spark):
     assert rows(constant_row_join(left, two)) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("probe", [64, 0])
-def test_wildcard_join_exact_when_text_hashes_collide(spark, monkeypatch, probe):
+@pytest.mark.parametrize("repeat", [False, True])
+def test_wildcard_join_exact_when_hashes_collide(spark, monkeypatch, repeat):
     texts = spark.createDataFrame([("red widget one",), ("a red widget",), ("blue",), ("blue",)], "t string")
     names = spark.createDataFrame([("red widget",), ("red widget",), ("blue",), ("a red w",)], "n string")
     expected = rows(wildcard_join_nested(texts, names, "t", "n"))
     monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("bigint"))
-    assert rows(wildcard_join(texts, names, "t", "n", inline_limit=0, probe_limit=probe)) == expected
+    assert rows(wildcard_join(texts, names, "t", "n", texts_repeat=repeat)) == expected
 
 
 def _random_frames(spark, seed):
@@ -64,12 +63,11 @@ def _random_frames(spark, seed):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("wildcards", [False, True])
-@pytest.mark.parametrize("tier", ["inline", "probe", "explode"])
-def test_wildcard_join_equals_nested_loop(spark, how, wildcards, tier):
-    texts, names = _random_frames(spark, hash((how, wildcards, tier)) % 1000)
-    limits = {"inline": {}, "probe": {"inline_limit": 0},
-              "explode": {"inline_limit": 0, "probe_limit": 0}}[tier]
-    fast = wildcard_join(texts, names, "text", "name", how=how, q=3, wildcards=wildcards, **limits)
+@pytest.mark.parametrize("repeat", [False, True])
+def test_wildcard_join_equals_nested_loop(spark, how, wildcards, repeat):
+    texts, names = _random_frames(spark, len(how) * 10 + wildcards)
+    fast = wildcard_join(texts.union(texts.limit(5)), names, "text", "name", how=how, q=3, wildcards=wildcards, texts_repeat=repeat)
+    texts = texts.union(texts.limit(5))
     slow = wildcard_join_nested(texts, names, "text", "name", how=how, wildcards=wildcards)
     assert rows(fast, "text", "nid") == rows(slow, "text", "nid")
 
@@ -83,10 +81,34 @@ def test_wildcard_metacharacters(spark):
 
 def test_no_cartesian_or_python_in_plans(spark):
     texts, names = _random_frames(spark, 7)
-    plan = wildcard_join(texts, names, "text", "name", inline_limit=0)._jdf.queryExecution().executedPlan().toString()
+    plan = wildcard_join(texts, names, "text", "name")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
+def test_wildcard_join_plans_without_running_a_job(spark):
+    """Nothing is read while the plan is built, however many names there are."""
+    texts, names = _random_frames(spark, 3)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "wildcard join")
+    try:
+        wildcard_join(texts, names, "text", "name", wildcards=True)
+        assert len(tracker.getJobIdsForGroup("planning")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_name_is_looked_up_by_its_rarest_key(spark):
+    """A word that all texts hold costs no candidates when the name has a rarer one."""
+    texts = spark.createDataFrame([(f"x the usual words number{i} and more",) for i in range(300)], "text string")
+    names = spark.createDataFrame([("the usual words number7 and",), ("the unusual words number8 and",)], "name string")
+    keyed, needs = name_keys(names, "name", 4, False)
+    held = text_keys(texts, "text", needs, keyed, 4)
+    found = {r["__n"]: r["n"] for r in keyed.join(held, "__key").groupBy("__n", "__key").agg(F.count("__h").alias("n"))
+             .groupBy("__n").agg(F.min("n").alias("n")).collect()}
+    assert found["the usual words number7 and"] == 1
+    assert rows(wildcard_join(texts, names, "text", "name", how="inner")) == [("x the usual words number7 and more", "the usual words number7 and")]
+
+
 def test_interval_buckets_ignore_daylight_saving(spark):
     """Wall-clock timestamps in a spring-forward gap must still meet their
     windows whatever the session time zone."""
@@ -120,11 +142,11 @@ def test_multilevel_buckets_equal_plain(spark):
         assert rows(fast, "i", "j") == rows(plain, "i", "j")
 
 
-@pytest.mark.parametrize("tier", ["inline", "probe", "explode"])
-def test_wildcard_join_unicode_equals_nested_loop(spark, tier):
+@pytest.mark.parametrize("seed", ["a", "b", "c"])
+def test_wildcard_join_unicode_equals_nested_loop(spark, seed):
     """Words of several scripts, combining marks and punctuation: the word
     gate and the word/gram blocking stay exact."""
-    rnd = random.Random(tier)
+    rnd = random.Random(seed)
     alphabet = ["a", "é", "é", "ß", "Ж", "ж", "中", "文", "1", " ", "-", ".", "_", "İ", "\U0001F600"]
     def word(n):
         return "".join(rnd.choice(alphabet) for _ in range(n))
@@ -135,8 +157,7 @@ def test_wildcard_join_unicode_equals_nested_loop(spark, tier):
               for a in [rnd.randint(0, max(0, len(t[0]) - 1))]]
     tf = spark.createDataFrame(texts, "text string")
     nf = spark.createDataFrame(names, "nid int, name string")
-    limits = {"inline": {}, "probe": {"inline_limit": 0}, "explode": {"inline_limit": 0, "probe_limit": 0}}[tier]
-    fast = wildcard_join(tf, nf, "text", "name", how="left", q=3, **limits)
+    fast = wildcard_join(tf, nf, "text", "name", how="left", q=3)
     slow = wildcard_join_nested(tf, nf, "text", "name", how="left")
     assert rows(fast, "text", "nid") == rows(slow, "text", "nid")
 

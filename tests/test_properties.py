@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from mktlens.operators.joins import wildcard_join, wildcard_join_nested
+from mktlens.operators.joins import wildcard_join
 from mktlens.plans import journey as J
 from mktlens.plans import spend as S
 from mktlens.sources import bindings as B
 from mktlens.sources.tables import Tables
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, wildcard_join_nested
 
 
 def test_waterfall_conserves_purchase_orders(spark):
@@ -35,7 +35,7 @@ def test_blocked_wildcard_equals_nested_on_driver_text(spark):
     names = B.influencers(t).select("influencer_id", "influencer_name")
     slow = wildcard_join_nested(pos, names, "payment_description", "influencer_name", how="left") \
         .select("purchaseorder_id", "influencer_id")
-    for limits in ({}, {"inline_limit": 0}, {"inline_limit": 0, "probe_limit": 0}):
-        fast = wildcard_join(pos, names, "payment_description", "influencer_name", how="left", **limits) \
+    for repeat in (False, True):
+        fast = wildcard_join(pos, names, "payment_description", "influencer_name", how="left", texts_repeat=repeat) \
             .select("purchaseorder_id", "influencer_id")
         assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
