@@ -57,29 +57,31 @@ def paid_attribution(ads: DataFrame, matches: DataFrame, influencers: DataFrame)
     lookup = (matches.select("campaign", "influencer_id").distinct()
               .join(influencers.select("influencer_id", "publisher_name", "creator_number"), "influencer_id", "left")
               .select(F.col("campaign").alias("__campaign_l"), "publisher_name", "creator_number"))
-    joined = ads.join(lookup, F.lower(F.col("campaign")) == F.col("__campaign_l"), "inner")
-    keys = ["publisher_name", "creator_number", F.col("date").alias("cal_date")]
-    # Level 1: one row per (group, campaign, territory, channel) - a plain
-    # hash aggregate with map-side combine that collapses the ad rows before
-    # the distinct counts and the string aggregation see them.
-    combos = (joined.groupBy(*keys, "campaign", "territory", "channel")
-              .agg(F.sum("impressions").alias("impressions"), F.sum("spend").alias("spend"),
-                   F.sum("clicks").alias("clicks"), F.sum("ad_revenue").alias("ad_revenue"),
-                   F.count(F.lit(1)).alias("n_rows")))
-    # Level 2: per group.  A group buffers one (campaign, rows) pair per level-1
-    # row; each campaign is then written once per ad row it had, so the
-    # concatenation keeps listagg's duplicates without expanding them first.
-    pairs = F.sort_array(F.collect_list(F.struct("campaign", "n_rows")))
-    listed = F.transform(pairs, lambda p: F.repeat(p["campaign"], p["n_rows"].cast("int")))
-    return (combos.groupBy("publisher_name", "creator_number", "cal_date")
-            .agg(F.count_distinct("campaign").alias("distinct_campaigns"),
-                 F.count_distinct("territory").alias("distinct_territory"),
-                 F.count_distinct("channel").alias("distinct_paid_channels"),
+    # Ads are aggregated before the join multiplies them by their influencers:
+    # one row per (campaign, day, territory, channel), with map-side combine.
+    daily = (ads.groupBy("campaign", F.col("date").alias("cal_date"), "territory", "channel")
+             .agg(F.sum("impressions").alias("impressions"), F.sum("spend").alias("spend"),
+                  F.sum("clicks").alias("clicks"), F.sum("ad_revenue").alias("ad_revenue"),
+                  F.count(F.lit(1)).alias("n_rows")))
+    joined = daily.join(lookup, F.lower(F.col("campaign")) == F.col("__campaign_l"), "inner")
+    # One aggregation per group, without a row per distinct count: the group
+    # buffers a (campaign, rows) pair per daily row, from which both the
+    # concatenation (each campaign once per ad row, in order) and the distinct
+    # campaigns are read; territories and channels are sets no longer than that.
+    campaigns = F.transform("__pairs", lambda p: p["campaign"])
+    listed = F.transform("__pairs", lambda p: F.repeat(p["campaign"], p["n_rows"].cast("int")))
+    return (joined.groupBy("publisher_name", "creator_number", "cal_date")
+            .agg(F.sort_array(F.collect_list(F.struct("campaign", "n_rows"))).alias("__pairs"),
+                 F.size(F.collect_set("territory")).cast("bigint").alias("distinct_territory"),
+                 F.size(F.collect_set("channel")).cast("bigint").alias("distinct_paid_channels"),
                  F.sum("impressions").alias("sum_impressions"),
                  F.sum("spend").cast("decimal(38,2)").alias("sum_spend"),
                  F.sum("clicks").alias("sum_clicks"),
-                 F.round(F.sum("ad_revenue")).cast("decimal(38,0)").alias("sum_ad_revenue"),
-                 F.array_join(listed, "").alias("agg_campaign")))
+                 F.round(F.sum("ad_revenue")).cast("decimal(38,0)").alias("sum_ad_revenue"))
+            .select("publisher_name", "creator_number", "cal_date",
+                    F.size(F.array_distinct(campaigns)).cast("bigint").alias("distinct_campaigns"),
+                    "distinct_territory", "distinct_paid_channels", "sum_impressions", "sum_spend", "sum_clicks",
+                    "sum_ad_revenue", F.array_join(listed, "").alias("agg_campaign")))
 
 
 def ordered_listagg(c: str, sep: str = "") -> F.Column:
