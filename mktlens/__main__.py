@@ -33,12 +33,13 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from mktlens.session import local_session
+    from mktlens.sources.sinks import ctas_sink
     spark = local_session()
     df = QUERIES[args.key](spark, args.data)
     if args.explain:
         df.explain("formatted")
     if args.out:
-        df.write.mode("errorifexists").parquet(args.out)
+        ctas_sink(df, args.out)
         print(f"wrote {args.out}")
     else:
         df.show(args.show, truncate=60)

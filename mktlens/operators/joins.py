@@ -8,8 +8,8 @@
   without a nested loop: each name is looked up by that of its interior words
   or grams which fewest texts hold, and the candidates are checked with
   ``contains`` (or LIKE when wildcards are wanted).
-* ``null_aware_anti_join`` - ``x not in (select y ...)`` with SQL's NULL rules,
-  built from a hash anti join plus a one-row summary of the subquery.
+* ``null_aware_anti_join`` - ``x not in (select y ...)`` with SQL's NULL rules:
+  a hash anti join and a scalar summary over one evaluation of the subquery.
 * ``constant_row_join``    - left join without a condition to a small lookup.
 * ``unmatched_rows``       - rows of a left join whose right side is NULL.
 """
@@ -265,21 +265,17 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame, left_key: str,
     """``left where left_key not in (select right_key from right)``.
 
     SQL rules: an empty subquery keeps every row (NULL keys too); a NULL in
-    the subquery keeps no row; otherwise NULL keys are dropped.  Built as a
-    hash anti join on the distinct non-NULL keys plus a one-row summary of
-    the subquery, so it scales where Spark's generic null-aware plan would
-    fall back to a nested loop for a non-broadcast subquery.
+    the subquery keeps no row; otherwise NULL keys are dropped.  The subquery
+    is evaluated once, as its distinct keys: a hash anti join uses them, and so
+    does the one-row summary (how many, is NULL among them), a scalar that the
+    filter compares with.  Keys travel in a struct, which is never NULL itself:
+    a filter on NULL keys would give the two uses different plans.
     """
     rk = right_key or left_key
-    keys = right.select(F.col(rk).alias("__k"))
-    summary = keys.agg(F.count(F.lit(1)).alias("__n"),
-                       F.count_if(F.col("__k").isNull()).alias("__n_null"))
-    distinct_keys = keys.where(F.col("__k").isNotNull()).distinct()
-    kept = left.join(distinct_keys, left[left_key] == distinct_keys["__k"], "left_anti")
-    kept = constant_row_join(kept, summary)   # a global aggregate: one row
-    return (kept.where((F.col("__n") == 0) |
-                       ((F.col("__n_null") == 0) & F.col(left_key).isNotNull()))
-            .drop("__n", "__n_null"))
+    keys = right.select(F.struct(F.col(rk).alias("k")).alias("__k")).distinct()
+    told = keys.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__k.k").isNull()).alias("n_null"))).scalar()
+    kept = left.withColumn("__l", F.struct(F.col(left_key).alias("k"))).join(keys, F.col("__l") == F.col("__k"), "left_anti").drop("__l")
+    return kept.where((told["n"] == 0) | ((told["n_null"] == 0) & F.col(left_key).isNotNull()))
 
 
 def constant_row_join(left: DataFrame, rows: DataFrame) -> DataFrame:

@@ -106,6 +106,10 @@ def lag_by_sequence(df: DataFrame, partition: Sequence[str], seq: str, cols: dic
 def min_by_key(df: DataFrame, key: Sequence[str], col: str, out: str) -> DataFrame:
     """Add ``out = min(col)`` of the rows with the same ``key``, as ``left join
     (select key, min(col) .. group by key) using (key)`` does: a row with a
-    NULL key gets NULL.  Plain equality, so that a later aggregation by the
-    key can use the join's partitioning."""
-    return df.join(df.groupBy(*key).agg(F.min(col).alias(out)), list(key), "left").select(*df.columns, out)
+    NULL key gets NULL.  The join has the key's hash as one more column: a later
+    aggregation by the key can't take over its partitioning, so that a task
+    with a hot key may be split (each part then aggregates its own rows first)."""
+    least = df.groupBy(*key).agg(F.min(col).alias(out))
+    least = least.select(F.xxhash64(*key).alias("__hash"), *[F.col(k).alias(f"__k_{k}") for k in key], out)
+    same = [F.xxhash64(*key) == F.col("__hash"), *[F.col(k) == F.col(f"__k_{k}") for k in key]]
+    return df.join(least, same, "left").select(*df.columns, out)

@@ -183,9 +183,10 @@ def lookback_start(base: DataFrame, first_visits: DataFrame) -> DataFrame:
     return b.withColumn("prior_order_or_first_visit_timestamp", start)
 
 
-def feature_events(t: Tables, base: DataFrame | None) -> DataFrame:
+def feature_events(t: Tables, base: DataFrame | None, kinds=tuple(KINDS)) -> DataFrame:
     """All interval features as ``(customer_id, t, kind, num, txt, full)``:
     ``full`` marks rows whose own columns are all non-NULL (``count(t.*)``).
+    Only the sources of ``kinds`` are planned.
     With ``base=None`` the "customer is in the base orders" filters of three
     sources are skipped: a feature row only counts when it meets one of its
     customer's order windows, so they cannot change the result."""
@@ -199,20 +200,19 @@ def feature_events(t: Tables, base: DataFrame | None) -> DataFrame:
             (F.col(txt) if txt else F.lit(None).cast("string")).alias("txt"),
             (full if full is not None else F.lit(True)).alias("full"))
 
-    bounces = B.session_bounces(t)
-    parts = [
-        rows(content_visits(sessions, base), "blog", "visit_start_time"),
-        rows(review_features(B.customer_ratings(t)), "review", "submitted_at", num="rating"),
-        rows(app_download(B.app_visits(t, "ecom")), "ecom", "download_date"),
-        rows(app_download(B.app_visits(t, "train")), "train", "download_date"),
-        rows(wishlist_sessions(B.wishlist_logging(t), sessions), "wish", "visit_start_time", num="num_prod_added"),
-        rows(cart_adds(B.product_interactions(t), sessions, base), "cart", "visit_start_time", num="total_cart_adds"),
-        rows(bounces, "bounce", "visit_start_time", num="bounces",
-             full=F.col("customer_id").isNotNull() & F.col("visit_start_time").isNotNull() & F.col("bounces").isNotNull()),
-        rows(opt_in_changes(B.opt_in_log(t), cust), "opt", "change_date", txt="new_opt_in"),
-        rows(account_status(B.account_status_log(t), cust, base), "acct", "updated_at", txt="account_status"),
-    ]
-    return reduce(DataFrame.unionByName, parts).where(F.col("customer_id").isNotNull())
+    whole_bounce = F.col("customer_id").isNotNull() & F.col("visit_start_time").isNotNull() & F.col("bounces").isNotNull()
+    sources = {
+        "blog": lambda k: rows(content_visits(sessions, base), k, "visit_start_time"),
+        "review": lambda k: rows(review_features(B.customer_ratings(t)), k, "submitted_at", num="rating"),
+        "ecom": lambda k: rows(app_download(B.app_visits(t, "ecom")), k, "download_date"),
+        "train": lambda k: rows(app_download(B.app_visits(t, "train")), k, "download_date"),
+        "wish": lambda k: rows(wishlist_sessions(B.wishlist_logging(t), sessions), k, "visit_start_time", num="num_prod_added"),
+        "cart": lambda k: rows(cart_adds(B.product_interactions(t), sessions, base), k, "visit_start_time", num="total_cart_adds"),
+        "bounce": lambda k: rows(B.session_bounces(t), k, "visit_start_time", num="bounces", full=whole_bounce),
+        "opt": lambda k: rows(opt_in_changes(B.opt_in_log(t), cust), k, "change_date", txt="new_opt_in"),
+        "acct": lambda k: rows(account_status(B.account_status_log(t), cust, base), k, "updated_at", txt="account_status"),
+    }
+    return reduce(DataFrame.unionByName, [sources[k](k) for k in kinds]).where(F.col("customer_id").isNotNull())
 
 
 def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds) -> DataFrame:
@@ -288,12 +288,12 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
         "mail_control")
 
 
-def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None):
-    """(sessions, first sessions, order windows, per-order features)."""
+def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None, kinds=tuple(KINDS)):
+    """(sessions, first sessions, order windows, per-order features of ``kinds``)."""
     visits = clean_sessions(B.sessions_master(t))
     firsts = clean_sessions(B.first_sessions(t))
     windows = lookback_start(base_orders(t, acquired_from, as_of), first_visit(firsts))
-    feats = _per_order_features(windows, feature_events(t, None), bucket_seconds)
+    feats = _per_order_features(windows, feature_events(t, None, kinds), bucket_seconds)
     return visits, firsts, windows, feats
 
 

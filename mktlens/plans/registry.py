@@ -96,7 +96,7 @@ def _top_k(t: Tables) -> DataFrame:
     order = [F.col(c).asc_nulls_last() for c in
              ["customer_id", "visit_start_time", "visit_key", "visitor_id", "visit_date",
               "geonetwork_city", "transactions"]]
-    return top_k(s, order, 10000)
+    return top_k(s, order, 10000, lead="customer_id")
 
 
 # --- spend -----------------------------------------------------------------
@@ -307,14 +307,15 @@ def _content_visits(t: Tables) -> DataFrame:
     return J.content_visits(B.sessions_master(t), J.base_orders(t))
 
 
-def _journey_features(t: Tables) -> DataFrame:
-    _, _, _, feats = J._prepared(t, J.BUCKET_SECONDS)
+def _journey_features(t: Tables, kind: str) -> DataFrame:
+    """Per-order features of one kind: only its source and the order windows are read."""
+    _, _, _, feats = J._prepared(t, J.BUCKET_SECONDS, kinds=(kind,))
     return feats
 
 
 @register("review_features")
 def _review_features(t: Tables) -> DataFrame:
-    f = _journey_features(t).where(F.col("n_review") > 0)
+    f = _journey_features(t, "review").where(F.col("n_review") > 0)
     return f.select(*J.ORDER_KEY, F.col("n_review").alias("total_reviews"),
                     F.round(F.try_divide(F.col("sum_rating"), F.col("cnt_rating")), 1).alias("avg_rating"))
 
@@ -322,7 +323,7 @@ def _review_features(t: Tables) -> DataFrame:
 @register("bounce_rate")
 def _bounce_rate(t: Tables) -> DataFrame:
     from mktlens.functions.scalars import ratio
-    f = _journey_features(t).where(F.col("n_bounce") > 0)
+    f = _journey_features(t, "bounce").where(F.col("n_bounce") > 0)
     bounced = F.coalesce(F.col("sum_bounce"), F.lit(0.0)).cast("bigint")
     return f.select(*J.ORDER_KEY, bounced.alias("total_bounced_sessions"),
                     F.col("full_bounce").alias("total_sessions"),

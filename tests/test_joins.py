@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,16 @@ def test_null_aware_anti_join(spark):
     assert rows(null_aware_anti_join(left, empty, "x", "y")) == [(None,), (1,), (2,)]
 
 
+def test_null_aware_anti_join_reads_the_subquery_once(spark, tmp_path):
+    spark.range(100).selectExpr("id % 7 as y").write.parquet(str(tmp_path / "sub"))
+    left = spark.range(10).selectExpr("id as x")
+    out = null_aware_anti_join(left, spark.read.parquet(str(tmp_path / "sub")), "x", "y")
+    assert rows(out) == [(7,), (8,), (9,)]
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    final = "".join(re.findall("Final Plan ==(.*?)== Initial Plan", plan, re.S))
+    assert final.count("Scan parquet") == 1 and final.count("ReusedExchange") == 1 and "NestedLoop" not in final
+
+
 def test_constant_row_join_keeps_left_on_empty(spark):
     left = spark.createDataFrame([(1,), (2,)], "x int")
     empty = spark.createDataFrame([], "e string")

@@ -56,3 +56,24 @@ def test_interval_left_join_without_key_keeps_bag(spark):
     slow = interval_join(left, right, "k", "lo", "hi", "t", how="left")
     assert rows(fast, "k", "lo", "v") == rows(slow, "k", "lo", "v")
     assert len(rows(fast)) == 6
+
+
+def test_hot_key_is_split_after_min_by_key(spark):
+    """A customer with most of the rows: the join's task with that customer is
+    split, and the aggregation after it begins in each part."""
+    old = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions",
+        "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(old, ("-1", "64k", "64k", "32", "false")):
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(60_000, numPartitions=20).selectExpr("if(id % 3 < 2, 0, id) as c", "id as d", "sha2(string(id), 256) as pad")
+        joined = min_by_key(df, ["c"], "d", "first")
+        tasks = [r[1] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("first"), F.max("pad")).collect()]
+        assert sum(tasks) == 60_000 and max(tasks) < 12_000
+        total = joined.groupBy("c").agg(F.sum("d").alias("s"), F.min("first").alias("f"))
+        assert total.count() == 20_001 and total.where("c = 0").first()["f"] == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
