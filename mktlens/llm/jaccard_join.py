@@ -240,7 +240,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame, thin: DataFrame) -> DataFrame:
                     names=["doc_id", "version", "packed"])
 
     packed = docs.where(F.col("text").isNotNull()).mapInArrow(squeeze, "doc_id long, version long, packed binary")
-    return packed.join(ids, ["doc_id", "version"]).dropDuplicates(["node"]).select("node", "packed")
+    # a set has one (doc_id, version): repeated rows go where the join has brought them, without a shuffle
+    return packed.join(ids, ["doc_id", "version"]).dropDuplicates(["doc_id", "version"]).select("node", "packed")
 
 
 def same_document(thin: DataFrame) -> DataFrame:
