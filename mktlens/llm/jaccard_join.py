@@ -374,3 +374,35 @@ def keep_one(docs: DataFrame, **kwargs) -> DataFrame:
 
 def op4_jaccard_join(docs: DataFrame) -> DataFrame:
     return jaccard_classes(docs)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), placed AS (
+  SELECT doc_id, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM words
+), elements AS (
+  SELECT DISTINCT doc_id, e FROM (
+    SELECT doc_id, n_words, pos, string_agg(word, ' ') OVER (
+             PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS e
+    FROM placed)
+  WHERE pos <= greatest(n_words - 4, 1)
+), sizes AS (
+  SELECT doc_id, count(e) AS n FROM words LEFT JOIN elements USING (doc_id) GROUP BY doc_id
+), links AS (
+  SELECT c.x, c.y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id <> b.doc_id GROUP BY 1, 2) c
+  JOIN sizes p ON p.doc_id = c.x JOIN sizes q ON q.doc_id = c.y
+  WHERE 100 * c.both >= 80 * (p.n + q.n - c.both)
+), reached(root, doc_id) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT r.root, l.y FROM reached r JOIN links l ON l.x = r.doc_id WHERE l.y > r.root
+), classes AS (
+  SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, n AS n_shingles, component_id FROM sizes JOIN classes USING (doc_id)
+"""

@@ -47,8 +47,11 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
+    "op6_substring_dedup": substring_dedup.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op11_merkle_manifest": merkle.OP11_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }

@@ -278,3 +278,31 @@ def drop_spans(docs: DataFrame, length: int = 20, **kwargs) -> DataFrame:
 
 def op6_substring_dedup(docs: DataFrame) -> DataFrame:
     return drop_spans(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH lists AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM lists
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS pos, w FROM lists WHERE len(w) >= 20
+), windows AS (
+  SELECT doc_id, pos, array_to_string(w[pos:pos + 19], ' ') AS sequence FROM starts
+), repeated AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY sequence ORDER BY doc_id, pos) AS nth FROM windows)
+  WHERE nth > 1
+), judged AS (
+  SELECT words.doc_id, words.pos, word, max(repeated.pos) OVER (
+           PARTITION BY words.doc_id ORDER BY words.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM words LEFT JOIN repeated ON repeated.doc_id = words.doc_id AND repeated.pos = words.pos
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS left_over
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(left_over, '')) AS kept_sha256
+FROM lists LEFT JOIN kept USING (doc_id)
+"""
