@@ -41,7 +41,7 @@ def _given_back(value: str) -> str:
     return f"COALESCE(SUM(CASE WHEN item_quantity <> 0 AND {value} <> 0 THEN {value} / item_quantity * items_returned END), 0)"
 
 
-_COSTED = f"""
+COSTED = f"""
     SELECT order_name, customer_id, SUM(cost_of_goods_gbp) AS cogs, {_given_back('item_net_rev')} AS returns,
            {_given_back('cost_of_goods_gbp')} AS cost_of_goods_returns
     FROM items_sold GROUP BY order_name, customer_id"""
@@ -77,13 +77,13 @@ def _value(same_order: bool) -> str:
                CASE WHEN date_diff('day', p.acquisition_date, DATE '{_CUTOFF}') > {_RETAINED} THEN 1 END AS retained_eligible_customer
         FROM people p {' '.join(joins)}"""
     return with_bindings(["customer_orders", "customer_database", "items_sold"],
-                         [("costed", _COSTED), ("spans", _table("label, days", _SPANS)), ("facts", facts),
+                         [("costed", COSTED), ("spans", _table("label, days", _SPANS)), ("facts", facts),
                           ("per_span", per_span), ("people", people)], final)
 
 
 SQL["customer_value_metrics"] = _value(True)
 SQL["customer_value_metrics_literal"] = _value(False)
-_add(["items_sold"], [("costed", _COSTED)], {"item_costs": """
+_add(["items_sold"], [("costed", COSTED)], {"item_costs": """
     SELECT order_name, customer_id, cogs, CAST(round(returns, 2) AS DECIMAL(38,2)) AS returns,
            CAST(round(cost_of_goods_returns, 2) AS DECIMAL(38,2)) AS cost_of_goods_returns FROM costed"""})
 _add(["customer_orders"], [], {"retention_flags": f"""

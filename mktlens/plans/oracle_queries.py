@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from mktlens.plans.oracle import half_up_div, with_bindings
-from mktlens.plans.oracle_analyses import EVENT, EVENTS_LOOKUP
+from mktlens.plans.oracle_analyses import COSTED, EVENT, EVENTS_LOOKUP
 from mktlens.plans.oracle_analyses import SQL as ANALYSES
 
 SQL: dict[str, str] = dict(ANALYSES)
@@ -14,10 +14,6 @@ SQL: dict[str, str] = dict(ANALYSES)
 # Operator-level catalog
 # ---------------------------------------------------------------------------
 _MP = '@([a-zA-Z0-9_.]+)'
-_ITEM_LEVEL = """
-    SELECT order_name, customer_id, SUM(cost_of_goods_gbp) AS cogs,
-           COALESCE(SUM((NULLIF(item_net_rev, 0) / NULLIF(item_quantity, 0)) * items_returned), 0) AS returns
-    FROM items_sold GROUP BY order_name, customer_id"""
 SQL.update({
     "scan_tables": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
     "view_sink": "SELECT o_custkey AS customer_id, COUNT(*) AS n_orders FROM orders GROUP BY 1",
@@ -25,8 +21,8 @@ SQL.update({
     "project_alias": """SELECT o_orderkey AS order_name, o_custkey AS customer_id,
                                CAST(o_totalprice AS DECIMAL(18,2)) AS order_gross_sales FROM orders""",
     "project_star": "SELECT *, c_acctbal > 0 AS in_credit FROM customer",
-    "cte_chain": with_bindings(["items_sold"], [("item_level_data", _ITEM_LEVEL)],
-                               "SELECT customer_id, CAST(SUM(cogs) AS DECIMAL(38,2)) AS cogs FROM item_level_data GROUP BY 1"),
+    "cte_chain": with_bindings(["items_sold"], [], """
+        SELECT customer_id, CAST(SUM(cost_of_goods_gbp) AS DECIMAL(38,2)) AS cogs FROM items_sold GROUP BY customer_id"""),
     "nested_cte": """
         WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders),
         dupes AS (SELECT o_custkey FROM o GROUP BY o_custkey, d HAVING COUNT(*) > 1)
@@ -112,8 +108,8 @@ SQL.update({
         SELECT o_custkey, COUNT(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END) AS urgent_orders,
                COUNT(DISTINCT CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderstatus END) AS urgent_statuses
         FROM orders GROUP BY 1""",
-    "agg_guarded_ratio_sum": with_bindings(["items_sold"], [("item_level_data", _ITEM_LEVEL)],
-                                           "SELECT order_name, CAST(round(returns, 2) AS DECIMAL(38,2)) AS returns FROM item_level_data"),
+    "agg_guarded_ratio_sum": with_bindings(["items_sold"], [("costed", COSTED)],
+                                           "SELECT order_name, CAST(round(returns, 2) AS DECIMAL(38,2)) AS returns FROM costed"),
     "agg_coalesce": with_bindings(["halo_sessions_source"], [], """
         SELECT geonetwork_city, CAST(SUM(COALESCE(customer_id, 0)) AS BIGINT) AS sum_of_coalesced,
                CAST(COALESCE(SUM(customer_id), 0) AS BIGINT) AS coalesced_sum

@@ -21,8 +21,7 @@ DEFAULT_CUTOFF = "1996-06-30"
 
 
 def item_costs(items: DataFrame) -> DataFrame:
-    """Cost of goods, returned revenue and returned cost per order
-    (``item_level_data``)."""
+    """Cost of goods, returned revenue and returned cost per order."""
     def returned(value):
         return F.coalesce(F.sum(F.nullif(F.col(value), F.lit(0)) /
                                 F.nullif(F.col("item_quantity"), F.lit(0)) * F.col("items_returned")), F.lit(0))
