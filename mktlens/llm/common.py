@@ -24,6 +24,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each led by as many underscores as it takes to differ from the
+    columns of ``df`` in any case: for working columns beside the caller's own."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the folder in ``spark.checkpoint.dir``, lineage cut.
 

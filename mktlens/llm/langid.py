@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from mktlens.llm.common import unused
+
 from mktlens.llm.wordhash import U
 
 LETTER = regex.compile(r"\p{L}")
@@ -115,8 +117,11 @@ def fit(docs: DataFrame, dims: int = 16384, per_language: int = 400, full_langua
 RESULT = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
 
-def with_language(docs: DataFrame, model: dict, batch_rows: int = 128) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from ``text`` alone."""
+def with_language(docs: DataFrame, model: dict, batch_rows: int = 128,
+                  names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the label and its score, from ``text`` alone, as columns
+    ``names``, in place of columns that have these names."""
+    (result,) = unused(docs, "_language")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -137,8 +142,9 @@ def with_language(docs: DataFrame, model: dict, batch_rows: int = 128) -> DataFr
 
     # marked so that a filter on its result doesn't make Spark evaluate it twice
     apply = F.pandas_udf(predict, RESULT, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
-    out = docs.withColumn("_language", apply("text"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_language.lang_pred", "_language.score")
+    out = docs.withColumn(result, apply("text"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in [n.lower() for n in names]]
+    return out.select(*kept, F.col(result)["lang_pred"].alias(names[0]), F.col(result)["score"].alias(names[1]))
 
 
 def keep_known(docs: DataFrame, model: dict) -> DataFrame:
@@ -147,8 +153,9 @@ def keep_known(docs: DataFrame, model: dict) -> DataFrame:
     do all where there is nothing to learn from."""
     if not model["labels"]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    known = with_language(docs, model).where(F.col("lang_pred") != UNKNOWN)
-    return known.select(*[F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    label, score = unused(docs, "lang_pred", "score")
+    known = with_language(docs, model, names=(label, score)).where(F.col(label) != UNKNOWN)
+    return known.select(*[F.coalesce("lang", label).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_language_id(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import WHITE, checkpointed, lower_ascii
+from mktlens.llm.common import WHITE, checkpointed, lower_ascii, unused
 
 # Each frequent line's verdict is repeated for this many slices of its documents.
 SLICES = 32
@@ -81,20 +81,25 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
                         F.filter(runs, lambda r: r["length"] > 0).alias("keep"))
 
 
-def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, counts: bool = True) -> DataFrame:
     """``docs`` with the lines outside each keep bitmap removed from ``text``,
-    plus ``_n_lines`` (before) and ``_n_dropped``."""
+    and with ``counts`` also ``_n_lines`` (before) and ``_n_dropped``, in place
+    of columns that have these names."""
+    id_, version, gone, keep = unused(docs, "_id", "_version", "_gone", "_keep")
     marks = keep_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("_id"), F.col("version").alias("_version"),
-        F.col("n_dropped").alias("_gone"), F.col("keep").alias("_keep"))
-    joined = docs.join(marks, (F.col("doc_id") == F.col("_id")) & (_version(F.col("text")) == F.col("_version")), "left")
+        F.col("doc_id").alias(id_), F.col("version").alias(version),
+        F.col("n_dropped").alias(gone), F.col("keep").alias(keep))
+    joined = docs.join(marks, (F.col("doc_id") == F.col(id_)) & (_version(F.col("text")) == F.col(version)), "left")
     lines = _lines(F.col("text"))
-    kept = F.array_join(F.flatten(F.transform("_keep", lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    kept = F.array_join(F.flatten(F.transform(keep, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    extra = {
+        "_n_lines": F.size(lines).cast("long"),
+        "_n_dropped": F.coalesce(gone, F.lit(0)).cast("long"),
+    } if counts else {}
     return joined.select(
-        *[F.when(F.col("_keep").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`")
-          for c in docs.columns],
-        F.size(lines).cast("long").alias("_n_lines"),
-        F.coalesce("_gone", F.lit(0)).cast("long").alias("_n_dropped"),
+        *[F.when(F.col(keep).isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`")
+          for c in docs.columns if c.lower() not in extra],
+        *[value.alias(name) for name, value in extra.items()],
     )
 
 

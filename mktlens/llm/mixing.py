@@ -26,9 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import WORD, checkpointed
+from mktlens.llm.common import WORD, checkpointed, unused
 
 BUCKET_BITS = 12
+SHARD_WORDS = 1 << 24   # words of the mixture a shard takes at most, about 100 MB of text
+BLOCK_WORDS = 1 << 22   # words of a block at most, but for one longer document
 
 
 def word_count(text: Column) -> Column:
@@ -71,7 +73,7 @@ def document_sizes(docs: DataFrame, seed: int) -> DataFrame:
         units.withColumn("inside", F.sum(width).over(in_bucket) - width)
         .join(before, ["key", "bucket"])
         .withColumn("begin", F.col("base") + F.col("inside"))
-        .drop("base", "inside", "bucket")
+        .drop("base", "inside")
     )
 
 
@@ -139,19 +141,27 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
             "array(struct(node * 2 AS node, left AS counts),"
             " struct(node * 2 + 1 AS node, zip_with(counts, left, (a, b) -> a - b) AS counts))")).alias("c")).select(
             F.col("c.node").alias("node"), "ranks", F.col("c.counts").alias("counts"))
+        if level % 8 == 7:
+            nodes = nodes.repartition("node")
     return nodes.select(F.col("node").alias("shard"), F.explode(F.arrays_zip("ranks", "counts")).alias("x")).select(
         "shard", F.col("x.ranks").alias("rank"), F.col("x.counts").alias("blocks"))
 
 
 def mixing_plan(docs: DataFrame, ratio: float = 1.5, weights: tuple = (5, 2, 1), cap: float = 2.0,
-                blocks: int = 256, shard_levels: int = 4, seed: int = 7) -> DataFrame:
+                blocks: int = 256, shard_levels: int | None = None, seed: int = 7) -> DataFrame:
     """One row per distinct document row: doc_id, version, key, size,
     source_size, target, and ``draws``, an array of (pass, shard, words): what
-    each shard takes from the start of the text."""
+    each shard takes from the start of the text.  There are 2**shard_levels
+    shards, by default as many as keep one within SHARD_WORDS, 16 at least."""
     units = document_sizes(docs, seed)
     targets = checkpointed(source_targets(units, ratio, weights, cap))
-    span = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(float(blocks)))).cast("long")
-    placed = units.join(targets, "key").withColumn("block", F.floor(F.col("begin") / span).cast("long"))
+    if shard_levels is None:
+        taken = targets.agg(F.sum("target")).first()[0] or 0
+        shard_levels = max(4, (int(taken) // SHARD_WORDS).bit_length())
+    span = F.least(F.lit(BLOCK_WORDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(float(blocks))))).cast("long")
+    # a row per bucket, so that a source's documents stay where their buckets are
+    spread = targets.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit((1 << BUCKET_BITS) - 1))))
+    placed = units.join(spread, ["key", "bucket"]).drop("bucket").withColumn("block", F.floor(F.col("begin") / span).cast("long"))
     block = placed.where(F.col("size") > 0).groupBy("key", "rank", "block").agg(
         F.sum(F.col("size") * F.col("copies")).alias("words"), F.min("begin").alias("first"), F.first("target").alias("target"))
     # whole passes over the permuted blocks, until the target is reached
@@ -189,19 +199,22 @@ def mix_documents(docs: DataFrame, seed: int = 7, **kwargs) -> DataFrame:
     """The mixture: one row per draw, with the columns of ``docs`` (and n_chars
     brought up to date where present), partitioned by shard and shuffled
     within it.  A trimmed document keeps its first words, joined by blanks."""
+    id_, version, key, size, draw, shard, place = unused(
+        docs, "_id", "_version", "_key", "_size", "_draw", "_shard", "_place")
     plan = mixing_plan(docs, seed=seed, **kwargs).select(
-        F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("key").alias("_key"),
-        F.col("size").alias("_size"), F.explode("draws").alias("_draw"))
-    j = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (_version(F.col("text")) == F.col("_version"))
-                  & (_source_key(F.col("source")) == F.col("_key")))
-    text = F.when(F.col("_draw.words") >= F.col("_size"), F.col("text")).otherwise(
-        F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_draw.words").cast("int")), " "))
+        F.col("doc_id").alias(id_), F.col("version").alias(version), F.col("key").alias(key),
+        F.col("size").alias(size), F.explode("draws").alias(draw))
+    j = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(id_)) & (_version(F.col("text")) == F.col(version))
+                  & (_source_key(F.col("source")) == F.col(key)))
+    words = F.col(draw)["words"]
+    text = F.when(words >= F.col(size), F.col("text")).otherwise(
+        F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " "))
     j = j.withColumn("text", text)
     if "n_chars" in docs.columns:
         j = j.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    shard, place = F.col("_draw.shard"), F.xxhash64(F.lit(seed), F.col("_draw.pass"), F.col("_id"), F.col("_version"))
-    return j.withColumn("_shard", shard).withColumn("_place", place).repartition("_shard").sortWithinPartitions(
-        "_shard", "_place").select(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.xxhash64(F.lit(seed), F.col(draw)["pass"], F.col(id_), F.col(version))
+    return j.withColumn(shard, F.col(draw)["shard"]).withColumn(place, order).repartition(shard).sortWithinPartitions(
+        shard, place).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_mixing(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from mktlens.llm import embedding_dedup, html_extract, jaccard_join, langid, quality_rules
+from mktlens.llm import embedding_dedup, html_extract, jaccard_join, langid, line_dedup, mixing, quality_rules
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -71,3 +71,30 @@ def test_depleted_documents_are_rejected_at_every_host_size(spark):
         depleted = "\nthis very" in t
         assert out[i].n_words > 50 or not depleted
         assert (not out[i].base_failed, out[i].kept) == (True, not depleted), (i, out[i])
+
+
+def test_columns_named_like_working_ones_pass_through(spark):
+    extra = ["_id", "_version", "_gone", "_keep", "_key", "_size", "_draw", "_Shard", "_place", "_language", "lang_pred", "score",
+             "_n_lines", "component_id"]
+    line = "a line that is shared by every one of them"
+    docs = spark.createDataFrame([(i, f"{line}\nits own words {i}", "en" if i % 2 else None, f"s{i % 2}", 9, *(f"{c}{i}" for c in extra))
+                                  for i in range(1, 7)], DOCS + "".join(f", {c} string" for c in extra))
+    model = langid.fit(docs)
+    for stage in (lambda d: langid.keep_known(d, model), lambda d: line_dedup.drop_lines(d, counts=False),
+                  jaccard_join.keep_one, mixing.mix_documents):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[c] == f"{c}{r.doc_id}" for r in got for c in extra)
+    assert line_dedup.drop_lines(docs).columns.count("_n_lines") == 1
+    assert langid.with_language(docs, model).columns.count("lang_pred") == 1
+
+
+def test_mixing_has_as_many_shards_as_its_size_asks_for(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 7), "en", f"s{i % 3}", 0) for i in range(300)], DOCS)
+    few = {r.doc_id: (r.target, r.taken) for r in mixing.op7_mixing(docs).collect()}
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 20)
+    draws = mixing.mixing_plan(docs).collect()
+    shards = {d["shard"] for r in draws for d in r.draws}
+    assert len(shards) > 32 and max(shards) < 128
+    assert {r.doc_id: (r.target, sum(d.words for d in r.draws)) for r in draws} == few
