@@ -16,14 +16,13 @@ from mktlens.llm import jaccard_join, langid, line_dedup, mixing, packing
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a known language.  The classifier learns from docs' own labels and
     fills in ``lang`` where it is NULL; rejected are documents without a letter in their
-    text (NULL and empty ones too), and all if no label can be learnt."""
+    text (NULL and empty ones too).  Where no label can be learnt, ``lang`` stays as it is."""
     return langid.keep_known(docs, langid.fit(docs))
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines common to several documents stay in one; the last holder keeps them."""
-    out = line_dedup.drop_lines(docs).drop("_n_lines", "_n_dropped")
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    return line_dedup.drop_lines(docs, counts=False).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
