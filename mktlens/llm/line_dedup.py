@@ -1,11 +1,12 @@
 """Line deduplication across documents (native DataFrame functions only).
 
-Method: hashes of lines are range-partitioned on (hash, document), so that even
-a line held by a third of all documents is spread over many ranges.  The
-distinct documents and the last holder of each hash then come from a hash
-aggregate, with partial results per range, and not from a stream over the
-sorted ranges; nothing depends on the order within a range.  The result is one compressed keep bitmap per document that loses lines (the
-runs of lines it keeps), not text.
+Method: hashes of lines are range-partitioned on (hash, document) and sorted by
+(hash, document, position) in each range, so that even a line held by a third
+of all documents is spread over many ranges.  A window streams over the sorted
+range and lets through a line's first occurrence in each document; these are
+counted per hash within the range, and the counts of a hash that straddles
+ranges are merged.  The result is one compressed keep bitmap per document that
+loses lines (the runs of lines it keeps), not text.
 
 Defined cases: a NULL text is one empty line; a NULL doc_id never counts and
 never loses lines; rows repeated with the same doc_id count as one document;
@@ -16,7 +17,7 @@ ignored by ``keep_bitmaps`` and passed through by ``drop_lines``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mktlens.llm.common import WHITE, checkpointed, lower_ascii, unused
@@ -50,22 +51,29 @@ def line_hashes(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     )
 
 
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """(h1, h2, doc_id) of each line's first occurrence in each document, in one
+    stream over sorted ranges: the window asks for rows clustered by (h1, h2,
+    doc_id) and sorted by position, which the ranges already are."""
+    ranges = lines.select("h1", "h2", "doc_id", "pos").repartitionByRange("h1", "h2", "doc_id")
+    seen = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")
+    return (ranges.sortWithinPartitions("h1", "h2", "doc_id", "pos")
+            .withColumn("nth", F.row_number().over(seen)).where(F.col("nth") == 1)
+            .select("h1", "h2", "doc_id"))
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """One row per document that loses lines: doc_id, version, n_lines,
     n_dropped and ``keep``, the runs (start, length) of lines it keeps."""
-    streamed = (
-        checkpointed(line_hashes(docs, min_chars))
-        .repartitionByRange("h1", "h2", "doc_id")
-        .sortWithinPartitions("h1", "h2", "doc_id", "pos")
-    )
+    lines = checkpointed(line_hashes(docs, min_chars))
     frequent = (
-        streamed.groupBy("h1", "h2")
-        .agg(F.count_distinct("doc_id").alias("holders"), F.max("doc_id").alias("last"))
+        first_occurrences(lines).groupBy("h1", "h2")
+        .agg(F.count(F.lit(1)).alias("holders"), F.max("doc_id").alias("last"))
         .where(F.col("holders") >= min_docs)
         .select("h1", "h2", "last", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
     )
     dropped = (
-        streamed.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int"))
+        lines.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int"))
         .join(frequent, ["h1", "h2", "slice"])
         .where(F.col("doc_id") < F.col("last"))
         .groupBy("doc_id", "version")
