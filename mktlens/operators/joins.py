@@ -4,6 +4,8 @@
   inner).  Optionally time-bucketed (several widths) so a customer with a
   huge history is split over many (key, level, bucket) join keys instead of
   one hash bucket that pairs every order with every feature.
+* ``interval_aggregate``   - each interval with aggregates over the rows in it;
+  the intervals are evaluated once and none is lost.
 * ``wildcard_join``        - ``lower(text) like '%' || lower(name) || '%'``
   without a nested loop: each name is looked up by that of its interior words
   or grams which fewest texts hold, and the candidates are checked with
@@ -108,33 +110,88 @@ def interval_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     return matches.select(*cols).unionByName(unmatched.select(*cols))
 
 
-def bucketed_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], lo: str, hi: str, t: str,
-                   bucket_seconds: int | Sequence[int], max_span: int, carried: Sequence[str]) -> DataFrame:
-    """Candidates of ``interval_join`` (before the range check): the pairs
-    that share a key and a time bucket; every true pair is one of them, once."""
-    levels = [bucket_seconds] if isinstance(bucket_seconds, int) else sorted(bucket_seconds)
+def _time_buckets(left: DataFrame, lo: str, hi: str, levels: Sequence[int], max_span: int) -> tuple[Column, Column]:
+    """(level, buckets) of an interval: the finest width at which it spans at
+    most ``max_span`` buckets (else the coarsest), so short windows stay precise
+    and a window of years does not explode into thousands of rows; and the
+    numbers of the buckets, NULL for an interval that holds nothing."""
     lo_s, hi_s = _epoch_seconds(left, lo), _epoch_seconds(left, hi)
-    # each interval uses the finest width at which it spans at most
-    # ``max_span`` buckets (else the coarsest): short windows stay precise,
-    # a window of years does not explode into thousands of rows
     level = F.lit(len(levels) - 1)
     for i in reversed(range(len(levels) - 1)):
         w = levels[i]
         level = F.when(F.floor(hi_s / w) - F.floor(lo_s / w) < max_span, F.lit(i)).otherwise(level)
     width = F.element_at(F.array(*[F.lit(w) for w in levels]), level + 1)
-    lo_b = F.floor(lo_s / width)
-    hi_b = F.floor(hi_s / width)
-    spans = (left.select(*carried, level.alias("__lvl"), lo_b.alias("__lo_b"), hi_b.alias("__hi_b"))
-             .withColumn("__b", F.explode(F.when(F.col("__lo_b") <= F.col("__hi_b"),
-                                                 F.sequence(F.col("__lo_b"), F.col("__hi_b")))))
-             .drop("__lo_b", "__hi_b"))
+    first, last = F.floor(lo_s / width), F.floor(hi_s / width)
+    return level, F.when(first <= last, F.sequence(first, last))
+
+
+def _bucketed_points(right: DataFrame, t: str, levels: Sequence[int]) -> DataFrame:
+    """``right`` once per level, with ``__lvl`` and the bucket ``__b`` of ``t``."""
     t_s = _epoch_seconds(right, t)
-    rgt = right.withColumn("__lb", F.explode(F.array(*[
+    keyed = right.withColumn("__lb", F.explode(F.array(*[
         F.struct(F.lit(i).alias("__lvl"), F.floor(t_s / w).alias("__b")) for i, w in enumerate(levels)])))
-    rgt = rgt.select("*", "__lb.__lvl", "__lb.__b").drop("__lb")
+    return keyed.select("*", "__lb.__lvl", "__lb.__b").drop("__lb")
+
+
+def _widths(bucket_seconds: int | Sequence[int]) -> list[int]:
+    return [bucket_seconds] if isinstance(bucket_seconds, int) else sorted(bucket_seconds)
+
+
+def bucketed_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], lo: str, hi: str, t: str,
+                   bucket_seconds: int | Sequence[int], max_span: int, carried: Sequence[str]) -> DataFrame:
+    """Candidates of ``interval_join`` (before the range check): the pairs
+    that share a key and a time bucket; every true pair is one of them, once."""
+    levels = _widths(bucket_seconds)
+    level, buckets = _time_buckets(left, lo, hi, levels, max_span)
+    spans = left.select(*carried, level.alias("__lvl"), F.explode(buckets).alias("__b"))
     # a right row has one bucket per level and a left row uses one level, so
     # every (left, right) pair meets exactly once
-    return spans.join(rgt, [*keys, "__lvl", "__b"], "inner").drop("__lvl", "__b")
+    return spans.join(_bucketed_points(right, t, levels), [*keys, "__lvl", "__b"], "inner").drop("__lvl", "__b")
+
+
+# Rows of NULLs that stand for "no right row" in ``interval_aggregate``: each
+# left row meets one of them, chosen by its hash, so none is a hot key.
+MARKS = 4096
+
+
+def interval_aggregate(left: DataFrame, right: DataFrame, keys: str | Sequence[str], lo: str, hi: str, t: str,
+                       aggs: Sequence[Column], bucket_seconds: int | Sequence[int] = LINEAR_WIDTHS,
+                       max_span: int = 32) -> DataFrame:
+    """Every row of ``left`` with aggregates over the ``right`` rows of the same
+    ``keys`` whose ``t`` lies in ``[lo, hi]``.
+
+    ``left`` is evaluated once: each of its rows also meets one row of NULLs, so
+    a row without any match passes through the same inner join (either side of
+    which AQE may split) and nothing is joined back.  The aggregates therefore
+    see one row of NULLs besides the matches and must skip it, as ``count(x)``,
+    ``count_if``, ``sum`` and ``max`` do and ``count(*)`` does not.  NULL keys
+    and bounds match nothing.  Rows of ``left`` must differ from one another;
+    apart from ``keys`` the two sides share no column name."""
+    keys = _keys(keys)
+    levels = _widths(bucket_seconds)
+    level, buckets = _time_buckets(left, lo, hi, levels, max_span)
+    none = F.array().cast("array<bigint>")
+    spans = left.select("*", level.alias("__l"), F.explode(F.concat(
+        F.array(F.lit(None).cast("bigint")), F.coalesce(buckets, none))).alias("__n"))
+    mark = F.col("__n").isNull()
+    join_keys = [f"__k{i}" for i in range(len(keys))]
+    spans = spans.select(
+        *left.columns, *[F.when(~mark, F.col(k)).alias(j) for k, j in zip(keys, join_keys)],
+        F.when(mark, -1).otherwise(F.col("__l")).alias("__lvl"),
+        F.when(mark, F.pmod(F.xxhash64(*left.columns), F.lit(MARKS))).otherwise(F.col("__n")).alias("__b"))
+
+    points = _bucketed_points(right, t, levels).withColumn("__mark", F.lit(False))
+    for k in keys:
+        points = points.where(F.col(k).isNotNull())
+    marks = left.sparkSession.range(MARKS).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema],
+        F.lit(-1).alias("__lvl"), F.col("id").alias("__b"), F.lit(True).alias("__mark"))
+    points = points.unionByName(marks)
+    points = points.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)],
+                           *[c for c in points.columns if c not in keys]).withColumnsRenamed({"__lvl": "__rl", "__b": "__rb"})
+    same = [F.col(j).eqNullSafe(F.col(f"__r{i}")) for i, j in enumerate(join_keys)]
+    met = spans.join(points, [*same, F.col("__lvl") == F.col("__rl"), F.col("__b") == F.col("__rb")])
+    return met.where(F.col("__mark") | F.col(t).between(F.col(lo), F.col(hi))).groupBy(*left.columns).agg(*aggs)
 
 
 def _metachar(c: Column) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from mktlens.functions.scalars import date_lit, earlier_of, left_chars, ratio
 from mktlens.operators.aggregates import duplicate_keys
-from mktlens.operators.joins import LINEAR_WIDTHS, interval_join, null_aware_anti_join
+from mktlens.operators.joins import LINEAR_WIDTHS, interval_aggregate, null_aware_anti_join
 from mktlens.operators.windows import lag_by_sequence, min_by_key, row_number_by
 from mktlens.sources import bindings as B
 from mktlens.sources.tables import Tables
@@ -38,43 +38,57 @@ BLOG_PATTERN = "%central%"
 BUCKET_SECONDS = LINEAR_WIDTHS
 ORDER_KEY = ["customer_id", "order_sequence_new"]
 
+# what later steps need of an order window
+WINDOW = [*ORDER_KEY, "wix_order_stamp", "wix_order_name", "item_quantity", "first_visit_date",
+          "first_visit_timestamp", "prior_order_or_first_visit_timestamp"]
+
 KINDS = ["blog", "review", "ecom", "train", "wish", "cart", "bounce", "opt", "acct"]
 
 
 # ---------------------------------------------------------------------------
 # orders
 # ---------------------------------------------------------------------------
-def order_history(orders: DataFrame, regions: DataFrame, fiscal: DataFrame, acquired_from: str = ACQUIRED_FROM,
-                  as_of: str | None = None) -> DataFrame:
-    """Orders with region, fiscal year (of the calendar ``fiscal``: cal_date,
-    fiscal_year), acquisition date, local date, prior order date and stamp
-    (repeat orders only) and days between orders; only customers acquired in
-    ``[acquired_from, as_of]``.  The stored ``order_sequence`` numbers a
-    customer's orders without gaps."""
-    repeat = F.col("order_sequence") > 1
+def cohort_orders(orders: DataFrame, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None) -> DataFrame:
+    """Orders of the customers acquired in ``[acquired_from, as_of]``, with the acquisition date."""
     end = F.current_date() if as_of is None else date_lit(as_of)
-    s = orders.join(regions, F.upper(orders["shipping_country"]) == regions["shipping_country"], "left") \
-              .drop(regions["shipping_country"])
-    s = min_by_key(s, ["customer_id"], "order_date", "acquisition_date")
-    s = s.withColumn("order_date_local", earlier_of("order_date", "order_date_nam"))
+    s = min_by_key(orders, ["customer_id"], "order_date", "acquisition_date")
+    return s.where(F.col("acquisition_date").between(date_lit(acquired_from), end))
+
+
+def previous_orders(cohort: DataFrame) -> DataFrame:
+    """Local date, prior order date and stamp (repeat orders only) and days
+    between orders.  The stored ``order_sequence`` numbers a customer's orders
+    without gaps."""
+    repeat = F.col("order_sequence") > 1
+    s = cohort.withColumn("order_date_local", earlier_of("order_date", "order_date_nam"))
     s = lag_by_sequence(s, ["customer_id"], "order_sequence",
                         {"__prev_date": "order_date", "__prev_stamp": "wix_order_stamp",
                          "__prev_local": "order_date_local"})
-    s = (s.withColumn("prior_order_date", F.when(repeat, F.col("__prev_date")))
-          .withColumn("prior_order_date_timestamp", F.when(repeat, F.col("__prev_stamp")))
-          .withColumn("days_btwn_orders", F.datediff(F.col("order_date_local"), F.col("__prev_local")))
-          .drop("__prev_date", "__prev_stamp", "__prev_local"))
+    return (s.withColumn("prior_order_date", F.when(repeat, F.col("__prev_date")))
+             .withColumn("prior_order_date_timestamp", F.when(repeat, F.col("__prev_stamp")))
+             .withColumn("days_btwn_orders", F.datediff(F.col("order_date_local"), F.col("__prev_local")))
+             .drop("__prev_date", "__prev_stamp", "__prev_local"))
+
+
+def order_history(orders: DataFrame, regions: DataFrame, fiscal: DataFrame, acquired_from: str = ACQUIRED_FROM,
+                  as_of: str | None = None) -> DataFrame:
+    """The cohort's orders with their previous orders, region and fiscal year
+    (of the calendar ``fiscal``: cal_date, fiscal_year)."""
+    s = previous_orders(cohort_orders(orders, acquired_from, as_of))
+    s = s.join(regions, F.upper(s["shipping_country"]) == regions["shipping_country"], "left") \
+         .drop(regions["shipping_country"])
     years = fiscal.select(F.col("cal_date").alias("order_date"), "fiscal_year")
-    s = (s.join(years, "order_date", "left").withColumn("repeat_order_fy", F.when(repeat, F.col("fiscal_year")))
-          .drop("fiscal_year"))
-    return s.where(F.col("acquisition_date").between(date_lit(acquired_from), end))
+    return (s.join(years, "order_date", "left")
+             .withColumn("repeat_order_fy", F.when(F.col("order_sequence") > 1, F.col("fiscal_year")))
+             .drop("fiscal_year"))
 
 
-def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES) -> DataFrame:
+def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES, cohort: DataFrame | None = None) -> DataFrame:
     """Drop orders whose name is shared by several of the checked sequences
     (``not in``, NULL rules kept), drop orders without a stamp, and number
-    the rest again by stamp."""
-    dupes = duplicate_keys(history.where(F.col("order_sequence").isin(*sequences)),
+    the rest again by stamp.  ``cohort``: the same orders before the columns
+    of ``history`` were added, so that looking for repeats doesn't plan those."""
+    dupes = duplicate_keys((history if cohort is None else cohort).where(F.col("order_sequence").isin(*sequences)),
                            ["customer_id", "wix_order_name"], "order_sequence", distinct=True)
     kept = null_aware_anti_join(history, dupes, "wix_order_name").where(F.col("wix_order_stamp").isNotNull())
     kept = row_number_by(kept, ["customer_id"], ["wix_order_stamp", "order_sequence"], "order_sequence_new",
@@ -83,8 +97,9 @@ def clean_order_sequence(history: DataFrame, sequences=DUPLICATE_SEQUENCES) -> D
 
 
 def base_orders(t: Tables, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None) -> DataFrame:
-    return clean_order_sequence(
-        order_history(B.journey_orders(t), B.regional_index(t), B.fiscal_dates(t), acquired_from, as_of))
+    """The cohort's cleaned orders, without the region and fiscal year that no later step reads."""
+    cohort = cohort_orders(B.journey_orders(t, located=False), acquired_from, as_of)
+    return clean_order_sequence(previous_orders(cohort), cohort=cohort)
 
 
 # ---------------------------------------------------------------------------
@@ -216,17 +231,13 @@ def feature_events(t: Tables, base: DataFrame | None, kinds=tuple(KINDS)) -> Dat
 
 
 def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds) -> DataFrame:
-    """One interval join and one aggregation for all nine features."""
-    w = windows.select(*ORDER_KEY, F.col("prior_order_or_first_visit_timestamp").alias("lo"),
-                       F.col("wix_order_stamp").alias("hi"))
-    m = interval_join(w, events, "customer_id", "lo", "hi", "t", how="inner",
-                      bucket_seconds=bucket_seconds)
+    """The order windows with their features, all nine in one aggregation."""
     k = F.col("kind")
 
     def n_of(kind):
         return F.count_if(k == kind).alias(f"n_{kind}")
 
-    return m.groupBy(*ORDER_KEY).agg(
+    features = [
         *[n_of(x) for x in KINDS],
         F.sum(F.when(k == "review", F.col("num"))).alias("sum_rating"),
         F.count(F.when(k == "review", F.col("num"))).alias("cnt_rating"),
@@ -238,7 +249,9 @@ def _per_order_features(windows: DataFrame, events: DataFrame, bucket_seconds) -
         F.max(F.when(k == "opt", F.col("t"))).alias("max_date"),
         F.max(F.when(k == "opt", F.col("txt"))).alias("latest_opt_status"),
         F.max(F.when(k == "acct", F.col("t"))).alias("updated_at"),
-        F.max(F.when(k == "acct", F.coalesce(F.col("txt"), F.lit("N")))).alias("account_status"))
+        F.max(F.when(k == "acct", F.coalesce(F.col("txt"), F.lit("N")))).alias("account_status")]
+    return interval_aggregate(windows.select(*WINDOW), events, "customer_id", "prior_order_or_first_visit_timestamp",
+                              "wix_order_stamp", "t", features, bucket_seconds)
 
 
 def _equi_features(t: Tables, windows: DataFrame, visits: DataFrame) -> DataFrame:
@@ -289,22 +302,21 @@ def _assemble(rows: DataFrame, mult) -> DataFrame:
 
 
 def _prepared(t: Tables, bucket_seconds, acquired_from: str = ACQUIRED_FROM, as_of: str | None = None, kinds=tuple(KINDS)):
-    """(sessions, first sessions, order windows, per-order features of ``kinds``)."""
+    """(sessions, first sessions, order windows with the features of ``kinds``)."""
     visits = clean_sessions(B.sessions_master(t))
     firsts = clean_sessions(B.first_sessions(t))
     windows = lookback_start(base_orders(t, acquired_from, as_of), first_visit(firsts))
     feats = _per_order_features(windows, feature_events(t, None, kinds), bucket_seconds)
-    return visits, firsts, windows, feats
+    return visits, firsts, feats
 
 
 def interactions_between_orders(t: Tables, bucket_seconds=BUCKET_SECONDS, acquired_from: str = ACQUIRED_FROM,
                                 as_of: str | None = None) -> DataFrame:
-    """Default form: every feature aggregated per order, joined 1:1.  The
+    """Default form: every feature aggregated per order.  The
     cohort is the customers acquired in ``[acquired_from, as_of]``
     (``as_of=None`` means today)."""
-    visits, _, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
-    rows = _equi_features(t, windows, visits).join(feats, ORDER_KEY, "left")
-    return _assemble(rows, lambda kind: F.lit(1))
+    visits, _, windows = _prepared(t, bucket_seconds, acquired_from, as_of)
+    return _assemble(_equi_features(t, windows, visits), lambda kind: F.lit(1))
 
 
 def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS,
@@ -313,14 +325,15 @@ def interactions_between_orders_literal(t: Tables, bucket_seconds=BUCKET_SECONDS
     one-to-many left joins multiplying one another, then grouped by 16 keys.
     Sums and counts of a feature are scaled by the equi-join rows of the
     group and by the match counts of the other eight features."""
-    visits, firsts, windows, feats = _prepared(t, bucket_seconds, acquired_from, as_of)
+    visits, firsts, windows = _prepared(t, bucket_seconds, acquired_from, as_of)
     g1 = firsts.where(F.col("web_visit_number") == 1).select("customer_id").withColumn("__g1", F.lit(1))
     rows = _equi_features(t, windows, visits).join(g1, "customer_id", "left")
     keys = ["customer_id", "order_sequence_new", "wix_order_stamp", "wix_order_name", "first_visit_date",
             "first_visit_timestamp", "prior_order_or_first_visit_timestamp", "items_returned",
             "full_or_part_return", "customer_gender", "conversion_channel", "mail_control"]
-    grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__eq"))
-    rows = grouped.join(feats, ORDER_KEY, "left")
+    # a group holds one order window, so its features are those of any row
+    features = [c for c in windows.columns if c not in WINDOW]
+    rows = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__eq"), *[F.first(c).alias(c) for c in features])
 
     def nn(kind):
         return F.greatest(F.coalesce(F.col(f"n_{kind}"), F.lit(0)), F.lit(1)).cast("bigint")

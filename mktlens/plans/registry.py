@@ -309,7 +309,7 @@ def _content_visits(t: Tables) -> DataFrame:
 
 def _journey_features(t: Tables, kind: str) -> DataFrame:
     """Per-order features of one kind: only its source and the order windows are read."""
-    _, _, _, feats = J._prepared(t, J.BUCKET_SECONDS, kinds=(kind,))
+    _, _, feats = J._prepared(t, J.BUCKET_SECONDS, kinds=(kind,))
     return feats
 
 

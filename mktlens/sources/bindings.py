@@ -291,14 +291,17 @@ def _email(user) -> F.Column:
     return F.concat(F.lit("customer."), padded_id(user), F.lit(EMAIL_DOMAIN))
 
 
-def journey_orders(t: Tables) -> DataFrame:
-    """Purchases as orders, with the stored sequence per customer."""
+def journey_orders(t: Tables, located: bool = True) -> DataFrame:
+    """Purchases as orders, with the stored sequence per customer; the
+    customer's country is looked up only when asked."""
     ev = _events(t).where(F.col("event_type") == "purchase")
     geo = (t.customer.select("c_custkey", "c_nationkey")
            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
            .select("c_custkey", F.lower("n_name").alias("shipping_country")))
     ev = row_number_by(ev, ["user_id"], ["ts", "event_id"], "order_sequence", bucket=F.date_trunc("hour", "ts"))
-    return (ev.join(geo, F.col("user_id") == F.col("c_custkey"), "left")
+    if located:
+        ev = ev.join(geo, F.col("user_id") == F.col("c_custkey"), "left")
+    return (ev
             .select(F.col("user_id").alias("customer_id"),
                     "order_sequence",
                     F.to_date("ts").alias("order_date"),
@@ -314,7 +317,7 @@ def journey_orders(t: Tables) -> DataFrame:
                     F.round(money(F.col("value")) * F.lit(NET_RATIO).cast("decimal(2,1)"), 2).cast("decimal(18,2)")
                      .alias("order_net_sales_gbp"),
                     F.when(F.col("k") % 2 == 0, "web").otherwise("app").alias("order_store"),
-                    "shipping_country"))
+                    *(["shipping_country"] if located else [])))
 
 
 def fiscal_dates(t: Tables) -> DataFrame:

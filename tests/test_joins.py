@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from mktlens.operators.joins import LINEAR_WIDTHS, bucketed_pairs, constant_row_join, interval_join, name_keys, null_aware_anti_join, text_keys, wildcard_join
+from mktlens.operators.joins import LINEAR_WIDTHS, bucketed_pairs, constant_row_join, interval_aggregate, interval_join, name_keys, null_aware_anti_join, text_keys, wildcard_join
 from tests.conftest import rows, wildcard_join_nested
 
 T = dt.datetime
@@ -191,3 +191,43 @@ def test_hot_key_in_one_day_meets_linear_candidates(spark):
         return pairs
     small, large = candidates(200), candidates(1600)
     assert small <= 12 * 200 and large <= 12 * 1600
+
+
+def _intervals(spark, n=1200):
+    """Windows and points where key 0 holds a third of both; NULLs, empty windows, years and seconds."""
+    rnd = random.Random(16)
+    base = dt.datetime(2024, 1, 1)
+    def at(seconds):
+        return base + dt.timedelta(seconds=seconds)
+    left = [(None if i % 50 == 0 else 0 if i % 3 == 0 else rnd.randint(1, 20), i,
+             None if i % 41 == 0 else at(s := rnd.randint(0, 10**7)), at(s + rnd.choice([-5, 0, 1, 3600, 10**5, 10**8])) if i % 41 else at(5))
+            for i in range(n)]
+    right = [(None if i % 60 == 0 else 0 if i % 3 == 0 else rnd.randint(1, 25),
+              None if i % 43 == 0 else at(rnd.randint(0, 10**7)), rnd.randint(0, 9)) for i in range(n)]
+    # each window's ends are points as well: both bounds are inclusive
+    right += [(k, t, 1) for k, _, lo, hi in left[:200] for t in (lo, hi)]
+    return left, right
+
+
+def test_interval_aggregate_equals_brute_force(spark):
+    left, right = _intervals(spark)
+    l = spark.createDataFrame(left, "k int, id int, lo timestamp_ntz, hi timestamp_ntz")
+    r = spark.createDataFrame(right, "k int, t timestamp_ntz, v int")
+    aggs = [F.count("v").alias("n"), F.sum("v").alias("s"), F.max("t").alias("last")]
+    want = []
+    for k, i, lo, hi in left:
+        m = [(t, v) for rk, t, v in right if k is not None and rk == k and t is not None and lo is not None and lo <= t <= hi]
+        want.append((i, len(m), sum(v for _, v in m) if m else None, max(t for t, _ in m) if m else None))
+    for widths in (LINEAR_WIDTHS, 3600 * 24 * 30):
+        assert rows(interval_aggregate(l, r, "k", "lo", "hi", "t", aggs, widths), "id", "n", "s", "last") == sorted(want, key=lambda x: x[0])
+    assert rows(interval_aggregate(l, r.limit(0), ["k"], "lo", "hi", "t", aggs), "n", "s") == [(0, None)] * len(left)
+    assert interval_aggregate(l.limit(0), r, "k", "lo", "hi", "t", aggs).count() == 0
+
+
+def test_interval_aggregate_evaluates_the_windows_once(spark):
+    left, right = _intervals(spark, 60)
+    l = spark.createDataFrame(left, "k int, id int, lo timestamp_ntz, hi timestamp_ntz").groupBy("k", "id", "lo").agg(F.max("hi").alias("hi"))
+    r = spark.createDataFrame(right, "k int, t timestamp_ntz, v int")
+    plan = interval_aggregate(l, r, "k", "lo", "hi", "t", [F.count("v").alias("n")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ExistingRDD") + plan.count("LocalTableScan") == 2      # windows once, points once
+    assert "LeftOuter" not in plan and "LeftAnti" not in plan and "NestedLoop" not in plan
