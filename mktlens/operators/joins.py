@@ -324,15 +324,16 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame, left_key: str,
     SQL rules: an empty subquery keeps every row (NULL keys too); a NULL in
     the subquery keeps no row; otherwise NULL keys are dropped.  The subquery
     is evaluated once, as its distinct keys: a hash anti join uses them, and so
-    does the one-row summary (how many, is NULL among them), a scalar that the
-    filter compares with.  Keys travel in a struct, which is never NULL itself:
-    a filter on NULL keys would give the two uses different plans.
+    does the one-row summary, a scalar that the filter names once (each naming
+    would plan it again): 0 - no keys, 1 - keys, 2 - NULL among them.  Keys travel
+    in a struct, which is never NULL itself: a filter on NULL keys would give the
+    two uses different plans.
     """
     rk = right_key or left_key
     keys = right.select(F.struct(F.col(rk).alias("k")).alias("__k")).distinct()
-    told = keys.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__k.k").isNull()).alias("n_null"))).scalar()
+    told = keys.agg(F.when(F.count_if(F.col("__k.k").isNull()) > 0, 2).when(F.count(F.lit(1)) > 0, 1).otherwise(0).alias("held")).scalar()
     kept = left.withColumn("__l", F.struct(F.col(left_key).alias("k"))).join(keys, F.col("__l") == F.col("__k"), "left_anti").drop("__l")
-    return kept.where((told["n"] == 0) | ((told["n_null"] == 0) & F.col(left_key).isNotNull()))
+    return kept.where(F.get(F.array(F.lit(True), F.col(left_key).isNotNull(), F.lit(False)), told))
 
 
 def constant_row_join(left: DataFrame, rows: DataFrame) -> DataFrame:
