@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import checkpointed, stored
+from mktlens.llm.common import checkpointed, giving_back, stored
 from mktlens.llm.components import components
 from mktlens.llm.wordhash import U, Words, mix, multipliers, segment_sums, slices, words_of
 
@@ -106,7 +106,7 @@ def features(docs: DataFrame, k: int, bits: int) -> DataFrame:
             [*[pa.nulls(m, pa.int64())] * 4, pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())],
             names=["doc_id", "version", "node", "n", "slice", "counts"])
 
-    return docs.mapInArrow(run, "doc_id long, version long, node long, n long, slice int, counts binary")
+    return docs.mapInArrow(giving_back(run), "doc_id long, version long, node long, n long, slice int, counts binary")
 
 
 def frequency_table(feature_rows: DataFrame, bits: int) -> np.ndarray:
@@ -221,8 +221,8 @@ def postings(docs: DataFrame, rank_class: np.ndarray, k: int, bits: int, percent
                              "usual": p["usual"].astype(np.int32)})
 
     cols = "token long, node long, n int, ell int, usual int"
-    met = docs.mapInArrow(heads, "bucket int, blob binary, more binary").groupBy("bucket").applyInPandas(meet, cols)
-    return stored(met.union(docs.mapInArrow(others, cols)))
+    met = docs.mapInArrow(giving_back(heads), "bucket int, blob binary, more binary").groupBy("bucket").applyInPandas(meet, cols)
+    return stored(met.union(docs.mapInArrow(giving_back(others), cols)))
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, thin: DataFrame) -> DataFrame:
@@ -239,7 +239,7 @@ def texts_of(docs: DataFrame, nodes: DataFrame, thin: DataFrame) -> DataFrame:
                     [b.column("doc_id"), b.column("version"), pa.array([c.compress(str(t).encode()) for t in b.column("text")], pa.binary())],
                     names=["doc_id", "version", "packed"])
 
-    packed = docs.where(F.col("text").isNotNull()).mapInArrow(squeeze, "doc_id long, version long, packed binary")
+    packed = docs.where(F.col("text").isNotNull()).mapInArrow(giving_back(squeeze), "doc_id long, version long, packed binary")
     # a set has one (doc_id, version): repeated rows go where the join has brought them, without a shuffle
     return packed.join(ids, ["doc_id", "version"]).dropDuplicates(["doc_id", "version"]).select("node", "packed")
 
@@ -276,7 +276,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
         pairs.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("right")), "b")
         .join(texts.select(F.col("node").alias("a"), F.col("packed").alias("left")), "a")
     )
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _may_link(percent: int, a: tuple[str, str], b: tuple[str, str]):

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from mktlens.llm.common import unused
+from mktlens.llm.common import giving_back, unused
 
 from mktlens.llm.wordhash import U
 
@@ -92,7 +92,7 @@ def fit(docs: DataFrame, dims: int = 16384, per_language: int = 400, full_langua
 
     sample = (
         known.where(F.col("place") < F.element_at(below, F.col("lang")))
-        .select("doc_id", "lang", "place", "text").mapInPandas(bits, "doc_id long, lang string, place double, bits binary").toPandas()
+        .select("doc_id", "lang", "place", "text").mapInPandas(giving_back(bits), "doc_id long, lang string, place double, bits binary").toPandas()
         .sort_values(["place", "doc_id", "lang", "bits"]).drop_duplicates(["doc_id", "lang"], ignore_index=True)
     )
     lang = pd.Index(model["labels"]).get_indexer(sample["lang"])
@@ -141,7 +141,7 @@ def with_language(docs: DataFrame, model: dict, batch_rows: int = 128,
             yield pd.DataFrame({"lang_pred": pred, "score": score})
 
     # marked so that a filter on its result doesn't make Spark evaluate it twice
-    apply = F.pandas_udf(predict, RESULT, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+    apply = F.pandas_udf(giving_back(predict), RESULT, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
     out = docs.withColumn(result, apply("text"))
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in [n.lower() for n in names]]
     return out.select(*kept, F.col(result)["lang_pred"].alias(names[0]), F.col(result)["score"].alias(names[1]))
