@@ -257,17 +257,28 @@ def name_keys(right: DataFrame, name: str, q: int, wildcards: bool) -> tuple[Dat
     return keyed.select("__n", F.explode("__keys").alias("__key"), F.size("__keys").alias("__n_keys")), needs
 
 
+def _slices() -> Column:
+    """A row for each slice of the texts."""
+    return F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(KEY_SLICES)])).alias("__slice")
+
+
 def text_keys(texts: DataFrame, text: str, needs: DataFrame, wanted: DataFrame, q: int) -> DataFrame:
-    """Distinct (h, key): the words and grams of each text (h is the hash of
-    the lower-cased text) that are keys of some name."""
+    """Distinct (h, slice, key): the words and grams of each text (h is the hash
+    of the lower-cased text, slice its last bits) that are keys of some name.
+
+    A word may be in every text, and be no name's key: the names' keys meet the
+    texts' by key and slice, so that no task gets all texts that hold a word."""
     none = F.array().cast("array<string>")
     lt = F.lower(F.col(text))
     told = constant_row_join(texts.where(F.col(text).isNotNull()).select(lt.alias("__t")), needs)
     words = F.when(F.col("__want_words"), F.split("__t", TOKEN_SEPARATOR, -1)).otherwise(none)
     grams = [F.when(F.array_contains("__want_grams", F.lit(g)), _overlapping(F.col("__t"), g)).otherwise(none) for g in range(q + 1)]
     held = told.select(F.xxhash64("__t").alias("__h"), F.explode(F.array_distinct(F.concat(words, *grams))).alias("__k"))
-    held = held.select("__h", F.xxhash64("__k").alias("__key"))
-    return held.join(wanted.select("__key").distinct(), "__key", "left_semi").distinct()
+    # never NULL, so that both uses of the texts' keys plan one exchange
+    held = held.select("__h", F.col("__h").bitwiseAND(F.lit(KEY_SLICES - 1)).alias("__slice"), F.xxhash64("__k").alias("__key"))
+    # dealt out here, so that Spark sees how many they are before it broadcasts them
+    sliced = wanted.select("__key").distinct().select("__key", _slices()).repartition("__key", "__slice")
+    return held.join(sliced, ["__key", "__slice"], "left_semi").distinct()
 
 
 def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str, how: str = "left",
@@ -284,8 +295,8 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str, how:
     is looked up by its key that fewest texts hold, and not at all if one of
     its keys is in no text.  Texts that hold the key are candidates; the pair
     itself is checked where the candidates meet the rows of ``left``, so hashes
-    need not be unique for an exact result.  A frequent key is spread over
-    ``KEY_SLICES`` slices of its texts.  Rows of ``left`` are moved once at
+    need not be unique for an exact result.  A frequent word, a name's key or
+    not, is spread over ``KEY_SLICES`` slices of its texts.  Rows of ``left`` are moved once at
     most, and not at all when the candidates are few enough to be broadcast;
     keys are distinct per text, so repeated texts share their candidates.
 
@@ -306,10 +317,8 @@ def wildcard_join(left: DataFrame, right: DataFrame, text: str, name: str, how:
               .agg(F.count(F.lit(1)).alias("__found"), F.first("__n_keys").alias("__n_keys"),
                    F.min(F.struct("__texts", "__key")).alias("__best"))
               .where(F.col("__found") == F.col("__n_keys"))
-              .select("__n", F.col("__best.__key").alias("__key"),
-                      F.explode(F.sequence(F.lit(0), F.lit(KEY_SLICES - 1)).cast("array<bigint>")).alias("__slice")))
-    # never NULL, so that both uses of the texts' keys plan one exchange
-    candidates = held.withColumn("__slice", F.col("__h").bitwiseAND(F.lit(KEY_SLICES - 1))).join(rarest, ["__key", "__slice"]).select("__h", "__n")
+              .select("__n", F.col("__best.__key").alias("__key"), _slices()))
+    candidates = held.join(rarest, ["__key", "__slice"]).select("__h", "__n")
     named = right.withColumn("__name", F.lower(F.col(name)))
     found = candidates.join(named, F.col("__n") == F.col("__name")).drop("__n").withColumnRenamed("__h", "__of")
     own = left.withColumn("__h", F.xxhash64(F.lower(F.col(text))))

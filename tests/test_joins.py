@@ -120,6 +120,23 @@ def test_name_is_looked_up_by_its_rarest_key(spark):
     assert rows(wildcard_join(texts, names, "text", "name", how="inner")) == [("x the usual words number7 and more", "the usual words number7 and")]
 
 
+def test_a_word_of_all_texts_is_dealt_out_in_slices(spark):
+    texts = spark.range(2000).select(F.concat(F.lit("buyer "), F.col("id").cast("string"), F.lit(" ltd")).alias("text"))
+    names = spark.range(50).select(F.concat(F.lit("r "), F.col("id").cast("string"), F.lit(" l")).alias("name"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false")):
+            spark.conf.set(k, v)
+        keyed, needs = name_keys(names, "name", 4, False)
+        held = text_keys(texts, "text", needs, keyed, 4)
+        semi = [line for line in held._jdf.queryExecution().executedPlan().toString().split("\n") if "LeftSemi" in line]
+        assert len(semi) == 1 and re.search(r"Join \[__key#\d+L?, __slice#\d+L?\]", semi[0]), semi
+        assert {r["__slice"] for r in held.collect()} == set(range(16))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_interval_buckets_ignore_daylight_saving(spark):
     """Wall-clock timestamps in a spring-forward gap must still meet their
     windows whatever the session time zone."""
